@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 from croplake.fixtures import NOW, NUTRIENT_DIVISORS, SQUARE
-from croplake.catalog import NUTRIENTS
+from croplake.catalog import DAILY_WEATHER_TYPES, NUTRIENTS
 
 _SHARES = ", ".join(
     f"{'0.0' if d == 0 else f'p_size::double / {float(d)}'} AS {n}"
@@ -240,7 +240,7 @@ def _season() -> str:
 
 
 # ---- grid arithmetic, written out again for the oracle -----------------------------------------
-def _grid_sql() -> str:
+def _grid_sql(dx: float = 0.0, select: str | None = None) -> str:
     """Cell position and centre of the customer points; all lie in bands 40-48 N, zones 14 to 16."""
     f = 1 / 298.257223563
     n = f / (2 - f)
@@ -262,7 +262,7 @@ def _grid_sql() -> str:
 
     # origin: westmost easting and central-meridian northing of the parallel 40 N
     return f"""
-      WITH p AS ({CTES['points']}),
+      WITH p AS (SELECT point_id, lon + {dx!r}::double AS lon, lat + {dx!r}::double AS lat FROM ({CTES['points']})),
       z AS (SELECT *, least(greatest(ceil((lon + 180) / 6), 1), 60)::int AS zone,
                    least(greatest(ceil((lat + 80) / 8), 1), 20)::int AS band FROM p),
       g AS (SELECT *, zone * 6 - 183 AS cm, (-88 + 8 * band)::double AS lat0 FROM z),
@@ -276,11 +276,12 @@ def _grid_sql() -> str:
       c AS (SELECT *, floor((e - e0) / 5000)::int AS col, floor((n - n0) / 5000)::int AS rw FROM en),
       q AS (SELECT *, (n0 + (rw + 0.5) * 5000) / {a!r}::double AS u, (e0 + (col + 0.5) * 5000 - 500000) / {a!r}::double AS v FROM c),
       r AS (SELECT *, u {plus('-', be, 'sin', 'cosh', 'u', 'v')} AS up, v {plus('-', be, 'cos', 'sinh', 'u', 'v')} AS vp FROM q),
-      o AS (SELECT *, asin(sin(up) / cosh(vp)) AS chi, degrees(atan2(sinh(vp), cos(up))) + cm AS lng FROM r)
-      SELECT point_id, zone AS utm_zone, col + 1 AS rast_col, rw + 1 AS rast_row,
+      o AS (SELECT *, asin(sin(up) / cosh(vp)) AS chi, degrees(atan2(sinh(vp), cos(up))) + cm AS lng FROM r),
+      out AS (SELECT point_id, zone AS utm_zone, col + 1 AS rast_col, rw + 1 AS rast_row,
              round(lng, 5) AS lng_centroid,
              round(degrees(chi {" ".join(f"+ {d!r}::double * sin({2 * j} * chi)" for j, d in enumerate(de, 1))}), 5) AS lat_centroid
-      FROM o"""
+      FROM o)
+      {select or 'SELECT * FROM out'}"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -521,7 +522,7 @@ def oracle_sql() -> dict[str, str]:
             + " FROM (SELECT * FROM feature_kept WHERE unit_type_id IN (10, 21, 52)) GROUP BY field_id"),
         "field_documents": sql(
             "WITH op AS (SELECT field_id, date_performed, act_id, lag(date_performed) OVER (PARTITION BY field_id, act_type ORDER BY date_performed) AS prev, act_type "
-            "FROM (SELECT owner_field_id AS field_id, act_type, date_performed, min(act_id) AS act_id FROM owned_act GROUP BY ALL)) "
+            "FROM (SELECT owner_field_id AS field_id, act_type, date_performed, min(act_id) AS act_id FROM owned_act WHERE date_performed > TIMESTAMP '2000-01-01' GROUP BY ALL)) "
             "SELECT f.field_id, f.name AS field_name, g.name AS farm_name, (SELECT count(*) FROM op WHERE op.field_id = f.field_id "
             "AND (prev IS NULL OR date_performed - prev > INTERVAL 6 HOUR)) AS n_operations FROM field f JOIN grouper g ON g.grouper_id = f.grouper_id"),
         "key_observations": sql(
@@ -563,6 +564,142 @@ def oracle_sql() -> dict[str, str]:
         "field_centroids": sql(
             f"SELECT point_id AS field_id, round(lon + {s / 2}, 6) AS lon, round(lat + {s / 2}, 6) AS lat FROM points"),
     }
+    out["cell_centroid"] = out["point_to_cell"]
+    bounds = sql("SELECT owner_field_id AS field_id, make_date((year(min(date_performed) - INTERVAL 6 HOUR) - 10)::int, 1, 1) AS df "
+                 "FROM owned_act WHERE act_type = 'PLANT' GROUP BY ALL")
+    out["need_of_fields"] = _grid_sql(
+        s / 2, "SELECT utm_zone, lng_centroid AS lon, lat_centroid AS lat, min(df) AS date_first, "
+        f"{_LAST} AS date_last FROM out JOIN ({bounds}) b ON b.field_id = out.point_id GROUP BY ALL")
+    out["invalid_geometries"] = (
+        "SELECT c_custkey AS geom_id, CASE c_custkey % 10 WHEN 1 THEN 'not closed' WHEN 2 THEN 'too few points' "
+        "ELSE 'crosses itself' END AS reason FROM customer WHERE c_custkey % 10 IN (1, 2, 3)")
+    out["acts_outside_field"] = sql(
+        "SELECT act_id, owner_field_id FROM owned_act WHERE act_id % 5 = 0 AND owner_field_id < (SELECT max(c_custkey) FROM customer)")
+    out["geometry_upsert"] = (
+        "WITH k AS (SELECT (c_custkey * 37) % 1500 AS a, (c_custkey * 91) % 1500 AS b, min(c_custkey) AS id FROM customer "
+        "WHERE c_custkey % 2 = 0 GROUP BY ALL), c AS (SELECT c_custkey, (c_custkey * 37) % 1500 AS a, (c_custkey * 91) % 1500 AS b FROM customer) "
+        "SELECT c_custkey AS candidate, id AS known_id, (SELECT count(DISTINCT (a, b)) FROM c WHERE (a, b) NOT IN (SELECT (a, b) FROM k)) AS n_new "
+        "FROM c LEFT JOIN k ON k.a = c.a AND k.b = c.b")
+    out["geometry_by_id"] = sql(
+        f"SELECT geom_id, round(lon + {s}, 7) AS x, round(lat + {s}, 7) AS y FROM points JOIN field ON geom_id = point_id WHERE organization_id = 2")
+    out["points_on_land"] = _grid_sql(
+        0.0, "SELECT point_id FROM out a WHERE EXISTS (SELECT 1 FROM out b WHERE b.point_id % 2 = 0 AND a.utm_zone = b.utm_zone "
+        "AND a.lng_centroid = b.lng_centroid AND a.lat_centroid = b.lat_centroid)")
+    # 2 + 20 rows of 60, three zones of the last band missing, 2: rows and zones follow from the number
+    out["polygon_info"] = (
+        "WITH w AS (SELECT DISTINCT (o_orderkey % 1201 + 1)::int AS i FROM orders), "
+        "z AS (SELECT i, CASE WHEN i <= 2 OR i >= 1200 THEN 0 WHEN i <= 1142 THEN (i - 3) % 60 + 1 "
+        "WHEN i - 1142 < 32 THEN i - 1142 WHEN i - 1142 = 32 THEN 33 WHEN i - 1142 = 33 THEN 35 ELSE i - 1142 + 3 END AS zone FROM w) "
+        "SELECT i AS world_utm_id, zone::int AS utm_zone, CASE i WHEN 1 THEN 'A' WHEN 2 THEN 'B' WHEN 1200 THEN 'Y' WHEN 1201 THEN 'Z' "
+        "ELSE substr('CDEFGHJKLMNPQRSTUVWX', least((i - 3) // 60 + 1, 20)::int, 1) END AS utm_row, "
+        "CASE i WHEN 1 THEN -21600 WHEN 1200 THEN -21600 WHEN 2 THEN 21600 WHEN 1201 THEN 21600 "
+        "ELSE round((zone * 6 - 183) / 15.0)::int * 3600 END::int AS utc_offset_seconds FROM z")
+    # daylight saving does not matter for dates: plantings are at midnight, 5 to 7 hours ahead
+    out["point_time_zone"] = sql(
+        "SELECT owner_field_id AS field_id, (min(date_performed) - INTERVAL 5 HOUR)::date AS local_date "
+        "FROM owned_act WHERE act_type = 'PLANT' GROUP BY ALL")
+    out["time_columns"] = (
+        "SELECT event_id, ts + to_seconds((user_id % 25 - 12) * 3600) AS local_time, "
+        "(ts + to_seconds((user_id % 25 - 12) * 3600) - INTERVAL 1 DAY)::date AS first_unstable, "
+        "CASE WHEN ts > ts::date::timestamp + INTERVAL 12 HOUR THEN ts::date ELSE ts::date - 1 END AS earliest_date, "
+        "ts::date::timestamp + INTERVAL 86399 SECOND - to_seconds((user_id % 25 - 12) * 3600) AS end_of_day, "
+        "greatest(date_diff('day', ts::date, DATE '2024-02-03') + 1, 0)::int AS n_dates FROM events")
+    out["group_ancestors"] = sql(
+        "SELECT parent_grouper_id AS ancestor_id, grouper_id, 1 AS distance FROM grouper WHERE grouper_id >= 1000 UNION ALL "
+        "SELECT organization_id, grouper_id, 2 FROM grouper WHERE grouper_id >= 1000")
+    out["group_descendants"] = sql(
+        "SELECT parent_grouper_id AS ancestor_id, grouper_id, 1 AS distance FROM grouper WHERE grouper_id >= 100 UNION ALL "
+        "SELECT organization_id, grouper_id, 2 FROM grouper WHERE grouper_id >= 1000")
+    out["group_rollup_all"] = sql(
+        "WITH c AS (SELECT grouper_id AS a, grouper_id AS d FROM grouper UNION ALL SELECT parent_grouper_id, grouper_id FROM grouper "
+        "WHERE grouper_id >= 100 UNION ALL SELECT organization_id, grouper_id FROM grouper WHERE grouper_id >= 1000), "
+        "n AS (SELECT g.grouper_id, count(f.field_id) AS k FROM grouper g LEFT JOIN field f ON f.grouper_id = g.grouper_id GROUP BY ALL) "
+        "SELECT a AS grouper_id, sum(k)::bigint AS total_field_count, count(*) AS total_group_count, "
+        "sum(k) FILTER (a = d)::bigint AS field_count FROM c JOIN n ON n.grouper_id = c.d GROUP BY a")
+    out["group_children"] = sql(
+        "SELECT parent_grouper_id AS grouper_id, b AS batch, string_agg(grouper_id, ',' ORDER BY grouper_id) AS children FROM "
+        "(SELECT *, (row_number() OVER (PARTITION BY parent_grouper_id ORDER BY grouper_id) - 1) // 3 AS b FROM grouper "
+        "WHERE parent_grouper_id IS NOT NULL) GROUP BY ALL")
+    out["group_field_batches"] = sql(
+        "SELECT grouper_id, b AS batch, count(field_id)::int AS n_fields, coalesce(string_agg(field_id, ',' ORDER BY field_id), '') AS ids FROM "
+        "(SELECT g.grouper_id, f.field_id, (row_number() OVER (PARTITION BY g.grouper_id ORDER BY f.field_id) - 1) // 7 AS b "
+        "FROM grouper g LEFT JOIN field f ON f.grouper_id = g.grouper_id) GROUP BY ALL")
+    out["missing_ids"] = (
+        "SELECT DISTINCT o_custkey * 2 AS field_id FROM orders WHERE o_custkey * 2 NOT IN (SELECT c_custkey FROM customer)")
+    out["object_key_links"] = (
+        "SELECT o_orderkey AS s3_object_id, o_custkey % 10 AS geospatial_key_id, month(o_orderdate) AS temporal_key_id FROM orders")
+    out["raster_subtype_violations"] = (
+        "SELECT rid, t AS raster_type, s AS raster_subtype FROM (SELECT o_orderkey AS rid, "
+        "['RAW','PRIMARY','DERIVED','UNKNOWN'][(o_orderkey % 4 + 1)::int] AS t, "
+        "['RGB','MULTISPECTRAL','THERMAL','HYPERSPECTRAL','DEM','INTERPOLATED','PREDICTION','BANDMATH','ELEVATION'][(o_orderkey % 9 + 1)::int] AS s, "
+        "o_orderkey % 9 AS k FROM orders) WHERE (t = 'RAW' AND k > 3) OR (t = 'PRIMARY' AND k > 5) OR (t = 'DERIVED' AND k < 6)")
+    out["bad_unit_names"] = "SELECT p_partkey AS unit_type_id FROM part WHERE p_partkey % 5 = 0 OR p_partkey % 3 = 0"
+    out["coordinate_decimals"] = sql(
+        "SELECT point_id FROM points WHERE point_id % 2 = 1 AND round(round(lon, 7), 5) <> round(lon, 7)")
+    out["weather_type_ids"] = sql(
+        "SELECT DISTINCT parameter AS weather_type, CASE WHEN weather_type_id <> 2 THEN weather_type_id END AS weather_type_id FROM daily "
+        "UNION ALL SELECT DISTINCT parameter || 'x', NULL FROM daily")
+    out["fill_inventory_by_request"] = sql(
+        "SELECT daily_id, (((date_requested + to_seconds(utc_offset_seconds) - INTERVAL 1 DAY)::date > date) OR "
+        f"(date > ({_NOW} + to_seconds(utc_offset_seconds) - INTERVAL 1 DAY)::date - 1))::int AS kept FROM daily JOIN utm USING (world_utm_id)")
+    out["request_sizes"] = sql(
+        "SELECT utm_zone::int AS utm_zone, 3 * date_diff('day', min(date_first), max(date_last)) * count(*) AS n_pts_requested FROM need GROUP BY utm_zone")
+    out["retry_requests"] = sql(
+        "SELECT request_id, 0 AS half, (n_params - 1)::int AS n_params FROM request WHERE code = -404 AND n_params > 1 UNION ALL "
+        "SELECT request_id, h, CASE WHEN startdate = enddate AND n_coords = 1 THEN CASE h WHEN 0 THEN ceil(n_params / 2.0) ELSE floor(n_params / 2.0) END "
+        "ELSE n_params END::int FROM request, (VALUES (0), (1)) v(h) WHERE code = -408")
+    out["unhandled_failures"] = sql(
+        "SELECT zone, CASE code WHEN -404 THEN 'NotFound(''no data for t_min_2m_24h:C'')' ELSE 'other' END AS error, count(*) AS n_failures "
+        "FROM request WHERE code IN (-404, -500) GROUP BY ALL")
+    out["daily_ingest"] = sql(
+        "SELECT world_utm_id::int AS world_utm_id, cell_id, d AS date, weather_type_id, value, date_requested FROM "
+        "(SELECT y.*, (date_requested + to_seconds(utc_offset_seconds))::date AS d FROM daily y JOIN utm USING (world_utm_id)) x "
+        "WHERE EXISTS (SELECT 1 FROM update_need n WHERE n.cell_id = x.cell_id AND x.d BETWEEN n.date_first AND n.date_last)")
+    out["geojson_features"] = sql(
+        "SELECT point_id AS geom_id, 'POLYGON' AS kind, round(lon, 6) AS x, round(lat, 6) AS y, 5 AS n_points FROM points")
+    out["response_rows"] = (
+        "SELECT l_orderkey AS geospatial_key_id, l_partkey AS temporal_key_id, l_linenumber AS line, l_quantity AS amount "
+        "FROM lineitem, (VALUES (1), (2)) v(x)")
+    out["keyword_arguments"] = (
+        "SELECT o_custkey % 7 AS function_id, o_orderkey AS execution_id, 'k' AS keyword_name, "
+        "CASE WHEN o_orderkey % 4 IN (1, 2) THEN o_custkey::double END AS value_number, "
+        "CASE WHEN o_orderkey % 4 NOT IN (1, 2) THEN o_custkey::varchar END AS value_string FROM orders")
+    out["signature_difference"] = (
+        "SELECT 'candidate' AS side, type_name FROM (SELECT p_brand AS type_name FROM part WHERE p_size <= 30 EXCEPT ALL "
+        "SELECT p_brand FROM part WHERE p_size > 20) UNION ALL SELECT 'latest', type_name FROM (SELECT p_brand AS type_name FROM part "
+        "WHERE p_size > 20 EXCEPT ALL SELECT p_brand FROM part WHERE p_size <= 30)")
+    out["execution_arguments"] = sql(
+        "WITH d AS (SELECT DISTINCT execution_id FROM s3_out), "
+        "o AS (SELECT l_orderkey AS execution_id, l_suppkey FROM lineitem WHERE l_returnflag = 'R') "
+        "SELECT execution_id, 's3' AS family, (SELECT count(*) FROM s3_in i WHERE i.execution_id = d.execution_id) AS n_arguments, "
+        "(SELECT count(DISTINCT (s3_type_id, s3_object_id)) FROM s3_in i WHERE i.execution_id = d.execution_id)::int AS n_distinct FROM d UNION ALL "
+        "SELECT execution_id, 's3_output', (SELECT count(*) FROM o WHERE o.execution_id = d.execution_id), "
+        "(SELECT count(DISTINCT l_suppkey) FROM o WHERE o.execution_id = d.execution_id)::int FROM d UNION ALL "
+        "SELECT execution_id, 'keys', 1, 1 FROM d UNION ALL "
+        "SELECT execution_id, f, 0, 0 FROM d, (VALUES ('observation'), ('keyword'), ('http')) v(f)")
+    out["latest_signatures"] = (
+        "WITH l AS (SELECT s_nationkey, max(s_suppkey) AS id FROM supplier GROUP BY ALL) "
+        "SELECT 'f' || s_nationkey AS function_name, id::int AS minor, 's3_inputs' AS family, "
+        "(SELECT count(DISTINCT l_returnflag) FROM lineitem WHERE l_suppkey = id)::int AS n_parameters FROM l UNION ALL "
+        "SELECT 'f' || s_nationkey, id::int, 's3_outputs', 0 FROM l")
+    out["feature_batches"] = sql(
+        "SELECT field_id, b AS batch, count(*)::int AS n_features FROM (SELECT field_id, (row_number() OVER (PARTITION BY field_id "
+        "ORDER BY date_observed, observation_id) - 1) // 10 AS b FROM feature_kept) GROUP BY ALL")
+    out["column_values"] = sql(
+        "SELECT k.observation_type_name || '.' || k.unit_name || '.' || t.time_id AS column_name, "
+        "max_by(k.value_observed, (k.date_observed, k.observation_id)) AS quantity "
+        "FROM feature_kept k JOIN feature_time t ON t.observation_type_id = k.observation_type_id AND t.unit_type_id = k.unit_type_id "
+        "AND t.date_observed = k.date_observed GROUP BY ALL")
+    out["observation_counts"] = sql(
+        "SELECT observation_type_id, count(*) FILTER (observation_type_id <> 3) AS number_of_observations FROM observation GROUP BY ALL")
+    out["feature_matrix"] = sql(
+        f"SELECT a.point_id AS geom_id, n_orders, b.point_id AS square_id FROM points a JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY ALL) "
+        f"ON o_custkey = a.point_id JOIN points b ON a.lon <= b.lon + {s} AND b.lon <= a.lon + {s} AND a.lat <= b.lat + {s} AND b.lat <= a.lat + {s} "
+        "WHERE a.point_id % 2 = 0 AND b.point_id % 2 = 1")
+    out["seeded_weather_types"] = (
+        "WITH m AS (SELECT max(CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 ELSE 5 END) AS top FROM events) "
+        "SELECT (top + i)::bigint AS weather_type_id, n AS weather_type, u AS units FROM m, (VALUES "
+        + ", ".join(f"({i}, '{n}', '{u}')" for i, (n, u, _) in enumerate(DAILY_WEATHER_TYPES, 1)) + ") v(i, n, u)")
     tail = ("SELECT g.grouper_id, g.parent_grouper_id, g.name, CASE WHEN g.grouper_id < 100 THEN 0 WHEN g.grouper_id < 1000 THEN 1 ELSE 2 END AS depth, "
             "l.total_group_count, (SELECT count(*) FROM grouper c WHERE c.parent_grouper_id = g.grouper_id) AS group_count, "
             "l.total_field_count, CASE WHEN g.grouper_id >= 1000 THEN l.total_field_count ELSE 0 END AS field_count FROM grouper g JOIN "

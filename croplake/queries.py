@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from croplake.catalog import CATALOG, NUTRIENTS, TableSpec
+from croplake.catalog import CATALOG, NUTRIENTS, RASTER_SUBTYPES, TableSpec
 from croplake.fixtures import NOW, Tables, ntz
+from croplake.functions import timeops
 from croplake.operators import checks, features, grid, hierarchy, keyed, lineage, spatial, views
 from croplake.operators import weather as w
 from croplake.plans import ingest, requests
+from croplake.sources import files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -652,7 +654,9 @@ def point_to_cell(t: Tables) -> DataFrame:
 @query
 def cell_centroid(t: Tables) -> DataFrame:
     cells = grid.cells_of_points(t.points).select("point_id", "cell_id")
-    return grid.cell_info(cells)
+    return grid.cell_info(cells).select(
+        "point_id", "utm_zone", "rast_col", "rast_row", "lng_centroid", "lat_centroid"
+    )
 
 
 @query
@@ -666,9 +670,11 @@ def need_of_fields(t: Tables) -> DataFrame:
     placed = grid.cells_of_points(centres).drop("lon", "lat").withColumnsRenamed(
         {"lng_centroid": "lon", "lat_centroid": "lat"}
     )
-    zones = t.field.select("field_id", F.lit("America/Chicago").alias("tz_name"))
+    zones = t.field.select("field_id", F.lit("Etc/GMT+6").alias("tz_name"))
     bounds = w.field_date_bounds(w.first_plant_date(t.act, t.field_trial, t.plot), zones, NOW)
-    return w.need_of_fields(placed, bounds, NOW)
+    return w.need_of_fields(placed, bounds, NOW).select(
+        "utm_zone", "lon", "lat", "date_first", "date_last"
+    )
 
 
 @query
@@ -688,3 +694,361 @@ def field_centroids(t: Tables) -> DataFrame:
     return spatial.field_centroids(t.field, t.geom).select(
         "field_id", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat")
     )
+
+
+@query
+def invalid_geometries(t: Tables) -> DataFrame:
+    """Squares of which some are broken: open, short, or with two corners swapped."""
+    key = F.col("geom_id") % 10
+    ring = F.col("rings")[0]
+    bow = F.array(ring[0], ring[2], ring[1], ring[3], ring[4])
+    broken = t.geom.withColumn(
+        "rings",
+        F.array(
+            F.when(key == 1, F.slice(ring, 1, 4)).when(key == 2, F.slice(ring, 1, 2))
+            .when(key == 3, bow).otherwise(ring)
+        ),
+    )
+    return spatial.invalid_geometries(broken).select("geom_id", "reason")
+
+
+@query
+def acts_outside_field(t: Tables) -> DataFrame:
+    """Acts that carry a geometry: their field's, or that of the next field."""
+    field_of = views.owner_field(t.act, t.field_trial, t.plot)
+    top = t.raw("customer").agg(F.max("c_custkey").alias("m")).scalar()
+    shaped = field_of.withColumn(
+        "geom_id",
+        F.when(F.col("act_id") % 5 == 0, F.least(F.col("owner_field_id") + 1, top))
+        .otherwise(F.col("owner_field_id")),
+    ).drop("owner_field_id")
+    return spatial.acts_outside_field(
+        shaped, t.field, t.field_trial, t.plot, t.geom
+    ).select("act_id", "owner_field_id")
+
+
+@query
+def geometry_upsert(t: Tables) -> DataFrame:
+    """Geometries of even keys are stored; all are asked for, drawn from another corner."""
+    ring = F.col("rings")[0]
+    redrawn = t.geom.withColumn(
+        "rings", F.array(F.reverse(F.array(ring[2], ring[3], ring[0], ring[1], ring[2])))
+    ).select(F.col("geom_id").alias("candidate"), "kind", "rings")
+    stored = spatial.with_canonical(t.geom.filter("geom_id % 2 = 0"))
+    fresh, found = spatial.insert_or_get_geom(stored, redrawn)
+    top = stored.agg(F.max("geom_id").alias("m")).scalar()
+    n_new = fresh.agg(F.count("*").alias("n")).scalar()
+    return found.select(
+        "candidate", F.when(F.col("geom_id") <= top, F.col("geom_id")).alias("known_id"),
+        n_new.alias("n_new"),
+    )
+
+
+@query
+def geometry_by_id(t: Tables) -> DataFrame:
+    ids = t.field.filter("organization_id = 2").select("geom_id")
+    return spatial.geometry_by_id(t.geom, ids).select(
+        "geom_id", F.col("rings")[0][2]["x"].alias("x"), F.col("rings")[0][2]["y"].alias("y")
+    )
+
+
+@query
+def points_on_land(t: Tables) -> DataFrame:
+    """Land cells are those of the points with even keys."""
+    land = grid.cells_of_points(t.points.filter("point_id % 2 = 0")).select("cell_id").distinct()
+    return grid.points_on_land(t.points, land).select("point_id")
+
+
+@query
+def polygon_info(t: Tables) -> DataFrame:
+    asked = t.raw("orders").select((F.col("o_orderkey") % 1201 + 1).cast("int").alias("world_utm_id"))
+    return grid.polygon_info(asked)[0]
+
+
+@query
+def point_time_zone(t: Tables) -> DataFrame:
+    """Local time of plantings by the political zone their field's point lies in."""
+    west = F.col("geom_id") % 2 == 0
+    box = lambda x0, x1: F.array(F.array(*[
+        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"))
+        for x, y in ((x0, 30.0), (x1, 30.0), (x1, 60.0), (x0, 60.0), (x0, 30.0))
+    ]))
+    zones = t.geom.select("geom_id").filter("geom_id in (0, 1)").select(
+        F.when(west, "America/Denver").otherwise("America/Chicago").alias("tz_name"),
+        F.when(west, box(-110.0, -93.001)).otherwise(box(-93.001, -80.0)).alias("rings"),
+    )
+    placed = spatial.points_in_polygons(t.points, zones).select("point_id", "tz_name")
+    first = w.first_plant_date(t.act, t.field_trial, t.plot)
+    local = timeops.local_time_in_zone(F.col("date_planted"), F.col("tz_name"))
+    return first.join(placed, first.field_id == placed.point_id).select(
+        "field_id", F.to_date(local).alias("local_date")
+    )
+
+
+# ---- time -----------------------------------------------------------------------------------
+@query
+def time_columns(t: Tables) -> DataFrame:
+    offset = (F.col("user_id") % 25 - 12) * 3600
+    local = timeops.local_time(F.col("ts"), offset)
+    return t.raw("events").select(
+        "event_id", local.alias("local_time"),
+        timeops.first_unstable_date(local).alias("first_unstable"),
+        timeops.earliest_current_date(F.col("ts")).alias("earliest_date"),
+        timeops.end_of_day_utc(F.to_date("ts"), offset).alias("end_of_day"),
+        F.size(timeops.dates_between(F.to_date("ts"), F.lit("2024-02-03").cast("date")))
+        .alias("n_dates"),
+    )
+
+
+# ---- more of the tree, the tables and the lineage -------------------------------------------
+@query
+def group_ancestors(t: Tables) -> DataFrame:
+    leaves = t.grouper.filter("grouper_id >= 1000")
+    return hierarchy.ancestors(hierarchy.closure(t.grouper), leaves)
+
+
+@query
+def group_descendants(t: Tables) -> DataFrame:
+    inner = t.grouper.filter("grouper_id < 1000")
+    return hierarchy.descendants(hierarchy.closure(t.grouper), inner)
+
+
+@query
+def group_rollup_all(t: Tables) -> DataFrame:
+    tree = hierarchy.descend(t.grouper)
+    return hierarchy.rollup_counts(tree, hierarchy.closure(t.grouper), t.field, mode="all")
+
+
+@query
+def group_children(t: Tables) -> DataFrame:
+    return hierarchy.children(hierarchy.descend(t.grouper), batch_size=3).select(
+        "grouper_id", "batch",
+        F.array_join(F.transform("grouper_ids", lambda g: g.cast("string")), ",").alias("children"),
+    )
+
+
+@query
+def group_field_batches(t: Tables) -> DataFrame:
+    return hierarchy.fields_of_groups(
+        hierarchy.descend(t.grouper), t.field, batch_size=7
+    ).select(
+        "grouper_id", "batch", F.size("fields").alias("n_fields"),
+        F.array_join(F.transform("fields", lambda f: f["field_id"].cast("string")), ",").alias("ids"),
+    )
+
+
+@query
+def missing_ids(t: Tables) -> DataFrame:
+    asked = t.raw("orders").select((F.col("o_custkey") * 2).alias("field_id")).distinct()
+    return keyed.missing_ids(t.field, asked, CATALOG["field"])
+
+
+@query
+def object_key_links(t: Tables) -> DataFrame:
+    objects = t.s3_object.join(
+        t.execution.withColumnRenamed("execution_id", "s3_object_id"), "s3_object_id"
+    ).select("s3_object_id", F.col("s3_object_id").alias("execution_id"))
+    return keyed.link_many(objects, t.execution_key, "execution_id").select(
+        "s3_object_id", "geospatial_key_id", "temporal_key_id"
+    )
+
+
+@query
+def raster_subtype_violations(t: Tables) -> DataFrame:
+    types = F.array(*[F.lit(v) for v in RASTER_SUBTYPES])
+    subtypes = F.array(*[F.lit(v) for v in RASTER_SUBTYPES["UNKNOWN"]])
+    key = F.col("o_orderkey")
+    images = t.raw("orders").select(
+        key.alias("rid"), F.element_at(types, (key % 4 + 1).cast("int")).alias("raster_type"),
+        F.element_at(subtypes, (key % 9 + 1).cast("int")).alias("raster_subtype"),
+    )
+    return checks.wrong_raster_subtype(images)
+
+
+@query
+def bad_unit_names(t: Tables) -> DataFrame:
+    units = t.raw("part").select(
+        F.col("p_partkey").alias("unit_type_id"),
+        F.concat(
+            F.when(F.col("p_partkey") % 5 == 0, "7").otherwise("k"), F.col("p_name"),
+            F.when(F.col("p_partkey") % 3 == 0, "%").otherwise(""),
+        ).alias("unit_name"),
+    )
+    return checks.bad_unit_names(units).select("unit_type_id")
+
+
+@query
+def coordinate_decimals(t: Tables) -> DataFrame:
+    digits = F.when(F.col("point_id") % 2 == 0, F.round("lon", 5)).otherwise(F.round("lon", 7))
+    return checks.too_many_decimals(t.points.withColumn("lon", digits).withColumn(
+        "lat", F.round("lat", 5)
+    )).select("point_id")
+
+
+@query
+def weather_type_ids(t: Tables) -> DataFrame:
+    asked = t.raw("events").select(F.concat("event_type", F.lit("_24h")).alias("weather_type"))
+    found, missing = w.weather_type_ids(
+        t.weather_type.filter("weather_type_id <> 2"),
+        asked.unionByName(asked.select(F.concat("weather_type", F.lit("x")).alias("weather_type"))),
+    )
+    return found.unionByName(missing.withColumn("weather_type_id", F.lit(None).cast("long")))
+
+
+@query
+def fill_inventory_by_request(t: Tables) -> DataFrame:
+    """Kept flag of every daily row."""
+    rows = t.daily.join(t.world_utm, "world_utm_id")
+    return rows.select(
+        "daily_id", w.is_kept(NOW, F.col("utc_offset_seconds")).cast("int").alias("kept")
+    )
+
+
+@query
+def request_sizes(t: Tables) -> DataFrame:
+    return requests.request_size(t.need, ["utm_zone"], 3)
+
+
+@query
+def retry_requests(t: Tables) -> DataFrame:
+    return requests.retry_requests(t.request).select(
+        "request_id", "half", F.size("parameters").alias("n_params")
+    )
+
+
+@query
+def unhandled_failures(t: Tables) -> DataFrame:
+    return requests.unhandled_failures(t.request).groupBy("zone", "error").agg(
+        F.count("*").alias("n_failures")
+    )
+
+
+@query
+def daily_ingest(t: Tables) -> DataFrame:
+    """Events as wide responses, cleaned, cut to the update's bounds and given type ids."""
+    cell = F.col("user_id") % 40
+    names = [f"{e}_24h" for e in ("click", "error", "purchase", "signup", "view")]
+    wide = t.raw("events").select(
+        F.round(F.lit(40.0) + cell * 0.04, 5).alias("lat"),
+        F.round(F.lit(-96.0) + cell * 0.05, 5).alias("lon"),
+        F.col("ts").alias("validdate"), F.col("ts").alias("date_requested"),
+        *[
+            F.when(F.concat("event_type", F.lit("_24h")) == n, F.col("value")).alias(n)
+            for n in names
+        ],
+    )
+    need = w.update_inventory(t.daily, t.world_utm, t.cell_centroid, NOW)
+    rows = ingest.filter_response(ingest.clean_response(wide, _cells(t)), need)
+    return ingest.daily_rows_of(rows.filter("value is not null"), t.weather_type)
+
+
+@query
+def geojson_features(t: Tables) -> DataFrame:
+    """Field squares written as GeoJSON lines and read back."""
+    text = files.feature_text(t.geom.select("geom_id", "kind", "rings"))
+    return files.features_of_text(text, "geom_id long").select(
+        "geom_id", "kind", F.round(F.col("rings")[0][0]["x"], 6).alias("x"),
+        F.round(F.col("rings")[0][0]["y"], 6).alias("y"), F.size(F.col("rings")[0]).alias("n_points"),
+    )
+
+
+@query
+def response_rows(t: Tables) -> DataFrame:
+    """Responses with a JSON array each: one per order and its line number parity."""
+    line = F.struct(
+        F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("amount")
+    )
+    landed = t.raw("lineitem").select(
+        F.col("l_orderkey").alias("geospatial_key_id"), F.col("l_partkey").alias("temporal_key_id"),
+        F.to_json(F.array(line, line)).alias("body"),
+    )
+    return files.many_rows_per_response(landed, "line: int, amount: double")
+
+
+@query
+def keyword_arguments(t: Tables) -> DataFrame:
+    kinds = F.array(*[F.lit(k) for k in ("STRING", "INTEGER", "FLOAT", "JSON")])
+    raw = t.raw("orders").select(
+        (F.col("o_custkey") % 7).alias("function_id"), F.col("o_orderkey").alias("execution_id"),
+        F.lit("k").alias("keyword_name"),
+        F.element_at(kinds, (F.col("o_orderkey") % 4 + 1).cast("int")).alias("keyword_type"),
+        F.col("o_custkey").cast("string").alias("value"),
+    )
+    return lineage.keyword_argument_rows(raw)
+
+
+@query
+def signature_difference(t: Tables) -> DataFrame:
+    rows = t.raw("part").select(F.col("p_brand").alias("type_name"), "p_size")
+    return lineage.signature_difference(
+        rows.filter("p_size <= 30").select("type_name"), rows.filter("p_size > 20").select("type_name")
+    )
+
+
+@query
+def execution_arguments(t: Tables) -> DataFrame:
+    arguments = {
+        "s3_input_argument": t.s3_input_argument,
+        "execution_key": t.execution_key.join(t.execution, "execution_id"),
+    }
+    rows = lineage.execution_arguments(t.execution, t.s3_output_argument, arguments)
+    return rows.select(
+        "execution_id", "family",
+        F.aggregate("arguments", F.lit(0).cast("long"), lambda a, x: a + x["times"])
+        .alias("n_arguments"),
+        F.size("arguments").alias("n_distinct"),
+    )
+
+
+@query
+def latest_signatures(t: Tables) -> DataFrame:
+    functions = t.raw("supplier").select(
+        F.col("s_suppkey").alias("function_id"),
+        F.concat(F.lit("f"), F.col("s_nationkey").cast("string")).alias("function_name"),
+        F.lit(1).alias("major"), F.col("s_suppkey").cast("int").alias("minor"),
+        F.lit(1).cast("long").alias("function_type_id"),
+    )
+    inputs = t.raw("lineitem").select(
+        F.col("l_suppkey").alias("function_id"), F.col("l_returnflag").alias("type_name")
+    ).distinct()
+    none = inputs.filter(F.lit(False))
+    rows = lineage.latest_signatures(functions, {"s3_inputs": inputs, "s3_outputs": none})
+    return rows.select(
+        "function_name", "minor", "family", F.size("parameters").alias("n_parameters")
+    )
+
+
+@query
+def feature_batches(t: Tables) -> DataFrame:
+    rows = features.features_per_field(features.feature_rows(_observations(t)), batch_size=10)
+    return rows.select("field_id", "batch", F.size("features").alias("n_features"))
+
+
+@query
+def column_values(t: Tables) -> DataFrame:
+    return features.column_values(features.feature_rows(_observations(t)))
+
+
+@query
+def observation_counts(t: Tables) -> DataFrame:
+    return features.observation_counts(
+        t.observation.filter("observation_type_id <> 3"), t.observation_type
+    )
+
+
+@query
+def feature_matrix(t: Tables) -> DataFrame:
+    """Geometry rows with orders per field, and with every square their own meets."""
+    frames = features.FrameSet(t.geom.filter("geom_id % 2 = 0"))
+    per_field = t.raw("orders").groupBy(F.col("o_custkey").alias("geom_id")).agg(
+        F.count("*").alias("n_orders")
+    )
+    frames.add("orders", per_field)
+    frames.add("squares", t.geom.filter("geom_id % 2 = 1").withColumnRenamed("geom_id", "square_id"), geo=True)
+    return frames.matrix().select("geom_id", "n_orders", "square_id")
+
+
+@query
+def seeded_weather_types(t: Tables) -> DataFrame:
+    stored = t.weather_type.select("weather_type_id", "weather_type")
+    return tables.seed_weather_types(stored).select("weather_type_id", "weather_type", "units")
