@@ -279,7 +279,7 @@ class Tables:
             F.col("user_id").alias("field_id"),
             (kind * 10 + self._unit_number()).alias("unit_type_id"),
             kind.alias("observation_type_id"),
-            F.col("value").alias("value_observed"),
+            (F.floor(F.col("value") / 10) * 10).cast("double").alias("value_observed"),
             F.col("ts").alias("date_observed"),
             F.col("user_id").alias("geom_id"),
             F.when(F.col("event_id") % 4 != 0, F.col("event_id") % 4)

@@ -93,7 +93,7 @@ CTES: dict[str, str] = {
                {_EV} AS observation_type_id FROM events""",
     "observation": f"""
         SELECT event_id AS observation_id, user_id AS field_id, {_EV} * 10 + {_UNIT} AS unit_type_id,
-               {_EV} AS observation_type_id, value AS value_observed, ts AS date_observed,
+               {_EV} AS observation_type_id, floor(value / 10) * 10 AS value_observed, ts AS date_observed,
                user_id AS geom_id,
                CASE WHEN event_id % 4 <> 0 THEN event_id % 4 END AS observation_grouper_id FROM events""",
     "feature_base": """
@@ -240,26 +240,70 @@ def _season() -> str:
 
 
 # ---- grid arithmetic, written out again for the oracle -----------------------------------------
-def _grid_sql(dx: float = 0.0, select: str | None = None) -> str:
-    """Cell position and centre of the customer points; all lie in bands 40-48 N, zones 14 to 16."""
-    f = 1 / 298.257223563
-    n = f / (2 - f)
-    e = math.sqrt(f * (2 - f))
-    a = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64) * 0.9996
-    al = [n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180,
-          13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440,
-          61 * n**3 / 240 - 103 * n**4 / 140, 49561 * n**4 / 161280]
-    be = [n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360, n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440,
-          17 * n**3 / 480 - 37 * n**4 / 840, 4397 * n**4 / 161280]
-    de = [2 * n - 2 * n**2 / 3 - 2 * n**3 + 116 * n**4 / 45, 7 * n**2 / 3 - 8 * n**3 / 5 - 227 * n**4 / 45,
-          56 * n**3 / 15 - 136 * n**4 / 35, 4279 * n**4 / 630]
-
-    def fwd_t(lat: str) -> str:
-        return f"sinh(atanh(sin(radians({lat}))) - {e!r}::double * atanh({e!r}::double * sin(radians({lat}))))"
-
-    def plus(op, coef, trig1, trig2, u, v):
-        return " ".join(f"{op} ({c!r}::double * {trig1}({2 * j} * {u}) * {trig2}({2 * j} * {v}))" for j, c in enumerate(coef, 1))
+_F = 1 / 298.257223563
+_E = math.sqrt(_F * (2 - _F))
+_T = _F / (2 - _F)
+_A = 6378137.0 / (1 + _T) * (1 + _T**2 / 4 + _T**4 / 64) * 0.9996
+_AL = [_T / 2 - 2 * _T**2 / 3 + 5 * _T**3 / 16 + 41 * _T**4 / 180,
+       13 * _T**2 / 48 - 3 * _T**3 / 5 + 557 * _T**4 / 1440,
+       61 * _T**3 / 240 - 103 * _T**4 / 140, 49561 * _T**4 / 161280]
+_BE = [_T / 2 - 2 * _T**2 / 3 + 37 * _T**3 / 96 - _T**4 / 360, _T**2 / 48 + _T**3 / 15 - 437 * _T**4 / 1440,
+       17 * _T**3 / 480 - 37 * _T**4 / 840, 4397 * _T**4 / 161280]
+_DE = [2 * _T - 2 * _T**2 / 3 - 2 * _T**3 + 116 * _T**4 / 45, 7 * _T**2 / 3 - 8 * _T**3 / 5 - 227 * _T**4 / 45,
+       56 * _T**3 / 15 - 136 * _T**4 / 35, 4279 * _T**4 / 630]
+
+
+def _fwd_t(lat: str) -> str:
+    return f"sinh(atanh(sin(radians({lat}))) - {_E!r}::double * atanh({_E!r}::double * sin(radians({lat}))))"
+
+
+def _plus(op: str, coef: list[float], trig1: str, trig2: str, u: str, v: str) -> str:
+    return " ".join(
+        f"{op} ({c!r}::double * {trig1}({2 * j} * {u}) * {trig2}({2 * j} * {v}))" for j, c in enumerate(coef, 1)
+    )
+
 
+def _lat_of(chi: str) -> str:
+    return f"degrees({chi} {' '.join(f'+ {d!r}::double * sin({2 * j} * {chi})' for j, d in enumerate(_DE, 1))})"
+
+
+def _cells_sql() -> str:
+    """Cells of the points' polygons (north, regular zones), found by trying every cell.
+
+    A cell is touched when one of its corners, or the point of its lower or upper side nearest the
+    central meridian, lies in the polygon, or a corner or lowest point of the polygon in the cell.
+    """
+    return f"""
+      WITH p AS (SELECT DISTINCT least(greatest(ceil((lon + 180) / 6), 1), 60)::int AS zone,
+                 least(greatest(ceil((lat + 80) / 8), 1), 20)::int AS band FROM ({CTES['points']})),
+      g AS (SELECT zone, band, zone * 6 - 183 AS cm, (-88 + 8 * band)::double AS lat0, (-80 + 8 * band)::double AS lat1 FROM p),
+      k AS (SELECT g.*, k.id, radians(k.l::double) AS dl, CASE WHEN k.far THEN {_fwd_t('lat1')} ELSE {_fwd_t('lat0')} END AS t
+            FROM g, (VALUES (1, -3, false), (2, 3, false), (3, 0, false), (4, -3, true), (5, 3, true)) k(id, l, far)),
+      x AS (SELECT *, atan2(t, cos(dl)) AS xi, atanh(sin(dl) / sqrt(1 + t * t)) AS eta FROM k),
+      c AS (SELECT zone, band, cm, lat0, lat1, id, 500000 + {_A!r}::double * (eta {_plus('+', _AL, 'cos', 'sinh', 'xi', 'eta')}) AS e,
+                   {_A!r}::double * (xi {_plus('+', _AL, 'sin', 'cosh', 'xi', 'eta')}) AS n FROM x),
+      o AS (SELECT zone, band, cm, lat0, lat1, max(e) FILTER (id = 1) AS e0, max(n) FILTER (id = 3) AS n0 FROM c GROUP BY ALL),
+      cell AS (SELECT o.*, col, rw, e0 + col * 5000 AS x0, n0 + rw * 5000 AS y0 FROM o,
+               (SELECT unnest(generate_series(0, 140)) AS col) a, (SELECT unnest(generate_series(0, 190)) AS rw) b),
+      s AS (SELECT cell.*, j, CASE j % 3 WHEN 0 THEN x0 WHEN 1 THEN x0 + 5000 ELSE least(greatest(500000, x0), x0 + 5000) END AS sx,
+                   y0 + CASE WHEN j >= 3 AND j < 6 THEN 5000 ELSE 0 END + CASE WHEN j = 6 THEN 2500 ELSE 0 END AS sy0 FROM cell, (SELECT unnest(generate_series(0, 6)) AS j) q),
+      q AS (SELECT *, (sy0) / {_A!r}::double AS u, (CASE WHEN j = 6 THEN x0 + 2500 ELSE sx END - 500000) / {_A!r}::double AS v FROM s),
+      r AS (SELECT *, u {_plus('-', _BE, 'sin', 'cosh', 'u', 'v')} AS up, v {_plus('-', _BE, 'cos', 'sinh', 'u', 'v')} AS vp FROM q),
+      w AS (SELECT *, asin(sin(up) / cosh(vp)) AS chi, degrees(atan2(sinh(vp), cos(up))) AS dlon FROM r),
+      l AS (SELECT *, {_lat_of('chi')} AS lat FROM w),
+      t AS (SELECT zone, band, col, rw, bool_or(j < 6 AND dlon BETWEEN -3 AND 3 AND lat BETWEEN lat0 AND lat1) AS hit,
+                   max(dlon + cm) FILTER (j = 6) AS lng, max(lat) FILTER (j = 6) AS lat FROM l GROUP BY ALL)
+      SELECT t.zone, substr('CDEFGHJKLMNPQRSTUVWX', t.band, 1) AS row, (col + 1)::int AS rast_col, (rw + 1)::int AS rast_row,
+             round(lng, 5) AS lng_centroid, round(lat, 5) AS lat_centroid
+      FROM t JOIN o ON o.zone = t.zone AND o.band = t.band
+      WHERE hit OR EXISTS (SELECT 1 FROM c WHERE c.zone = t.zone AND c.band = t.band
+                           AND floor((c.e - o.e0) / 5000) = t.col AND floor((c.n - o.n0) / 5000) = t.rw)"""
+
+
+def _grid_sql(dx: float = 0.0, select: str | None = None) -> str:
+    """Cell position and centre of the customer points, all north of the equator in regular zones."""
+    a, al, be, de = _A, _AL, _BE, _DE
+    fwd_t, plus = _fwd_t, _plus
     # origin: westmost easting and central-meridian northing of the parallel 40 N
     return f"""
       WITH p AS (SELECT point_id, lon + {dx!r}::double AS lon, lat + {dx!r}::double AS lat FROM ({CTES['points']})),
@@ -370,8 +414,10 @@ def oracle_sql() -> dict[str, str]:
             "(coalesce(top, -1) + row_number() OVER (PARTITION BY c_nationkey % 5, c_custkey % 3 ORDER BY c_custkey))::int AS minor "
             "FROM customer LEFT JOIN f ON f.fn = c_nationkey % 5 AND f.major = c_custkey % 3"),
         "repeated_geometries": (
-            "SELECT point_id AS geom_id, n_rows FROM (SELECT c_custkey AS point_id, count(*) OVER (PARTITION BY "
-            "(c_custkey * 37) % 1500, (c_custkey * 91) % 1500) AS n_rows FROM customer) WHERE n_rows > 1"),
+            "WITH g AS (SELECT c_custkey AS geom_id, c_custkey AS c FROM customer UNION ALL "
+            "SELECT c_custkey + 100000000, c_custkey FROM customer WHERE c_custkey % 3 = 0) "
+            "SELECT geom_id, n_rows FROM (SELECT geom_id, count(*) OVER (PARTITION BY (c * 37) % 1500, (c * 91) % 1500) AS n_rows FROM g) "
+            "WHERE n_rows > 1"),
         # ---- hierarchy
         "group_closure": sql(
             "SELECT grouper_id AS ancestor_id, grouper_id, 0 AS distance FROM grouper UNION ALL "
@@ -480,7 +526,7 @@ def oracle_sql() -> dict[str, str]:
             + " FROM request"),
         # ---- ingest
         "response_clean": sql(
-            "SELECT e.user_id % 40 % 4 AS world_utm_id, e.user_id % 40 AS cell_id, "
+            "SELECT (e.user_id % 40 % 4)::int AS world_utm_id, e.user_id % 40 AS cell_id, "
             "(e.ts + to_seconds((e.user_id % 40 % 4) * 10800 - 21600))::date AS date, e.ts AS date_requested, v.variable, "
             "CASE v.variable WHEN 'a_24h' THEN e.value ELSE e.value * 2 END AS value FROM events e, (VALUES ('a_24h'), ('b_24h')) v(variable)"),
         "response_filter_bounds": sql(
@@ -565,6 +611,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT point_id AS field_id, round(lon + {s / 2}, 6) AS lon, round(lat + {s / 2}, 6) AS lat FROM points"),
     }
     out["cell_centroid"] = out["point_to_cell"]
+    out["grid_cells"] = _cells_sql()
     bounds = sql("SELECT owner_field_id AS field_id, make_date((year(min(date_performed) - INTERVAL 6 HOUR) - 10)::int, 1, 1) AS df "
                  "FROM owned_act WHERE act_type = 'PLANT' GROUP BY ALL")
     out["need_of_fields"] = _grid_sql(
@@ -635,7 +682,8 @@ def oracle_sql() -> dict[str, str]:
         "o_orderkey % 9 AS k FROM orders) WHERE (t = 'RAW' AND k > 3) OR (t = 'PRIMARY' AND k > 5) OR (t = 'DERIVED' AND k < 6)")
     out["bad_unit_names"] = "SELECT p_partkey AS unit_type_id FROM part WHERE p_partkey % 5 = 0 OR p_partkey % 3 = 0"
     out["coordinate_decimals"] = sql(
-        "SELECT point_id FROM points WHERE point_id % 2 = 1 AND round(round(lon, 7), 5) <> round(lon, 7)")
+        "SELECT point_id FROM (SELECT point_id, round(lon + point_id * 0.0000013::double, 7) AS x FROM points WHERE point_id % 2 = 1) "
+        "WHERE round(x, 5) <> x")
     out["weather_type_ids"] = sql(
         "SELECT DISTINCT parameter AS weather_type, CASE WHEN weather_type_id <> 2 THEN weather_type_id END AS weather_type_id FROM daily "
         "UNION ALL SELECT DISTINCT parameter || 'x', NULL FROM daily")
