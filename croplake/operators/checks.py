@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from croplake.catalog import DAILY_WEATHER_TYPES, NUTRIENTS, RASTER_SUBTYPES, TableSpec
 from croplake.operators.ranking import null_safe_join
-from croplake.operators.views import owner_field
+from croplake.operators.views import PARENT_IDS, owner_field
 
-PARENT_IDS = ("field_id", "field_trial_id", "plot_id")
 UNIT_NAME_PATTERN = r"^[A-Za-z](.*[A-Za-z0-9])?$"
 
 

@@ -239,13 +239,19 @@ def invalid_geometries(geom: DataFrame) -> DataFrame:
     return wrong.unionByName(crossing)
 
 
-def covered_pairs(pairs: DataFrame, outer: str, inner: str, tol: float = COVER_TOLERANCE) -> Column:
-    """Condition: the ``inner`` rings lie in the ``outer`` ones or within ``tol`` of their border."""
-    return geo.points_covered(
-        f"flatten({inner})", geo._EDGES.format(r=outer), tol
+def outline(geom: DataFrame, prefix: str) -> DataFrame:
+    """(<prefix>_id, <prefix>_edges, <prefix>_points) of each geometry, worked out once per shape."""
+    return geom.select(
+        F.col("geom_id").alias(f"{prefix}_id"), geo.edges("rings").alias(f"{prefix}_edges"),
+        geo.vertices("rings").alias(f"{prefix}_points"),
     )
 
 
+def covered(outer_edges: str, inner_points: str, tol: float = COVER_TOLERANCE) -> Column:
+    """Condition: the inner points lie in the outer shape or within ``tol`` of its border."""
+    return geo.points_covered(inner_points, outer_edges, tol)
+
+
 def acts_outside_field(
     act: DataFrame, field: DataFrame, field_trial: DataFrame, plot: DataFrame, geom: DataFrame,
     mode: str = "resolved_owner", tol: float = COVER_TOLERANCE,
@@ -262,16 +268,14 @@ def acts_outside_field(
         shaped = owner_field(shaped, field_trial, plot)
     else:
         shaped = shaped.withColumn("owner_field_id", F.col("field_id"))
-    inner = geom.select(F.col("geom_id").alias("_ig"), F.col("rings").alias("_inner"))
+    inner = outline(geom, "_in").drop("_in_edges")
     outer = field.select(F.col("field_id").alias("_f"), F.col("geom_id").alias("_fg")).join(
-        geom.select(F.col("geom_id").alias("_og"), F.col("rings").alias("_outer")),
-        F.col("_fg") == F.col("_og"),
-    )
-    joined = (
-        shaped.join(inner, F.col("geom_id") == F.col("_ig"), "left")
-        .join(outer, F.col("owner_field_id") == F.col("_f"), "left")
+        outline(geom, "_out").drop("_out_points"), F.col("_fg") == F.col("_out_id")
     )
-    covered = F.col("_inner").isNotNull() & F.col("_outer").isNotNull() & covered_pairs(
-        joined, "_outer", "_inner", tol
+    joined = shaped.join(inner, F.col("geom_id") == F.col("_in_id"), "left").join(
+        outer, F.col("owner_field_id") == F.col("_f"), "left"
     )
-    return joined.filter(~F.coalesce(covered, F.lit(False))).select(*act.columns, "owner_field_id")
+    # a field's own geometry covers itself; only others are tested point by point
+    same = F.col("geom_id") == F.col("_fg")
+    fine = same | (F.col("_in_points").isNotNull() & covered("_out_edges", "_in_points", tol))
+    return joined.filter(~F.coalesce(fine, F.lit(False))).select(*act.columns, "owner_field_id")

@@ -13,34 +13,66 @@ def most_specific_geom_id(field: Column, trial: Column, plot: Column) -> Column:
     return F.coalesce(plot, trial, field)
 
 
-def owner_field(activity: DataFrame, field_trial: DataFrame, plot: DataFrame) -> DataFrame:
-    """``activity`` plus ``owner_field_id``: its field, else its trial's, else its plot's trial's.
+PARENT_IDS = ("field_id", "field_trial_id", "plot_id")
+
+
+def parcels(field: DataFrame, field_trial: DataFrame, plot: DataFrame) -> DataFrame:
+    """Fields, trials and plots in one table: (level, parcel_id, owner_field_id).
 
-    Rows are routed by the parent they carry, so each of the two lookups shuffles only the rows
-    that need it; a row without parent keeps a null owner.
+    Level 0 are fields, 1 trials, 2 plots; a plot belongs to the field of its trial.
     """
+    fields = field.select(
+        F.lit(0).alias("level"), F.col("field_id").alias("parcel_id"),
+        F.col("field_id").alias("owner_field_id"),
+    )
+    return fields.unionByName(_parcels_below_field(field_trial, plot))
+
+
+def _parcels_below_field(field_trial: DataFrame, plot: DataFrame) -> DataFrame:
     trials = field_trial.select(
-        F.col("field_trial_id").alias("_trial"), F.col("field_id").alias("owner_field_id")
+        F.lit(1).alias("level"), F.col("field_trial_id").alias("parcel_id"),
+        F.col("field_id").alias("owner_field_id"),
     )
-    plots = plot.select(F.col("plot_id").alias("_plot"), F.col("field_trial_id").alias("_ptrial"))
-    has_field = F.col("field_id").isNotNull()
-    has_trial = ~has_field & F.col("field_trial_id").isNotNull()
-    has_plot = ~has_field & F.col("field_trial_id").isNull() & F.col("plot_id").isNotNull()
-    nothing = F.coalesce("field_id", "field_trial_id", "plot_id").isNull()
-    cols = activity.columns + ["owner_field_id"]
+    plots = plot.select("plot_id", "field_trial_id").join(
+        field_trial.select("field_trial_id", "field_id"), "field_trial_id"
+    ).select(
+        F.lit(2).alias("level"), F.col("plot_id").alias("parcel_id"),
+        F.col("field_id").alias("owner_field_id"),
+    )
+    return trials.unionByName(plots)
+
 
-    by_field = activity.filter(has_field | nothing).withColumn("owner_field_id", F.col("field_id"))
-    by_trial = activity.filter(has_trial).join(
-        trials, F.col("field_trial_id") == F.col("_trial"), "left"
+def by_parcel(rows: DataFrame) -> DataFrame:
+    """One row per parent a row names, as (level, parcel_id); rows without parent drop."""
+    named = F.array(*[
+        F.struct(F.lit(i).alias("level"), F.col(c).alias("parcel_id"))
+        for i, c in enumerate(PARENT_IDS)
+    ])
+    filled = F.filter(named, lambda p: p["parcel_id"].isNotNull())
+    return rows.withColumn("_parcel", F.explode(filled)).select(
+        *rows.columns, "_parcel.level", "_parcel.parcel_id"
     )
-    by_plot = (
-        activity.filter(has_plot)
-        .join(plots, F.col("plot_id") == F.col("_plot"), "left")
-        .join(trials, F.col("_ptrial") == F.col("_trial"), "left")
+
+
+def owner_field(activity: DataFrame, field_trial: DataFrame, plot: DataFrame) -> DataFrame:
+    """``activity`` plus ``owner_field_id``: its field, else its trial's, else its plot's trial's.
+
+    Rows that name a field, or nothing, need no lookup and are not shuffled; the others are looked
+    up in one join on (level, id), which has no null keys to pile up in one task.
+    """
+    level = F.when(F.col("field_trial_id").isNotNull(), F.lit(1)).otherwise(F.lit(2))
+    lookup = F.col("field_id").isNull() & F.coalesce("field_trial_id", "plot_id").isNotNull()
+    known = _parcels_below_field(field_trial, plot).select(
+        F.col("level").alias("_level"), F.col("parcel_id").alias("_parcel"), "owner_field_id"
     )
-    return by_field.select(cols).unionByName(by_trial.select(cols)).unionByName(
-        by_plot.select(cols)
+    direct = activity.filter(~lookup).withColumn("owner_field_id", F.col("field_id"))
+    found = activity.filter(lookup).join(
+        known,
+        (level == F.col("_level")) & (F.coalesce("field_trial_id", "plot_id") == F.col("_parcel")),
+        "left",
     )
+    cols = activity.columns + ["owner_field_id"]
+    return direct.select(cols).unionByName(found.select(cols))
 
 
 def with_most_specific_geometry(
@@ -103,56 +135,59 @@ def plot_details_geometry(
     )
 
 
-_PARENT_IDS = ("field_id", "field_trial_id", "plot_id")
-
-
 def _rates() -> list[Column]:
     return [
         (F.col("rate_product") * (F.col(n) / F.lit(100))).alias(f"rate_{n}") for n in NUTRIENTS
     ]
 
 
+def _plots_by_parcel(plots: DataFrame, columns: list[str]) -> DataFrame:
+    """Each plot three times: under its field, its trial and itself."""
+    up = F.array(*[
+        F.struct(F.lit(i).alias("level"), F.col(c).alias("parcel_id"))
+        for i, c in enumerate(PARENT_IDS)
+    ])
+    return plots.withColumn("_parcel", F.explode(up)).select(
+        *columns, "_parcel.level", "_parcel.parcel_id"
+    )
+
+
 def plot_application_summary(plots: DataFrame, app: DataFrame, nutrient_source: DataFrame) -> DataFrame:
     """Every application as seen by every plot it reaches, with the 13 nutrient rates.
 
     ``plots`` is :func:`plot_details_geometry`. An application hangs on a field, a trial or a plot;
-    one on a field reaches all plots of the field. Sources are matched per organization, so the
-    source columns ride along on the application before it fans out to plots, and applications
-    without source never enter the fan-out.
+    one on a field reaches all plots of the field. Plots and applications meet in one join on
+    (level, id), so both are read once. Sources are matched per organization: their columns ride
+    along on the application before it fans out, and applications without source never fan out.
     """
-    keep = ["organization", "field", "field_trial", "plot", "organization_id", "plot_id"]
     sources = nutrient_source.select(
         "nutrient_source_id", F.col("organization_id").alias("_source_org"), "nutrient", *NUTRIENTS
     )
     details = F.col("details") if "details" in app.columns else F.lit("{}")
-    apps = (
+    apps = by_parcel(
         app.filter(F.col("nutrient_source_id").isNotNull())
         .select(
             "app_id", "app_type", "app_method", "date_applied",
             F.col("rate").alias("rate_product"), "rate_unit", details.alias("details_app"),
-            "nutrient_source_id", *_PARENT_IDS,
+            "nutrient_source_id", *PARENT_IDS,
         )
         .join(sources, "nutrient_source_id")
         .select(
             "app_id", "app_type", "app_method", "date_applied", "rate_product", "rate_unit",
-            "details_app", "nutrient_source_id", "_source_org", "nutrient", *_rates(), *_PARENT_IDS,
+            "details_app", "nutrient_source_id", "_source_org", "nutrient", *_rates(), *PARENT_IDS,
         )
+    ).drop(*PARENT_IDS)
+    shown = _plots_by_parcel(
+        plots, ["organization", "field", "field_trial", "plot", "organization_id", "plot_id"]
     )
-    parts = []
-    for key in _PARENT_IDS:
-        # an app counts once per parent column it fills, whatever its other parents are
-        side = apps.filter(F.col(key).isNotNull()).drop(*[k for k in _PARENT_IDS if k != key])
-        shown = plots.select(*dict.fromkeys(keep + [key]))
-        parts.append(
-            shown.join(side, key)
-            .filter(F.col("organization_id") == F.col("_source_org"))
-            .drop(*[k for k in ("field_id", "field_trial_id") if k == key])
+    return (
+        apps.join(shown, ["level", "parcel_id"])
+        .filter(F.col("organization_id") == F.col("_source_org"))
+        .select(
+            "organization", "field", "field_trial", "plot", "date_applied", "nutrient", "app_type",
+            "app_method", "rate_unit", "rate_product", *[f"rate_{n}" for n in NUTRIENTS],
+            "details_app", "organization_id", "plot_id", "app_id", "nutrient_source_id",
         )
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return rows.select(
-        "organization", "field", "field_trial", "plot", "date_applied", "nutrient", "app_type",
-        "app_method", "rate_unit", "rate_product", *[f"rate_{n}" for n in NUTRIENTS],
-        "details_app", "organization_id", "plot_id", "app_id", "nutrient_source_id",
     )
 
 
@@ -165,21 +200,17 @@ def plot_nutrient_totals(plots: DataFrame, app: DataFrame, nutrient_source: Data
     sources = nutrient_source.select(
         "nutrient_source_id", F.col("organization_id").alias("_source_org"), "nutrient", *NUTRIENTS
     )
-    parts = []
-    for key in _PARENT_IDS:
-        sums = (
-            app.filter(F.col(key).isNotNull() & F.col("nutrient_source_id").isNotNull())
-            .groupBy(key, "nutrient_source_id")
-            .agg(F.sum("rate").alias("_rate"), F.count("*").alias("_apps"))
-        )
-        shown = plots.select(*dict.fromkeys(["organization_id", "plot_id", key]))
-        parts.append(
-            shown.join(sums, key).select(
-                "organization_id", "plot_id", "nutrient_source_id", "_rate", "_apps"
-            )
+    sums = (
+        by_parcel(
+            app.filter(F.col("nutrient_source_id").isNotNull())
+            .select("nutrient_source_id", "rate", *PARENT_IDS)
         )
+        .groupBy("level", "parcel_id", "nutrient_source_id")
+        .agg(F.sum("rate").alias("_rate"), F.count("*").alias("_apps"))
+    )
+    shown = _plots_by_parcel(plots, ["organization_id", "plot_id"])
     per_plot = (
-        parts[0].unionByName(parts[1]).unionByName(parts[2])
+        sums.join(shown, ["level", "parcel_id"])
         .groupBy("organization_id", "plot_id", "nutrient_source_id")
         .agg(F.sum("_rate").alias("rate_product"), F.sum("_apps").alias("n_apps"))
     )
@@ -198,47 +229,21 @@ def season_length(
 ) -> DataFrame:
     """Every PLANT with every HARVEST of the same field, trial or plot, and the time between.
 
-    The pairs are the result here, harvests before planting included. The organization joins to
-    the plantings, before the pairs exist, so the pairing is the last join of the plan and Spark
-    may split a hot parcel over many tasks.
+    The pairs are the result here, harvests before planting included. Parcels of all three levels
+    are paired by one join on (level, id). The organization joins to the plantings, before the
+    pairs exist, so the pairing is the last join and Spark may split a hot parcel over many tasks.
     """
-    def side(act_type: str, key: str) -> DataFrame:
-        return act.filter((F.col("act_type") == act_type) & F.col(key).isNotNull())
-
-    org = field.select(F.col("field_id").alias("_field"), "organization_id")
-    trial_field = field_trial.select(
-        F.col("field_trial_id").alias("_trial"), F.col("field_id").alias("_trial_field")
+    org = field.select(F.col("field_id").alias("owner_field_id"), "organization_id")
+    owned = parcels(field, field_trial, plot).join(org, "owner_field_id").drop("owner_field_id")
+    columns = ["date_performed", *PARENT_IDS]
+    plant = by_parcel(act.filter("act_type = 'PLANT'").select(*columns)).join(
+        owned, ["level", "parcel_id"]
+    ).withColumnRenamed("date_performed", "date_plant")
+    harvest = by_parcel(act.filter("act_type = 'HARVEST'").select(*columns)).select(
+        "level", "parcel_id", F.col("date_performed").alias("date_harvest")
+    )
+    return plant.join(harvest, ["level", "parcel_id"]).select(
+        "organization_id", *PARENT_IDS, "date_plant", "date_harvest",
+        (F.col("date_harvest") - F.col("date_plant")).alias("season_length"),
+        F.datediff("date_harvest", "date_plant").alias("season_days"),
     )
-    plot_trial = plot.select(
-        F.col("plot_id").alias("_plot"), F.col("field_trial_id").alias("_plot_trial")
-    )
-    parts = []
-    for key in _PARENT_IDS:
-        plant = side("PLANT", key).select(
-            *_PARENT_IDS, F.col("date_performed").alias("date_plant")
-        )
-        if key == "field_id":
-            plant = plant.join(org, F.col("field_id") == F.col("_field"))
-        elif key == "field_trial_id":
-            plant = plant.join(trial_field, F.col("field_trial_id") == F.col("_trial")).join(
-                org, F.col("_trial_field") == F.col("_field")
-            )
-        else:
-            plant = (
-                plant.join(plot_trial, F.col("plot_id") == F.col("_plot"))
-                .join(trial_field, F.col("_plot_trial") == F.col("_trial"))
-                .join(org, F.col("_trial_field") == F.col("_field"))
-            )
-        harvest = side("HARVEST", key).select(key, F.col("date_performed").alias("date_harvest"))
-        pairs = plant.select(
-            "organization_id", *_PARENT_IDS, "date_plant"
-        ).join(harvest, key)
-        length = F.col("date_harvest") - F.col("date_plant")
-        parts.append(
-            pairs.select(
-                "organization_id", *_PARENT_IDS, "date_plant", "date_harvest",
-                length.alias("season_length"),
-                F.datediff("date_harvest", "date_plant").alias("season_days"),
-            )
-        )
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -123,11 +123,15 @@ def load_fields(
             ).alias("details"),
         )
     )
-    inner = geoms.select(F.col("geom_id"), F.col("rings").alias("_inner"))
-    outer = geoms.select(F.col("geom_id").alias("_field_geom"), F.col("rings").alias("_outer"))
-    judged = acts.join(inner, "geom_id").join(outer, "_field_geom")
-    covered = spatial.covered_pairs(judged, "_outer", "_inner", COVER_TOLERANCE)
-    judged = judged.withColumn("_covered", (F.col("geom_id") == F.col("_field_geom")) | covered)
+    inner = spatial.outline(geoms, "_in").drop("_in_edges")
+    outer = spatial.outline(geoms, "_out").drop("_out_points")
+    judged = acts.join(inner, F.col("geom_id") == F.col("_in_id")).join(
+        outer, F.col("_field_geom") == F.col("_out_id")
+    )
+    fine = (F.col("geom_id") == F.col("_field_geom")) | spatial.covered(
+        "_out_edges", "_in_points", COVER_TOLERANCE
+    )
+    judged = judged.withColumn("_covered", fine)
     columns = [c for c in acts.columns if c != "_field_geom"]
     new_acts, _ = keyed.insert_or_get(
         stored("act"), judged.filter("_covered").select(*columns), CATALOG["act"], now
