@@ -158,24 +158,27 @@ def repeated_geometries(geom: DataFrame) -> DataFrame:
     return null_safe_join(shaped, again, ["canonical"])
 
 
-def _crosses(rings: list) -> bool:
-    """Whether a border crosses or overlaps itself; one shape at a time, by a sweep along x."""
-    starts, ends, ring_no, place, sizes = [], [], [], [], []
-    for k, ring in enumerate(rings):
-        pts = np.array([(p["x"], p["y"]) for p in ring], dtype=float)
-        if len(pts) < 2:
-            continue
+def _crosses(xs: np.ndarray, ys: np.ndarray, sizes: np.ndarray) -> bool:
+    """Whether a border crosses or overlaps itself; one shape at a time, by a sweep along x.
+
+    The shape comes as the coordinates of all its rings in a row and the number of points of each.
+    """
+    starts, ends, ring_no, place, edge_count = [], [], [], [], []
+    first = 0
+    for k, n in enumerate(sizes):
+        pts = np.column_stack((xs[first:first + n], ys[first:first + n]))
+        first += n
         moved = np.any(pts[1:] != pts[:-1], axis=1)
         a, b = pts[:-1][moved], pts[1:][moved]
         starts.append(a)
         ends.append(b)
         ring_no.append(np.full(len(a), k))
         place.append(np.arange(len(a)))
-        sizes.append(np.full(len(a), len(a)))
+        edge_count.append(np.full(len(a), len(a)))
     if not starts:
         return False
     a, b = np.concatenate(starts), np.concatenate(ends)
-    ring, idx, size = np.concatenate(ring_no), np.concatenate(place), np.concatenate(sizes)
+    ring, idx, size = np.concatenate(ring_no), np.concatenate(place), np.concatenate(edge_count)
     lo, hi = np.minimum(a, b), np.maximum(a, b)
     order = np.argsort(lo[:, 0], kind="stable")
     a, b, lo, hi = a[order], b[order], lo[order], hi[order]
@@ -209,9 +212,11 @@ def _crosses(rings: list) -> bool:
     return False
 
 
-def _crossing_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for rings in batches:
-        yield rings.map(_crosses).astype(bool)
+def _crossing_batches(
+    batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]
+) -> Iterator[pd.Series]:
+    for xs, ys, sizes in batches:
+        yield pd.Series([_crosses(x, y, n) for x, y, n in zip(xs, ys, sizes)], dtype=bool)
 
 
 def invalid_geometries(geom: DataFrame) -> DataFrame:
@@ -233,7 +238,13 @@ def invalid_geometries(geom: DataFrame) -> DataFrame:
     wrong = judged.filter(F.col("reason").isNotNull())
     crossing = (
         judged.filter(F.col("reason").isNull())
-        .filter(crosses(F.col("rings")))
+        .filter(
+            crosses(
+                F.expr("transform(flatten(rings), p -> p.x)"),
+                F.expr("transform(flatten(rings), p -> p.y)"),
+                F.expr("transform(rings, g -> size(g))"),
+            )
+        )
         .withColumn("reason", F.lit("crosses itself"))
     )
     return wrong.unionByName(crossing)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from croplake.operators import weather as w
 from croplake.plans import ingest as g
 from croplake.plans import requests as r
+from croplake.session import cut_lineage
 
 #: gives for (step, plan) the landed (wide response rows, requests with their results)
 Responses = Callable[[str, DataFrame], tuple[DataFrame, DataFrame]]
@@ -44,10 +45,13 @@ def plan_fill(need_fields, daily, world_utm, cell_centroid, weather_type, now, b
 
 def _take_in(step: str, need: DataFrame, plan: DataFrame, responses: Responses,
              weather_type: DataFrame) -> StepResult:
+    # a step is written before the next one builds on it, as its requests are sent in between
+    need, plan = cut_lineage(need), cut_lineage(plan)
     wide, requests = responses(step, plan)
+    requests = cut_lineage(requests)
     cells = need.select("world_utm_id", "cell_id", "utc_offset_seconds", "lat", "lon").distinct()
     rows = g.filter_response(g.clean_response(wide, cells), need)
-    return StepResult(need, plan, requests, g.daily_rows_of(rows, weather_type))
+    return StepResult(need, plan, requests, cut_lineage(g.daily_rows_of(rows, weather_type)))
 
 
 def run_daily(
