@@ -27,27 +27,27 @@ class StepResult:
     new_rows: DataFrame
 
 
-def plan_update(daily, world_utm, cell_centroid, now, budget: Column | int):
-    need = w.update_inventory(daily, world_utm, cell_centroid, now)
-    return need, r.budget_cut(r.update_plan(need), budget)
+def update_need(daily, world_utm, cell_centroid, now) -> DataFrame:
+    return w.update_inventory(daily, world_utm, cell_centroid, now)
 
 
-def plan_add(need_fields, daily, now, budget: Column | int):
-    need = w.add_inventory(need_fields, daily)
-    return need, r.budget_cut(r.add_plan(need, now), budget)
+def add_need(need_fields, daily) -> DataFrame:
+    return w.add_inventory(need_fields, daily)
 
 
-def plan_fill(need_fields, daily, world_utm, cell_centroid, weather_type, now, budget):
+def fill_need(need_fields, daily, world_utm, cell_centroid, weather_type, now) -> DataFrame:
     need = w.merged_need(need_fields, w.need_of_populated(daily, world_utm, cell_centroid, now))
-    gaps = w.fill_inventory(need, daily, weather_type, now)
-    return gaps, r.budget_cut(r.fill_plan(gaps), budget)
+    return w.fill_inventory(need, daily, weather_type, now)
 
 
-def _take_in(step: str, need: DataFrame, plan: DataFrame, responses: Responses,
-             weather_type: DataFrame) -> StepResult:
-    # a step is written before the next one builds on it, as its requests are sent in between
-    need, plan = cut_lineage(need), cut_lineage(plan)
-    wide, requests = responses(step, plan)
+def _step(
+    name: str, need: DataFrame, make_plan: Callable[[DataFrame], DataFrame], budget: Column,
+    responses: Responses, weather_type: DataFrame,
+) -> StepResult:
+    # need and plan are written before they are used, as requests are sent in between
+    need = cut_lineage(need)
+    plan = cut_lineage(r.budget_cut(make_plan(need), budget))
+    wide, requests = responses(name, plan)
     requests = cut_lineage(requests)
     cells = need.select("world_utm_id", "cell_id", "utc_offset_seconds", "lat", "lon").distinct()
     rows = g.filter_response(g.clean_response(wide, cells), need)
@@ -67,17 +67,17 @@ def run_daily(
     rows = daily.select(*g.DAILY_COLUMNS)
     left: Column = F.lit(budget)
 
-    def account(name: str, need: DataFrame, plan: DataFrame) -> None:
+    def run(name: str, need: DataFrame, make_plan: Callable[[DataFrame], DataFrame]) -> None:
         nonlocal rows, left
-        step = steps[name] = _take_in(name, need, plan, responses, weather_type)
+        step = steps[name] = _step(name, need, make_plan, left, responses, weather_type)
         rows = rows.unionByName(step.new_rows)
         left = left - step.requests.agg(F.count("*")).scalar()
 
-    account("update", *plan_update(rows, world_utm, cell_centroid, now, left))
-    account("add", *plan_add(need_fields, rows, now, left))
+    run("update", update_need(rows, world_utm, cell_centroid, now), r.update_plan)
+    run("add", add_need(need_fields, rows), lambda need: r.add_plan(need, now))
     if fill:
-        account("fill", *plan_fill(need_fields, rows, world_utm, cell_centroid, weather_type,
-                                   now, left))
+        gaps = fill_need(need_fields, rows, world_utm, cell_centroid, weather_type, now)
+        run("fill", gaps, r.fill_plan)
     sent = [s.requests.select("status", "request_seconds") for s in steps.values()]
     everything = sent[0]
     for more in sent[1:]:
