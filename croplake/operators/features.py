@@ -305,13 +305,14 @@ def key_product(geospatial: DataFrame, temporal: DataFrame, slots: int = 16) ->
 
 
 def observations_for_keys(
-    observation: DataFrame, unit_type: DataFrame, geospatial: DataFrame, temporal: DataFrame
+    observation: DataFrame, unit_type: DataFrame, geospatial: DataFrame, temporal: DataFrame,
+    slots: int = 16,
 ) -> DataFrame:
     """Observations strictly inside a temporal key, of a geospatial key's geometry and field.
 
     The key product is not built: observations meet their geospatial keys by geometry and field,
-    and then the temporal keys whose months they fall into. ``month`` pieces bound what one
-    temporal key can meet.
+    and then the temporal keys whose months they fall into. There are few months, so observations
+    of a month are spread over ``slots`` and the (few) temporal keys go to each of them.
     """
     units = unit_type.select("unit_type_id", "unit_name", "observation_type_id")
     geo = geospatial.select("geospatial_key_id", "geom_id", "field_id")
@@ -320,19 +321,20 @@ def observations_for_keys(
     )
     spans = temporal.filter("start_date <= end_date").select(
         "temporal_key_id", "start_date", "end_date", F.explode(months).alias("_month")
-    )
+    ).withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
     at = F.col("date_observed")
     return (
         observation.drop("observation_type_id")
         .join(geo, ["geom_id", "field_id"])
         .join(units, "unit_type_id")
         .withColumn("_month", F.trunc(F.to_date("date_observed"), "MM"))
-        .join(spans, "_month")
+        .withColumn("_slot", F.pmod(F.xxhash64("observation_id"), F.lit(slots)).cast("int"))
+        .join(spans, ["_month", "_slot"])
         .filter(
             (at > F.col("start_date").cast("timestamp_ntz"))
             & (at < F.col("end_date").cast("timestamp_ntz"))
         )
-        .drop("_month")
+        .drop("_month", "_slot")
     )
 
 

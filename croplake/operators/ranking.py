@@ -30,23 +30,27 @@ def time_bucket(column: str | Column) -> Column:
     return F.floor(F.unix_seconds(c.cast("timestamp")) / F.lit(3600)).cast("long")
 
 
-def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    return reduce(
-        lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs]
-    )
+def key_struct(df: DataFrame, keys: list[str]) -> Column:
+    """The key columns as one struct. Nulls in equal places of two structs are equal, so a join on
+    it lets nulls match, and what was grouped or windowed by it is joined without another shuffle.
+    """
+    return F.struct(*[df[c].alias(f"k{i}") for i, c in enumerate(keys)])
 
 
 def null_safe_join(
     left: DataFrame, right: DataFrame, on: list[str], how: str = "inner"
 ) -> DataFrame:
     """Equi-join in which nulls match nulls; the key columns of ``left`` stay."""
-    renamed = right.select(
-        *[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns]
-    )
-    joined = left.join(renamed, _same(left, renamed, [(c, f"_r_{c}") for c in on]), how)
-    if how in ("left_semi", "left_anti"):
-        return joined
-    return joined.drop(*[f"_r_{c}" for c in on])
+    if any(left.schema[c].dataType != right.schema[c].dataType for c in on):
+        renamed = right.select(
+            *[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns]
+        )
+        same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(renamed[f"_r_{c}"]) for c in on])
+        return left.join(renamed, same, how).drop(*[f"_r_{c}" for c in on])
+    keyed_left = left.withColumn("_key", key_struct(left, on))
+    rest = [c for c in right.columns if c not in on]
+    keyed_right = right.select(key_struct(right, on).alias("_key"), *rest)
+    return keyed_left.join(keyed_right, "_key", how).drop("_key")
 
 
 def numbered(
@@ -57,22 +61,29 @@ def numbered(
 
     ``total`` names one more column, the number of rows of the key.
     """
-    work = df.withColumn("_bucket", bucket)
-    counts = work.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
-    before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    extra = [F.sum("_n").over(W.partitionBy(*keys)).alias(total)] if total else []
+    places = [f"k{i}" for i in range(len(keys))]
+    work = _with_bucket(df, keys, bucket)
+    counts = work.groupBy("_key").agg(F.count("*").alias("_n")).select("_key", "_key.*", "_n")
+    before = W.partitionBy(*places).orderBy("b").rowsBetween(W.unboundedPreceding, -1)
+    extra = [F.sum("_n").over(W.partitionBy(*places)).alias(total)] if total else []
     starts = counts.select(
-        *keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), *extra
+        "_key", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), *extra
     )
-    inside = W.partitionBy(*keys, "_bucket").orderBy(*order)
+    inside = W.partitionBy("_key").orderBy(*order)
     local = work.withColumn("_local", F.row_number().over(inside))
     return (
-        null_safe_join(local, starts, keys + ["_bucket"])
+        local.join(starts, "_key")
         .withColumn(name, F.col("_start") + F.col("_local"))
-        .drop("_bucket", "_start", "_local")
+        .drop("_key", "_start", "_local")
     )
 
 
+def _with_bucket(df: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
+    """``df`` plus ``_key``: its key columns (k0, k1, …) and bucket (b) as one struct."""
+    fields = [df[c].alias(f"k{i}") for i, c in enumerate(keys)]
+    return df.withColumn("_key", F.struct(*fields, bucket.alias("b")))
+
+
 def with_previous_time(
     df: DataFrame, keys: list[str], time_col: str, name: str = "previous"
 ) -> DataFrame:
@@ -81,16 +92,17 @@ def with_previous_time(
     Inside an hour the window finds it; the first row of an hour takes the last time of the
     nearest earlier hour that has any.
     """
-    work = df.withColumn("_bucket", time_bucket(time_col))
-    last = work.groupBy(*keys, "_bucket").agg(F.max(time_col).alias("_last"))
-    by_bucket = W.partitionBy(*keys).orderBy("_bucket")
-    carried = last.select(*keys, "_bucket", F.lag("_last").over(by_bucket).alias("_carried"))
-    inside = W.partitionBy(*keys, "_bucket").orderBy(time_col)
+    places = [f"k{i}" for i in range(len(keys))]
+    work = _with_bucket(df, keys, time_bucket(time_col))
+    last = work.groupBy("_key").agg(F.max(time_col).alias("_last")).select("_key", "_key.*", "_last")
+    by_bucket = W.partitionBy(*places).orderBy("b")
+    carried = last.select("_key", F.lag("_last").over(by_bucket).alias("_carried"))
+    inside = W.partitionBy("_key").orderBy(time_col)
     local = work.withColumn("_lag", F.lag(time_col).over(inside))
     return (
-        null_safe_join(local, carried, keys + ["_bucket"])
+        local.join(carried, "_key")
         .withColumn(name, F.coalesce("_lag", "_carried"))
-        .drop("_bucket", "_lag", "_carried")
+        .drop("_key", "_lag", "_carried")
     )
 
 
