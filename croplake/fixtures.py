@@ -119,27 +119,43 @@ class Tables:
             F.lit(1).cast("short").alias("replication_id"),
         )
 
-    @cached_property
-    def points(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self.raw("customer").select(
+    @staticmethod
+    def _points(table: DataFrame, key_name: str) -> DataFrame:
+        key = F.col(key_name)
+        return table.select(
             key.alias("point_id"),
             (F.lit(-96.0) + F.lit(6.0) * ((key * 37) % 1500) / F.lit(1500.0)).alias("lon"),
             (F.lit(40.0) + F.lit(8.0) * ((key * 91) % 1500) / F.lit(1500.0)).alias("lat"),
         )
 
-    @cached_property
-    def geom(self) -> DataFrame:
+    @staticmethod
+    def _squares(points: DataFrame) -> DataFrame:
         def pt(dx: float, dy: float) -> Column:
             return F.struct((F.col("lon") + dx).alias("x"), (F.col("lat") + dy).alias("y"))
 
         s = SQUARE
         ring = F.array(pt(0, 0), pt(s, 0), pt(s, s), pt(0, s), pt(0, 0))
-        return self.points.select(
+        return points.select(
             F.col("point_id").alias("geom_id"), F.lit("POLYGON").alias("kind"),
             F.array(ring).alias("rings"),
         )
 
+    @cached_property
+    def points(self) -> DataFrame:
+        return self._points(self.raw("customer"), "c_custkey")
+
+    @cached_property
+    def geom(self) -> DataFrame:
+        return self._squares(self.points)
+
+    @cached_property
+    def supplier_points(self) -> DataFrame:
+        return self._points(self.raw("supplier"), "s_suppkey")
+
+    @cached_property
+    def supplier_geom(self) -> DataFrame:
+        return self._squares(self.supplier_points)
+
     @cached_property
     def crop_type(self) -> DataFrame:
         return self.raw("orders").select("o_orderpriority").distinct().select(

@@ -29,17 +29,22 @@ def type_summary(
 ) -> DataFrame:
     """Per observation type: its units and groups with counts and first and last date.
 
-    Rows are counted per (unit, group) before anything is joined or listed; the lists are as long
-    as the unit and group dimensions.
+    Rows are counted before anything is joined or listed; the lists are as long as the unit and
+    group dimensions.
     """
     known = field.select("field_id") if fields is None else fields.select("field_id").join(
         field.select("field_id"), "field_id", "left_semi"
     )
-    # fields repeat neither in the table nor, made distinct, in the filter
-    values = _with_group(observation).join(known.distinct(), "field_id", "left_semi")
-    counted = values.groupBy("unit_type_id", "observation_grouper_id").agg(
-        F.count("*").alias("n"), F.min("date_observed").alias("lo"), F.max("date_observed").alias("hi")
+    # counted per field first, so that what meets the fields is small and no field is hot
+    per_field = _with_group(observation).groupBy(
+        "field_id", "unit_type_id", "observation_grouper_id"
+    ).agg(
+        F.count("*").alias("n"), F.min("date_observed").alias("lo"),
+        F.max("date_observed").alias("hi"),
     )
+    counted = per_field.join(known, "field_id", "left_semi").groupBy(
+        "unit_type_id", "observation_grouper_id"
+    ).agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     typed = counted.join(unit_type, "unit_type_id").join(observation_type, "observation_type_id")
     span = [
         F.sum("n").alias("count"), F.to_date(F.min("lo")).alias("earliest"),

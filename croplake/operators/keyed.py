@@ -167,23 +167,21 @@ def insert_missing(
 def apply_updates(
     existing: DataFrame, updates: DataFrame, spec: TableSpec, now: datetime | str | None = None
 ) -> DataFrame:
-    """The table after ``updates`` (whole rows by id) replaced their rows, ``last_updated`` stamped.
+    """The table after ``updates`` (by id, one row each) replaced values and ``last_updated``.
 
-    Updates of unknown ids are ignored, as an update of no row.
+    Columns the updates lack stay; updates of unknown ids are ignored, as an update of no row. One
+    join, so the table is read and shuffled once.
     """
-    columns = existing.columns
-    stamped = [
-        _now(now).alias(c) if c == "last_updated"
-        else F.col(f"u.{c}") if c in updates.columns else F.col(f"e.{c}")
-        for c in columns
+    hit = F.col("u._hit")
+    columns = [
+        F.when(hit, _now(now)).otherwise(F.col(f"e.{c}")).alias(c) if c == "last_updated"
+        else F.when(hit, F.col(f"u.{c}")).otherwise(F.col(f"e.{c}")).alias(c)
+        if c in updates.columns and c != spec.id_col else F.col(f"e.{c}")
+        for c in existing.columns
     ]
-    changed = (
-        existing.alias("e")
-        .join(updates.alias("u"), F.col(f"e.{spec.id_col}") == F.col(f"u.{spec.id_col}"))
-        .select(*stamped)
-    )
-    kept = existing.join(updates.select(spec.id_col), spec.id_col, "left_anti").select(*columns)
-    return kept.unionByName(changed)
+    marked = updates.withColumn("_hit", F.lit(True)).alias("u")
+    same = F.col(f"e.{spec.id_col}") == F.col(f"u.{spec.id_col}")
+    return existing.alias("e").join(marked, same, "left").select(*columns)
 
 
 def next_versions(function: DataFrame, candidates: DataFrame) -> DataFrame:

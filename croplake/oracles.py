@@ -387,9 +387,14 @@ def oracle_sql() -> dict[str, str]:
             "SELECT observation_id FROM observation WHERE observation_id % 6 = 0"),
         # ---- keyed
         "natural_key_lookup": (
-            "SELECT c.c_custkey AS candidate, e.id AS found_id FROM customer c LEFT JOIN (SELECT c_nationkey, c_mktsegment, "
-            "min(c_custkey) AS id FROM customer WHERE c_custkey % 2 = 0 GROUP BY ALL) e "
-            "ON e.c_nationkey = c.c_nationkey AND e.c_mktsegment = c.c_mktsegment"),
+            "SELECT s_suppkey AS candidate, (SELECT min(c_custkey) FROM customer WHERE c_nationkey = s_nationkey AND c_mktsegment = "
+            "['AUTOMOBILE','BUILDING','FURNITURE','HOUSEHOLD','MACHINERY','NONE'][(s_suppkey % 6 + 1)::int]) AS found_id FROM supplier"),
+        "rows_by_key": (
+            "SELECT c_custkey FROM customer WHERE (c_nationkey, c_mktsegment) IN (SELECT (s_nationkey, "
+            "['AUTOMOBILE','BUILDING','FURNITURE','HOUSEHOLD','MACHINERY'][(s_suppkey % 5 + 1)::int]) FROM supplier)"),
+        "key_rows": (
+            "SELECT l_orderkey AS s3_object_id, l_partkey AS geospatial_key_id, l_suppkey AS temporal_key_id FROM lineitem EXCEPT "
+            "SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01'"),
         "insert_or_get": (
             "WITH known AS (SELECT p_brand, p_type, min(p_partkey) AS id FROM part WHERE p_size <= 10 GROUP BY ALL), "
             "fresh AS (SELECT DISTINCT p_brand, p_type FROM part ANTI JOIN known USING (p_brand, p_type)) "
@@ -400,16 +405,15 @@ def oracle_sql() -> dict[str, str]:
             "FROM part p LEFT JOIN known k ON k.p_brand = p.p_brand AND k.p_type = p.p_type"),
         "rows_by_id": (
             "SELECT c.c_custkey AS field_id, c.c_name AS name FROM customer c "
-            "SEMI JOIN (SELECT o_custkey FROM orders WHERE o_orderkey % 5 = 0) o ON c.c_custkey = o.o_custkey"),
+            "SEMI JOIN orders o ON c.c_custkey = o.o_custkey"),
         "insert_missing": (
             "SELECT DISTINCT s_nationkey AS key FROM supplier WHERE s_nationkey NOT IN "
             "(SELECT n_nationkey FROM nation WHERE n_regionkey < 3)"),
         "apply_updates": (
-            "SELECT c_custkey AS organization_id, CASE WHEN c_custkey % 10 = 0 THEN upper(c_name) ELSE c_name END AS name, "
-            f"CASE WHEN c_custkey % 10 = 0 THEN {_NOW} ELSE TIMESTAMP '2020-01-01' END AS last_updated FROM customer"),
+            "SELECT c_custkey AS organization_id, CASE WHEN c_acctbal < 0 THEN upper(c_name) ELSE c_name END AS name, "
+            f"CASE WHEN c_acctbal < 0 THEN {_NOW} ELSE TIMESTAMP '2020-01-01' END AS last_updated FROM customer"),
         "next_version": (
-            "WITH f AS (SELECT s_nationkey % 5 AS fn, s_suppkey % 3 AS major, max(s_suppkey % 20) AS top FROM supplier "
-            "WHERE s_suppkey % 2 = 0 GROUP BY ALL) "
+            "WITH f AS (SELECT s_nationkey % 5 AS fn, s_suppkey % 3 AS major, max(s_suppkey % 20) AS top FROM supplier GROUP BY ALL) "
             "SELECT c_custkey AS candidate, c_nationkey % 5 AS fn, c_custkey % 3 AS major, "
             "(coalesce(top, -1) + row_number() OVER (PARTITION BY c_nationkey % 5, c_custkey % 3 ORDER BY c_custkey))::int AS minor "
             "FROM customer LEFT JOIN f ON f.fn = c_nationkey % 5 AND f.major = c_custkey % 3"),
@@ -426,8 +430,7 @@ def oracle_sql() -> dict[str, str]:
             "WHERE p.parent_grouper_id IS NOT NULL"),
         "group_rollup": "",
         "subtree_fields": sql(
-            "SELECT f.field_id, g.organization_id AS ancestor_id FROM field f JOIN grouper g ON f.grouper_id = g.grouper_id "
-            "WHERE g.organization_id % 2 = 0"),
+            "SELECT f.field_id, g.organization_id AS ancestor_id FROM field f JOIN grouper g ON f.grouper_id = g.grouper_id"),
         "group_fields": sql(
             "SELECT g.grouper_id, f.field_id, f.name AS field_name FROM grouper g LEFT JOIN field f ON f.grouper_id = g.grouper_id"),
         "three_levels": sql(
@@ -496,7 +499,7 @@ def oracle_sql() -> dict[str, str]:
             "5 * date_diff('day', lo, hi) * count(*) AS n_pts_requested FROM c JOIN b ON b.utm_zone = c.utm_zone AND b.y = c.y "
             "GROUP BY c.utm_zone, c.y, chunk, lo, hi"),
         "fill_param_groups": (
-            "WITH z AS (SELECT DISTINCT p_partkey % 20 AS zone, p_brand AS parameter FROM part WHERE p_partkey % 20 > 0), "
+            "WITH z AS (SELECT DISTINCT p_partkey % 20 AS zone, p_brand AS parameter FROM part), "
             "r AS (SELECT zone, parameter, row_number() OVER (PARTITION BY zone ORDER BY parameter) - 1 AS i, "
             "ceil(count(*) OVER (PARTITION BY zone) / 10.0)::bigint AS n FROM z) "
             "SELECT zone::int AS zone, (i % n)::int AS set_id, string_agg(parameter, ',' ORDER BY parameter) AS parameters "
@@ -574,12 +577,12 @@ def oracle_sql() -> dict[str, str]:
         "key_observations": sql(
             "SELECT o.observation_id, k.tk AS temporal_key_id, k.gk AS geospatial_key_id FROM observation o JOIN "
             "(SELECT c_custkey AS gk, c_custkey AS geom_id, c_custkey AS field_id, t.tk, t.a, t.b FROM customer, "
-            "(SELECT n_nationkey AS tk, DATE '2024-01-01' + n_nationkey AS a, DATE '2024-01-03' + n_nationkey * 2 AS b FROM nation) t WHERE c_custkey % 2 = 0) k "
+            "(SELECT n_nationkey AS tk, DATE '2024-01-01' + n_nationkey AS a, DATE '2024-01-03' + n_nationkey * 2 AS b FROM nation) t) k "
             "ON o.geom_id = k.geom_id AND o.field_id = k.field_id AND o.date_observed > k.a AND o.date_observed < k.b"),
         "key_product": (
             "SELECT c_custkey AS geom_id, n_nationkey AS temporal_key_id FROM customer, nation"),
         "latest_object": (
-            "WITH k AS (SELECT DISTINCT o_custkey % 100 AS g, month(o_orderdate) AS m FROM orders WHERE o_custkey % 3 = 0), "
+            "WITH k AS (SELECT DISTINCT l_suppkey % 100 AS g, month(l_shipdate) AS m FROM lineitem), "
             "h AS (SELECT o_orderkey, o_orderkey % 3 AS s3_type_id FROM orders JOIN k ON o_custkey % 100 = g AND month(o_orderdate) = m) "
             "SELECT s3_type_id, max(o_orderkey) AS s3_object_id, 'k' || max(o_orderkey) AS key, count(*) AS n_objects FROM h GROUP BY ALL"),
         # ---- lineage
@@ -606,7 +609,7 @@ def oracle_sql() -> dict[str, str]:
         "shape_join": sql(
             f"SELECT a.point_id AS geom_id, b.point_id AS other_id FROM points a JOIN points b "
             f"ON a.lon <= b.lon + {s} AND b.lon <= a.lon + {s} AND a.lat <= b.lat + {s} AND b.lat <= a.lat + {s} "
-            "WHERE a.point_id % 2 = 0 AND b.point_id % 2 = 1"),
+            ),
         "field_centroids": sql(
             f"SELECT point_id AS field_id, round(lon + {s / 2}, 6) AS lon, round(lat + {s / 2}, 6) AS lat FROM points"),
     }
@@ -623,14 +626,14 @@ def oracle_sql() -> dict[str, str]:
     out["acts_outside_field"] = sql(
         "SELECT act_id, owner_field_id FROM owned_act WHERE act_id % 5 = 0 AND owner_field_id < (SELECT max(c_custkey) FROM customer)")
     out["geometry_upsert"] = (
-        "WITH k AS (SELECT (c_custkey * 37) % 1500 AS a, (c_custkey * 91) % 1500 AS b, min(c_custkey) AS id FROM customer "
-        "WHERE c_custkey % 2 = 0 GROUP BY ALL), c AS (SELECT c_custkey, (c_custkey * 37) % 1500 AS a, (c_custkey * 91) % 1500 AS b FROM customer) "
+        "WITH k AS (SELECT (s_suppkey * 37) % 1500 AS a, (s_suppkey * 91) % 1500 AS b, min(s_suppkey) AS id FROM supplier "
+        "GROUP BY ALL), c AS (SELECT c_custkey, (c_custkey * 37) % 1500 AS a, (c_custkey * 91) % 1500 AS b FROM customer) "
         "SELECT c_custkey AS candidate, id AS known_id, (SELECT count(DISTINCT (a, b)) FROM c WHERE (a, b) NOT IN (SELECT (a, b) FROM k)) AS n_new "
         "FROM c LEFT JOIN k ON k.a = c.a AND k.b = c.b")
     out["geometry_by_id"] = sql(
         f"SELECT geom_id, round(lon + {s}, 7) AS x, round(lat + {s}, 7) AS y FROM points JOIN field ON geom_id = point_id WHERE organization_id = 2")
     out["points_on_land"] = _grid_sql(
-        0.0, "SELECT point_id FROM out a WHERE EXISTS (SELECT 1 FROM out b WHERE b.point_id % 2 = 0 AND a.utm_zone = b.utm_zone "
+        0.0, "SELECT point_id FROM out a WHERE EXISTS (SELECT 1 FROM out b JOIN supplier ON s_suppkey = b.point_id WHERE a.utm_zone = b.utm_zone "
         "AND a.lng_centroid = b.lng_centroid AND a.lat_centroid = b.lat_centroid)")
     # 2 + 20 rows of 60, three zones of the last band missing, 2: rows and zones follow from the number
     out["polygon_info"] = (
@@ -743,7 +746,7 @@ def oracle_sql() -> dict[str, str]:
     out["feature_matrix"] = sql(
         f"SELECT a.point_id AS geom_id, n_orders, b.point_id AS square_id FROM points a JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY ALL) "
         f"ON o_custkey = a.point_id JOIN points b ON a.lon <= b.lon + {s} AND b.lon <= a.lon + {s} AND a.lat <= b.lat + {s} AND b.lat <= a.lat + {s} "
-        "WHERE a.point_id % 2 = 0 AND b.point_id % 2 = 1")
+        "JOIN supplier ON s_suppkey = b.point_id")
     out["seeded_weather_types"] = (
         "WITH m AS (SELECT max(CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 ELSE 5 END) AS top FROM events) "
         "SELECT (top + i)::bigint AS weather_type_id, n AS weather_type, u AS units FROM m, (VALUES "
@@ -755,4 +758,29 @@ def oracle_sql() -> dict[str, str]:
             "ON b.grouper_id >= 1000 AND (b.grouper_id = a.grouper_id OR b.parent_grouper_id = a.grouper_id OR "
             "(a.grouper_id < 100 AND b.organization_id = a.grouper_id)) LEFT JOIN field f ON f.grouper_id = b.grouper_id GROUP BY ALL) l ON l.grouper_id = g.grouper_id")
     out["group_rollup"] = sql(tail)
+    out["all_field_ids"] = "SELECT c_custkey AS field_id FROM customer"
+    out["daily_weather_types"] = sql("SELECT DISTINCT weather_type_id, parameter AS weather_type FROM daily")
+    out["need_of_populated"] = sql(
+        "SELECT utm_zone::int AS utm_zone, utc_offset_seconds::int AS utc_offset_seconds, world_utm_id::int AS world_utm_id, cell_id, "
+        "date_first, date_last FROM need_daily")
+    out["merged_need"] = sql("SELECT world_utm_id::int AS world_utm_id, cell_id, date_first FROM need_all")
+    out["fill_inventory_skip_empty"] = sql(
+        "WITH d AS (SELECT * FROM daily WHERE weather_type_id <> 4 OR world_utm_id = 1), "
+        "seen AS (SELECT DISTINCT n.world_utm_id, d.weather_type_id, d.parameter FROM d JOIN need n ON n.cell_id = d.cell_id), "
+        "kept AS (SELECT DISTINCT cell_id, weather_type_id, date FROM d JOIN utm USING (world_utm_id) WHERE "
+        "(date_requested + to_seconds(utc_offset_seconds) - INTERVAL 1 DAY)::date > date OR "
+        f"date > ({_NOW} + to_seconds(utc_offset_seconds) - INTERVAL 1 DAY)::date - 1), "
+        f"spine AS (SELECT cell_id, world_utm_id, unnest(generate_series(date_first::timestamp, {_LAST}::timestamp, INTERVAL 1 DAY))::date AS date FROM need) "
+        "SELECT s.world_utm_id::int AS world_utm_id, e.parameter, count(*) AS n_gaps FROM spine s JOIN seen e ON e.world_utm_id = s.world_utm_id "
+        "ANTI JOIN kept k ON k.cell_id = s.cell_id AND k.date = s.date AND k.weather_type_id = e.weather_type_id GROUP BY ALL")
+    out["mixed_offsets"] = (
+        "SELECT o_custkey % 60 AS zone, o_custkey % 600 AS chunk FROM orders GROUP BY ALL "
+        "HAVING count(DISTINCT o_orderdate > TIMESTAMP '1998-01-01') > 1")
+    out["geometry_for_keys"] = (
+        "SELECT c_custkey AS geom_id FROM customer WHERE c_custkey IN (SELECT o_custkey + 1 FROM orders)")
+    out["key_product_ids"] = (
+        "SELECT o_custkey * 2 AS geospatial_key_id, date_diff('day', DATE '1990-01-01', o_orderdate::date)::int AS temporal_key_id FROM orders")
+    out["type_dimension_upsert"] = (
+        "SELECT count(DISTINCT upper(p_name)) AS n_rows, 1::bigint AS first_id, count(DISTINCT upper(p_name)) AS last_id, "
+        "count(DISTINCT upper(p_name)) AS n_crops FROM part")
     return out

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croplake.catalog import CATALOG, NUTRIENTS, RASTER_SUBTYPES, TableSpec
-from croplake.fixtures import NOW, Tables, ntz
+from croplake.fixtures import NOW, SEGMENTS, Tables, ntz
 from croplake.functions import timeops
 from croplake.operators import checks, features, grid, hierarchy, keyed, lineage, spatial, views
 from croplake.operators import weather as w
@@ -177,12 +177,17 @@ def observation_without_time(t: Tables) -> DataFrame:
 # ---- keyed tables ---------------------------------------------------------------------------
 @query
 def natural_key_lookup(t: Tables) -> DataFrame:
+    """Suppliers looked up among customers by nation and segment; every sixth segment is unknown."""
     spec = TableSpec("segment", CATALOG["organization"].schema, "id", ("nation", "segment"))
-    rows = t.raw("customer").select(
-        F.col("c_custkey").alias("candidate"), F.col("c_nationkey").alias("nation"),
+    stored = t.raw("customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nation"),
         F.col("c_mktsegment").alias("segment"),
     )
-    stored = rows.filter("candidate % 2 = 0").withColumnRenamed("candidate", "id")
+    names = F.array(*[F.lit(v) for v in (*SEGMENTS, "NONE")])
+    rows = t.raw("supplier").select(
+        F.col("s_suppkey").alias("candidate"), F.col("s_nationkey").alias("nation"),
+        F.element_at(names, (F.col("s_suppkey") % 6 + 1).cast("int")).alias("segment"),
+    )
     return keyed.find_ids(stored, rows, spec).select("candidate", F.col("id").alias("found_id"))
 
 
@@ -213,12 +218,36 @@ def insert_or_get(t: Tables) -> DataFrame:
 
 @query
 def rows_by_id(t: Tables) -> DataFrame:
-    wanted = t.raw("orders").filter("o_orderkey % 5 = 0").select(
-        F.col("o_custkey").alias("field_id")
-    ).distinct()
+    wanted = t.raw("orders").select(F.col("o_custkey").alias("field_id")).distinct()
     return keyed.rows_by_id(t.field, wanted, CATALOG["field"]).select("field_id", "name")
 
 
+@query
+def rows_by_key(t: Tables) -> DataFrame:
+    """Customers of the nations and segments that suppliers' numbers name."""
+    names = F.array(*[F.lit(v) for v in SEGMENTS])
+    keys = t.raw("supplier").select(
+        F.col("s_nationkey").alias("c_nationkey"),
+        F.element_at(names, (F.col("s_suppkey") % 5 + 1).cast("int")).alias("c_mktsegment"),
+    )
+    return keyed.rows_by_key(t.raw("customer"), keys, ["c_nationkey", "c_mktsegment"]).select("c_custkey")
+
+
+@query
+def key_rows(t: Tables) -> DataFrame:
+    """Object key links to append: those of the orders that the line items' orders do not have."""
+    spec = CATALOG["s3_object_key"]
+    stored = t.raw("lineitem").filter("l_shipdate < '1997-01-01'").select(
+        F.col("l_orderkey").alias("s3_object_id"), F.col("l_partkey").alias("geospatial_key_id"),
+        F.col("l_suppkey").alias("temporal_key_id"),
+    )
+    asked = t.raw("lineitem").select(
+        F.col("l_orderkey").alias("s3_object_id"), F.col("l_partkey").alias("geospatial_key_id"),
+        F.col("l_suppkey").alias("temporal_key_id"),
+    )
+    return keyed.insert_missing(stored, asked, spec)
+
+
 @query
 def insert_missing(t: Tables) -> DataFrame:
     spec = TableSpec("kind", CATALOG["s3_object_key"].schema, None, ("s3_object_id",), ("s3_object_id",))
@@ -237,15 +266,15 @@ def apply_updates(t: Tables) -> DataFrame:
         F.col("c_custkey").alias("organization_id"), F.col("c_name").alias("name"),
         ntz("2020-01-01 00:00:00").alias("last_updated"),
     )
-    changed = stored.filter("organization_id % 10 = 0").select(
-        "organization_id", F.upper("name").alias("name")
+    changed = t.raw("customer").filter("c_acctbal < 0").select(
+        F.col("c_custkey").alias("organization_id"), F.upper("c_name").alias("name")
     )
     return keyed.apply_updates(stored, changed, CATALOG["organization"], NOW)
 
 
 @query
 def next_version(t: Tables) -> DataFrame:
-    stored = t.raw("supplier").filter("s_suppkey % 2 = 0").select(
+    stored = t.raw("supplier").select(
         (F.col("s_nationkey") % 5).alias("function_name"),
         (F.col("s_suppkey") % 3).alias("major"), F.lit(1).alias("function_type_id"),
         (F.col("s_suppkey") % 20).alias("minor"),
@@ -291,7 +320,7 @@ def group_rollup(t: Tables) -> DataFrame:
 
 @query
 def subtree_fields(t: Tables) -> DataFrame:
-    wanted = t.grouper.filter("parent_grouper_id is null and grouper_id % 2 = 0")
+    wanted = t.grouper.filter("parent_grouper_id is null")
     return hierarchy.rows_of_subtree(hierarchy.closure(t.grouper), t.field, wanted).select(
         "field_id", "ancestor_id"
     )
@@ -408,7 +437,7 @@ def fill_plan(t: Tables) -> DataFrame:
 
 @query
 def fill_param_groups(t: Tables) -> DataFrame:
-    gaps = t.raw("part").filter("p_partkey % 20 > 0").select(
+    gaps = t.raw("part").select(
         (F.col("p_partkey") % 20).cast("int").alias("utm_zone"), F.col("p_brand").alias("parameter")
     )
     return requests.parameter_groups(gaps).select(
@@ -586,7 +615,7 @@ def field_documents(t: Tables) -> DataFrame:
 
 @query
 def key_observations(t: Tables) -> DataFrame:
-    geo = t.raw("customer").filter("c_custkey % 2 = 0").select(
+    geo = t.raw("customer").select(
         F.col("c_custkey").alias("geospatial_key_id"), F.col("c_custkey").alias("geom_id"),
         F.col("c_custkey").alias("field_id"),
     )
@@ -611,9 +640,9 @@ def key_product(t: Tables) -> DataFrame:
 
 @query
 def latest_object(t: Tables) -> DataFrame:
-    keys = t.raw("orders").filter("o_custkey % 3 = 0").select(
-        (F.col("o_custkey") % 100).alias("geospatial_key_id"),
-        F.month("o_orderdate").cast("long").alias("temporal_key_id"),
+    keys = t.raw("lineitem").select(
+        (F.col("l_suppkey") % 100).alias("geospatial_key_id"),
+        F.month("l_shipdate").cast("long").alias("temporal_key_id"),
     )
     return features.latest_object(t.s3_object, t.s3_object_key, keys).select(
         "s3_type_id", "s3_object_id", "key", "n_objects"
@@ -697,9 +726,8 @@ def polygon_join(t: Tables) -> DataFrame:
 
 @query
 def shape_join(t: Tables) -> DataFrame:
-    even = t.geom.filter("geom_id % 2 = 0")
-    odd = t.geom.filter("geom_id % 2 = 1").withColumnRenamed("geom_id", "other_id")
-    return spatial.spatial_join(even, odd).select("geom_id", "other_id")
+    other = t.geom.withColumnRenamed("geom_id", "other_id")
+    return spatial.spatial_join(t.geom, other).select("geom_id", "other_id")
 
 
 @query
@@ -742,9 +770,9 @@ def acts_outside_field(t: Tables) -> DataFrame:
 
 @query
 def geometry_upsert(t: Tables) -> DataFrame:
-    """Geometries of even keys are stored; all are asked for, drawn from another corner."""
+    """The suppliers' squares are stored; the customers' are asked for, drawn another way."""
     redrawn = _redrawn(t.geom).select(F.col("geom_id").alias("candidate"), "kind", "rings")
-    stored = spatial.with_canonical(t.geom.filter("geom_id % 2 = 0"))
+    stored = spatial.with_canonical(t.supplier_geom)
     fresh, found = spatial.insert_or_get_geom(stored, redrawn)
     top = stored.agg(F.max("geom_id").alias("m")).scalar()
     n_new = fresh.agg(F.count("*").alias("n")).scalar()
@@ -764,8 +792,8 @@ def geometry_by_id(t: Tables) -> DataFrame:
 
 @query
 def points_on_land(t: Tables) -> DataFrame:
-    """Land cells are those of the points with even keys."""
-    land = grid.cells_of_points(t.points.filter("point_id % 2 = 0")).select("cell_id").distinct()
+    """Land cells are those of the suppliers' points."""
+    land = grid.cells_of_points(t.supplier_points).select("cell_id").distinct()
     return grid.points_on_land(t.points, land).select("point_id")
 
 
@@ -1050,12 +1078,12 @@ def observation_counts(t: Tables) -> DataFrame:
 @query
 def feature_matrix(t: Tables) -> DataFrame:
     """Geometry rows with orders per field, and with every square their own meets."""
-    frames = features.FrameSet(t.geom.filter("geom_id % 2 = 0"))
+    frames = features.FrameSet(t.geom)
     per_field = t.raw("orders").groupBy(F.col("o_custkey").alias("geom_id")).agg(
         F.count("*").alias("n_orders")
     )
     frames.add("orders", per_field)
-    frames.add("squares", t.geom.filter("geom_id % 2 = 1").withColumnRenamed("geom_id", "square_id"), geo=True)
+    frames.add("squares", t.supplier_geom.withColumnRenamed("geom_id", "square_id"), geo=True)
     return frames.matrix().select("geom_id", "n_orders", "square_id")
 
 
@@ -1063,3 +1091,78 @@ def feature_matrix(t: Tables) -> DataFrame:
 def seeded_weather_types(t: Tables) -> DataFrame:
     stored = t.weather_type.select("weather_type_id", "weather_type")
     return tables.seed_weather_types(stored).select("weather_type_id", "weather_type", "units")
+
+
+@query
+def all_field_ids(t: Tables) -> DataFrame:
+    return tables.all_ids(t.field, CATALOG["field"])
+
+
+@query
+def daily_weather_types(t: Tables) -> DataFrame:
+    return w.daily_weather_types(t.weather_type).select("weather_type_id", "weather_type")
+
+
+@query
+def need_of_populated(t: Tables) -> DataFrame:
+    return w.need_of_populated(t.daily, t.world_utm, t.cell_centroid, NOW).drop("lon", "lat")
+
+
+@query
+def merged_need(t: Tables) -> DataFrame:
+    populated = w.need_of_populated(t.daily, t.world_utm, t.cell_centroid, NOW)
+    return w.merged_need(t.need, populated).select("world_utm_id", "cell_id", "date_first")
+
+
+@query
+def fill_inventory_skip_empty(t: Tables) -> DataFrame:
+    """Gaps of the fields' cells alone, leaving out parameters a polygon has no row of."""
+    daily = t.daily.filter("weather_type_id <> 4 or world_utm_id = 1")
+    gaps = w.fill_inventory(t.need, daily, t.weather_type, NOW, skip_empty=True)
+    return gaps.groupBy("world_utm_id", "parameter").agg(F.count("*").alias("n_gaps"))
+
+
+@query
+def mixed_offsets(t: Tables) -> DataFrame:
+    rows = t.raw("orders").select(
+        (F.col("o_custkey") % 60).alias("zone"), (F.col("o_custkey") % 600).alias("chunk"),
+        (F.col("o_orderdate") > "1998-01-01").cast("int").alias("utc_offset_seconds"),
+    )
+    return checks.mixed_offsets(rows, ["zone", "chunk"])
+
+
+@query
+def geometry_for_keys(t: Tables) -> DataFrame:
+    keys = t.raw("orders").select((F.col("o_custkey") + 1).alias("geom_id"))
+    return features.geometry_for_keys(t.geom, keys).select("geom_id")
+
+
+@query
+def key_product_ids(t: Tables) -> DataFrame:
+    """Orders' keys with the ids of their halves."""
+    day = F.to_date("o_orderdate")
+    keys = t.raw("orders").select(
+        F.col("o_custkey").alias("geom_id"), F.col("o_custkey").alias("field_id"),
+        day.alias("start_date"), F.date_add(day, 1).alias("end_date"),
+    )
+    geo = t.raw("customer").select(
+        F.col("c_custkey").alias("geom_id"), F.col("c_custkey").alias("field_id"),
+        (F.col("c_custkey") * 2).alias("geospatial_key_id"),
+    )
+    days = keys.select("start_date", "end_date").distinct().withColumn(
+        "temporal_key_id", F.datediff("start_date", F.lit("1990-01-01").cast("date"))
+    )
+    return features.with_key_ids(keys, geo, days).select("geospatial_key_id", "temporal_key_id")
+
+
+@query
+def type_dimension_upsert(t: Tables) -> DataFrame:
+    """Crop names of all parts, stored once each under dense ids from 1."""
+    asked = t.raw("part").select(
+        F.upper("p_name").alias("crop"), F.lit(None).cast("string").alias("product_name")
+    )
+    fresh, _ = keyed.insert_or_get(CATALOG["crop_type"].empty(t.spark), asked, CATALOG["crop_type"], NOW)
+    return fresh.select(
+        F.count("*").alias("n_rows"), F.min("crop_type_id").alias("first_id"),
+        F.max("crop_type_id").alias("last_id"), F.count_distinct("crop").alias("n_crops"),
+    )
