@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from croplake.catalog import TableSpec
-from croplake.operators.ranking import key_struct, null_safe_join, numbered, time_bucket
+from croplake.operators.ranking import null_safe_join, numbered, time_bucket
 from croplake.session import cut_lineage
 
 #: buckets new rows are numbered in; the table of bucket counts has this many rows
@@ -42,15 +42,10 @@ def find_ids(
     Nulls match nulls. Of several matches the smallest id is given.
     """
     key = _key(spec, by)
-    rows = candidates.drop(spec.id_col)
-    if any(rows.schema[c].dataType != existing.schema[c].dataType for c in key):
-        stored = existing.groupBy(*key).agg(F.min(spec.id_col).alias(spec.id_col))
-        return null_safe_join(rows, stored, key, "left")
-    # grouped and joined by one struct: the stored table is shuffled once
-    stored = existing.groupBy(key_struct(existing, key).alias("_key")).agg(
-        F.min(spec.id_col).alias(spec.id_col)
-    )
-    return rows.withColumn("_key", key_struct(rows, key)).join(stored, "_key", "left").drop("_key")
+    stored = existing.groupBy(*key).agg(F.min(spec.id_col).alias(spec.id_col))
+    # joined by another expression than it is grouped by: the shuffle in between is what lets
+    # Spark split a key that many candidates share
+    return null_safe_join(candidates.drop(spec.id_col), stored, key, "left")
 
 
 def rows_by_id(existing: DataFrame, ids: DataFrame, spec: TableSpec) -> DataFrame:

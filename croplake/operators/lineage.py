@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from croplake.catalog import ARGUMENT_FAMILIES
-from croplake.operators.ranking import batches
+from croplake.operators.ranking import batches, null_safe_join
 
 #: argument families that count as inputs, and what they are called in a summary
 INPUT_FAMILIES = {"observation_argument": "observation", "keyword_argument": "keyword",
@@ -135,8 +135,10 @@ def duplicate_executions(
     )
     key = ["_n", "_h1", "_h2"] + (["function_id"] if same_function else [])
     first = all_prints.groupBy(*key).agg(F.min("execution_id").alias("duplicate_of"))
+    # many executions may share one fingerprint: the join shuffles by another expression than the
+    # aggregate did, so that Spark may split it
     pairs = (
-        all_prints.join(first, key)
+        null_safe_join(all_prints, first, key)
         .filter(F.col("execution_id") != F.col("duplicate_of"))
         .select("execution_id", "duplicate_of", "_n")
     )

@@ -231,18 +231,19 @@ def season_length(
 
     The pairs are the result here, harvests before planting included. Parcels of all three levels
     are paired by one join on (level, id). The organization joins to the plantings, before the
-    pairs exist, so the pairing is the last join and Spark may split a hot parcel over many tasks.
+    pairs exist; the pairing has a shuffle of its own, so Spark may split a hot parcel over tasks.
     """
     org = field.select(F.col("field_id").alias("owner_field_id"), "organization_id")
     owned = parcels(field, field_trial, plot).join(org, "owner_field_id").drop("owner_field_id")
     columns = ["date_performed", *PARENT_IDS]
+    pair = F.struct("level", "parcel_id").alias("_pair")
     plant = by_parcel(act.filter("act_type = 'PLANT'").select(*columns)).join(
         owned, ["level", "parcel_id"]
-    ).withColumnRenamed("date_performed", "date_plant")
+    ).select(pair, "organization_id", *PARENT_IDS, F.col("date_performed").alias("date_plant"))
     harvest = by_parcel(act.filter("act_type = 'HARVEST'").select(*columns)).select(
-        "level", "parcel_id", F.col("date_performed").alias("date_harvest")
+        pair, F.col("date_performed").alias("date_harvest")
     )
-    return plant.join(harvest, ["level", "parcel_id"]).select(
+    return plant.join(harvest, "_pair").select(
         "organization_id", *PARENT_IDS, "date_plant", "date_harvest",
         (F.col("date_harvest") - F.col("date_plant")).alias("season_length"),
         F.datediff("date_harvest", "date_plant").alias("season_days"),
