@@ -42,7 +42,7 @@ def _band_bounds(letter: str) -> tuple[int, int]:
 def _solve(f, lo: float, hi: float, targets: np.ndarray) -> np.ndarray:
     """Where the rising function ``f`` takes each of ``targets``, by bisection."""
     low, high = np.full_like(targets, lo), np.full_like(targets, hi)
-    for _ in range(60):
+    for _ in range(50):
         mid = (low + high) / 2
         below = f(mid) < targets
         low, high = np.where(below, mid, low), np.where(below, high, mid)
@@ -200,14 +200,20 @@ def grid_metadata(spark: SparkSession) -> DataFrame:
     )
 
 
+def _solid(value: Column) -> Column:
+    """``value``, NaN for null: arithmetic on it needs no null checks, which keeps the generated
+    code of the long series small enough to be compiled."""
+    return F.coalesce(value, F.lit(float("nan")))
+
+
 def _centre_columns(df: DataFrame) -> DataFrame:
     """Adds lng_centroid and lat_centroid of (grid_col, grid_row) in the row's polygon plane."""
     x = F.col("origin_x") + (F.col("grid_col") + 0.5) * CELL * F.col("step_x")
     y = F.col("origin_y") + (F.col("grid_row") + 0.5) * CELL * F.col("step_y")
     south = F.col("raster_epsg").between(32701, 32760)
     polar = F.col("zone") == 0
-    planed = df.withColumn("_x", x).withColumn(
-        "_y", F.when(south, y - utm.FALSE_NORTHING_SOUTH).otherwise(y)
+    planed = df.withColumn("_x", _solid(x)).withColumn(
+        "_y", _solid(F.when(south, y - utm.FALSE_NORTHING_SOUTH).otherwise(y))
     )
     xi, eta = utm.unproject(F.col("_x"), F.col("_y"), F)
     planed = planed.withColumn("_xi", xi).withColumn("_eta", eta)
@@ -263,7 +269,8 @@ def zone_of(lon: Column, lat: Column) -> tuple[Column, Column]:
     polar = F.when(lat <= -80, F.when(lon <= 0, "A").otherwise("B")).when(
         lat > 84, F.when(lon <= 0, "Y").otherwise("Z")
     )
-    letter = F.coalesce(polar, F.element_at(letters, band))
+    # never null, so that no null filter repeats these expressions below the join that uses them
+    letter = F.coalesce(polar, F.element_at(letters, band), F.lit(""))
     zone = F.least(F.greatest(F.ceil((lon + 180) / 6), F.lit(1)), F.lit(60)).cast("int")
     for band_letter, zones in ODD_ZONES.items():
         lo = min(w for w, _ in zones.values())
@@ -273,7 +280,7 @@ def zone_of(lon: Column, lat: Column) -> tuple[Column, Column]:
             odd = F.when(lon <= e, F.lit(z)).otherwise(odd)
         # the western border belongs to the zone before
         zone = F.when((letter == band_letter) & (lon > lo) & (lon <= hi), odd).otherwise(zone)
-    return F.when(polar.isNotNull(), F.lit(0)).otherwise(zone), letter
+    return F.coalesce(F.when(polar.isNotNull(), F.lit(0)).otherwise(zone), F.lit(-1)), letter
 
 
 def cells_of_points(points: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
@@ -297,23 +304,24 @@ def cells_of_points(points: DataFrame, lon: str = "lon", lat: str = "lat") -> Da
         F.broadcast(polygons), ["zone", "utm_row"]
     )
     polar = F.col("zone") == 0
-    t = utm.conformal(F.radians(lat), F)
-    placed = placed.withColumn("_t", t).withColumn("_dl", F.radians(F.col(lon) - F.col("meridian")))
+    t = utm.conformal(F.radians(_solid(F.col(lat))), F)
+    placed = placed.withColumn("_t", t).withColumn(
+        "_dl", F.radians(_solid(F.col(lon) - F.col("meridian")))
+    )
     xi, eta = utm.spherical(F.col("_dl"), F.col("_t"), F)
-    # a polar point is 90 degrees and more from its "meridian": keep atanh inside its domain
-    placed = placed.withColumn("_xi", F.when(~polar, xi)).withColumn("_eta", F.when(~polar, eta))
-    rho = F.when(polar, utm.polar_rho(F.abs(F.col(lat)), F))
+    placed = placed.withColumn("_xi", xi).withColumn("_eta", eta)
+    placed = placed.withColumn("_east", utm.easting(F.col("_xi"), F.col("_eta"), F)).withColumn(
+        "_north", utm.northing(F.col("_xi"), F.col("_eta"), F)
+    ).withColumn("_rho", utm.polar_rho(F.abs(_solid(F.col(lat))), F))
+    rho = F.col("_rho")
     south = F.col("raster_epsg").between(32701, 32760)
     north_pole = F.col("raster_epsg") == 32661
-    x = F.when(polar, F.lit(utm.POLAR_FALSE) + rho * F.sin(F.radians(lon))).otherwise(
-        utm.easting(F.col("_xi"), F.col("_eta"), F)
-    )
+    x = F.when(polar, F.lit(utm.POLAR_FALSE) + rho * F.sin(F.radians(lon))).otherwise(F.col("_east"))
     y_polar = rho * F.cos(F.radians(lon))
     y = F.when(polar & north_pole, F.lit(utm.POLAR_FALSE) - y_polar).when(
         polar, F.lit(utm.POLAR_FALSE) + y_polar
     ).otherwise(
-        utm.northing(F.col("_xi"), F.col("_eta"), F)
-        + F.when(south, F.lit(utm.FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
+        F.col("_north") + F.when(south, F.lit(utm.FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
     )
     placed = placed.withColumn("_x", x).withColumn("_y", y)
     placed = placed.withColumn(

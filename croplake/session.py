@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # longer generated methods are not compiled by the JVM; Spark then does better without fusing
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
