@@ -22,7 +22,9 @@ ID_BUCKETS = 4096
 
 def _now(now: datetime | str | None) -> Column:
     if now is None:
-        return F.expr("cast(current_timestamp() as timestamp_ntz)")
+        return F.expr(
+            "convert_timezone(current_timezone(), 'UTC', cast(current_timestamp() as timestamp_ntz))"
+        )
     return F.lit(str(now)).cast("timestamp_ntz")
 
 

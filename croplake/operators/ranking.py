@@ -27,7 +27,8 @@ def id_bucket(column: str | Column, width: int = ID_BUCKET) -> Column:
 def time_bucket(column: str | Column) -> Column:
     """Bucket of a time ordering column: the hour, as hours since 1970."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.floor(F.unix_seconds(c.cast("timestamp")) / F.lit(3600)).cast("long")
+    day = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date"))
+    return (day * 24 + F.hour(c)).cast("long")
 
 
 def key_struct(df: DataFrame, keys: list[str]) -> Column:

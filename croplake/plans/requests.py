@@ -253,10 +253,7 @@ def halved(failed: DataFrame) -> DataFrame:
         return F.slice(column, F.lit(1), first), F.slice(column, first + 1, n)
 
     points, params = halves("coordinate_list"), halves("parameters")
-    seconds = F.unix_seconds(F.col("enddate").cast("timestamp")) - F.unix_seconds(
-        F.col("startdate").cast("timestamp")
-    )
-    n_days = F.floor(seconds / F.lit(86400)) + 1
+    n_days = F.expr("extract(DAY FROM (enddate - startdate))") + 1
     split = F.floor(n_days / F.lit(2)).cast("int")
     middle = F.col("startdate") + F.make_dt_interval(split)
 
