@@ -9,7 +9,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: A side of a join is broadcast only when a count shows that it has at most this many rows of a few numbers.
 BROADCAST_ROWS = 500_000
@@ -74,12 +73,7 @@ def as_text(column: pa.Array) -> pa.Array:
     return column.fill_null("") if column.null_count else column
 
 
-def ids_of(column: pa.Array) -> np.ndarray:
-    """An object array of ids where there are nulls, else of longs."""
-    return column.to_numpy(zero_copy_only=False) if not column.null_count else np.array(column.to_pylist(), dtype=object)
-
-
-def passing(columns: list[str], batch: pa.RecordBatch, mask: np.ndarray) -> pa.RecordBatch:
+def passing(batch: pa.RecordBatch, mask: np.ndarray) -> pa.RecordBatch:
     return batch.filter(pa.array(mask, pa.bool_()))
 
 
@@ -113,6 +107,3 @@ def components(edges: DataFrame) -> DataFrame:
 def _down(edges: DataFrame) -> DataFrame:
     return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
 
-
-def fields(schema: str) -> list[str]:
-    return [f.name for f in T._parse_datatype_string(schema).fields]
