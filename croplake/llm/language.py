@@ -204,9 +204,10 @@ def model(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray] | None:
     sample = known.where(F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(1 << 30)) < shares[F.col("lang")] * (1 << 30))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        got = pa.Table.from_batches(list(batches))
-        if not got.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
+        got = pa.Table.from_batches(held)
         got = got.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         weights, switch = fit(got.column("text").to_pylist(), [langs.index(x) for x in got.column("lang").to_pylist()], len(langs))
         packed = io.BytesIO()

@@ -24,7 +24,7 @@ from . import common, tokens
 TOXIC_ROWS, OTHER_ROWS = 4_000, 8_000
 #: A feature of fewer sampled texts is not learned.
 LEAST_TEXTS = 4
-ALPHA, BETA, L2, EPOCHS = 3.0, 1.0, 0.001, 8
+ALPHA, BETA, L2, EPOCHS = 3.0, 1.0, 0.001, 5
 #: The L1 term: larger for more toxic texts, up to a bound.
 L1_LEAST, L1_PER_TEXT, L1_MOST = 1.0, 1 / 150, 10.0
 THRESHOLD = 0.7
@@ -90,9 +90,10 @@ def model(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     sample = docs.select("doc_id", "text").join(F.broadcast(some), F.col("doc_id") == F.col("__id")).select("doc_id", "text", F.col("__toxic").cast("int").alias("toxic"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        got = pa.Table.from_batches(list(batches))
-        if not got.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
+        got = pa.Table.from_batches(held)
         got = got.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
         texts = got.column("text").combine_chunks()
         names, w = fit(common.as_text(texts), got.column("toxic").to_numpy())
