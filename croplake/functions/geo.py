@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 STORED_DECIMALS, COMPARED_DECIMALS = 9, 7
 
 _EDGES = (
-    "flatten(transform({r}, g -> transform(sequence(1, size(g) - 1), "
-    "i -> named_struct('a', g[i - 1], 'b', g[i]))))"
+    "flatten(transform({r}, g -> transform(slice(g, 2, greatest(size(g) - 1, 0)), "
+    "(p, i) -> named_struct('a', g[i], 'b', p))))"
 )
 
 
 def edges(rings: str) -> Column:
-    """All edges {a, b}; rings need at least two points."""
+    """All edges {a, b}; a ring of one point has none."""
     return F.expr(_EDGES.format(r=rings))
 
 
@@ -25,6 +25,11 @@ def vertices(rings: str) -> Column:
     return F.flatten(rings)
 
 
+def heads(rings: str) -> Column:
+    """One point of every ring; rings without points have none."""
+    return F.expr(f"transform(filter({rings}, g -> size(g) > 0), g -> g[0])")
+
+
 def bbox(rings: str) -> Column:
     """{x0, y0, x1, y1}."""
     return F.expr(
@@ -70,18 +75,40 @@ def point_in_edges(x: str, y: str, edge_list: str) -> Column:
     return F.expr(f"({_inside(x, y, edge_list)}) or {_on_edge(x, y, edge_list)}")
 
 
-def points_covered(points: str, edge_list: str, tol: float) -> Column:
-    """Every point of an array inside the area or within ``tol`` of its border.
+def some_point_in_edges(points: str, edge_list: str) -> Column:
+    """Some point of an array inside or on the border of the area bounded by ``edge_list``."""
+    return F.expr(
+        f"exists({points}, q -> ({_inside('q.x', 'q.y', edge_list)}) or {_on_edge('q.x', 'q.y', edge_list)})"
+    )
 
-    For a convex area that is the same as covering the shape the points span; for others an edge
-    between two covered points may still leave the area.
-    """
+
+def points_covered(points: str, edge_list: str, tol: float) -> Column:
+    """Every point of an array inside the area or within ``tol`` of its border."""
     return F.expr(
         f"forall({points}, q -> ({_inside('q.x', 'q.y', edge_list)}) or "
         f"{_near_edge('q.x', 'q.y', edge_list, f'{tol!r}D')})"
     )
 
 
+def edges_covered(inner: str, outer: str, tol: float) -> Column:
+    """Every edge of ``inner`` inside the area of ``outer`` or within ``tol`` of its border.
+
+    An edge is cut where it meets outer edges; each piece lies on one side, so its middle decides.
+    """
+    nx, ny, dx, dy = "(n.b.x - n.a.x)", "(n.b.y - n.a.y)", "(d.b.x - d.a.x)", "(d.b.y - d.a.y)"
+    den = f"nullif({nx} * {dy} - {ny} * {dx}, 0D)"
+    gx, gy = "(d.a.x - n.a.x)", "(d.a.y - n.a.y)"
+    at, on = f"(({gx} * {dy} - {gy} * {dx}) / {den})", f"(({gx} * {ny} - {gy} * {nx}) / {den})"
+    cuts = (
+        f"array_sort(concat(array(0D, 1D), transform(filter({outer}, d -> coalesce({at} between 0 and 1 "
+        f"and {on} between 0 and 1, false)), d -> {at})))"
+    )
+    x, y = f"(n.a.x + m * {nx})", f"(n.a.y + m * {ny})"
+    fine = f"({_inside(x, y, outer)}) or {_near_edge(x, y, outer, f'{tol!r}D')}"
+    middles = "transform(slice(ts, 2, size(ts) - 1), (t, i) -> (t + ts[i]) / 2)"
+    return F.expr(f"forall({inner}, n -> forall(array({cuts}), ts -> forall({middles}, m -> {fine})))")
+
+
 def edges_meet(left: str, right: str) -> Column:
     """Some edge of one list meets some edge of the other, touching included."""
     def side(p: str, a: str, b: str) -> str:

@@ -11,6 +11,7 @@ from croplake.catalog import DAILY_WEATHER_TYPES, NUTRIENTS, RASTER_SUBTYPES, Ta
 from croplake.operators.ranking import null_safe_join
 from croplake.operators.views import PARENT_IDS, owner_field
 
+#: fixed value: what a unit may be called
 UNIT_NAME_PATTERN = r"^[A-Za-z](.*[A-Za-z0-9])?$"
 
 

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from croplake.operators.ranking import batches, id_bucket
 from croplake.session import cut_lineage
 
-MAX_DEPTH = 10_000
-
-
-def descend(grouper: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def descend(grouper: DataFrame) -> DataFrame:
     """Groups reachable from a root (a group without parent), with ``depth``.
 
     One join per level, whatever the number of groups; every level is written before the next
@@ -23,7 +22,7 @@ def descend(grouper: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         tree.filter(F.col("parent_grouper_id").isNull()).withColumn("depth", F.lit(0))
     )
     done = level
-    for depth in range(1, max_depth + 1):
+    for depth in itertools.count(1):  # ends at the first empty level
         parents = level.select(F.col("grouper_id").alias("_p"))
         level = cut_lineage(
             tree.join(parents, F.col("parent_grouper_id") == F.col("_p"), "left_semi")
@@ -32,7 +31,6 @@ def descend(grouper: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         if level.isEmpty():
             return grouper.join(done.select("grouper_id", "depth"), "grouper_id")
         done = done.unionByName(level)
-    raise RuntimeError(f"the group tree is deeper than {max_depth} levels")
 
 
 def unreachable(grouper: DataFrame, descent: DataFrame) -> DataFrame:
@@ -40,7 +38,7 @@ def unreachable(grouper: DataFrame, descent: DataFrame) -> DataFrame:
     return grouper.join(descent.select("grouper_id"), "grouper_id", "left_anti")
 
 
-def closure(grouper: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def closure(grouper: DataFrame) -> DataFrame:
     """(ancestor_id, grouper_id, distance) for every group and each of its ancestors, itself too.
 
     Walks up one level per join. A walk ends at a root, at an unknown parent, or when it comes
@@ -56,7 +54,7 @@ def closure(grouper: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     )
     known = grouper.select(F.col("grouper_id").alias("_known"))
     done = level
-    for distance in range(1, max_depth + 1):
+    for distance in itertools.count(1):
         up = level.join(parent, F.col("ancestor_id") == F.col("_child")).select(
             F.col("_up").alias("ancestor_id"), "grouper_id", F.lit(distance).alias("distance")
         )
@@ -65,7 +63,6 @@ def closure(grouper: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         if level.isEmpty():
             return done
         done = done.unionByName(level)
-    raise RuntimeError(f"the group tree is deeper than {max_depth} levels")
 
 
 def ancestors(closure_rows: DataFrame, groups: DataFrame) -> DataFrame:

@@ -84,6 +84,8 @@ def points_in_polygons(
 def spatial_join(left: DataFrame, right: DataFrame, suffix: str = "_right") -> DataFrame:
     """Rows of two tables with ``rings`` whose shapes intersect, touching included.
 
+    Shapes may have several parts, holes, and rings of a single point. Without edges that meet,
+    a ring lies wholly inside or outside the other shape, so one point of every ring decides.
     Columns of the right side that the left has too get ``suffix``. Two shapes meet on the tiles
     of the coarser of their levels; a pair that shares several tiles is taken in the one tile that
     holds the lower left corner of what their boxes share, so no pair is made twice.
@@ -96,10 +98,10 @@ def spatial_join(left: DataFrame, right: DataFrame, suffix: str = "_right") -> D
     levels = _levels_used((lt, "_lown"), (rt, "_rown"))
     lt = _tiles_of_box(_with_levels(lt, "_lown", levels, True), "_lbox").withColumn(
         "_ledges", geo.edges("rings")
-    ).withColumn("_lpoints", geo.vertices("rings"))
+    ).withColumn("_lheads", geo.heads("rings"))
     rt = _tiles_of_box(_with_levels(rt, "_rown", levels, True), "_rbox").withColumn(
         "_redges", geo.edges(f"`{r_rings}`")
-    ).withColumn("_rpoints", geo.vertices(f"`{r_rings}`"))
+    ).withColumn("_rheads", geo.heads(f"`{r_rings}`"))
     shared_x = F.expr("greatest(_lbox.x0, _rbox.x0)")
     shared_y = F.expr("greatest(_lbox.y0, _rbox.y0)")
     boxes_meet = F.expr(
@@ -111,9 +113,10 @@ def spatial_join(left: DataFrame, right: DataFrame, suffix: str = "_right") -> D
         _tile(shared_y, 180.0, F.col("_lv")) == F.col("_ty")
     )
     meets = (
-        geo.point_in_edges("_lpoints[0].x", "_lpoints[0].y", "_redges")
-        | geo.point_in_edges("_rpoints[0].x", "_rpoints[0].y", "_ledges")
-        | geo.edges_meet("_ledges", "_redges")
+        geo.edges_meet("_ledges", "_redges")
+        | geo.some_point_in_edges("_lheads", "_redges")
+        | geo.some_point_in_edges("_rheads", "_ledges")
+        | F.arrays_overlap("_lheads", "_rheads")
     )
     return (
         lt.join(rt, ["_lv", "_tx", "_ty"])
@@ -258,9 +261,16 @@ def outline(geom: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def covered(outer_edges: str, inner_points: str, tol: float = COVER_TOLERANCE) -> Column:
-    """Condition: the inner points lie in the outer shape or within ``tol`` of its border."""
-    return geo.points_covered(inner_points, outer_edges, tol)
+def covered(
+    outer_edges: str, inner_points: str, inner_edges: str | None = None, tol: float = COVER_TOLERANCE
+) -> Column:
+    """Condition: the inner points lie in the outer shape or within ``tol`` of its border.
+
+    With ``inner_edges`` the lines between them do too, which matters where the outer shape is
+    concave. A hole of the outer shape that lies wholly within the inner one is not seen.
+    """
+    points = geo.points_covered(inner_points, outer_edges, tol)
+    return points if inner_edges is None else points & geo.edges_covered(inner_edges, outer_edges, tol)
 
 
 def acts_outside_field(
@@ -279,7 +289,7 @@ def acts_outside_field(
         shaped = owner_field(shaped, field_trial, plot)
     else:
         shaped = shaped.withColumn("owner_field_id", F.col("field_id"))
-    inner = outline(geom, "_in").drop("_in_edges")
+    inner = outline(geom, "_in")
     outer = field.select(F.col("field_id").alias("_f"), F.col("geom_id").alias("_fg")).join(
         outline(geom, "_out").drop("_out_points"), F.col("_fg") == F.col("_out_id")
     )
@@ -288,5 +298,5 @@ def acts_outside_field(
     )
     # a field's own geometry covers itself; only others are tested point by point
     same = F.col("geom_id") == F.col("_fg")
-    fine = same | (F.col("_in_points").isNotNull() & covered("_out_edges", "_in_points", tol))
+    fine = same | (F.col("_in_points").isNotNull() & covered("_out_edges", "_in_points", "_in_edges", tol))
     return joined.filter(~F.coalesce(fine, F.lit(False))).select(*act.columns, "owner_field_id")

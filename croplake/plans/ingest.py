@@ -69,10 +69,20 @@ def filter_response(clean: DataFrame, need: DataFrame) -> DataFrame:
     return exactly_requested(clean, need)
 
 
+def unknown_parameters(clean: DataFrame, weather_type: DataFrame) -> DataFrame:
+    """(variable, rows) of cleaned rows whose parameter isn't a stored weather type."""
+    ids = weather_type.select(F.col("weather_type").alias("variable"))
+    return clean.join(ids, "variable", "left_anti").groupBy("variable").agg(F.count("*").alias("rows"))
+
+
 def daily_rows_of(clean: DataFrame, weather_type: DataFrame) -> DataFrame:
-    """Cleaned rows with their type id, in the columns of the daily table."""
+    """Cleaned rows with their type id, in the columns of the daily table.
+
+    Rows of a parameter that ``weather_type`` lacks are left out, since a stored row needs its type;
+    :func:`unknown_parameters` reports them.
+    """
     ids = weather_type.select(F.col("weather_type").alias("variable"), "weather_type_id")
-    return clean.join(ids, "variable", "left").select(
+    return clean.join(ids, "variable").select(
         "world_utm_id", "cell_id", "date", "weather_type_id",
         F.col("value").cast("float").alias("value"), "date_requested",
     )

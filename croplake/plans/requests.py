@@ -10,6 +10,7 @@ from croplake.catalog import DAILY_WEATHER_TYPES
 from croplake.functions import timeops as t
 from croplake.operators.ranking import id_bucket, numbered
 
+#: fixed values: limits and sizes of requests
 MAX_PARAMETERS = 10
 DAILY_LIMIT = 2500
 PARAMETERS = tuple(w[0] for w in DAILY_WEATHER_TYPES)

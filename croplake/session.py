@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 #: Adaptive settings. ``forceOptimizeSkewedJoin`` lets Spark split a hot join key even when the
@@ -29,16 +27,17 @@ def builder(app_name: str = "croplake") -> SparkSession.Builder:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the session's own, else a scratch one in local mode only."""
+    """The shared checkpoint folder: ``spark.checkpoint.dir``, or where that is unset a folder of the warehouse.
+
+    Both are shared by all executors, whatever the master.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        configured = tempfile.mkdtemp(prefix="croplake-checkpoint-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(configured)
     return configured
 

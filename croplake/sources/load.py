@@ -123,13 +123,13 @@ def load_fields(
             ).alias("details"),
         )
     )
-    inner = spatial.outline(geoms, "_in").drop("_in_edges")
+    inner = spatial.outline(geoms, "_in")
     outer = spatial.outline(geoms, "_out").drop("_out_points")
     judged = acts.join(inner, F.col("geom_id") == F.col("_in_id")).join(
         outer, F.col("_field_geom") == F.col("_out_id")
     )
     fine = (F.col("geom_id") == F.col("_field_geom")) | spatial.covered(
-        "_out_edges", "_in_points", COVER_TOLERANCE
+        "_out_edges", "_in_points", "_in_edges", COVER_TOLERANCE
     )
     judged = judged.withColumn("_covered", fine)
     columns = [c for c in acts.columns if c != "_field_geom"]

@@ -166,3 +166,27 @@ def test_field_centroid(spark):
     field = spark.createDataFrame([(9, 1, datetime(2020, 1, 1))], "field_id long, geom_id long, d timestamp_ntz")
     row = spatial.field_centroids(field, geom).select(F.round("lon", 9), F.round("lat", 9)).first()
     assert tuple(row) == (-65.3, -36.1)
+
+
+def test_shapes_of_parts_and_points_join(spark):
+    square = [ring((0, 0), (10, 0), (10, 10), (0, 10))]
+    left = shapes(spark, [
+        (1, "MULTIPOLYGON", [ring((50, 50), (51, 50), (51, 51)), ring((4, 4), (5, 4), (5, 5))]),
+        (2, "POINT", [[{"x": 3.0, "y": 3.0}]]),
+        (3, "MULTIPOINT", [[{"x": 70.0, "y": 7.0}], [{"x": 10.0, "y": 5.0}]]),
+        (4, "POINT", [[{"x": 30.0, "y": 3.0}]]),
+    ])
+    right = shapes(spark, [(9, "POLYGON", square), (8, "POINT", [[{"x": 30.0, "y": 3.0}]])])
+    pairs = {(r["geom_id"], r["geom_id_right"]) for r in spatial.spatial_join(left, right).collect()}
+    assert pairs == {(1, 9), (2, 9), (3, 9), (4, 8)}
+    turned = {(r["geom_id_right"], r["geom_id"]) for r in spatial.spatial_join(right, left).collect()}
+    assert turned == pairs
+
+
+def test_bar_over_a_notch_is_not_covered(spark):
+    u = [ring((0, 0), (9, 0), (9, 9), (6, 9), (6, 3), (3, 3), (3, 9), (0, 9))]
+    bars = {1: ring((1, 6), (8, 6), (8, 7), (1, 7)), 2: ring((1, 1), (8, 1), (8, 2), (1, 2)), 3: ring((0, 0), (9, 0), (9, 3), (0, 3))}
+    rows = [(i, "POLYGON", [g]) for i, g in bars.items()]
+    inner, outer = spatial.outline(shapes(spark, rows), "_in"), spatial.outline(shapes(spark, [(9, "POLYGON", u)]), "_out")
+    got = inner.join(outer, F.lit(True)).select("_in_id", spatial.covered("_out_edges", "_in_points", "_in_edges").alias("ok")).collect()
+    assert {r["_in_id"]: r["ok"] for r in got} == {1: False, 2: True, 3: True}
