@@ -67,7 +67,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 def repeated(docs: DataFrame) -> DataFrame:
     """One row per removed unit: doc_id, start, end (in the original text), keep_doc_id, keep_start."""
-    found = occurrences(docs)
+    found = common.written(occurrences(docs), "units")  # read for the groups and for the removal
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")
     # smallest place and largest differ: the unit occurs again
     best = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("other")).where("first <> other")
