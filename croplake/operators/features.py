@@ -12,6 +12,7 @@ from croplake.operators.hierarchy import three_levels
 from croplake.operators.ranking import (
     batches, null_safe_join, numbered, time_bucket, with_previous_time,
 )
+from croplake.session import cut_lineage
 
 #: observations, operations and plantings up to this moment are left out
 EARLIEST = "2000-01-01 00:00:00"
@@ -171,7 +172,11 @@ FEATURE_KEY = ["field_id", "observation_type_id", "unit_type_id", "quantity"]
 
 
 def feature_rows(rows: DataFrame, mode: str = "runs", tolerance: str = "18 hours") -> DataFrame:
-    """Deduplicated observations with ``time_id``, ``unit_id`` and ``column_name`` type.unit.time."""
+    """Deduplicated observations with ``time_id``, ``unit_id`` and ``column_name`` type.unit.time.
+
+    ``rows`` are read for the runs, the moments and the units, so they are computed once and written.
+    """
+    rows = cut_lineage(rows)
     kept = deduplicated(rows, FEATURE_KEY, "acquired", "observation_id", tolerance, mode)
     times, units = time_ordinals(rows), unit_ordinals(rows)
     name = F.concat_ws(

@@ -44,7 +44,10 @@ def find_ids(
     Nulls match nulls. Of several matches the smallest id is given.
     """
     key = _key(spec, by)
-    stored = existing.groupBy(*key).agg(F.min(spec.id_col).alias(spec.id_col))
+    # the stored table is reduced to the keys in question first; few keys are sent to where it lies
+    wanted = candidates.select(*key).distinct()
+    hits = null_safe_join(existing.select(*key, spec.id_col), wanted, key)
+    stored = hits.groupBy(*key).agg(F.min(spec.id_col).alias(spec.id_col))
     # joined by another expression than it is grouped by: the shuffle in between is what lets
     # Spark split a key that many candidates share
     return null_safe_join(candidates.drop(spec.id_col), stored, key, "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from croplake.catalog import ARGUMENT_FAMILIES
 from croplake.operators.ranking import batches, null_safe_join
+from croplake.session import cut_lineage
 
 #: argument families that count as inputs, and what they are called in a summary
 INPUT_FAMILIES = {"observation_argument": "observation", "keyword_argument": "keyword",
@@ -120,8 +121,8 @@ def duplicate_executions(
     item by item with the earliest one of its fingerprint, never with all others, so a chance
     equality of fingerprints cannot pass.
     """
-    items = argument_items(arguments)
-    counted = _item_counts(items)
+    # read three times below: the arguments are counted once and written
+    counted = cut_lineage(_item_counts(argument_items(arguments)))
     h1 = F.xxhash64("family", "item", "_times").cast("decimal(20,0)")
     h2 = F.xxhash64("_times", "item", "family", F.lit(1)).cast("decimal(20,0)")
     prints = counted.groupBy("execution_id").agg(
@@ -129,10 +130,10 @@ def duplicate_executions(
     )
     zero = F.lit(0).cast("decimal(30,0)")
     # executions without any input are equal to one another
-    all_prints = execution.select(*_RUN).join(prints, "execution_id", "left").select(
+    all_prints = cut_lineage(execution.select(*_RUN).join(prints, "execution_id", "left").select(
         *_RUN, F.coalesce("_n", F.lit(0)).alias("_n"),
         F.coalesce("_h1", zero).alias("_h1"), F.coalesce("_h2", zero).alias("_h2"),
-    )
+    ))
     key = ["_n", "_h1", "_h2"] + (["function_id"] if same_function else [])
     first = all_prints.groupBy(*key).agg(F.min("execution_id").alias("duplicate_of"))
     # many executions may share one fingerprint: the join shuffles by another expression than the

@@ -706,6 +706,13 @@ def oracle_sql() -> dict[str, str]:
         "SELECT world_utm_id::int AS world_utm_id, cell_id, d AS date, weather_type_id, value, date_requested FROM "
         "(SELECT y.*, (date_requested + to_seconds(utc_offset_seconds))::date AS d FROM daily y JOIN utm USING (world_utm_id)) x "
         "WHERE EXISTS (SELECT 1 FROM update_need n WHERE n.cell_id = x.cell_id AND x.d BETWEEN n.date_first AND n.date_last)")
+    out["daily_append_ids"] = sql(
+        "SELECT m + 1 AS first_id, m + n AS last_id, n AS n_rows, n AS n_ids FROM (SELECT max(daily_id) AS m FROM daily), "
+        "(SELECT count(*) AS n FROM (SELECT y.*, (date_requested + to_seconds(utc_offset_seconds))::date AS d FROM daily y JOIN utm USING (world_utm_id)) x "
+        "WHERE EXISTS (SELECT 1 FROM update_need n WHERE n.cell_id = x.cell_id AND x.d BETWEEN n.date_first AND n.date_last))")
+    out["request_log_ids"] = sql(
+        "SELECT max(request_id) + 1 AS first_id, max(request_id) + count(*) AS last_id, count(*) AS n_rows, count(*) AS n_ids FROM request")
+    out["unknown_parameters"] = "SELECT l_returnflag AS variable, count(*) AS rows FROM lineitem GROUP BY l_returnflag"
     out["geojson_features"] = sql(
         "SELECT point_id AS geom_id, 'POLYGON' AS kind, round(lon, 6) AS x, round(lat, 6) AS y, 5 AS n_points FROM points")
     out["response_rows"] = (

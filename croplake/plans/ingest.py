@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croplake.functions import timeops as t
 from croplake.operators.checks import require_columns
+from croplake.operators.keyed import allocate_ids
 
 DAILY_COLUMNS = ["world_utm_id", "cell_id", "date", "weather_type_id", "value", "date_requested"]
 LOG_COLUMNS = ["zone", "utm_request_id", "n_pts_requested", "startdate", "enddate", "parameters",
@@ -88,23 +90,45 @@ def daily_rows_of(clean: DataFrame, weather_type: DataFrame) -> DataFrame:
     )
 
 
+def with_row_ids(rows: DataFrame, stored: DataFrame, id_col: str) -> DataFrame:
+    """``id_col`` and ``rows``: ids go on densely from the largest one of ``stored``, or from 1.
+
+    Which row gets which id depends on the rows alone, so a task that runs again gives the same.
+    """
+    start = stored.agg(F.coalesce(F.max(id_col), F.lit(0)) + 1).scalar()
+    return allocate_ids(rows, id_col, rows.columns, start).select(id_col, *rows.columns)
+
+
+def _stored_ids(spark: SparkSession, path: str, id_col: str) -> DataFrame:
+    """The ids of the table at ``path``; empty where there is none yet."""
+    schema = f"{id_col} long"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def append_daily(rows: DataFrame, path: str) -> None:
-    """Append rows to the daily table, one folder per polygon.
+    """Append rows to the daily table, one folder per polygon, with a ``daily_id`` each.
 
     Rows of a polygon are spread over as many files as adaptive execution finds fit.
     """
     require_columns(rows, DAILY_COLUMNS, "the weather table")
+    stored = _stored_ids(rows.sparkSession, path, "daily_id")
     (
-        rows.select(*DAILY_COLUMNS)
+        with_row_ids(rows.select(*DAILY_COLUMNS), stored, "daily_id")
         .hint("rebalance", "world_utm_id")
         .write.mode("append").partitionBy("world_utm_id").parquet(path)
     )
 
 
 def append_request_log(requests: DataFrame, path: str) -> None:
-    """Append the metadata of sent requests to the log; parameter lists become text."""
+    """Append the metadata of sent requests, with a ``request_id`` each; parameter lists become text."""
     require_columns(requests, LOG_COLUMNS, "the request table")
     rows = requests.select(*LOG_COLUMNS)
     if dict(rows.dtypes)["parameters"].startswith("array"):
         rows = rows.withColumn("parameters", F.array_join("parameters", ","))
-    rows.write.mode("append").parquet(path)
+    stored = _stored_ids(rows.sparkSession, path, "request_id")
+    with_row_ids(rows, stored, "request_id").write.mode("append").parquet(path)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from croplake.catalog import DAILY_WEATHER_TYPES
 from croplake.functions import timeops as t
 from croplake.operators.ranking import id_bucket, numbered
+from croplake.session import cut_lineage
 
-#: fixed values: limits and sizes of requests
+#: fixed values: limits and sizes of requests, and which parameters go together
 MAX_PARAMETERS = 10
 DAILY_LIMIT = 2500
 PARAMETERS = tuple(w[0] for w in DAILY_WEATHER_TYPES)
@@ -66,16 +67,30 @@ def split_years(need: DataFrame, now, forecast_days: int = t.FORECAST_DAYS) -> D
     )
 
 
+_CELL_YEAR = ["utm_zone", "utc_offset_seconds", "world_utm_id", "cell_id", "lon", "lat", "year"]
+
+
+def gap_cells(gaps: DataFrame) -> DataFrame:
+    """The gaps reduced, in every task before the shuffle, to one row per cell and year.
+
+    With the cell's first and last gap date and its parameters, an enumerated domain.
+    """
+    return gaps.withColumn("year", F.year("date")).groupBy(*_CELL_YEAR).agg(
+        F.min("date").alias("date_first"), F.max("date").alias("date_last"),
+        F.collect_set("parameter").alias("parameters"),
+    )
+
+
+def _cells_with_bounds(cells: DataFrame) -> DataFrame:
+    bounds = cells.groupBy("utm_zone", "year").agg(
+        F.min("date_first").alias("date_first"), F.max("date_last").alias("date_last")
+    )
+    return cells.select(*_CELL_YEAR).join(bounds, ["utm_zone", "year"])
+
+
 def split_years_for_fill(gaps: DataFrame) -> DataFrame:
     """Distinct cells per zone and year of the gaps, with the year's first and last gap date."""
-    by_year = gaps.withColumn("year", F.year("date"))
-    bounds = by_year.groupBy("utm_zone", "year").agg(
-        F.min("date").alias("date_first"), F.max("date").alias("date_last")
-    )
-    cells = by_year.select(
-        "utm_zone", "utc_offset_seconds", "world_utm_id", "cell_id", "lon", "lat", "year"
-    ).distinct()
-    return cells.join(bounds, ["utm_zone", "year"])
+    return _cells_with_bounds(gap_cells(gaps))
 
 
 def parameter_groups(gaps: DataFrame, limit: int = MAX_PARAMETERS) -> DataFrame:
@@ -175,10 +190,16 @@ def add_plan(
 
 
 def fill_plan(gaps: DataFrame, n_cells: int = CELLS_PER_FILL) -> DataFrame:
-    """Requests for a fill: zone × parameter group × year × chunk of cells."""
-    chunks = even_chunks(split_years_for_fill(gaps), ["utm_zone", "year"], n_cells)
+    """Requests for a fill: zone × parameter group × year × chunk of cells.
+
+    The gaps are computed once: bounds, chunks and parameter groups all come from the written
+    table of cells and years.
+    """
+    cells = cut_lineage(gap_cells(gaps))
+    chunks = even_chunks(_cells_with_bounds(cells), ["utm_zone", "year"], n_cells)
+    asked = cells.select("utm_zone", F.explode("parameters").alias("parameter"))
     # at most a handful of groups per zone, so the zone join does not fan out
-    with_parameters = chunks.join(parameter_groups(gaps), "utm_zone")
+    with_parameters = chunks.join(parameter_groups(asked), "utm_zone")
     return _requests(with_parameters, ["year"], ["utm_zone", "set_id"])
 
 

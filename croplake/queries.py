@@ -981,6 +981,34 @@ def daily_ingest(t: Tables) -> DataFrame:
     return ingest.daily_rows_of(rows.filter("value is not null"), t.weather_type)
 
 
+def _id_range(numbered: DataFrame, id_col: str) -> DataFrame:
+    return numbered.agg(
+        F.min(id_col).alias("first_id"), F.max(id_col).alias("last_id"),
+        F.count("*").alias("n_rows"), F.count_distinct(id_col).alias("n_ids"),
+    )
+
+
+@query
+def daily_append_ids(t: Tables) -> DataFrame:
+    """The ids that the ingested rows get after those of the stored daily table."""
+    return _id_range(ingest.with_row_ids(daily_ingest(t), t.daily, "daily_id"), "daily_id")
+
+
+@query
+def request_log_ids(t: Tables) -> DataFrame:
+    """The ids that requests get when all of them are logged once more."""
+    again = t.request.select("zone", "utm_request_id", "status", "date_requested", "request_seconds")
+    return _id_range(ingest.with_row_ids(again, t.request, "request_id"), "request_id")
+
+
+@query
+def unknown_parameters(t: Tables) -> DataFrame:
+    """Rows of known weather types and of return flags, which are none."""
+    known = t.raw("events").select(F.concat("event_type", F.lit("_24h")).alias("variable"))
+    other = t.raw("lineitem").select(F.col("l_returnflag").alias("variable"))
+    return ingest.unknown_parameters(known.unionByName(other), t.weather_type)
+
+
 @query
 def geojson_features(t: Tables) -> DataFrame:
     """Field squares written as GeoJSON lines and read back."""

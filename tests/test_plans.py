@@ -183,7 +183,12 @@ def test_daily_job_closes_its_gaps(spark, tmp_path):
     assert report.first().n_attempted == report.first().n_success > 0
     log = str(tmp_path / "log")
     ingest.append_request_log(steps["update"].requests, log)
-    assert spark.read.parquet(log).columns == ingest.LOG_COLUMNS
+    ingest.append_request_log(steps["add"].requests, log)
+    logged = spark.read.parquet(log)
+    assert logged.columns == ["request_id", *ingest.LOG_COLUMNS]
+    for table, name in ((stored, "daily_id"), (logged, "request_id")):
+        first, last, ids, rows = table.agg(F.min(name), F.max(name), F.count_distinct(name), F.count("*")).first()
+        assert (first, last) == (1, rows) and ids == rows > 0
 
 
 def test_no_budget_no_requests(spark):
