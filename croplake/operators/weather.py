@@ -199,7 +199,7 @@ def polygon_offsets(need: DataFrame) -> DataFrame:
     """UTC offset per polygon of ``need``.
 
     One row per polygon, and the world has 1,201 of them: small enough to send to every task, so
-    the daily table is not shuffled for it and reads the needed polygon folders only.
+    the daily table is not shuffled for it. Whether folders of other polygons are skipped is left to Spark.
     """
     return F.broadcast(
         need.groupBy("world_utm_id").agg(F.min("utc_offset_seconds").alias("_offset"))
