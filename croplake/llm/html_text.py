@@ -1,10 +1,11 @@
 """Main text of web pages by two passes of rules over blocks.
 
 A page becomes blocks (paragraphs, headings, items, cells) with their text, links and place in the page. The first
-pass labels blocks: those in menus, sidebars, notices, adverts, forms, comments and the like are boilerplate; so is
-what lies outside the page's articles, if it has any; elsewhere density of links, length and density of stop words
-decide, and short or middling blocks stay open. In the second pass open blocks take the label of their nearest decided
-neighbours.
+pass labels blocks: those in menus, sidebars, notices, adverts, forms, comments and the like are boilerplate; for all
+others density of links, length and density of stop words decide, and short or middling blocks stay open. In the
+second pass open blocks take the label of their nearest decided neighbours. Where a page has articles, these are a
+prior: text within needs less to be good and more to be bad, text outside the reverse, and the borders of the article
+count as good neighbours within and as bad ones outside.
 
 Null and empty html give an empty text. Markup may be broken: unclosed elements end with their parents, unknown end
 tags are skipped, an unclosed comment, script or style runs to the end. Whole pages are read. Repeated rows are
@@ -53,6 +54,7 @@ STOP_WORDS = set(
 )
 
 MANY_LINKS, LONG, SHORT, HIGH, LOW = 0.5, 140, 70, 0.30, 0.15
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
 @dataclass
@@ -185,22 +187,28 @@ def _stop_density(text: str) -> float:
     return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
 
 
-def label(found: list[Block]) -> list[Block]:
-    """Both passes; every block gets ``good`` or ``bad``."""
-    rooted = any(b.within == "root" for b in found)
-    for b in found:
-        if b.within == "boilerplate" or (rooted and b.within != "root"):
-            b.label = "bad"
-        elif b.within == "root":
-            b.label = "good"
-        elif b.links / len(b.text) > MANY_LINKS:
-            b.label = "bad"
-        elif len(b.text) < SHORT:
-            b.label = "open"
-        else:
-            density = _stop_density(b.text)
-            b.label = "good" if density >= HIGH or (len(b.text) >= LONG and density >= LOW) else "open" if density >= LOW else "bad"
+def _first_pass(b: Block, rooted: bool) -> str:
+    if b.within == "boilerplate":
+        return "bad"
+    inside, outside = b.within == "root", rooted and b.within != "root"
+    if b.links / len(b.text) > MANY_LINKS:
+        return "open" if inside and b.tag in HEADINGS else "bad"  # a title may link to its page
+    length = len(b.text)
+    if length < SHORT:
+        return "open"
+    density = _stop_density(b.text)
+    if density < LOW:
+        return "open" if inside else "bad"
+    if outside:
+        return "good" if density >= HIGH and length >= LONG else "open"
+    return "good" if inside or density >= HIGH or length >= LONG else "open"
+
+
+def _second_pass(found: list[Block], prior: str) -> None:
+    """Open blocks take the label of their neighbours; ``prior`` stands before the first and after the last block, if there is one."""
     decided = [(i, b.label) for i, b in enumerate(found) if b.label != "open"]
+    if prior:
+        decided = [(-1, prior), *decided, (len(found), prior)]
     at = 0
     for i, b in enumerate(found):
         if b.label != "open":
@@ -214,10 +222,23 @@ def label(found: list[Block]) -> list[Block]:
             b.label = (before or after)[1]
         elif before[1] == after[1]:
             b.label = before[1]
-        elif b.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+        elif b.tag in HEADINGS:
             b.label = after[1]  # a heading belongs to what follows
         else:
             b.label = before[1] if i - before[0] < after[0] - i else after[1] if after[0] - i < i - before[0] else "good"
+
+
+def label(found: list[Block]) -> list[Block]:
+    """Both passes; every block gets ``good`` or ``bad``."""
+    rooted = any(b.within == "root" for b in found)
+    for b in found:
+        b.label = _first_pass(b, rooted)
+    if rooted:
+        # what is boilerplate by its element is no neighbour within an article
+        _second_pass([b for b in found if b.within == "root"], "good")
+        _second_pass([b for b in found if b.within != "root"], "bad")
+    else:
+        _second_pass(found, "")
     return found
 
 

@@ -286,6 +286,14 @@ def test_html_rules_without_an_article():
     assert html_text.main_text(page) == f"{(text * 2).strip()}\n\nShort one.\n\n{(text * 2).strip()}"
 
 
+def test_html_rules_within_and_outside_an_article():
+    text = "The rules of the second pass give the label of the nearest block that is decided, and this is a long block of text that has the words for it. "
+    lists = "".join(f"<li><a href={i}>Another page {i}</a></li>" for i in range(6))
+    page = f"<p>Short line</p><article><h1><a href=x>Title</a></h1><p>{text}</p><ul>{lists}</ul><p>{text}</p><p>Short end.</p></article><div><h2>Part two</h2><p>{text * 2}</p></div><p>Track list one</p><p>Track list two</p>"
+    good = text.strip()
+    assert html_text.main_text(page) == f"Title\n\n{good}\n\n{good}\n\nShort end.\n\nPart two\n\n{(text * 2).strip()}\n\nTrack list one"
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (5, 6), (9, 9), (3, 1), (6, 7), (7, 8), (-4, 8)] + [(100, i) for i in range(101, 400)] + [(i, i + 1) for i in range(500, 560)]
     got = {r["node"]: r["root"] for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
