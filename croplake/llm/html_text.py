@@ -5,7 +5,8 @@ pass labels blocks: those in menus, sidebars, notices, adverts, forms, comments
 others density of links, length and density of stop words decide, and short or middling blocks stay open. In the
 second pass open blocks take the label of their nearest decided neighbours. Where a page has articles, these are a
 prior: text within needs less to be good and more to be bad, text outside the reverse, and the borders of the article
-count as good neighbours within and as bad ones outside.
+count as good neighbours within and as bad ones outside. The stop words are of four languages: bounds of density go
+down with the page's own density, and where that is next to nothing length and links alone decide.
 
 Null and empty html give an empty text. Markup may be broken: unclosed elements end with their parents, unknown end
 tags are skipped, an unclosed comment, script or style runs to the end. Whole pages are read. Repeated rows are
@@ -54,6 +55,8 @@ STOP_WORDS = set(
 )
 
 MANY_LINKS, LONG, SHORT, HIGH, LOW = 0.5, 140, 70, 0.30, 0.15
+#: Scripts without spaces and other wide characters: one of them is as long as two letters.
+_WIDE = re.compile("[\u1100-\u11ff\u2e80-\ua4cf\uac00-\ud7ff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff]")
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
@@ -187,21 +190,33 @@ def _stop_density(text: str) -> float:
     return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
 
 
-def _first_pass(b: Block, rooted: bool) -> str:
+def _length(text: str) -> int:
+    return len(text) if text.isascii() else len(text) + len(_WIDE.findall(text))
+
+
+def _page_density(found: list[Block]) -> float:
+    """Density of the listed words over the page's longer blocks of text."""
+    texts = [b.text for b in found if b.within != "boilerplate" and b.links / len(b.text) <= MANY_LINKS and _length(b.text) >= SHORT]
+    return _stop_density(" ".join(texts))
+
+
+def _first_pass(b: Block, rooted: bool, page: float) -> str:
     if b.within == "boilerplate":
         return "bad"
     inside, outside = b.within == "root", rooted and b.within != "root"
     if b.links / len(b.text) > MANY_LINKS:
         return "open" if inside and b.tag in HEADINGS else "bad"  # a title may link to its page
-    length = len(b.text)
+    length = _length(b.text)
     if length < SHORT:
         return "open"
-    density = _stop_density(b.text)
-    if density < LOW:
+    if page < LOW:  # the page's language isn't among the listed ones: length and links decide
+        return "good" if not outside or length >= LONG else "open"
+    density, scale = _stop_density(b.text), min(1.0, page / HIGH)
+    if density < LOW * scale:
         return "open" if inside else "bad"
     if outside:
-        return "good" if density >= HIGH and length >= LONG else "open"
-    return "good" if inside or density >= HIGH or length >= LONG else "open"
+        return "good" if density >= HIGH * scale and length >= LONG else "open"
+    return "good" if inside or density >= HIGH * scale or length >= LONG else "open"
 
 
 def _second_pass(found: list[Block], prior: str) -> None:
@@ -231,8 +246,9 @@ def _second_pass(found: list[Block], prior: str) -> None:
 def label(found: list[Block]) -> list[Block]:
     """Both passes; every block gets ``good`` or ``bad``."""
     rooted = any(b.within == "root" for b in found)
+    page = _page_density(found)
     for b in found:
-        b.label = _first_pass(b, rooted)
+        b.label = _first_pass(b, rooted, page)
     if rooted:
         # what is boilerplate by its element is no neighbour within an article
         _second_pass([b for b in found if b.within == "root"], "good")

@@ -294,6 +294,17 @@ def test_html_rules_within_and_outside_an_article():
     assert html_text.main_text(page) == f"Title\n\n{good}\n\n{good}\n\nShort end.\n\nPart two\n\n{(text * 2).strip()}\n\nTrack list one"
 
 
+@pytest.mark.parametrize("text", [
+    "Drzewa rosną wolno, lecz każdej wiosny przybywa im liści, które jesienią spadają na ziemię i karmią glebę przez całą zimę.",
+    "Gli alberi crescono piano, ma ogni primavera hanno foglie nuove che in autunno cadono a terra e nutrono il suolo per tutto l'inverno.",
+    "Деревья растут медленно, но каждую весну у них появляются новые листья, которые осенью падают на землю и питают почву.",
+    "树木生长缓慢，但每年春天都会长出新叶，秋天落到地上，在整个冬天滋养土壤，直到来年春天再次发芽。",
+])
+def test_html_of_a_language_without_listed_words(text):
+    menu = "".join(f"<div><a href={i}>x{i}</a></div>" for i in range(3))
+    assert html_text.main_text(f"{menu}<h2>T</h2><p>{text}</p><p>{text}</p>{menu}") == f"T\n\n{text}\n\n{text}"
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (5, 6), (9, 9), (3, 1), (6, 7), (7, 8), (-4, 8)] + [(100, i) for i in range(101, 400)] + [(i, i + 1) for i in range(500, 560)]
     got = {r["node"]: r["root"] for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
