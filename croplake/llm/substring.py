@@ -1,10 +1,12 @@
 """Substring dedup by hashed units: the first occurrence in the corpus stays, the rest go with their offsets kept.
 
-A unit is a line or, where a line holds several sentences, one of these, so that a passage set into a paragraph is met
-as well. Units are normalised (A-Z in lower case, white space runs as one space). A unit of fewer than ``LEAST_WORDS``
-words is hashed together with the units before it that make up so many words, and has no digest where the text's
-start comes first; what is removed is the unit alone. Digests are grouped over the whole corpus. Of equal ones that of
-the smallest (doc_id, start) stays.
+A unit is a line, of any length, and where a line holds several sentences each of these as well, so that a passage
+set into a paragraph is met (:func:`repeated_lines`, which the query uses). Units are normalised (A-Z in lower case,
+white space runs as one space). A sentence of fewer than ``LEAST_WORDS`` words is hashed together with the units before
+it that make up so many words, and has no digest where the text's start comes first; what is removed is the unit alone.
+:func:`repeated` takes the finest units only, and holds lines of one sentence to ``LEAST_WORDS`` too. Digests are
+grouped over the whole corpus. Of equal ones that of the smallest (doc_id, start) stays. A kept sentence may stand in a
+line that goes, if that whole line stands before it elsewhere.
 
 Null and empty texts have no units. A null doc_id ranks after all others. Repeated rows of one id and text are one
 occurrence: they keep and lose the same units. An empty table gives no rows.
@@ -46,6 +48,42 @@ def units(text: str) -> Iterator[tuple[int, int, bytes]]:
         start = end
 
 
+def line_units(text: str) -> Iterator[tuple[int, int, bytes, int | None, bytes | None]]:
+    """(start, end, digest, start and digest of its line) of every line with words and of the sentences of those with several.
+
+    For a line itself the last two are none.
+    """
+    start = line = 0
+    before: list[list[str]] = []
+    held: list[tuple[int, int, list[str], list[str]]] = []  # the open line's sentences, with what is hashed for them
+    ends = [(m.end(), m[0][-1] == "\n") for m in _END.finditer(text)]
+    for end, last in [*ends, (len(text), True)]:
+        words = _WORD.findall(text[start:end].translate(_LOWER))
+        if words:
+            taken, k = words, len(before)
+            while len(taken) < LEAST_WORDS and k:
+                k -= 1
+                taken = before[k] + taken
+            before = before[k:] if len(words) < LEAST_WORDS else []
+            before.append(words)
+            held.append((start, end, words, taken))
+        start = end
+        if last:
+            if held:
+                whole = _digest([w for _, _, words, _ in held for w in words])
+                yield line, end, whole, None, None
+                if len(held) > 1:
+                    for a, b, _, taken in held:
+                        if len(taken) >= LEAST_WORDS:
+                            yield a, b, _digest(taken), line, whole
+                held = []
+            line = end
+
+
+def _digest(words: list[str]) -> bytes:
+    return hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
     """(digest, doc_id, start, end) of every unit."""
 
@@ -65,16 +103,49 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return common.over_batches(docs.select("doc_id", "text"), "digest binary, doc_id long, start long, end long", work)
 
 
+def line_occurrences(docs: DataFrame) -> DataFrame:
+    """(digest, doc_id, start, end, line, line_digest) of every line and sentence."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                rows, found = [], []
+                for i, text in enumerate(common.as_text(part.column("text"))):
+                    got = list(line_units(text.as_py()))
+                    found += got
+                    rows += [i] * len(got)
+                if found:
+                    columns = dict(zip(("start", "end", "digest", "line", "line_digest"), zip(*found, strict=True), strict=True))
+                    yield columns | {"doc_id": part.column("doc_id").take(pa.array(rows, pa.int64()))}
+
+    return common.over_batches(docs.select("doc_id", "text"), "digest binary, doc_id long, start long, end long, line long, line_digest binary", work)
+
+
 def repeated(docs: DataFrame) -> DataFrame:
     """One row per removed unit: doc_id, start, end (in the original text), keep_doc_id, keep_start."""
-    found = common.written(occurrences(docs), "units")  # read for the groups and for the removal
+    return _later(occurrences(docs)).drop("digest")
+
+
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """As :func:`repeated`, for every line and for the sentences of lines that stay."""
+    rows = common.written(_later(line_occurrences(docs)), "later")
+    lines = rows.where("line is null").select(F.col("digest").alias("line_digest"), F.col("doc_id").alias("of"), F.col("start").alias("line"))
+    inner = rows.where("line is not null")
+    inner = inner.join(lines.distinct(), (inner["line_digest"] == lines["line_digest"]) & inner["doc_id"].eqNullSafe(lines["of"]) & (inner["line"] == lines["line"]), "left_anti")
+    return rows.where("line is null").union(inner).select("doc_id", "start", "end", "keep_doc_id", "keep_start")
+
+
+def _later(occurring: DataFrame) -> DataFrame:
+    """The rows of ``occurring`` but the first of each digest, with that one's place."""
+    found = common.written(occurring, "units")  # read for the groups and for the removal
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")
     # smallest place and largest differ: the unit occurs again
     best = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("other")).where("first <> other")
     best = common.written(best.select("digest", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.start").alias("keep_start")), "repeated")
     rows = found.join(common.sized(best), "digest")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("start") == F.col("keep_start"))
-    return rows.where(~stays).select("doc_id", "start", "end", "keep_doc_id", "keep_start")
+    return rows.where(~stays).select("digest", "doc_id", "start", "end", *(c for c in found.columns if c.startswith("line")), "keep_doc_id", "keep_start")
 
 
 def cleaned(docs: DataFrame, removed: DataFrame) -> DataFrame:
@@ -91,7 +162,7 @@ def cleaned(docs: DataFrame, removed: DataFrame) -> DataFrame:
                 for a, b in cut:
                     kept.append(text[at:a])
                     at = b
-                texts.append(text if not cut else "".join([*kept, text[at:]]))
+                texts.append(text if not cut or text is None else "".join([*kept, text[at:]]))
                 lists.append(",".join(f"{a}:{b}" for a, b in cut))
             yield {"doc_id": batch.column("doc_id"), "text": texts, "removed": lists}
 
@@ -99,4 +170,8 @@ def cleaned(docs: DataFrame, removed: DataFrame) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated(common.table(spark, sf_dir, "documents"))
+    """The removed units, with the number of code points that the removal leaves of the document (the most, where rows share an id)."""
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = common.written(repeated_lines(docs), "removed")
+    left = cleaned(docs, removed).where("removed <> ''").groupBy(F.col("doc_id").alias("of")).agg(F.max(F.length("text")).alias("n_chars_left"))
+    return removed.join(left, F.col("doc_id").eqNullSafe(F.col("of"))).drop("of")

@@ -194,6 +194,28 @@ def test_substring(spark, empty):
     assert substring.repeated(empty).count() == 0
 
 
+def test_substring_of_short_lines(spark, empty):
+    """Every line that stands earlier goes, however short and whatever comes before it; first lines stay."""
+    rows = [(1, "Alpha beta\none"), (2, "two\nalpha  BETA\n\nthree"), (3, "one"), (4, "\u6f22\u5b57"), (5, "\u6f22\u5b57\nfour"), (None, "four"), (6, None), (7, "\n")]
+    rows += [(8, "Alpha beta\n" + "This sentence has more than ten words so that it counts alone. And so has this one which follows it right here again."), (9, "five\nThis sentence has more than ten words so that it counts alone. And so has this one which follows it right here again.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    first: dict[str, tuple] = {}
+    want = []
+    for d, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        at = 0
+        for line in re.findall(r"[^\n]*\n+|[^\n]+$", t or ""):
+            if key := " ".join(words(line)):
+                if key in first:
+                    want.append((d, at, at + len(line), *first[key]))
+                first.setdefault(key, (d, at))
+            at += len(line)
+    got = substring.repeated_lines(docs)
+    assert sorted(repr(tuple(r)) for r in got.collect()) == sorted(map(repr, want)) and len(want) == 6
+    left = {r["doc_id"]: r["text"] for r in substring.cleaned(docs, got).collect()}
+    assert left[1] == "Alpha beta\none" and left[2] == "two\nthree" and left[3] == left[None] == "" and left[5] == "four" and left[9] == "five\n"
+    assert substring.repeated_lines(empty).count() == 0
+
+
 def test_mixing(docs, empty):
     got = mixing.mix(docs).collect()
     assert len(got) == len(TEXTS)
