@@ -1,9 +1,10 @@
 """Secrets in text, told apart by how widely a value is owned over the whole corpus.
 
 A scan finds spans by three patterns. Values are hashed where they are found and only hashes travel. Their owners and
-repositories are counted once each over all documents. A value that ``SHARED_OWNERS`` or more owners have is an
-example that is copied around: its spans get a span ``shared``. A value of fewer owners that looks live (long enough,
-and of many different characters) gets a span ``owned``.
+repositories are counted once each over all documents. A value that ``SHARED_OWNERS`` or more owners have, or that is
+in ``SHARED_REPOSITORIES`` or more repositories whoever owns them, is an example that is copied around: its spans get a
+span ``shared``. A value of fewer that looks live (long enough, and of many different characters) gets a span
+``owned``. Both counts are in the result for each base span.
 
 Null texts count as empty. Documents without spans are in the result with counts of 0. A null owner is an owner.
 Repeated rows are repeated in the result. An empty table gives no rows.
@@ -31,6 +32,8 @@ PATTERNS = (
 )
 #: A value of so many owners is shared; entropy in bits a character and length from which a value looks live.
 SHARED_OWNERS, LIVE_BITS, LIVE_LENGTH = 3, 2.5, 8
+#: A value in so many repositories is shared as well.
+SHARED_REPOSITORIES = 4
 #: Two keywords' letters decide whether the first pattern can match at all.
 _WORDS = re.compile(r"passw|secret|token|api_?key", re.ASCII | re.IGNORECASE)
 
@@ -80,30 +83,31 @@ def scanned(docs: DataFrame, owner: str, repository: str) -> DataFrame:
 
 
 def owned(docs: DataFrame, owner: str, repository: str) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_shared and n_owned of every document."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_shared, n_owned and counts of every document.
+
+    ``counts`` holds ``owners:repositories`` of the value of every base span, in order of these.
+    """
     rows = common.written(scanned(docs, owner, repository), "scanned")
-    each = rows.where("base <> ''").select("doc_id", "owner", "repository", F.expr("explode(sequence(0, cast(length(hashes) div 16 - 1 AS int)))").alias("i"), "hashes")
-    each = each.select("doc_id", "owner", "repository", F.expr("substring(hashes, i * 16 + 1, 16)").alias("value"))
-    # one row per value, owner and repository before anything is counted, in every task before the shuffle
-    owners = each.select("value", "owner", "repository").distinct().groupBy("value", "owner").agg(F.count("*").alias("repositories"))
-    counted = owners.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
-    shared = counted.where(F.col("owners") >= SHARED_OWNERS).select("value", F.lit(True).alias("shared"))
-    # which of a document's values are shared, as one small list per document
-    lists = each.select("doc_id", "value").distinct().join(shared, "value").groupBy("doc_id").agg(F.collect_list("value").alias("shared_values"))
-    lists = lists.withColumnRenamed("doc_id", "of_doc")
-    out = rows.join(lists, rows["doc_id"].eqNullSafe(lists["of_doc"]), "left")
+    each = _each(rows)
+    counted = common.sized(common.written(_counted(each), "counted"))
+    # the counts of a document's values, as one small list per document
+    lists = each.select("doc_id", "hashes", "value").distinct().join(counted, "value").groupBy("doc_id", "hashes").agg(F.collect_list(F.struct("value", "owners", "repositories")).alias("known"))
+    lists = lists.withColumnsRenamed({"doc_id": "of_doc", "hashes": "of_hashes"})
+    out = rows.join(lists, rows["doc_id"].eqNullSafe(lists["of_doc"]) & (rows["hashes"] == lists["of_hashes"]), "left")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            spans, n_shared, n_owned = [], [], []
-            for base, places, hashes, values in zip(*(batch.column(c).to_pylist() for c in ("base", "places", "hashes", "shared_values")), strict=True):
-                known = set(values or ())
-                found = []
+            spans, n_shared, n_owned, counts = [], [], [], []
+            for base, places, hashes, values in zip(*(batch.column(c).to_pylist() for c in ("base", "places", "hashes", "known")), strict=True):
+                known = {v["value"]: (v["owners"], v["repositories"]) for v in values or ()}
+                found, own = [], []
                 for i, (span, place) in enumerate(zip(base.split(","), places.split(","), strict=True) if base else ()):
                     kind, a, b = span.split(":")
                     found.append((int(a), [p[0] for p in PATTERNS].index(kind), int(b), kind))
                     start, end, live = map(int, place.split(":"))
-                    if hashes[i * 16 : i * 16 + 16] in known:
+                    owners, repositories = known[hashes[i * 16 : i * 16 + 16]]
+                    own.append(f"{owners}:{repositories}")
+                    if owners >= SHARED_OWNERS or repositories >= SHARED_REPOSITORIES:
                         found.append((start, 3, end, "shared"))
                     elif live:
                         found.append((start, 4, end, "owned"))
@@ -111,18 +115,27 @@ def owned(docs: DataFrame, owner: str, repository: str) -> DataFrame:
                 spans.append(",".join(f"{kind}:{a}:{b}" for a, _, b, kind in found))
                 n_shared.append(sum(f[1] == 3 for f in found))
                 n_owned.append(sum(f[1] == 4 for f in found))
-            yield {c: batch.column(c) for c in ("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")} | {"spans": spans, "n_shared": n_shared, "n_owned": n_owned}
+                counts.append(",".join(own))
+            yield {c: batch.column(c) for c in ("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")} | {"spans": spans, "n_shared": n_shared, "n_owned": n_owned, "counts": counts}
 
-    return common.over_batches(out.drop("of_doc"), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_shared long, n_owned long", work)
+    return common.over_batches(out.drop("of_doc", "of_hashes"), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_shared long, n_owned long, counts string", work)
 
 
 def values(docs: DataFrame, owner: str, repository: str) -> DataFrame:
     """(value hash, owners, repositories) of every candidate value."""
-    rows = scanned(docs, owner, repository).where("base <> ''")
-    each = rows.select("owner", "repository", F.expr("explode(sequence(0, cast(length(hashes) div 16 - 1 AS int)))").alias("i"), "hashes")
-    each = each.select("owner", "repository", F.expr("substring(hashes, i * 16 + 1, 16)").alias("value")).distinct()
-    each = each.groupBy("value", "owner").agg(F.count("*").alias("repositories"))
-    return each.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+    return _counted(_each(scanned(docs, owner, repository)))
+
+
+def _each(rows: DataFrame) -> DataFrame:
+    """(doc_id, owner, repository, hashes, value) of every value of :func:`scanned`."""
+    each = rows.where("base <> ''").select("doc_id", "owner", "repository", F.expr("explode(sequence(0, cast(length(hashes) div 16 - 1 AS int)))").alias("i"), "hashes")
+    return each.select("doc_id", "owner", "repository", "hashes", F.expr("substring(hashes, i * 16 + 1, 16)").alias("value"))
+
+
+def _counted(each: DataFrame) -> DataFrame:
+    # one row per value, owner and repository before anything is counted, in every task before the shuffle
+    owners = each.select("value", "owner", "repository").distinct().groupBy("value", "owner").agg(F.count("*").alias("repositories"))
+    return owners.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

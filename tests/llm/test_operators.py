@@ -178,6 +178,15 @@ def test_secrets(spark, empty):
     assert secret_scan.owned(empty, "source", "source").count() == 0
 
 
+def test_secrets_shared_by_repositories(spark):
+    """A value in many repositories of few owners is an example; one in few repositories isn't, however often it stands there."""
+    rows = [(i, "secret=copied987654", "a", f"a/{i}") for i in range(4)] + [(10 + i, "token=mine1234567 token=mine1234567", "a", "a/1") for i in range(9)]
+    rows += [(20 + i, "passwd=twoOwners4567", "ab"[i % 2], f"{'ab'[i % 2]}/{i // 2}") for i in range(4)] + [(30 + i, "secret=three123456", "a", f"a/{i}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, repository string")
+    got = {r["doc_id"]: r for r in secret_scan.owned(docs, "source", "repository").collect()}
+    assert [(got[i]["n_shared"], got[i]["n_owned"], got[i]["counts"]) for i in (0, 10, 20, 30)] == [(1, 0, "1:4"), (0, 2, "1:1,1:1"), (1, 0, "2:4"), (0, 1, "1:3")]
+
+
 def test_substring(spark, empty):
     passage = "This passage of more than ten words is shared by several documents. It goes on for a second sentence that is long as well. And ends."
     rows = [(1, "Own words first of all here. " + passage + " Then more."), (2, "Another start.\n" + passage), (3, "short line\nshort line"), (4, None), (5, ""), (5, ""), (None, passage), (6, passage + "\n" + passage)]
