@@ -569,11 +569,25 @@ def oracle_sql() -> dict[str, str]:
             "SELECT field_id, " + ", ".join(
                 f"max_by(value_observed, date_observed) FILTER (unit_type_id = {k}) AS \"{n}\"" for k, n in ((10, "click_u0"), (21, "error_u1"), (52, "view_u2")))
             + " FROM (SELECT * FROM feature_kept WHERE unit_type_id IN (10, 21, 52)) GROUP BY field_id"),
+        "feature_pivot_all": sql(
+            "SELECT field_id, " + ", ".join(
+                f"max_by(value_observed, (date_observed, observation_id)) FILTER (lower(observation_type_name || '_' || unit_name) = '{n}_u{u}') AS \"{n}_u{u}\""
+                for n in ("click", "error", "purchase", "signup", "view") for u in range(3))
+            + " FROM feature_kept GROUP BY field_id"),
         "field_documents": sql(
             "WITH op AS (SELECT field_id, date_performed, act_id, lag(date_performed) OVER (PARTITION BY field_id, act_type ORDER BY date_performed) AS prev, act_type "
             "FROM (SELECT owner_field_id AS field_id, act_type, date_performed, min(act_id) AS act_id FROM owned_act WHERE date_performed > TIMESTAMP '2000-01-01' GROUP BY ALL)) "
             "SELECT f.field_id, f.name AS field_name, g.name AS farm_name, (SELECT count(*) FROM op WHERE op.field_id = f.field_id "
             "AND (prev IS NULL OR date_performed - prev > INTERVAL 6 HOUR)) AS n_operations FROM field f JOIN grouper g ON g.grouper_id = f.grouper_id"),
+        "field_documents_all": sql(
+            "WITH op AS (SELECT field_id, date_performed, act_id, lag(date_performed) OVER (PARTITION BY field_id, act_type ORDER BY date_performed) AS prev, act_type "
+            "FROM (SELECT owner_field_id AS field_id, act_type, date_performed, min(act_id) AS act_id FROM owned_act WHERE date_performed > TIMESTAMP '2000-01-01' GROUP BY ALL)), "
+            "pl AS (SELECT *, lag(date_performed) OVER (PARTITION BY field_id ORDER BY date_performed) AS prev FROM (SELECT owner_field_id AS field_id, date_performed, "
+            "min_by(crop, act_id) AS crop FROM owned_act JOIN crop_type USING (crop_type_id) WHERE act_type = 'PLANT' AND date_performed > TIMESTAMP '2000-01-01' GROUP BY ALL)) "
+            "SELECT f.field_id, f.name AS field_name, g.name AS farm_name, (SELECT count(*) FROM op WHERE op.field_id = f.field_id "
+            "AND (prev IS NULL OR date_performed - prev > INTERVAL 6 HOUR)) AS n_operations, coalesce((SELECT string_agg(crop, ',' ORDER BY crop) FROM pl "
+            "WHERE pl.field_id = f.field_id AND (prev IS NULL OR date_performed - prev > INTERVAL 6 HOUR)), '') AS crops "
+            "FROM field f JOIN grouper g ON g.grouper_id = f.grouper_id"),
         "key_observations": sql(
             "SELECT o.observation_id, k.tk AS temporal_key_id, k.gk AS geospatial_key_id FROM observation o JOIN "
             "(SELECT c_custkey AS gk, c_custkey AS geom_id, c_custkey AS field_id, t.tk, t.a, t.b FROM customer, "
@@ -632,6 +646,8 @@ def oracle_sql() -> dict[str, str]:
         "FROM c LEFT JOIN k ON k.a = c.a AND k.b = c.b")
     out["geometry_by_id"] = sql(
         f"SELECT geom_id, round(lon + {s}, 7) AS x, round(lat + {s}, 7) AS y FROM points JOIN field ON geom_id = point_id WHERE organization_id = 2")
+    out["geometry_by_id_all"] = sql(
+        f"SELECT geom_id, round(lon + {s}, 7) AS x, round(lat + {s}, 7) AS y FROM points JOIN field ON geom_id = point_id")
     out["points_on_land"] = _grid_sql(
         0.0, "SELECT point_id FROM out a WHERE EXISTS (SELECT 1 FROM out b JOIN supplier ON s_suppkey = b.point_id WHERE a.utm_zone = b.utm_zone "
         "AND a.lng_centroid = b.lng_centroid AND a.lat_centroid = b.lat_centroid)")
@@ -740,6 +756,11 @@ def oracle_sql() -> dict[str, str]:
         "SELECT 'f' || s_nationkey AS function_name, id::int AS minor, 's3_inputs' AS family, "
         "(SELECT count(DISTINCT l_returnflag) FROM lineitem WHERE l_suppkey = id)::int AS n_parameters FROM l UNION ALL "
         "SELECT 'f' || s_nationkey, id::int, 's3_outputs', 0 FROM l")
+    out["latest_signatures_all"] = (
+        "WITH l AS (SELECT s_nationkey, max(s_suppkey) AS id FROM supplier GROUP BY ALL) "
+        "SELECT 'f' || s_nationkey AS function_name, id::int AS minor, 's3_inputs' AS family, "
+        "(SELECT count(DISTINCT l_returnflag) FROM lineitem WHERE l_suppkey = id)::int AS n_parameters FROM l UNION ALL "
+        "SELECT 'f' || s_nationkey, id::int, 's3_outputs', (SELECT count(DISTINCT l_linestatus) FROM lineitem WHERE l_suppkey = id)::int FROM l")
     out["feature_batches"] = sql(
         "SELECT field_id, b AS batch, count(*)::int AS n_features FROM (SELECT field_id, (row_number() OVER (PARTITION BY field_id "
         "ORDER BY date_observed, observation_id) - 1) // 10 AS b FROM feature_kept) GROUP BY ALL")

@@ -591,6 +591,21 @@ def feature_pivot(t: Tables) -> DataFrame:
     return features.feature_pivot(named, ["click_u0", "error_u1", "view_u2"])
 
 
+@query
+def feature_pivot_all(t: Tables) -> DataFrame:
+    """As feature_pivot, with a column for every feature that the observations hold."""
+    kept = features.deduplicated(
+        _observations(t), features.FEATURE_KEY, "acquired", "observation_id", "18 hours"
+    )
+    named = kept.withColumn(
+        "column_name", F.lower(F.concat_ws("_", "observation_type_name", "unit_name"))
+    )
+    kinds = t.unit_type.join(t.observation_type, "observation_type_id").select(
+        F.lower(F.concat_ws("_", "observation_type_name", "unit_name")).alias("column_name")
+    )
+    return features.feature_pivot(named, [r[0] for r in kinds.distinct().orderBy("column_name").collect()])
+
+
 @query
 def field_documents(t: Tables) -> DataFrame:
     acts = views.owner_field(t.act, t.field_trial, t.plot).drop("field_id").withColumnRenamed(
@@ -613,6 +628,39 @@ def field_documents(t: Tables) -> DataFrame:
     )
 
 
+@query
+def field_documents_all(t: Tables) -> DataFrame:
+    """As field_documents, with the plantings of known crops."""
+    acts = views.owner_field(t.act, t.field_trial, t.plot).drop("field_id").withColumnRenamed(
+        "owner_field_id", "field_id"
+    )
+    rows = acts.select("field_id", F.col("act_type").alias("name"), "date_performed", "act_id")
+    operations = features.field_events(rows, ["name"], "date_performed", "act_id", tolerance="6 hours")
+    planted = acts.filter("act_type = 'PLANT'").join(t.crop_type, "crop_type_id")
+    firsts = features.field_events(
+        planted.select("field_id", "date_performed", "act_id"), [], "date_performed", "act_id",
+        tolerance="6 hours",
+    )
+    plantings = firsts.join(planted.select("act_id", "crop", "product_name"), "act_id")
+    docs = features.field_documents(
+        t.field, t.grouper, operations, plantings, batch_size=10000
+    )
+    meta = F.from_json(
+        "field_meta", "operations array<struct<name string>>, "
+        "plantings array<struct<crop string>>, field_name string, farm_name string"
+    )
+    listed = docs.select("field_id", meta.alias("m"))
+    return listed.select(
+        "field_id", "m.field_name", "m.farm_name",
+        F.size(F.coalesce("m.operations", F.array().cast("array<struct<name:string>>")))
+        .cast("long").alias("n_operations"),
+        F.coalesce(
+            F.array_join(F.array_sort(F.transform("m.plantings", lambda p: p["crop"])), ","),
+            F.lit(""),
+        ).alias("crops"),
+    )
+
+
 @query
 def key_observations(t: Tables) -> DataFrame:
     geo = t.raw("customer").select(
@@ -790,6 +838,14 @@ def geometry_by_id(t: Tables) -> DataFrame:
     )
 
 
+@query
+def geometry_by_id_all(t: Tables) -> DataFrame:
+    """As geometry_by_id, for the fields of all organizations."""
+    return spatial.geometry_by_id(t.geom, t.field.select("geom_id")).select(
+        "geom_id", F.col("rings")[0][2]["x"].alias("x"), F.col("rings")[0][2]["y"].alias("y")
+    )
+
+
 @query
 def points_on_land(t: Tables) -> DataFrame:
     """Land cells are those of the suppliers' points."""
@@ -1085,6 +1141,27 @@ def latest_signatures(t: Tables) -> DataFrame:
     )
 
 
+@query
+def latest_signatures_all(t: Tables) -> DataFrame:
+    """As latest_signatures, with the outputs that the tables hold."""
+    functions = t.raw("supplier").select(
+        F.col("s_suppkey").alias("function_id"),
+        F.concat(F.lit("f"), F.col("s_nationkey").cast("string")).alias("function_name"),
+        F.lit(1).alias("major"), F.col("s_suppkey").cast("int").alias("minor"),
+        F.lit(1).cast("long").alias("function_type_id"),
+    )
+    families = {
+        family: t.raw("lineitem").select(
+            F.col("l_suppkey").alias("function_id"), F.col(column).alias("type_name")
+        ).distinct()
+        for family, column in (("s3_inputs", "l_returnflag"), ("s3_outputs", "l_linestatus"))
+    }
+    rows = lineage.latest_signatures(functions, families)
+    return rows.select(
+        "function_name", "minor", "family", F.size("parameters").alias("n_parameters")
+    )
+
+
 @query
 def feature_batches(t: Tables) -> DataFrame:
     rows = features.features_per_field(features.feature_rows(_observations(t)), batch_size=10)
