@@ -14,6 +14,23 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 #: divisors of p_size that give the 13 nutrient percentages; 0 stands for "none"
 NUTRIENT_DIVISORS = (1, 2, 4, 5, 8, 10, 20, 25, 40, 50, 80, 100, 0)
 SQUARE = 0.25
+#: shapes stand on a lattice of cells of so many degrees (a power of two: corners are exact), three
+#: cells apart and so many in a row, so that they are as dense however many there are
+CELL, LATTICE_WIDTH = 1 / 512, 900
+#: rings of the shapes in corners of cells: kind, rings
+SHAPES = (
+    ("POLYGON", [[(0, 0), (4, 0), (4, 4), (0, 4)]]),
+    ("POLYGON", [[(0, 0), (4, 0), (4, 1), (1, 1), (1, 4), (0, 4)]]),
+    ("POLYGON", [[(0, 0), (4, 0), (4, 4), (3, 4), (3, 1), (1, 1), (1, 4), (0, 4)]]),
+    ("MULTIPOLYGON", [[(0, 0), (1, 0), (1, 4), (0, 4)], [(2, 0), (4, 0), (4, 4), (2, 4)]]),
+    ("POLYGON", [[(0, 0), (4, 0), (4, 4), (0, 4)], [(1, 1), (1, 3), (3, 3), (3, 1)]]),
+    ("POINT", [[(2, 2)]]),
+    ("POLYGON", [[(1, 1), (3, 1), (3, 3), (1, 3)]]),
+    ("POLYGON", [[(0, 0), (1, 0), (1, 1), (0, 1)]]),
+    ("POLYGON", [[(1, 0), (3, 0), (3, 4), (1, 4)]]),
+)
+#: which of them activities have
+ACT_SHAPES = (0, 6, 7, 1, 5, 8)
 NOW = "2024-01-30 15:00:00"
 FIELD_START, FIELD_END = "1995-01-01 00:00:00", "2000-12-31 00:00:00"
 
@@ -148,6 +165,56 @@ class Tables:
     def geom(self) -> DataFrame:
         return self._squares(self.points)
 
+    @staticmethod
+    def _shapes(keys: DataFrame, shape: Column) -> DataFrame:
+        """Geometry of each ``geom_id``: the given one of SHAPES at the place of ``key``."""
+        x0 = F.lit(-96.0) + F.pmod("key", F.lit(LATTICE_WIDTH)) * 3 * CELL
+        y0 = F.lit(30.0) + F.floor(F.col("key") / LATTICE_WIDTH) * 3 * CELL
+
+        def rings(number: int) -> Column:
+            drawn = [g + g[:1] if len(g) > 1 else g for g in SHAPES[number][1]]
+            return F.array(*[
+                F.array(*[F.struct((F.col("x0") + x * CELL).alias("x"), (F.col("y0") + y * CELL).alias("y")) for x, y in g])
+                for g in drawn
+            ])
+
+        made, kind = rings(0), F.lit(SHAPES[0][0])
+        for number in range(1, len(SHAPES)):
+            made = F.when(F.col("shape") == number, rings(number)).otherwise(made)
+            kind = F.when(F.col("shape") == number, SHAPES[number][0]).otherwise(kind)
+        return keys.withColumns({"x0": x0, "y0": y0, "shape": shape}).select(
+            "geom_id", kind.alias("kind"), made.alias("rings")
+        )
+
+    @cached_property
+    def shapes(self) -> DataFrame:
+        """A shape for every field: squares, L and U shapes, two parts, one with a hole, points."""
+        keys = self.raw("customer").select(F.col("c_custkey").alias("geom_id"), F.col("c_custkey").alias("key"))
+        return self._shapes(keys, F.col("key") % 6)
+
+    @cached_property
+    def supplier_shapes(self) -> DataFrame:
+        keys = self.raw("supplier").select(F.col("s_suppkey").alias("geom_id"), F.col("s_suppkey").alias("key"))
+        return self._shapes(keys, (F.col("key") + 2) % 6)
+
+    @cached_property
+    def act_shapes(self) -> DataFrame:
+        """Shapes that activities on a field may have, at the field's place."""
+        kinds = F.posexplode(F.array(*[F.lit(k) for k in ACT_SHAPES])).alias("k", "which")
+        keys = self.raw("customer").select(F.col("c_custkey").alias("key"), kinds)
+        keys = keys.withColumn("geom_id", F.lit(10**9) + F.col("key") * 8 + F.col("k"))
+        return self._shapes(keys, F.col("which"))
+
+    @cached_property
+    def shape_points(self) -> DataFrame:
+        """A point near every field's shape, in half cells: corners, middles of edges and of cells."""
+        key = F.col("c_custkey")
+        return self.raw("customer").select(
+            key.alias("point_id"),
+            (F.lit(-96.0) + (F.pmod(key, F.lit(LATTICE_WIDTH)) * 3 + (key * 7 % 9) / 2) * CELL).alias("lon"),
+            (F.lit(30.0) + (F.floor(key / LATTICE_WIDTH) * 3 + (key * 5 % 9) / 2) * CELL).alias("lat"),
+        )
+
     @cached_property
     def supplier_points(self) -> DataFrame:
         return self._points(self.raw("supplier"), "s_suppkey")

@@ -21,6 +21,32 @@ def edges(rings: str) -> Column:
     return F.expr(_EDGES.format(r=rings))
 
 
+def border(rings: str) -> Column:
+    """All edges {a, b}, and for every ring of one point an edge from that point to itself."""
+    alone = f"transform(filter({rings}, g -> size(g) = 1), g -> named_struct('a', g[0], 'b', g[0]))"
+    return F.expr(f"concat({_EDGES.format(r=rings)}, {alone})")
+
+
+def marks(edge_list: str) -> Column:
+    """The ends and middles of edges."""
+    middle = "named_struct('x', (e.a.x + e.b.x) / 2, 'y', (e.a.y + e.b.y) / 2)"
+    return F.expr(f"flatten(transform({edge_list}, e -> array(e.a, {middle})))")
+
+
+def just_inside(area: str, gap: float) -> Column:
+    """Points of an area at a distance of ``gap`` from the middle of each of its edges."""
+    dx, dy = "(e.b.x - e.a.x)", "(e.b.y - e.a.y)"
+    length = f"nullif(sqrt({dx} * {dx} + {dy} * {dy}), 0D)"
+    side = (
+        "named_struct('x', (e.a.x + e.b.x) / 2 {s} {g}D * " + dy + " / " + length
+        + ", 'y', (e.a.y + e.b.y) / 2 {t} {g}D * " + dx + " / " + length + ")"
+    )
+    both = f"array({side.format(s='+', t='-', g=repr(gap))}, {side.format(s='-', t='+', g=repr(gap))})"
+    return F.expr(
+        f"filter(flatten(transform({area}, e -> {both})), q -> q.x is not null and ({_inside('q.x', 'q.y', area)}))"
+    )
+
+
 def vertices(rings: str) -> Column:
     return F.flatten(rings)
 
@@ -82,16 +108,24 @@ def some_point_in_edges(points: str, edge_list: str) -> Column:
     )
 
 
-def points_covered(points: str, edge_list: str, tol: float) -> Column:
-    """Every point of an array inside the area or within ``tol`` of its border."""
+def points_covered(points: str, area: str, edge_list: str, tol: float) -> Column:
+    """Every point of an array inside the area bounded by ``area`` or within ``tol`` of ``edge_list``."""
     return F.expr(
-        f"forall({points}, q -> ({_inside('q.x', 'q.y', edge_list)}) or "
+        f"forall({points}, q -> ({_inside('q.x', 'q.y', area)}) or "
         f"{_near_edge('q.x', 'q.y', edge_list, f'{tol!r}D')})"
     )
 
 
-def edges_covered(inner: str, outer: str, tol: float) -> Column:
-    """Every edge of ``inner`` inside the area of ``outer`` or within ``tol`` of its border.
+def some_point_within(points: str, area: str, tol: float) -> Column:
+    """Some point of an array inside the area bounded by ``area``, farther than ``tol`` from its border."""
+    return F.expr(
+        f"exists({points}, q -> ({_inside('q.x', 'q.y', area)}) and "
+        f"not {_near_edge('q.x', 'q.y', area, f'{tol!r}D')})"
+    )
+
+
+def edges_covered(inner: str, area: str, outer: str, tol: float) -> Column:
+    """Every edge of ``inner`` inside the area bounded by ``area`` or within ``tol`` of ``outer``.
 
     An edge is cut where it meets outer edges; each piece lies on one side, so its middle decides.
     """
@@ -104,7 +138,7 @@ def edges_covered(inner: str, outer: str, tol: float) -> Column:
         f"and {on} between 0 and 1, false)), d -> {at})))"
     )
     x, y = f"(n.a.x + m * {nx})", f"(n.a.y + m * {ny})"
-    fine = f"({_inside(x, y, outer)}) or {_near_edge(x, y, outer, f'{tol!r}D')}"
+    fine = f"({_inside(x, y, area)}) or {_near_edge(x, y, outer, f'{tol!r}D')}"
     middles = "transform(slice(ts, 2, size(ts) - 1), (t, i) -> (t + ts[i]) / 2)"
     return F.expr(f"forall({inner}, n -> forall(array({cuts}), ts -> forall({middles}, m -> {fine})))")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from croplake.operators.hierarchy import three_levels
 from croplake.operators.ranking import (
-    batches, null_safe_join, numbered, time_bucket, with_previous_time,
+    batches, null_safe_join, numbered, with_previous_time,
 )
 from croplake.session import cut_lineage
 
@@ -116,13 +116,12 @@ def select_observations(
 def time_ordinals(rows: DataFrame) -> DataFrame:
     """(type, unit, acquired) with ``time_id``: the ordinal of the moment within type and unit.
 
-    There are few types and each holds a large share of all rows, so moments are numbered per
-    hour and the hours are put end to end.
+    There are few types and each holds a large share of all rows, so moments are numbered in
+    buckets and the buckets are put end to end.
     """
     moments = rows.select("observation_type_id", "unit_type_id", "acquired").distinct()
     return numbered(
-        moments, ["observation_type_id", "unit_type_id"], ["acquired"], time_bucket("acquired"),
-        "time_id",
+        moments, ["observation_type_id", "unit_type_id"], ["acquired"], "time_id",
     )
 
 
@@ -214,8 +213,7 @@ def features_per_field(features: DataFrame, batch_size: int = 1000) -> DataFrame
         "field_id", "acquired", "observation_id", F.struct(feature_record()).alias("_record")
     )
     packed = batches(
-        with_record, ["field_id"], ["acquired", "observation_id"], time_bucket("acquired"),
-        ["_record"], batch_size, "_rows",
+        with_record, ["field_id"], ["acquired", "observation_id"], ["_record"], batch_size, "_rows",
     )
     return packed.select(
         "field_id", "batch",
@@ -268,7 +266,7 @@ def field_documents(
     )
     packed = batches(
         ops.unionByName(plants), ["field_id"], ["performed", "kind", "what", "detail"],
-        time_bucket("performed"), ["kind", "what", "detail", "performed"], batch_size, "events",
+        ["kind", "what", "detail", "performed"], batch_size, "events",
     )
     named = field.select("field_id", F.col("name").alias("field_name"), "grouper_id").join(
         places, "grouper_id"

@@ -2,35 +2,49 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from croplake.operators.ranking import batches, id_bucket
+from croplake.operators.ranking import batches
 from croplake.session import cut_lineage
 
+
 def descend(grouper: DataFrame) -> DataFrame:
     """Groups reachable from a root (a group without parent), with ``depth``.
 
-    One join per level, whatever the number of groups; every level is written before the next
-    builds on it. A group has one parent, so no group is met twice, and groups on a cycle hang on
-    no root and are never met (see :func:`unreachable`).
+    Every group holds a pointer to an ancestor and the number of steps to it; a round sends each pointer
+    on to where that ancestor's pointer leads, so pointers double their reach and a tree of depth d takes about
+    log2(d) rounds. Groups whose pointer is a root are done and take no further part. A round in which
+    no group is done ends it: groups of every depth up to the deepest exist, so those left sit on
+    a cycle, below one, or below an unknown parent (see :func:`unreachable`).
     """
-    tree = grouper.select("grouper_id", "parent_grouper_id")
-    level = cut_lineage(
-        tree.filter(F.col("parent_grouper_id").isNull()).withColumn("depth", F.lit(0))
-    )
-    done = level
-    for depth in itertools.count(1):  # ends at the first empty level
-        parents = level.select(F.col("grouper_id").alias("_p"))
-        level = cut_lineage(
-            tree.join(parents, F.col("parent_grouper_id") == F.col("_p"), "left_semi")
-            .withColumn("depth", F.lit(depth))
+    roots = grouper.filter(F.col("parent_grouper_id").isNull()).select(
+        "grouper_id", F.lit(0).alias("depth")
+    )
+    done = cut_lineage(roots)
+    moving = cut_lineage(
+        grouper.filter(F.col("parent_grouper_id").isNotNull()).select(
+            "grouper_id", F.col("parent_grouper_id").alias("_at"), F.lit(1).alias("_steps")
+        )
+    )
+    while True:
+        found = cut_lineage(
+            moving.join(done.select(F.col("grouper_id").alias("_at"), "depth"), "_at").select(
+                "grouper_id", (F.col("_steps") + F.col("depth")).alias("depth")
+            )
+        )
+        if found.isEmpty():
+            return grouper.join(done, "grouper_id")
+        # pointers that lead to groups still moving take over theirs
+        onward = moving.select(
+            F.col("grouper_id").alias("_at"), F.col("_at").alias("_next"), F.col("_steps").alias("_more")
+        )
+        done = done.unionByName(found)
+        moving = cut_lineage(
+            moving.join(found, "grouper_id", "left_anti").join(onward, "_at").select(
+                "grouper_id", F.col("_next").alias("_at"), (F.col("_steps") + F.col("_more")).alias("_steps")
+            )
         )
-        if level.isEmpty():
-            return grouper.join(done.select("grouper_id", "depth"), "grouper_id")
-        done = done.unionByName(level)
 
 
 def unreachable(grouper: DataFrame, descent: DataFrame) -> DataFrame:
@@ -41,28 +55,38 @@ def unreachable(grouper: DataFrame, descent: DataFrame) -> DataFrame:
 def closure(grouper: DataFrame) -> DataFrame:
     """(ancestor_id, grouper_id, distance) for every group and each of its ancestors, itself too.
 
-    Walks up one level per join. A walk ends at a root, at an unknown parent, or when it comes
-    back to a pair it has already given (a cycle).
+    By doubling: pairs at distance 1, 2, 4, ... are joined with all pairs known so far, each round
+    reaching twice as far up, until one finds no new pair. A walk ends at a root or at an unknown
+    parent; on a cycle a pair has its smallest distance.
     """
-    parent = grouper.select(
-        F.col("grouper_id").alias("_child"), F.col("parent_grouper_id").alias("_up")
+    known_ids = grouper.select(F.col("grouper_id").alias("_known"))
+    jump = cut_lineage(  # at exactly the distance reached so far: one at most per group
+        grouper.join(known_ids, F.col("parent_grouper_id") == F.col("_known"), "left_semi")
+        .select(F.col("parent_grouper_id").alias("ancestor_id"), "grouper_id")
     )
-    level = cut_lineage(
-        grouper.select(
-            F.col("grouper_id").alias("ancestor_id"), "grouper_id", F.lit(0).alias("distance")
-        )
+    itself = grouper.select(
+        F.col("grouper_id").alias("ancestor_id"), "grouper_id", F.lit(0).alias("distance")
     )
-    known = grouper.select(F.col("grouper_id").alias("_known"))
-    done = level
-    for distance in itertools.count(1):
-        up = level.join(parent, F.col("ancestor_id") == F.col("_child")).select(
-            F.col("_up").alias("ancestor_id"), "grouper_id", F.lit(distance).alias("distance")
+    up = jump.withColumn("distance", F.lit(1)).filter("ancestor_id <> grouper_id")
+    done = cut_lineage(itself.unionByName(up))
+    reach = 1
+    while True:
+        low = jump.select(F.col("ancestor_id").alias("_mid"), F.col("grouper_id").alias("_low"))
+        above = done.filter("distance > 0").join(low, F.col("grouper_id") == F.col("_mid")).select(
+            "ancestor_id", F.col("_low").alias("grouper_id"), (F.col("distance") + reach).alias("distance")
         )
-        up = up.join(known, F.col("ancestor_id") == F.col("_known"), "left_semi")
-        level = cut_lineage(up.join(done, ["ancestor_id", "grouper_id"], "left_anti"))
-        if level.isEmpty():
+        new = cut_lineage(
+            above.groupBy("ancestor_id", "grouper_id").agg(F.min("distance").alias("distance"))
+            .join(done.select("ancestor_id", "grouper_id"), ["ancestor_id", "grouper_id"], "left_anti")
+        )
+        if new.isEmpty():
             return done
-        done = done.unionByName(level)
+        done = done.unionByName(new)
+        jump = cut_lineage(
+            jump.join(low, F.col("grouper_id") == F.col("_mid"))
+            .select("ancestor_id", F.col("_low").alias("grouper_id"))
+        )
+        reach *= 2
 
 
 def ancestors(closure_rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -99,7 +123,7 @@ def fields_of_groups(descent: DataFrame, field: DataFrame, batch_size: int | Non
         return groups.join(own, "grouper_id", "left")
     held = own.join(groups, "grouper_id", "left_semi")
     packed = batches(
-        held, ["grouper_id"], ["field_id"], id_bucket("field_id"), ["field_id", "field_name"],
+        held, ["grouper_id"], ["field_id"], ["field_id", "field_name"],
         batch_size, "fields",
     )
     return (
@@ -165,7 +189,7 @@ def children(descent: DataFrame, batch_size: int = 1000) -> DataFrame:
         F.col("parent_grouper_id").alias("_parent"), "grouper_id"
     )
     packed = batches(
-        kids, ["_parent"], ["grouper_id"], id_bucket("grouper_id"), ["grouper_id"], batch_size,
+        kids, ["_parent"], ["grouper_id"], ["grouper_id"], batch_size,
         "_rows",
     )
     return packed.select(

@@ -13,12 +13,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from croplake.catalog import TableSpec
-from croplake.operators.ranking import null_safe_join, numbered, time_bucket
+from croplake.operators.ranking import BUCKET_ROWS, null_safe_join, numbered
 from croplake.session import cut_lineage
 
-#: buckets new rows are numbered in; the table of bucket counts has this many rows
-ID_BUCKETS = 4096
-
 
 def _now(now: datetime | str | None) -> Column:
     if now is None:
@@ -85,15 +82,17 @@ def with_defaults(rows: DataFrame, spec: TableSpec, now: datetime | str | None =
 
 def allocate_ids(
     rows: DataFrame, id_col: str, key: list[str], start: Column | int,
-    n_buckets: int = ID_BUCKETS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Number ``rows`` densely from ``start``; ``key`` must be unique in ``rows``.
 
-    Rows are numbered inside buckets of the key's hash, and the bucket counts (at most
-    ``n_buckets`` rows) give each bucket its offset. Both depend on the rows alone, so a lost task
-    gives the same ids again.
+    Rows are numbered inside buckets of the key's hash, as many as there are times ``bucket_rows``
+    rows, and the bucket counts give each bucket its offset. Both depend on the rows alone, so a
+    lost task gives the same ids again.
     """
-    work = rows.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(n_buckets)))
+    count = rows.agg(F.count("*").alias("n")).scalar()
+    buckets = F.greatest(F.lit(1).cast("long"), F.ceil(count / F.lit(bucket_rows)))
+    work = rows.withColumn("_bucket", F.pmod(F.xxhash64(*key), buckets))
     counts = work.groupBy("_bucket").agg(F.count("*").alias("_n"))
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(
@@ -192,7 +191,7 @@ def next_versions(function: DataFrame, candidates: DataFrame) -> DataFrame:
     key = ["function_name", "major", "function_type_id"]
     top = function.groupBy(*key).agg(F.max("minor").alias("_top"))
     order = ["created"] + [c for c in candidates.columns if c not in key + ["created"]]
-    placed = numbered(candidates, key, order, time_bucket("created"), "_place")
+    placed = numbered(candidates, key, order, "_place")
     return (
         null_safe_join(placed, top, key, "left")
         .withColumn("minor", (F.coalesce("_top", F.lit(-1)) + F.col("_place")).cast("int"))

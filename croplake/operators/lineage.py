@@ -76,12 +76,10 @@ def execution_arguments(
     """
     done = execution_summary(execution, s3_output_argument, arguments).select(*_RUN)
     items = argument_items({**arguments, "s3_output_argument": s3_output_argument})
-    # equal items shrink to one with its count; the rest of a long list is spread by content
+    # equal items shrink to one with its count
     counted = items.groupBy(*_RUN, "family", "item").agg(F.count("*").alias("times"))
-    counted = counted.withColumn("_b", F.pmod(F.xxhash64("item"), F.lit(1024)))
     packed = batches(
-        counted, [*_RUN, "family"], ["_b", "item"], F.col("_b"), ["item", "times"], batch_size,
-        "_rows",
+        counted, [*_RUN, "family"], ["item"], ["item", "times"], batch_size, "_rows"
     )
     names = [*INPUT_FAMILIES.values(), "keys", "s3_output"]
     all_families = done.withColumn("family", F.explode(F.array(*[F.lit(n) for n in names])))
@@ -190,12 +188,9 @@ def latest_signatures(
     rows = parts[0]
     for more in parts[1:]:
         rows = rows.unionByName(more)
-    rows = rows.join(latest.select("function_id"), "function_id", "left_semi").withColumn(
-        "_b", F.pmod(F.xxhash64("parameter"), F.lit(64))
-    )
+    rows = rows.join(latest.select("function_id"), "function_id", "left_semi")
     packed = batches(
-        rows, ["function_id", "family"], ["_b", "parameter"], F.col("_b"), ["parameter"],
-        batch_size, "_rows",
+        rows, ["function_id", "family"], ["parameter"], ["parameter"], batch_size, "_rows"
     )
     families = F.explode(F.array(*[F.lit(n) for n in parameters]))
     return latest.withColumn("family", families).join(

@@ -1,9 +1,10 @@
 """Row numbers, gaps and bounded batches that never put a whole key into one task.
 
 A window over a key holding a third of all rows runs in one task. Here a key is cut into buckets
-of its ordering column: numbers are given inside each bucket, and a small table of bucket counts
-gives every bucket its starting number. The bucket must rise with the ordering column and be a
-plain function of the row, so a task that is run again gives the same numbers.
+of its ordering columns: numbers are given inside each bucket, and a small table of bucket counts
+gives every bucket its starting number. Bounds of the buckets come from a sketch of the ordering
+columns (:func:`with_even_bucket`), so that a bucket holds a bounded number of rows of a key whatever ids
+and times look like. They change which task numbers a row, never the number.
 """
 
 from __future__ import annotations
@@ -14,21 +15,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: ids per bucket: a bucket of distinct ids has at most this many rows
-ID_BUCKET = 8192
+#: places (distinct values of the ordering columns) of a bucket, about, up to so many buckets
+BUCKET_ROWS, MOST_BUCKETS = 50_000, 4096
+#: places of the sketch for each bucket
+SKETCHED = 16
 
 
-def id_bucket(column: str | Column, width: int = ID_BUCKET) -> Column:
-    """Bucket of an integer ordering column."""
-    c = F.col(column) if isinstance(column, str) else column
-    return F.floor(c / F.lit(width)).cast("long")
+def with_even_bucket(df: DataFrame, order: list[str], rows: int = BUCKET_ROWS, name: str = "bucket") -> DataFrame:
+    """``df`` plus ``name``: the row's bucket of ``order``, of about ``rows`` distinct places, rising with them.
 
-
-def time_bucket(column: str | Column) -> Column:
-    """Bucket of a time ordering column: the hour, as hours since 1970."""
-    c = F.col(column) if isinstance(column, str) else column
-    day = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date"))
-    return (day * 24 + F.hour(c)).cast("long")
+    The sketch is a sample of the distinct places by their hash, ``SKETCHED`` for each bucket and so
+    never more than some 65,536 of them; every 16th in order is a bound. It is made within the query
+    that uses it. A row finds its bucket by halving. Few rows are one bucket, without a sketch.
+    """
+    place, mark = F.struct(*order), F.xxhash64(*order)
+    n = df.agg(F.approx_count_distinct(mark).alias("n")).scalar()
+    buckets = F.least(F.lit(MOST_BUCKETS), F.ceil(n / F.lit(rows)))
+    thin = F.greatest(F.lit(1).cast("long"), F.floor(n / (buckets * F.lit(SKETCHED))))
+    sample = df.filter((n > F.lit(rows)) & (F.pmod(mark, thin) == 0)).agg(
+        F.array_sort(F.collect_set(place)).alias("s")
+    )
+    bounds = sample.select(
+        F.filter("s", lambda _, i: (i + 1) % SKETCHED == 0).alias("bounds")
+    ).scalar()
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(MOST_BUCKETS.bit_length() + 1))])
+    found = F.aggregate(
+        halves, F.lit(0),
+        lambda at, step: at + F.when(
+            (at + step <= F.size("_bounds")) & (F.get("_bounds", at + step - 1) <= F.col("_place")), step
+        ).otherwise(F.lit(0)),
+    )
+    some = df.withColumns({"_bounds": bounds, "_place": place})
+    bucket = F.when(F.size("_bounds") == 0, F.lit(0)).otherwise(found).cast("long")
+    return some.withColumn(name, bucket).drop("_bounds", "_place")
 
 
 def key_struct(df: DataFrame, keys: list[str]) -> Column:
@@ -55,15 +74,15 @@ def null_safe_join(
 
 
 def numbered(
-    df: DataFrame, keys: list[str], order: list[str], bucket: Column, name: str = "rn",
-    total: str | None = None,
+    df: DataFrame, keys: list[str], order: list[str], name: str = "rn", total: str | None = None,
+    rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """``df`` plus ``name``: 1, 2, … per key by ``order``; ``bucket`` must rise with ``order``.
+    """``df`` plus ``name``: 1, 2, … per key by ``order``, in buckets of about ``rows``.
 
     ``total`` names one more column, the number of rows of the key.
     """
     places = [f"k{i}" for i in range(len(keys))]
-    work = _with_bucket(df, keys, bucket)
+    work = _with_bucket(df, keys, order, rows)
     counts = work.groupBy("_key").agg(F.count("*").alias("_n")).select("_key", "_key.*", "_n")
     before = W.partitionBy(*places).orderBy("b").rowsBetween(W.unboundedPreceding, -1)
     extra = [F.sum("_n").over(W.partitionBy(*places)).alias(total)] if total else []
@@ -79,22 +98,23 @@ def numbered(
     )
 
 
-def _with_bucket(df: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
+def _with_bucket(df: DataFrame, keys: list[str], order: list[str], rows: int) -> DataFrame:
     """``df`` plus ``_key``: its key columns (k0, k1, …) and bucket (b) as one struct."""
-    fields = [df[c].alias(f"k{i}") for i, c in enumerate(keys)]
-    return df.withColumn("_key", F.struct(*fields, bucket.alias("b")))
+    work = with_even_bucket(df, order, rows, "_bucket")
+    fields = [F.col(c).alias(f"k{i}") for i, c in enumerate(keys)]
+    return work.withColumn("_key", F.struct(*fields, F.col("_bucket").alias("b"))).drop("_bucket")
 
 
 def with_previous_time(
-    df: DataFrame, keys: list[str], time_col: str, name: str = "previous"
+    df: DataFrame, keys: list[str], time_col: str, name: str = "previous", rows: int = BUCKET_ROWS
 ) -> DataFrame:
     """``df`` plus the time just before each row's within its key; times per key must be distinct.
 
-    Inside an hour the window finds it; the first row of an hour takes the last time of the
-    nearest earlier hour that has any.
+    Inside a bucket the window finds it; the first row of a bucket takes the last time of the
+    nearest earlier bucket that has any.
     """
     places = [f"k{i}" for i in range(len(keys))]
-    work = _with_bucket(df, keys, time_bucket(time_col))
+    work = _with_bucket(df, keys, [time_col], rows)
     last = work.groupBy("_key").agg(F.max(time_col).alias("_last")).select("_key", "_key.*", "_last")
     by_bucket = W.partitionBy(*places).orderBy("b")
     carried = last.select("_key", F.lag("_last").over(by_bucket).alias("_carried"))
@@ -108,11 +128,11 @@ def with_previous_time(
 
 
 def batches(
-    df: DataFrame, keys: list[str], order: list[str], bucket: Column, values: list[str], size: int,
-    name: str = "rows",
+    df: DataFrame, keys: list[str], order: list[str], values: list[str], size: int,
+    name: str = "rows", rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Rows of each key as arrays of at most ``size`` structs: key, ``batch`` (0, 1, …), rows."""
-    rn = numbered(df, keys, order, bucket, "_rn")
+    rn = numbered(df, keys, order, "_rn", rows=rows)
     batch = F.floor((F.col("_rn") - 1) / F.lit(size)).cast("long")
     item = F.struct(F.col("_rn"), *values)
     packed = rn.groupBy(*keys, batch.alias("batch")).agg(

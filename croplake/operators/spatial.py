@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +10,7 @@ from croplake.functions import geo
 from croplake.operators import keyed
 from croplake.operators.ranking import null_safe_join
 from croplake.operators.views import owner_field
+from croplake.session import cut_lineage
 
 MAX_LEVEL = 24
 COVER_TOLERANCE = 1e-6
@@ -161,75 +158,89 @@ def repeated_geometries(geom: DataFrame) -> DataFrame:
     return null_safe_join(shaped, again, ["canonical"])
 
 
-def _crosses(xs: np.ndarray, ys: np.ndarray, sizes: np.ndarray) -> bool:
-    """Whether a border crosses or overlaps itself; one shape at a time, by a sweep along x.
+#: sides of the tiles that a shape's own edges meet on, as halvings of its extent
+EDGE_LEVELS = 20
+
 
-    The shape comes as the coordinates of all its rings in a row and the number of points of each.
+def _tiled_edges(polygons: DataFrame) -> DataFrame:
+    """(geom_id, lv, tx, ty, no, e) of all edges, e being {ring, place, n, a, b, own}.
+
+    ``own`` is the level whose tiles are no smaller than the edge, so that it lies in four at most;
+    an edge stands on the tiles of its own level and of every coarser one that the shape has.
     """
-    starts, ends, ring_no, place, edge_count = [], [], [], [], []
-    first = 0
-    for k, n in enumerate(sizes):
-        pts = np.column_stack((xs[first:first + n], ys[first:first + n]))
-        first += n
-        moved = np.any(pts[1:] != pts[:-1], axis=1)
-        a, b = pts[:-1][moved], pts[1:][moved]
-        starts.append(a)
-        ends.append(b)
-        ring_no.append(np.full(len(a), k))
-        place.append(np.arange(len(a)))
-        edge_count.append(np.full(len(a), len(a)))
-    if not starts:
-        return False
-    a, b = np.concatenate(starts), np.concatenate(ends)
-    ring, idx, size = np.concatenate(ring_no), np.concatenate(place), np.concatenate(edge_count)
-    lo, hi = np.minimum(a, b), np.maximum(a, b)
-    order = np.argsort(lo[:, 0], kind="stable")
-    a, b, lo, hi = a[order], b[order], lo[order], hi[order]
-    ring, idx, size = ring[order], idx[order], size[order]
-    reach = np.searchsorted(lo[:, 0], hi[:, 0], side="right")
-
-    def turn(p, q, r):
-        return np.sign((q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1])
-                       - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0]))
-
-    for i in range(len(a)):
-        j = np.arange(i + 1, reach[i])
-        j = j[(lo[j, 1] <= hi[i, 1]) & (lo[i, 1] <= hi[j, 1])]
-        if not len(j):
-            continue
-        t1, t2 = turn(a[i], b[i], a[j]), turn(a[i], b[i], b[j])
-        t3, t4 = turn(a[j], b[j], a[i]), turn(a[j], b[j], b[i])
-        meet = (t1 * t2 <= 0) & (t3 * t4 <= 0)
-        same = ring[j] == ring[i]
-        step = np.abs(idx[j] - idx[i])
-        neighbour = same & ((step == 1) | (step == size[i] - 1))
-        flat = (t1 == 0) & (t2 == 0)
-        proper = (t1 * t2 < 0) & (t3 * t4 < 0)
-        # edges in a row share an end; that is fine unless one folds back over the other
-        d_i, d_j = b[i] - a[i], b[j] - a[j]
-        folds = neighbour & flat & ((d_i * d_j).sum(axis=-1) < 0)
-        # two rings may touch at a point but not cross or share a stretch
-        shared = flat & np.any(np.minimum(hi[i], hi[j]) - np.maximum(lo[i], lo[j]) > 0, axis=-1)
-        if np.any(folds | (meet & same & ~neighbour) | (meet & ~same & (proper | shared))):
-            return True
-    return False
-
-
-def _crossing_batches(
-    batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]
-) -> Iterator[pd.Series]:
-    for xs, ys, sizes in batches:
-        yield pd.Series([_crosses(x, y, n) for x, y, n in zip(xs, ys, sizes)], dtype=bool)
+    of_ring = (
+        "transform(array(filter(transform(slice(g, 2, greatest(size(g) - 1, 0)), "
+        "(p, i) -> named_struct('a', g[i], 'b', p)), e -> e.a <> e.b)), es -> transform(es, (e, i) -> "
+        "named_struct('ring', r, 'place', i, 'n', size(es), 'a', e.a, 'b', e.b, 'own', cast(least("
+        f"{EDGE_LEVELS}, floor(log2(ext / greatest(abs(e.a.x - e.b.x), abs(e.a.y - e.b.y))))) as int))))[0]"
+    )
+    boxed = polygons.select("geom_id", "rings", geo.bbox("rings").alias("box")).withColumn(
+        "ext", F.expr("greatest(box.x1 - box.x0, box.y1 - box.y0)")
+    )
+    listed = boxed.withColumn("es", F.expr(f"flatten(transform(rings, (g, r) -> {of_ring}))"))
+    levels = F.expr("array_distinct(transform(es, e -> e.own))")
+    rows = listed.select("geom_id", "box", "ext", levels.alias("levels"), F.posexplode("es").alias("no", "e"))
+    rows = rows.withColumn("lv", F.explode(F.expr("filter(levels, l -> l <= e.own)")))
+
+    def tiles(axis: str) -> Column:
+        low, high = f"least(e.a.{axis}, e.b.{axis})", f"greatest(e.a.{axis}, e.b.{axis})"
+        at = "cast(floor(({v} - box.{o}) * power(2D, lv) / ext) as int)"
+        return F.expr(f"sequence({at.format(v=low, o=axis + '0')}, {at.format(v=high, o=axis + '0')})")
+
+    return rows.withColumn("tx", F.explode(tiles("x"))).withColumn("ty", F.explode(tiles("y"))).select(
+        "geom_id", "lv", "tx", "ty", "no", "e"
+    )
+
+
+def _edges_cross() -> str:
+    """Condition on edges e and d of one shape: the border crosses, overlaps or touches itself there."""
+    def turn(p: str, q: str, r: str) -> str:
+        return f"signum(({q}.x - {p}.x) * ({r}.y - {p}.y) - ({q}.y - {p}.y) * ({r}.x - {p}.x))"
+
+    def low(k: str, c: str) -> str:
+        return f"least({k}.a.{c}, {k}.b.{c})"
+
+    def high(k: str, c: str) -> str:
+        return f"greatest({k}.a.{c}, {k}.b.{c})"
+
+    t1, t2 = turn("e.a", "e.b", "d.a"), turn("e.a", "e.b", "d.b")
+    t3, t4 = turn("d.a", "d.b", "e.a"), turn("d.a", "d.b", "e.b")
+    boxes = " and ".join(
+        f"{low('e', c)} <= {high('d', c)} and {low('d', c)} <= {high('e', c)}" for c in "xy"
+    )
+    step = "abs(e.place - d.place)"
+    neighbour = f"(e.ring = d.ring and ({step} = 1 or {step} = e.n - 1))"
+    flat = f"({t1} = 0 and {t2} = 0)"
+    meet = f"({t1} * {t2} <= 0 and {t3} * {t4} <= 0)"
+    proper = f"({t1} * {t2} < 0 and {t3} * {t4} < 0)"
+    # edges in a row share an end; that is fine unless one folds back over the other
+    back = "(e.b.x - e.a.x) * (d.b.x - d.a.x) + (e.b.y - e.a.y) * (d.b.y - d.a.y) < 0"
+    # two rings may touch at a point but not cross or share a stretch
+    stretch = " or ".join(f"least({high('e', c)}, {high('d', c)}) > greatest({low('e', c)}, {low('d', c)})" for c in "xy")
+    return (
+        f"{boxes} and (({neighbour} and {flat} and {back}) or ({meet} and e.ring = d.ring and not {neighbour}) "
+        f"or ({meet} and e.ring <> d.ring and ({proper} or ({flat} and ({stretch})))))"
+    )
+
+
+def self_crossing(polygons: DataFrame) -> DataFrame:
+    """geom_id of the polygons whose border crosses or overlaps itself.
+
+    Edges of a shape meet on tiles of the coarser of their levels; a shape of many edges is thus
+    spread over as many tasks as it needs.
+    """
+    edges = cut_lineage(_tiled_edges(polygons))  # read for both sides
+    other = edges.select("geom_id", "lv", "tx", "ty", F.col("no").alias("other"), F.col("e").alias("d"))
+    pairs = edges.join(other, ["geom_id", "lv", "tx", "ty"]).filter("no < other and lv = least(e.own, d.own)")
+    return pairs.filter(F.expr(_edges_cross())).select("geom_id").distinct()
 
 
 def invalid_geometries(geom: DataFrame) -> DataFrame:
     """Polygons that are no valid area, with ``reason``.
 
-    Open, short or non-finite rings are found by expressions; only what passes those is swept for
+    Open, short or non-finite rings are found in the row; only what passes those is looked at for
     crossings.
     """
-    crosses = F.pandas_udf(_crossing_batches, "boolean")
-    polygons = geom.filter(F.col("kind").endswith("POLYGON"))
     reason = F.expr(
         "case when size(rings) = 0 or exists(rings, g -> size(g) < 4) then 'too few points' "
         "when exists(flatten(rings), p -> p.x is null or p.y is null or isnan(p.x) or isnan(p.y) "
@@ -237,40 +248,58 @@ def invalid_geometries(geom: DataFrame) -> DataFrame:
         "then 'not finite' "
         "when exists(rings, g -> g[0] <> g[size(g) - 1]) then 'not closed' end"
     )
-    judged = polygons.withColumn("reason", reason)
-    wrong = judged.filter(F.col("reason").isNotNull())
-    crossing = (
-        judged.filter(F.col("reason").isNull())
-        .filter(
-            crosses(
-                F.expr("transform(flatten(rings), p -> p.x)"),
-                F.expr("transform(flatten(rings), p -> p.y)"),
-                F.expr("transform(rings, g -> size(g))"),
-            )
-        )
-        .withColumn("reason", F.lit("crosses itself"))
-    )
-    return wrong.unionByName(crossing)
+    judged = geom.filter(F.col("kind").endswith("POLYGON")).withColumn("reason", reason)
+    crossing = self_crossing(judged.filter("reason is null")).withColumnRenamed("geom_id", "_crossing")
+    rows = judged.join(crossing, F.col("geom_id") == F.col("_crossing"), "left")
+    return rows.withColumn(
+        "reason", F.coalesce("reason", F.when(F.col("_crossing").isNotNull(), F.lit("crosses itself")))
+    ).filter("reason is not null").drop("_crossing")
 
 
-def outline(geom: DataFrame, prefix: str) -> DataFrame:
-    """(<prefix>_id, <prefix>_edges, <prefix>_points) of each geometry, worked out once per shape."""
-    return geom.select(
-        F.col("geom_id").alias(f"{prefix}_id"), geo.edges("rings").alias(f"{prefix}_edges"),
-        geo.vertices("rings").alias(f"{prefix}_points"),
+def outline(geom: DataFrame, prefix: str, tol: float = COVER_TOLERANCE) -> DataFrame:
+    """What cover tests need of each geometry, worked out once per shape.
+
+    ``_edges`` are its border, ``_area`` the edges of polygons (none of lines and points), ``_points``
+    its points, ``_marks`` the ends and middles of its border and ``_inside`` points just within it.
+    """
+    none = F.array().cast("array<struct<a:struct<x:double,y:double>,b:struct<x:double,y:double>>>")
+    shaped = geom.select(
+        F.col("geom_id").alias(f"{prefix}_id"), geo.border("rings").alias(f"{prefix}_edges"),
+        geo.vertices("rings").alias(f"{prefix}_points"), "kind",
     )
+    area = F.when(F.col("kind").endswith("POLYGON"), F.col(f"{prefix}_edges")).otherwise(none)
+    return shaped.withColumn(f"{prefix}_area", area).select(
+        "*", geo.marks(f"{prefix}_edges").alias(f"{prefix}_marks"),
+        geo.just_inside(f"{prefix}_area", 4 * tol).alias(f"{prefix}_inside"),
+    ).drop("kind")
 
 
-def covered(
-    outer_edges: str, inner_points: str, inner_edges: str | None = None, tol: float = COVER_TOLERANCE
-) -> Column:
-    """Condition: the inner points lie in the outer shape or within ``tol`` of its border.
+def covered(outer: str, inner: str, tol: float = COVER_TOLERANCE) -> Column:
+    """Condition: the shape of outline ``inner`` lies in that of ``outer`` or within ``tol`` of its border.
 
-    With ``inner_edges`` the lines between them do too, which matters where the outer shape is
-    concave. A hole of the outer shape that lies wholly within the inner one is not seen.
+    All points, all edges between them and the points just inside do (the last where both borders
+    are the same, as of a hole and what fills it), and no border of the outer shape lies within the
+    inner area: as no edge crosses, a ring of the outer shape is wholly on one side, so a hole there
+    shows by any of its points. A line or a point covers what lies on it.
     """
-    points = geo.points_covered(inner_points, outer_edges, tol)
-    return points if inner_edges is None else points & geo.edges_covered(inner_edges, outer_edges, tol)
+    return (
+        geo.points_covered(f"{inner}_points", f"{outer}_area", f"{outer}_edges", tol)
+        & geo.points_covered(f"{inner}_inside", f"{outer}_area", f"{outer}_edges", tol)
+        & geo.edges_covered(f"{inner}_edges", f"{outer}_area", f"{outer}_edges", tol)
+        & ~geo.some_point_within(f"{outer}_marks", f"{inner}_area", tol)
+    )
+
+
+def covered_pairs(pairs: DataFrame, geom: DataFrame, tol: float = COVER_TOLERANCE) -> DataFrame:
+    """The distinct (inner_id, outer_id) of ``pairs`` whose outer geometry covers the inner one."""
+    inner = outline(geom, "_in", tol).drop("_in_marks")
+    outer = outline(geom, "_out", tol).drop("_out_points", "_out_inside")
+    return (
+        pairs.select("inner_id", "outer_id").distinct()
+        .join(inner, F.col("inner_id") == F.col("_in_id"))
+        .join(outer, F.col("outer_id") == F.col("_out_id"))
+        .filter(covered("_out", "_in", tol)).select("inner_id", "outer_id")
+    )
 
 
 def acts_outside_field(
@@ -280,7 +309,8 @@ def acts_outside_field(
     """Acts with a geometry that their field's does not cover.
 
     ``mode="resolved_owner"`` takes the owning field; ``"as_written"`` the act's own field_id, so
-    that every act on a trial or plot with a geometry is reported.
+    that every act on a trial or plot with a geometry is reported. Each pair of geometries is tested
+    once, however many acts share it; a geometry covers itself.
     """
     if mode not in ("resolved_owner", "as_written"):
         raise ValueError('mode must be "resolved_owner" or "as_written"')
@@ -289,14 +319,11 @@ def acts_outside_field(
         shaped = owner_field(shaped, field_trial, plot)
     else:
         shaped = shaped.withColumn("owner_field_id", F.col("field_id"))
-    inner = outline(geom, "_in")
-    outer = field.select(F.col("field_id").alias("_f"), F.col("geom_id").alias("_fg")).join(
-        outline(geom, "_out").drop("_out_points"), F.col("_fg") == F.col("_out_id")
-    )
-    joined = shaped.join(inner, F.col("geom_id") == F.col("_in_id"), "left").join(
-        outer, F.col("owner_field_id") == F.col("_f"), "left"
-    )
-    # a field's own geometry covers itself; only others are tested point by point
-    same = F.col("geom_id") == F.col("_fg")
-    fine = same | (F.col("_in_points").isNotNull() & covered("_out_edges", "_in_points", "_in_edges", tol))
-    return joined.filter(~F.coalesce(fine, F.lit(False))).select(*act.columns, "owner_field_id")
+    outer = field.select(F.col("field_id").alias("_f"), F.col("geom_id").alias("outer_id"))
+    placed = shaped.join(outer, F.col("owner_field_id") == F.col("_f"), "left")
+    # read for the pairs and for the acts
+    other = cut_lineage(placed.filter(~F.coalesce(F.col("geom_id") == F.col("outer_id"), F.lit(False))))
+    pairs = other.filter("outer_id is not null").select(F.col("geom_id").alias("inner_id"), "outer_id")
+    fine = covered_pairs(pairs, geom, tol)
+    same = (F.col("geom_id") == F.col("inner_id")) & (other["outer_id"] == fine["outer_id"])
+    return other.join(fine, same, "left_anti").select(*act.columns, "owner_field_id")

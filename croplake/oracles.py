@@ -20,6 +20,15 @@ _NOW = f"TIMESTAMP '{NOW}'"
 #: last date of the forecast for NOW: today (12:00 is past) plus 7 days
 _LAST = "DATE '2024-02-06'"
 
+#: pairs of shapes: cells that are the same or touch, a point at a corner of a cell, or the same point
+_SHAPE_PAIRS = (
+    "SELECT DISTINCT a.geom_id, b.geom_id AS {out} FROM (SELECT geom_id, x + unnest([-1, 0, 1]) AS x, y FROM {a}) a "
+    "JOIN {b} b ON a.x = b.x AND b.y BETWEEN a.y - 1 AND a.y + 1 "
+    "UNION SELECT p.geom_id, c.geom_id FROM {pa} p JOIN {b} c ON c.x IN (p.x - 1, p.x) AND c.y IN (p.y - 1, p.y) "
+    "UNION SELECT c.geom_id, p.geom_id FROM {pb} p JOIN {a} c ON c.x IN (p.x - 1, p.x) AND c.y IN (p.y - 1, p.y) "
+    "UNION SELECT p.geom_id, q.geom_id FROM {pa} p JOIN {pb} q ON p.x = q.x AND p.y = q.y"
+)
+
 #: model tables as common table expressions; a table may use those above it
 CTES: dict[str, str] = {
     "organization": "SELECT r_regionkey::bigint AS organization_id, r_name AS name FROM region",
@@ -48,6 +57,23 @@ CTES: dict[str, str] = {
     "points": """
         SELECT c_custkey AS point_id, -96.0::double + 6.0::double * ((c_custkey * 37) % 1500) / 1500.0::double AS lon,
                40.0::double + 8.0::double * ((c_custkey * 91) % 1500) / 1500.0::double AS lat FROM customer""",
+    # the shapes as sets of cells of a lattice; points as corners
+    "cells": """
+        SELECT shape, cx, cy FROM (SELECT unnest(range(9)) AS shape), (SELECT unnest(range(4)) AS cx), (SELECT unnest(range(4)) AS cy)
+        WHERE CASE shape WHEN 0 THEN true WHEN 1 THEN cx = 0 OR cy = 0 WHEN 2 THEN cy = 0 OR cx IN (0, 3) WHEN 3 THEN cx <> 1
+            WHEN 4 THEN NOT (cx IN (1, 2) AND cy IN (1, 2)) WHEN 6 THEN cx IN (1, 2) AND cy IN (1, 2) WHEN 7 THEN cx + cy = 0
+            WHEN 8 THEN cx IN (1, 2) ELSE false END""",
+    "shape_cells": """
+        SELECT c_custkey AS geom_id, 3 * (c_custkey % 900) + cx AS x, 3 * (c_custkey // 900) + cy AS y
+        FROM customer JOIN cells ON shape = c_custkey % 6""",
+    "supplier_cells": """
+        SELECT s_suppkey AS geom_id, 3 * (s_suppkey % 900) + cx AS x, 3 * (s_suppkey // 900) + cy AS y
+        FROM supplier JOIN cells ON shape = (s_suppkey + 2) % 6""",
+    "shape_points": "SELECT c_custkey AS geom_id, 3 * (c_custkey % 900) + 2 AS x, 3 * (c_custkey // 900) + 2 AS y FROM customer WHERE c_custkey % 6 = 5",
+    "supplier_points": "SELECT s_suppkey AS geom_id, 3 * (s_suppkey % 900) + 2 AS x, 3 * (s_suppkey // 900) + 2 AS y FROM supplier WHERE (s_suppkey + 2) % 6 = 5",
+    "half_points": """
+        SELECT c_custkey AS point_id, 3 * (c_custkey % 900) + (c_custkey * 7 % 9) / 2.0::double AS px,
+               3 * (c_custkey // 900) + (c_custkey * 5 % 9) / 2.0::double AS py FROM customer""",
     "crop_type": """
         SELECT DISTINCT substr(o_orderpriority, 1, 1)::bigint AS crop_type_id,
                upper(substr(o_orderpriority, 3)) AS crop FROM orders""",
@@ -618,12 +644,9 @@ def oracle_sql() -> dict[str, str]:
         # ---- geometry
         "point_to_cell": _grid_sql(),
         "polygon_join": sql(
-            f"SELECT p.point_id, b.point_id AS geom_id FROM points p JOIN points b "
-            f"ON p.lon BETWEEN b.lon AND b.lon + {s} AND p.lat BETWEEN b.lat AND b.lat + {s}"),
-        "shape_join": sql(
-            f"SELECT a.point_id AS geom_id, b.point_id AS other_id FROM points a JOIN points b "
-            f"ON a.lon <= b.lon + {s} AND b.lon <= a.lon + {s} AND a.lat <= b.lat + {s} AND b.lat <= a.lat + {s} "
-            ),
+            "SELECT DISTINCT p.point_id, c.geom_id FROM (SELECT *, unnest([floor(px), ceil(px) - 1]) AS x, py FROM half_points) p "
+            "JOIN shape_cells c ON c.x = p.x AND p.py BETWEEN c.y AND c.y + 1 AND p.px BETWEEN c.x AND c.x + 1"),
+        "shape_join": sql(_SHAPE_PAIRS.format(a="shape_cells", b="shape_cells", pa="shape_points", pb="shape_points", out="other_id")),
         "field_centroids": sql(
             f"SELECT point_id AS field_id, round(lon + {s / 2}, 6) AS lon, round(lat + {s / 2}, 6) AS lat FROM points"),
     }
@@ -636,9 +659,14 @@ def oracle_sql() -> dict[str, str]:
         f"{_LAST} AS date_last FROM out JOIN ({bounds}) b ON b.field_id = out.point_id GROUP BY ALL")
     out["invalid_geometries"] = (
         "SELECT c_custkey AS geom_id, CASE c_custkey % 10 WHEN 1 THEN 'not closed' WHEN 2 THEN 'too few points' "
-        "ELSE 'crosses itself' END AS reason FROM customer WHERE c_custkey % 10 IN (1, 2, 3)")
-    out["acts_outside_field"] = sql(
-        "SELECT act_id, owner_field_id FROM owned_act WHERE act_id % 5 = 0 AND owner_field_id < (SELECT max(c_custkey) FROM customer)")
+        "ELSE 'crosses itself' END AS reason FROM customer WHERE c_custkey % 10 IN (1, 2, 3, 5, 6, 7)")
+    for name, owner in (("acts_outside_field", "owner_field_id"), ("acts_outside_field_as_written", "field_id")):
+        # cells of the act's shape that its field's lacks; a point needs one cell around it, or the same point
+        out[name] = sql(
+            f"WITH a AS (SELECT act_id, {owner} AS f, {owner} % 6 AS fs, list_extract([0, 6, 7, 1, 5, 8], act_id % 6 + 1) AS s FROM owned_act) "
+            "SELECT act_id, f AS owner_field_id FROM a WHERE f IS NULL OR (s <> 5 AND EXISTS (SELECT 1 FROM cells c WHERE c.shape = a.s "
+            "AND NOT EXISTS (SELECT 1 FROM cells d WHERE d.shape = a.fs AND d.cx = c.cx AND d.cy = c.cy))) "
+            "OR (s = 5 AND fs <> 5 AND NOT EXISTS (SELECT 1 FROM cells d WHERE d.shape = a.fs AND d.cx IN (1, 2) AND d.cy IN (1, 2)))")
     out["geometry_upsert"] = (
         "WITH k AS (SELECT (s_suppkey * 37) % 1500 AS a, (s_suppkey * 91) % 1500 AS b, min(s_suppkey) AS id FROM supplier "
         "GROUP BY ALL), c AS (SELECT c_custkey, (c_custkey * 37) % 1500 AS a, (c_custkey * 91) % 1500 AS b FROM customer) "
@@ -772,9 +800,8 @@ def oracle_sql() -> dict[str, str]:
     out["observation_counts"] = sql(
         "SELECT observation_type_id, count(*) FILTER (observation_type_id <> 3) AS number_of_observations FROM observation GROUP BY ALL")
     out["feature_matrix"] = sql(
-        f"SELECT a.point_id AS geom_id, n_orders, b.point_id AS square_id FROM points a JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY ALL) "
-        f"ON o_custkey = a.point_id JOIN points b ON a.lon <= b.lon + {s} AND b.lon <= a.lon + {s} AND a.lat <= b.lat + {s} AND b.lat <= a.lat + {s} "
-        "JOIN supplier ON s_suppkey = b.point_id")
+        "SELECT geom_id, n_orders, square_id FROM (" + _SHAPE_PAIRS.format(a="shape_cells", b="supplier_cells", pa="shape_points", pb="supplier_points", out="square_id") + ") "
+        "JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY ALL) ON o_custkey = geom_id")
     out["seeded_weather_types"] = (
         "WITH m AS (SELECT max(CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 ELSE 5 END) AS top FROM events) "
         "SELECT (top + i)::bigint AS weather_type_id, n AS weather_type, u AS units FROM m, (VALUES "

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from croplake.catalog import DAILY_WEATHER_TYPES
 from croplake.functions import timeops as t
-from croplake.operators.ranking import id_bucket, numbered
+from croplake.operators.ranking import numbered
 from croplake.session import cut_lineage
 
 #: fixed values: limits and sizes of requests, and which parameters go together
@@ -41,7 +41,7 @@ def chunk_of(rn: Column, n: Column, max_rows: Column) -> Column:
 
 def even_chunks(rows: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
     """``rows`` plus ``chunk`` per key, by cell id."""
-    ranked = numbered(rows, keys, ["cell_id"], id_bucket("cell_id"), "_rn", total="_n")
+    ranked = numbered(rows, keys, ["cell_id"], "_rn", total="_n")
     chunk = chunk_of(F.col("_rn"), F.col("_n"), F.lit(max_rows))
     return ranked.withColumn("chunk", chunk).drop("_rn", "_n")
 
@@ -164,7 +164,7 @@ def _requests(chunks: DataFrame, place: list[str], restart: list[str]) -> DataFr
 
 def _chunked_by_set(rows: DataFrame, keys: list[str], sets: Column) -> DataFrame:
     # ranks do not depend on the set: rank once, then cut each set by its own size
-    ranked = numbered(rows, keys, ["cell_id"], id_bucket("cell_id"), "_rn", total="_n")
+    ranked = numbered(rows, keys, ["cell_id"], "_rn", total="_n")
     each = ranked.withColumn("_set", sets).select("*", "_set.*").drop("_set")
     chunk = chunk_of(F.col("_rn"), F.col("_n"), F.col("max_cells"))
     return each.withColumn("chunk", chunk).drop("_rn", "_n", "max_cells")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croplake.catalog import CATALOG, NUTRIENTS, RASTER_SUBTYPES, TableSpec
-from croplake.fixtures import NOW, SEGMENTS, Tables, ntz
+from croplake.fixtures import ACT_SHAPES, NOW, SEGMENTS, Tables, ntz
 from croplake.functions import timeops
 from croplake.operators import checks, features, grid, hierarchy, keyed, lineage, spatial, views
 from croplake.operators import weather as w
@@ -769,13 +769,14 @@ def need_of_fields(t: Tables) -> DataFrame:
 
 @query
 def polygon_join(t: Tables) -> DataFrame:
-    return spatial.points_in_polygons(t.points, t.geom).select("point_id", "geom_id")
+    """Points in half cells against squares, L and U shapes, shapes of parts and with holes."""
+    return spatial.points_in_polygons(t.shape_points, t.shapes).select("point_id", "geom_id")
 
 
 @query
 def shape_join(t: Tables) -> DataFrame:
-    other = t.geom.withColumnRenamed("geom_id", "other_id")
-    return spatial.spatial_join(t.geom, other).select("geom_id", "other_id")
+    other = t.shapes.withColumnRenamed("geom_id", "other_id")
+    return spatial.spatial_join(t.shapes, other).select("geom_id", "other_id")
 
 
 @query
@@ -787,35 +788,51 @@ def field_centroids(t: Tables) -> DataFrame:
 
 @query
 def invalid_geometries(t: Tables) -> DataFrame:
-    """Squares of which some are broken: open, short, or with two corners swapped."""
+    """Shapes of which some are broken: open, short, a bow tie, and a second ring that touches in a point or overlaps."""
     key = F.col("geom_id") % 10
-    ring = F.col("rings")[0]
+    ring = F.transform(F.array(*[F.array(F.lit(x), F.lit(y)) for x, y in ((0, 0), (4, 0), (4, 4), (0, 4), (0, 0))]), lambda c: F.struct(
+        (F.col("x0") + c[0]).cast("double").alias("x"), c[1].cast("double").alias("y")
+    ))
+    def drawn(*corners: tuple[int, int]) -> Column:
+        return F.array(*[F.struct((F.col("x0") + x).cast("double").alias("x"), F.lit(float(y)).alias("y")) for x, y in corners])
+
     bow = F.array(ring[0], ring[2], ring[1], ring[3], ring[4])
-    broken = t.geom.withColumn(
+    broken = t.shapes.select("geom_id").withColumn("x0", F.pmod("geom_id", F.lit(100))).withColumn(
         "rings",
-        F.array(
-            F.when(key == 1, F.slice(ring, 1, 4)).when(key == 2, F.slice(ring, 1, 2))
-            .when(key == 3, bow).otherwise(ring)
-        ),
-    )
+        F.when(key == 1, F.array(F.slice(ring, 1, 4))).when(key == 2, F.array(F.slice(ring, 1, 2)))
+        .when(key == 3, F.array(bow))
+        .when(key == 4, F.array(ring, drawn((4, 0), (8, 4), (8, -4), (4, 0))))  # touches in a corner
+        .when(key == 5, F.array(ring, drawn((4, 1), (8, 1), (8, 3), (4, 3), (4, 1))))  # shares a stretch
+        .when(key == 6, F.array(drawn((0, 0), (4, 0), (2, 0), (2, 4), (0, 0))))  # folds back
+        .when(key == 7, F.array(drawn((0, 0), (4, 0), (4, 4), (2, 0), (0, 4), (0, 0))))  # touches its own side
+        .otherwise(F.array(ring)),
+    ).withColumn("kind", F.lit("POLYGON"))
     return spatial.invalid_geometries(broken).select("geom_id", "reason")
 
 
-@query
-def acts_outside_field(t: Tables) -> DataFrame:
-    """Acts that carry a geometry: their field's, or that of the next field."""
+def _acts_outside(t: Tables, mode: str) -> DataFrame:
+    """Acts that carry a shape of their own, at the place of the field that owns them."""
     field_of = views.owner_field(t.act, t.field_trial, t.plot)
-    top = t.raw("customer").agg(F.max("c_custkey").alias("m")).scalar()
+    kind = F.pmod("act_id", F.lit(len(ACT_SHAPES)))
     shaped = field_of.withColumn(
-        "geom_id",
-        F.when(F.col("act_id") % 5 == 0, F.least(F.col("owner_field_id") + 1, top))
-        .otherwise(F.col("owner_field_id")),
+        "geom_id", F.lit(10**9) + F.col("owner_field_id") * 8 + kind
     ).drop("owner_field_id")
+    geom = t.shapes.unionByName(t.act_shapes)
     return spatial.acts_outside_field(
-        shaped, t.field, t.field_trial, t.plot, t.geom
+        shaped, t.field, t.field_trial, t.plot, geom, mode
     ).select("act_id", "owner_field_id")
 
 
+@query
+def acts_outside_field(t: Tables) -> DataFrame:
+    return _acts_outside(t, "resolved_owner")
+
+
+@query
+def acts_outside_field_as_written(t: Tables) -> DataFrame:
+    return _acts_outside(t, "as_written")
+
+
 @query
 def geometry_upsert(t: Tables) -> DataFrame:
     """The suppliers' squares are stored; the customers' are asked for, drawn another way."""
@@ -1182,13 +1199,13 @@ def observation_counts(t: Tables) -> DataFrame:
 
 @query
 def feature_matrix(t: Tables) -> DataFrame:
-    """Geometry rows with orders per field, and with every square their own meets."""
-    frames = features.FrameSet(t.geom)
+    """Geometry rows with orders per field, and with every shape their own meets."""
+    frames = features.FrameSet(t.shapes)
     per_field = t.raw("orders").groupBy(F.col("o_custkey").alias("geom_id")).agg(
         F.count("*").alias("n_orders")
     )
     frames.add("orders", per_field)
-    frames.add("squares", t.supplier_geom.withColumnRenamed("geom_id", "square_id"), geo=True)
+    frames.add("squares", t.supplier_shapes.withColumnRenamed("geom_id", "square_id"), geo=True)
     return frames.matrix().select("geom_id", "n_orders", "square_id")
 
 

@@ -70,8 +70,8 @@ def load_fields(
         F.min(F.struct("kind", "rings")).alias("_s")
     ).select("_s.*")
     new_geoms, _ = spatial.insert_or_get_geom(stored("geom"), canonical)
-    geoms = stored("geom").select("geom_id", "canonical", "rings").unionByName(
-        new_geoms.select("geom_id", "canonical", "rings")
+    geoms = stored("geom").select("geom_id", "kind", "canonical", "rings").unionByName(
+        new_geoms.select("geom_id", "kind", "canonical", "rings")
     )
     geom_ids = geoms.groupBy("canonical").agg(F.min("geom_id").alias("geom_id"))
 
@@ -123,15 +123,12 @@ def load_fields(
             ).alias("details"),
         )
     )
-    inner = spatial.outline(geoms, "_in")
-    outer = spatial.outline(geoms, "_out").drop("_out_points")
-    judged = acts.join(inner, F.col("geom_id") == F.col("_in_id")).join(
-        outer, F.col("_field_geom") == F.col("_out_id")
-    )
-    fine = (F.col("geom_id") == F.col("_field_geom")) | spatial.covered(
-        "_out_edges", "_in_points", "_in_edges", COVER_TOLERANCE
-    )
-    judged = judged.withColumn("_covered", fine)
+    pairs = acts.select(F.col("geom_id").alias("inner_id"), F.col("_field_geom").alias("outer_id"))
+    fine = spatial.covered_pairs(pairs.filter("inner_id <> outer_id"), geoms, COVER_TOLERANCE)
+    judged = acts.join(
+        fine.withColumn("_fine", F.lit(True)),
+        (F.col("geom_id") == F.col("inner_id")) & (F.col("_field_geom") == F.col("outer_id")), "left",
+    ).withColumn("_covered", F.coalesce(F.col("_fine") | (F.col("geom_id") == F.col("_field_geom")), F.lit(False)))
     columns = [c for c in acts.columns if c != "_field_geom"]
     new_acts, _ = keyed.insert_or_get(
         stored("act"), judged.filter("_covered").select(*columns), CATALOG["act"], now

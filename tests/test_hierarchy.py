@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from croplake.operators import hierarchy as h
@@ -68,3 +70,28 @@ def test_ancestors_and_descendants(spark, tree):
     down = h.descendants(pairs, tree.filter("grouper_id = 1")).collect()
     assert sorted(r.grouper_id for r in down) == [2, 3, 4]
     assert [r.grouper_ids for r in h.children(h.descend(tree)).orderBy("grouper_id").collect()] == [[2, 4], [3]]
+
+
+def test_deep_chain_with_branches_and_a_long_cycle(spark):
+    """3,000 levels and a cycle of 7 with a tail take about log2 rounds; pairs equal a walk by hand."""
+    parent = {i: i - 1 if i else None for i in range(3000)}
+    parent |= {10_000 + i: i * 40 for i in range(70)} | {20_000 + i: 20_000 + (i + 1) % 7 for i in range(7)}
+    parent |= {20_100 + i: 20_100 + i - 1 for i in range(1, 12)} | {20_100: 20_003}
+    groups = spark.createDataFrame(
+        [(g, f"g{g}", 1, p) for g, p in parent.items()],
+        "grouper_id long, name string, organization_id long, parent_grouper_id long",
+    )
+    depth = {r.grouper_id: r.depth for r in h.descend(groups).collect()}
+    begin = time.perf_counter()
+    pairs = h.closure(groups)
+    assert time.perf_counter() - begin < 60
+    got = pairs.toPandas()
+    assert depth == {i: i for i in range(3000)} | {10_000 + i: i * 40 + 1 for i in range(70)}
+    want = set()
+    for g in parent:
+        at, distance, seen = g, 0, set()
+        while at is not None and at not in seen:
+            want.add((at, g, distance))
+            seen.add(at)
+            at, distance = parent[at], distance + 1
+    assert len(got) == len(want) and set(zip(got.ancestor_id, got.grouper_id, got.distance)) == want

@@ -188,5 +188,25 @@ def test_bar_over_a_notch_is_not_covered(spark):
     bars = {1: ring((1, 6), (8, 6), (8, 7), (1, 7)), 2: ring((1, 1), (8, 1), (8, 2), (1, 2)), 3: ring((0, 0), (9, 0), (9, 3), (0, 3))}
     rows = [(i, "POLYGON", [g]) for i, g in bars.items()]
     inner, outer = spatial.outline(shapes(spark, rows), "_in"), spatial.outline(shapes(spark, [(9, "POLYGON", u)]), "_out")
-    got = inner.join(outer, F.lit(True)).select("_in_id", spatial.covered("_out_edges", "_in_points", "_in_edges").alias("ok")).collect()
+    got = inner.join(outer, F.lit(True)).select("_in_id", spatial.covered("_out", "_in").alias("ok")).collect()
     assert {r["_in_id"]: r["ok"] for r in got} == {1: False, 2: True, 3: True}
+
+
+def test_a_hole_inside_the_inner_shape_is_seen(spark):
+    square, hole = ring((0, 0), (9, 0), (9, 9), (0, 9)), ring((3, 3), (3, 6), (6, 6), (6, 3))
+    touching = ring((0, 0), (3, 1), (1, 3))  # a hole that touches the border in a corner
+    rows = [
+        (1, "POLYGON", [square]), (2, "POLYGON", [square, hole]), (3, "POLYGON", [ring((1, 1), (2, 1), (2, 8), (1, 8))]),
+        (4, "POLYGON", [hole]), (5, "POLYGON", [ring((2, 2), (7, 2), (7, 7), (2, 7))]),
+        (6, "POLYGON", [ring((2, 2), (7, 2), (7, 7), (2, 7)), hole]), (7, "POLYGON", [square, touching]),
+        (8, "MULTIPOLYGON", [ring((0, 0), (4, 0), (4, 9), (0, 9)), ring((5, 0), (9, 0), (9, 9), (5, 9))]),
+        (9, "POINT", [[{"x": 4.5, "y": 4.5}]]), (10, "LINESTRING", [[{"x": 1.0, "y": 1.0}, {"x": 2.0, "y": 8.0}]]),
+        (11, "LINESTRING", [[{"x": 1.0, "y": 1.0}, {"x": 8.0, "y": 8.0}]]), (12, "POINT", [[{"x": 1.0, "y": 1.0}]]),
+    ]
+    pairs = spark.createDataFrame([(i, o) for i in range(1, 13) for o in range(1, 13)] * 2, "inner_id long, outer_id long")
+    got = {(r.inner_id, r.outer_id) for r in spatial.covered_pairs(pairs, shapes(spark, rows)).collect()}
+    want = {(i, i) for i in range(1, 13)} | {(i, 1) for i in range(1, 13)}
+    want |= {(3, 2), (6, 2), (10, 2), (12, 2), (6, 5), (4, 5), (9, 5), (9, 4), (4, 7), (5, 7), (6, 7), (9, 7)}
+    want |= {(3, 8), (10, 8), (12, 8), (12, 10), (12, 11), (9, 11), (10, 3), (12, 3)}
+    # a polygon that fills the hole has its whole border on the outer one: (4, 2), (4, 6) are none; (1, 1) lies in the touching hole
+    assert got == want
