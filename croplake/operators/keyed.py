@@ -90,6 +90,7 @@ def allocate_ids(
     rows, and the bucket counts give each bucket its offset. Both depend on the rows alone, so a
     lost task gives the same ids again.
     """
+    rows = cut_lineage(rows)  # read for the counts and for the rows
     count = rows.agg(F.count("*").alias("n")).scalar()
     buckets = F.greatest(F.lit(1).cast("long"), F.ceil(count / F.lit(bucket_rows)))
     work = rows.withColumn("_bucket", F.pmod(F.xxhash64(*key), buckets))

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from croplake.session import cut_lineage
+
 #: places (distinct values of the ordering columns) of a bucket, about, up to so many buckets
 BUCKET_ROWS, MOST_BUCKETS = 50_000, 4096
 #: places of the sketch for each bucket
@@ -100,7 +102,8 @@ def numbered(
 
 def _with_bucket(df: DataFrame, keys: list[str], order: list[str], rows: int) -> DataFrame:
     """``df`` plus ``_key``: its key columns (k0, k1, …) and bucket (b) as one struct."""
-    work = with_even_bucket(df, order, rows, "_bucket")
+    # read for the sketch, the counts and the rows: what leads to it is computed once
+    work = with_even_bucket(cut_lineage(df), order, rows, "_bucket")
     fields = [F.col(c).alias(f"k{i}") for i, c in enumerate(keys)]
     return work.withColumn("_key", F.struct(*fields, F.col("_bucket").alias("b"))).drop("_bucket")
 
