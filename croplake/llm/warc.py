@@ -64,16 +64,17 @@ def chunks(pages: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
             if rows:
                 yield dict(zip(_CHUNK, zip(*rows, strict=True), strict=True))
 
-    return common.over_batches(pages.select("page_id", "url", "html"), "record long, page_id long, url string, chunk int, bytes binary, running binary, total long", work)
+    return common.over_batches(pages.select("page_id", "url", "html"), "record binary, page_id long, url string, chunk int, bytes binary, running binary, total long", work)
 
 
 _CHUNK = ("record", "page_id", "url", "chunk", "bytes", "running", "total")
 
 
-def _record(page: int | None, url: str | None, data: pa.Buffer) -> int:
-    h = xxhash.xxh3_64(repr((page, url)).encode("utf-8", "surrogatepass"))
+def _record(page: int | None, url: str | None, data: pa.Buffer) -> bytes:
+    """128 bits: two of 10**10 records are the same by chance once in some 10**18 runs."""
+    h = xxhash.xxh3_128(repr((page, url)).encode("utf-8", "surrogatepass"))
     h.update(data)
-    return h.intdigest() - (1 << 63)
+    return h.digest()
 
 
 def roles(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
@@ -126,7 +127,7 @@ class _Writer:
         self.part = f"{self.path}/.part-{uuid.uuid4().hex}"
         self.out = self.fs.open_output_stream(self.part, compression=None)
         self.names, self.records, self.written = hashlib.sha1(), 0, 0
-        self.record: int | None = None
+        self.record: bytes | None = None
 
     def take(self, record, chunk, page, url, data, running, total, copies, response, once, refers_to) -> None:
         if chunk < 0:  # the role: length and digest of the whole payload are known before its first chunk
