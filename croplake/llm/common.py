@@ -73,6 +73,13 @@ def as_text(column: pa.Array) -> pa.Array:
     return column.fill_null("") if column.null_count else column
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches cut to a few rows, so that what is made of one at a time stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def passing(batch: pa.RecordBatch, mask: np.ndarray) -> pa.RecordBatch:
     return batch.filter(pa.array(mask, pa.bool_()))
 

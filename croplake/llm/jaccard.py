@@ -51,7 +51,7 @@ def described(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, n, fp, bits, brief): size, fingerprint and bits of every row's set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
+        for batch in common.parts(batches):
             n, fp, bits = [], [], []
             for found in tokens.sets(common.as_text(batch.column("text")), k):
                 n.append(len(found))
@@ -74,7 +74,7 @@ def frequent(docs: DataFrame, k: int, percent: int) -> tuple[np.ndarray, np.ndar
 
     def counted(pick: Callable[[np.ndarray], np.ndarray]) -> dict[int, int]:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-            for batch in batches:
+            for batch in common.parts(batches, 2000):
                 some = [pick(found) for found in tokens.sets(common.as_text(batch.column("text")), k)]
                 if some:
                     yield dict(zip(("token", "rows"), np.unique(tokens.signed(np.concatenate(some)), return_counts=True), strict=True))
@@ -129,7 +129,7 @@ def postings(docs: DataFrame, k: int, percent: int, often: tuple[np.ndarray, np.
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in common.parts(batches):
             parts, sizes, prints = [], [], []
             for found in tokens.sets(common.as_text(batch.column("text")), k):
                 if not len(found) or (fp := int(_fingerprint(found))) in seen:
@@ -201,10 +201,9 @@ def links(pairs: DataFrame, described_rows: DataFrame, docs: DataFrame, k: int,
     some = common.with_ids(docs.select("doc_id", "text"), ids, "doc_id", "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            found = list(tokens.sets(common.as_text(batch.column("text")), k))
-            for at in range(0, len(found), 256):
-                part = found[at : at + 256]
+        for batch in common.parts(batches, 256):
+            part = list(tokens.sets(common.as_text(batch.column("text")), k))
+            if part:
                 yield {"fp": tokens.signed(np.array([_fingerprint(x) for x in part], np.uint64)), "found": [x.tobytes() for x in part]}
 
     whole = common.over_batches(some.select("text"), "fp long, found binary", sets).dropDuplicates(["fp"])

@@ -1,157 +1,163 @@
 """Substring dedup by hashed units: the first occurrence in the corpus stays, the rest go with their offsets kept.
 
-A unit is a line, of any length, and where a line holds several sentences each of these as well, so that a passage
-set into a paragraph is met (:func:`repeated_lines`, which the query uses). Units are normalised (A-Z in lower case,
-white space runs as one space). A sentence of fewer than ``LEAST_WORDS`` words is hashed together with the units before
-it that make up so many words, and has no digest where the text's start comes first; what is removed is the unit alone.
-:func:`repeated` takes the finest units only, and holds lines of one sentence to ``LEAST_WORDS`` too. Digests are
-grouped over the whole corpus. Of equal ones that of the smallest (doc_id, start) stays. A kept sentence may stand in a
-line that goes, if that whole line stands before it elsewhere.
+A unit is a line, of any length, and where a line holds several pieces each of these as well, so that a passage set into
+a paragraph is met. Pieces end with sentences; a sentence of more than ``LONGEST`` words, or text without sentence ends,
+is also cut after words that their own hash picks, so that a passage is cut alike wherever it stands. Units are
+normalised (A-Z in lower case, white space runs as one space). A piece of fewer than ``LEAST_WORDS`` words has two
+digests: with the pieces before it that make up so many words, and with those after it, where there are so many; what is
+removed is the piece alone.
+
+Digests (96 bits) are grouped over the whole corpus. Of equal ones that of the smallest (doc_id, start) stays. A kept piece
+may stand in a line that goes, if that whole line stands before it elsewhere. Removed units that follow one another and
+have their keepers side by side are one row.
 
 Null and empty texts have no units. A null doc_id ranks after all others. Repeated rows of one id and text are one
-occurrence: they keep and lose the same units. An empty table gives no rows.
+occurrence: they keep and lose the same units; rows of one id with different texts (by their CRC-32) are told apart. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import common
 
-LEAST_WORDS = 10
+LEAST_WORDS, LONGEST = 10, 20
+#: One of so many words ends a piece of a long sentence.
+ONE_OF = 8
 _END = re.compile(r"[.!?]+[\x20\x09\x0B-\x0D]+|\n+")
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
-
-def units(text: str) -> Iterator[tuple[int, int, bytes]]:
-    """(start, end, digest) of the units that have a digest, in code points."""
-    start = 0
-    before: list[list[str]] = []
-    for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
-        words = _WORD.findall(text[start:end].translate(_LOWER))
-        if words:
-            taken, k = words, len(before)
-            while len(taken) < LEAST_WORDS and k:
-                k -= 1
-                taken = before[k] + taken
-            before = before[k:] if len(words) < LEAST_WORDS else []
-            before.append(words)
-            if len(taken) >= LEAST_WORDS:
-                yield start, end, hashlib.blake2b(" ".join(taken).encode(), digest_size=16).digest()
-        start = end
-
+_WORD = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*\n*")
+_WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
+#: The line of a unit that is a line itself.
+_WHOLE = -1
 
-def line_units(text: str) -> Iterator[tuple[int, int, bytes, int | None, bytes | None]]:
-    """(start, end, digest, start and digest of its line) of every line with words and of the sentences of those with several.
 
-    For a line itself the last two are none.
-    """
+def pieces(text: str) -> list[tuple[int, int, list[bytes], int]]:
+    """(start, end, words, start of its line) of the pieces of a text, in order; those without words are left out."""
+    found: list[tuple[int, int, list[bytes], int]] = []
     start = line = 0
-    before: list[list[str]] = []
-    held: list[tuple[int, int, list[str], list[str]]] = []  # the open line's sentences, with what is hashed for them
-    ends = [(m.end(), m[0][-1] == "\n") for m in _END.finditer(text)]
-    for end, last in [*ends, (len(text), True)]:
-        words = _WORD.findall(text[start:end].translate(_LOWER))
-        if words:
-            taken, k = words, len(before)
-            while len(taken) < LEAST_WORDS and k:
-                k -= 1
-                taken = before[k] + taken
-            before = before[k:] if len(words) < LEAST_WORDS else []
-            before.append(words)
-            held.append((start, end, words, taken))
+    for end, last in [*((m.end(), m[0][-1] == "\n") for m in _END.finditer(text)), (len(text), True)]:
+        words = text[start:end].encode().lower().split()  # of bytes: ASCII letters and white space alone
+        if len(words) > LONGEST:
+            at, own = start, []
+            for m in _WORD.finditer(text, start, end):
+                word = m[0].rstrip(_WHITE).encode().lower()
+                own.append(word)
+                if zlib.crc32(word) % ONE_OF == 0 and m.end() < end:
+                    found.append((at, m.end(), own, line))
+                    at, own = m.end(), []
+            if own:
+                found.append((at, end, own, line))
+        elif words:
+            found.append((start, end, words, line))
         start = end
         if last:
-            if held:
-                whole = _digest([w for _, _, words, _ in held for w in words])
-                yield line, end, whole, None, None
-                if len(held) > 1:
-                    for a, b, _, taken in held:
-                        if len(taken) >= LEAST_WORDS:
-                            yield a, b, _digest(taken), line, whole
-                held = []
             line = end
-
-
-def _digest(words: list[str]) -> bytes:
-    return hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
+    return found
+
+
+def units(text: str) -> Iterator[tuple[int, int, int, bytes]]:
+    """(start, end, line, digest): lines with ``_WHOLE`` as their line, then the pieces of lines that hold several."""
+    found = pieces(text)
+    sizes = [len(p[2]) for p in found]
+    k = 0
+    while k < len(found):
+        line = found[k][3]
+        to = k + 1
+        while to < len(found) and found[to][3] == line:
+            to += 1
+        yield line, found[to - 1][1], _WHOLE, _digest([w for p in found[k:to] for w in p[2]])
+        if to - k > 1:
+            for i in range(k, to):
+                start, end, words, _ = found[i]
+                if sizes[i] >= LEAST_WORDS:
+                    yield start, end, line, _digest(words)
+                    continue
+                a, n = i, sizes[i]
+                while n < LEAST_WORDS and a:
+                    a -= 1
+                    n += sizes[a]
+                if n >= LEAST_WORDS:
+                    yield start, end, line, _digest([w for p in found[a : i + 1] for w in p[2]], b"<%d" % sizes[i])
+                b, n = i + 1, sizes[i]
+                while n < LEAST_WORDS and b < len(found):
+                    n += sizes[b]
+                    b += 1
+                if n >= LEAST_WORDS:
+                    yield start, end, line, _digest([w for p in found[i:b] for w in p[2]], b">%d" % sizes[i])
+        k = to
+
+
+def _digest(words: list[bytes], mark: bytes = b"") -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=12, person=mark).digest()
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(digest, doc_id, start, end) of every unit."""
+    """(key, more, doc_id, text, start, end, line) of every unit; key and more are its digest, text is its text's CRC-32."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                rows, found = [], []
+                rows, found, sums = [], [], []
                 for i, text in enumerate(common.as_text(part.column("text"))):
-                    got = list(units(text.as_py()))
+                    text = text.as_py()
+                    got = list(units(text))
                     found += got
                     rows += [i] * len(got)
+                    sums += [zlib.crc32(text.encode())] * len(got)
                 if found:
-                    start, end, digest = zip(*found, strict=True)
-                    yield {"digest": digest, "doc_id": part.column("doc_id").take(pa.array(rows, pa.int64())), "start": start, "end": end}
-
-    return common.over_batches(docs.select("doc_id", "text"), "digest binary, doc_id long, start long, end long", work)
+                    start, end, line, digest = zip(*found, strict=True)
+                    digest = np.frombuffer(b"".join(digest), np.dtype([("key", "<i8"), ("more", "<i4")]))
+                    yield {
+                        "key": np.ascontiguousarray(digest["key"]), "more": np.ascontiguousarray(digest["more"]),
+                        "doc_id": part.column("doc_id").take(pa.array(rows, pa.int64())), "text": sums, "start": start, "end": end, "line": line,
+                    }
 
-
-def line_occurrences(docs: DataFrame) -> DataFrame:
-    """(digest, doc_id, start, end, line, line_digest) of every line and sentence."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                rows, found = [], []
-                for i, text in enumerate(common.as_text(part.column("text"))):
-                    got = list(line_units(text.as_py()))
-                    found += got
-                    rows += [i] * len(got)
-                if found:
-                    columns = dict(zip(("start", "end", "digest", "line", "line_digest"), zip(*found, strict=True), strict=True))
-                    yield columns | {"doc_id": part.column("doc_id").take(pa.array(rows, pa.int64()))}
-
-    return common.over_batches(docs.select("doc_id", "text"), "digest binary, doc_id long, start long, end long, line long, line_digest binary", work)
+    return common.over_batches(docs.select("doc_id", "text"), "key long, more int, doc_id long, text long, start int, end int, line int", work)
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """One row per removed unit: doc_id, start, end (in the original text), keep_doc_id, keep_start."""
-    return _later(occurrences(docs)).drop("digest")
-
-
-def repeated_lines(docs: DataFrame) -> DataFrame:
-    """As :func:`repeated`, for every line and for the sentences of lines that stay."""
-    rows = common.written(_later(line_occurrences(docs)), "later")
-    lines = rows.where("line is null").select(F.col("digest").alias("line_digest"), F.col("doc_id").alias("of"), F.col("start").alias("line"))
-    inner = rows.where("line is not null")
-    inner = inner.join(lines.distinct(), (inner["line_digest"] == lines["line_digest"]) & inner["doc_id"].eqNullSafe(lines["of"]) & (inner["line"] == lines["line"]), "left_anti")
-    return rows.where("line is null").union(inner).select("doc_id", "start", "end", "keep_doc_id", "keep_start")
-
-
-def _later(occurring: DataFrame) -> DataFrame:
-    """The rows of ``occurring`` but the first of each digest, with that one's place."""
-    found = common.written(occurring, "units")  # read for the groups and for the removal
+    """(doc_id, text, start, end, keep_doc_id, keep_start): a row for every run of removed units, offsets in code points."""
+    found = common.written(occurrences(docs), "units")  # read for the groups and for the removal
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")
     # smallest place and largest differ: the unit occurs again
-    best = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("other")).where("first <> other")
-    best = common.written(best.select("digest", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.start").alias("keep_start")), "repeated")
-    rows = found.join(common.sized(best), "digest")
+    best = found.groupBy("key", "more").agg(F.min(place).alias("first"), F.max(place).alias("other")).where("first <> other")
+    best = best.select("key", "more", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.start").alias("keep_start"))
+    rows = found.join(best, ["key", "more"])
     stays = F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("start") == F.col("keep_start"))
-    return rows.where(~stays).select("digest", "doc_id", "start", "end", *(c for c in found.columns if c.startswith("line")), "keep_doc_id", "keep_start")
+    # from here on by document; a piece that both its digests remove has the first keeper of the two
+    keeper = F.struct(F.col("keep_doc_id").isNull().alias("last"), "keep_doc_id", "keep_start")
+    rows = rows.where(~stays).select("doc_id", "text", "line", "start", "end", keeper.alias("keeper")).repartition("doc_id", "text")
+    rows = rows.groupBy("doc_id", "text", "line", "start", "end").agg(F.min("keeper").alias("keeper"))
+    gone = F.max(F.when(F.col("line") == _WHOLE, True)).over(W.partitionBy("doc_id", "text", F.when(F.col("line") == _WHOLE, F.col("start")).otherwise(F.col("line"))))
+    rows = rows.withColumn("gone", gone).where((F.col("line") == _WHOLE) | F.col("gone").isNull())
+    ordered = W.partitionBy("doc_id", "text").orderBy("start")
+    goes_on = (
+        (F.lag("end").over(ordered) == F.col("start")) & F.lag("keeper.keep_doc_id").over(ordered).eqNullSafe(F.col("keeper.keep_doc_id"))
+        & (F.lag(F.col("keeper.keep_start") - F.col("start")).over(ordered) == F.col("keeper.keep_start") - F.col("start"))
+    )
+    rows = rows.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("run", F.sum("new").over(ordered))
+    return rows.groupBy("doc_id", "text", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min("keeper").alias("keeper")
+    ).select("doc_id", "text", "start", "end", "keeper.keep_doc_id", "keeper.keep_start")
 
 
 def cleaned(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """doc_id, text without the removed units, and their spans ``start:end`` in the original, of every row of ``docs``."""
-    spans = removed.groupBy(F.col("doc_id").alias("of")).agg(F.array_join(F.array_sort(F.collect_set(F.format_string("%012d:%012d", "start", "end"))), ",").alias("spans"))
-    rows = docs.select("doc_id", "text").join(spans, F.col("doc_id").eqNullSafe(F.col("of")), "left").select("doc_id", "text", F.coalesce("spans", F.lit("")).alias("spans"))
+    spans = removed.groupBy(F.col("doc_id").alias("of"), F.col("text").alias("sum")).agg(F.array_join(F.array_sort(F.collect_set(F.format_string("%012d:%012d", "start", "end"))), ",").alias("spans"))
+    rows = docs.select("doc_id", "text")
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.crc32(F.coalesce(F.col("text"), F.lit(""))) == F.col("sum"))
+    rows = rows.join(spans, same, "left").select("doc_id", "text", F.coalesce("spans", F.lit("")).alias("spans"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -172,6 +178,9 @@ def cleaned(docs: DataFrame, removed: DataFrame) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The removed units, with the number of code points that the removal leaves of the document (the most, where rows share an id)."""
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    removed = common.written(repeated_lines(docs), "removed")
-    left = cleaned(docs, removed).where("removed <> ''").groupBy(F.col("doc_id").alias("of")).agg(F.max(F.length("text")).alias("n_chars_left"))
-    return removed.join(left, F.col("doc_id").eqNullSafe(F.col("of"))).drop("of")
+    removed = common.written(repeated(docs), "removed")
+    gone = removed.groupBy("doc_id", "text").agg(F.sum(F.col("end") - F.col("start")).alias("gone"))
+    length = docs.select(F.col("doc_id").alias("of"), F.crc32(F.coalesce("text", F.lit(""))).alias("sum"), F.length("text").alias("n_chars"))
+    left = length.join(gone, F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("sum") == F.col("text"))).groupBy("of").agg(F.max(F.col("n_chars") - F.col("gone")).alias("n_chars_left"))
+    out = removed.join(left, F.col("doc_id").eqNullSafe(F.col("of")))
+    return out.select("doc_id", F.col("start").cast("long"), F.col("end").cast("long"), "keep_doc_id", F.col("keep_start").cast("long"), "n_chars_left")

@@ -187,42 +187,119 @@ def test_secrets_shared_by_repositories(spark):
     assert [(got[i]["n_shared"], got[i]["n_owned"], got[i]["counts"]) for i in (0, 10, 20, 30)] == [(1, 0, "1:4"), (0, 2, "1:1,1:1"), (1, 0, "2:4"), (0, 1, "1:3")]
 
 
+def plain_units(text):
+    """(start, end, whole line?, what makes it equal to others) of every unit, by the rules in words."""
+    text = text or ""
+    bounds, at = [], 0
+    for m in re.finditer(r"[.!?]+[\x20\x09\x0B-\x0D]+|\n+|$", text):
+        if m.end() == at:
+            continue
+        own = words(text[at : m.end()])
+        cut = at
+        if len(own) > 20:
+            for w in re.finditer(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", text[at : m.end()]):
+                if zlib.crc32(words(w[0])[0].encode()) % 8 == 0 and at + w.end() < m.end():
+                    bounds.append((cut, at + w.end()))
+                    cut = at + w.end()
+        bounds.append((cut, m.end()))
+        at = m.end()
+    bounds = [(a, b) for a, b in bounds if words(text[a:b])]
+    lines: dict[int, list[int]] = {}
+    for k, (a, _) in enumerate(bounds):
+        lines.setdefault(text.rfind("\n", 0, a) + 1, []).append(k)
+    for mine in lines.values():
+        a, b = bounds[mine[0]][0], bounds[mine[-1]][1]
+        yield a, b, True, ("", tuple(words(text[a:b])))
+        for k in mine if len(mine) > 1 else []:
+            a, b = bounds[k]
+            own = words(text[a:b])
+            if len(own) >= 10:
+                yield a, b, False, ("", tuple(own))
+                continue
+            for mark, step in (("<", -1), (">", 1)):
+                taken, j = list(own), k
+                while len(taken) < 10 and 0 <= j + step < len(bounds):
+                    j += step
+                    more = words(text[slice(*bounds[j])])
+                    taken = more + taken if step < 0 else taken + more
+                if len(taken) >= 10:
+                    yield a, b, False, (f"{mark}{len(own)}", tuple(taken))
+
+
+def plain_repeats(rows):
+    """(doc_id, removed offsets) and the keeper of every removed unit, by dictionaries."""
+    place = lambda d, s: (d is None, d or 0, s)
+    first = {}
+    for d, t in rows:
+        for s, _, _, what in plain_units(t):
+            first[what] = min(first.get(what, place(None, 1 << 60)), place(d, s))
+    out = {}
+    for d, t in rows:
+        found = [(s, e, whole, first[what]) for s, e, whole, what in plain_units(t) if first[what] != place(d, s)]
+        gone = [(s, e) for s, e, whole, _ in found if whole]
+        kept = {}
+        for s, e, whole, keeper in found:
+            if whole or not any(a <= s < b for a, b in gone):
+                kept[s, e] = min(kept.get((s, e), keeper), keeper)
+        runs = []
+        for (s, e), keeper in sorted(kept.items()):
+            if runs and runs[-1][1] == s and runs[-1][2][:2] == keeper[:2] and runs[-1][2][2] - runs[-1][0] == keeper[2] - s:
+                runs[-1][1] = e
+            else:
+                runs.append([s, e, keeper])
+        out[d, t] = [(d, s, e, None if k[0] else k[1], k[2]) for s, e, k in runs]
+    return out
+
+
 def test_substring(spark, empty):
-    passage = "This passage of more than ten words is shared by several documents. It goes on for a second sentence that is long as well. And ends."
+    """Lines, sentences, pieces of text without sentence ends, with context before and after, against plain rules."""
+    import random
+
+    r = random.Random(8)
+    passage = "This passage of more than ten words is shared by several documents. It goes on. Short one! For another sentence that is long as well, and so it goes. And ends."
+    endless = " ".join(f"word{r.randrange(400)}" for _ in range(70))
     rows = [(1, "Own words first of all here. " + passage + " Then more."), (2, "Another start.\n" + passage), (3, "short line\nshort line"), (4, None), (5, ""), (5, ""), (None, passage), (6, passage + "\n" + passage)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("start", F.lit(1))
-    first: dict[bytes, tuple] = {}
-    every = [(d is None, d or 0, s, e, g) for d, t in rows for s, e, g in substring.units(t or "")]
-    for none, d, s, _, g in every:
-        first[g] = min(first.get(g, (True, 1 << 60, 0)), (none, d, s))
-    want = sorted(repr((None if none else d, s, e, first[g][1], first[g][2])) for none, d, s, e, g in every if (none, d, s) != first[g])
+    rows += [(7, "x1 x2 x3 " + endless + " y1 y2"), (8, endless[20:] + " z"), (9, "One. Two. Three.  Four five six seven eight nine ten. " + passage), (9, "Other text of the same id. " + passage), (10, "\n\n É É \x1f \xa0 \n"), (11, "é é \x1f \xa0")]
+    for i in range(20, 60):
+        rows.append((i, "".join(r.choice([passage[:80], passage[30:], endless[: r.randrange(100, 400)], "a. ", "b\n", "Some words here. "]) + r.choice([" ", ". ", "\n"]) for _ in range(5))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("start", F.lit(1)).withColumn("line", F.lit(1)).withColumn("key", F.lit("k"))
     got = substring.repeated(docs)
-    assert sorted(repr(tuple(r)) for r in got.collect()) == want and want
-    left = {r["doc_id"]: r["text"] for r in substring.cleaned(docs, got).collect()}
-    assert passage in left[1] and "second sentence" not in left[2] and left[3] == "short line\nshort line" and left[4] is None
+    want = sorted(repr(x) for found in plain_repeats(rows).values() for x in found)
+    assert sorted(repr((x["doc_id"], x["start"], x["end"], x["keep_doc_id"], x["keep_start"])) for x in got.collect()) == want and len(want) > 40
+    left = {(x["doc_id"], x["removed"]): x["text"] for x in substring.cleaned(docs, got).collect()}
+    for (d, t), found in plain_repeats(rows).items():
+        kept, at = "", 0
+        for _, a, b, _, _ in found:
+            kept, at = kept + (t or "")[at:a], b
+        assert (left[d, ",".join(f"{a}:{b}" for _, a, b, _, _ in found)] or "") == kept + (t or "")[at:]
     assert substring.repeated(empty).count() == 0
 
 
+def test_substring_finds_passages(spark):
+    """A passage of 51 words, wherever it is cut out and whatever stands around it, goes for the most part."""
+    import random
+
+    r = random.Random(5)
+    text = " ".join(f"w{r.randrange(900)}" + r.choice(["", "", "", "", "", ".", ","]) for _ in range(3000))
+    every = text.split(" ")
+    rows, share = [(0, text)], []
+    for i in range(1, 60):
+        a = r.randrange(0, 2900)
+        rows.append((i, " ".join([*(f"own{r.randrange(10**6)}" for _ in range(30)), *every[a : a + 51], *(f"own{r.randrange(10**6)}" for _ in range(30))])))
+    for x in substring.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        share.append((x["doc_id"], x["end"] - x["start"]))
+    found = {d: sum(n for e, n in share if e == d) for d, _ in share}
+    assert len(found) >= 57 and sum(found.values()) > 0.5 * 59 * 51 * 4
+
+
 def test_substring_of_short_lines(spark, empty):
     """Every line that stands earlier goes, however short and whatever comes before it; first lines stay."""
     rows = [(1, "Alpha beta\none"), (2, "two\nalpha  BETA\n\nthree"), (3, "one"), (4, "\u6f22\u5b57"), (5, "\u6f22\u5b57\nfour"), (None, "four"), (6, None), (7, "\n")]
-    rows += [(8, "Alpha beta\n" + "This sentence has more than ten words so that it counts alone. And so has this one which follows it right here again."), (9, "five\nThis sentence has more than ten words so that it counts alone. And so has this one which follows it right here again.")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    first: dict[str, tuple] = {}
-    want = []
-    for d, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
-        at = 0
-        for line in re.findall(r"[^\n]*\n+|[^\n]+$", t or ""):
-            if key := " ".join(words(line)):
-                if key in first:
-                    want.append((d, at, at + len(line), *first[key]))
-                first.setdefault(key, (d, at))
-            at += len(line)
-    got = substring.repeated_lines(docs)
-    assert sorted(repr(tuple(r)) for r in got.collect()) == sorted(map(repr, want)) and len(want) == 6
+    got = substring.repeated(docs)
     left = {r["doc_id"]: r["text"] for r in substring.cleaned(docs, got).collect()}
-    assert left[1] == "Alpha beta\none" and left[2] == "two\nthree" and left[3] == left[None] == "" and left[5] == "four" and left[9] == "five\n"
-    assert substring.repeated_lines(empty).count() == 0
+    assert left[1] == "Alpha beta\none" and left[2] == "two\nthree" and left[3] == left[None] == "" and left[5] == "four" and left[4] == "\u6f22\u5b57"
+    assert sorted((r["doc_id"] or 0, r["start"], r["end"], r["keep_doc_id"], r["keep_start"]) for r in got.collect()) == [(0, 0, 4, 5, 3), (2, 4, 17, 1, 0), (3, 0, 3, 1, 11), (5, 0, 3, 4, 0)]
 
 
 def test_mixing(docs, empty):
