@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -57,10 +58,19 @@ def over_batches(df: DataFrame, schema: str, work: Callable[[Iterator[pa.RecordB
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in work(batches):
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in kinds], schema=kinds)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Give freed memory back to the system: a worker that is used again would keep what its largest task needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
 _KINDS = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
 
 
