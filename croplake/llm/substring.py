@@ -3,9 +3,10 @@
 A unit is a line, of any length, and where a line holds several pieces each of these as well, so that a passage set into
 a paragraph is met. Pieces end with sentences; a sentence of more than ``LONGEST`` words, or text without sentence ends,
 is also cut after words that their own hash picks, so that a passage is cut alike wherever it stands. Units are
-normalised (A-Z in lower case, white space runs as one space). A piece of fewer than ``LEAST_WORDS`` words has two
-digests: with the pieces before it that make up so many words, and with those after it, where there are so many; what is
-removed is the piece alone.
+normalised (A-Z in lower case, white space runs as one space). A piece of fewer than ``LEAST_WORDS`` words is hashed
+with the pieces before it that make up so many words, or with those after it where the text's start comes first; what
+is removed is the piece alone. (With both for every piece there are half as many digests again, and of the passages
+of 51 words that 129 documents of 229 repeat nine tenths go, instead of 124.)
 
 Digests (96 bits) are grouped over the whole corpus. Of equal ones that of the smallest (doc_id, start) stays. A kept piece
 may stand in a line that goes, if that whole line stands before it elsewhere. Removed units that follow one another and
@@ -31,9 +32,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-LEAST_WORDS, LONGEST = 10, 20
+LEAST_WORDS, LONGEST = 10, 32
 #: One of so many words ends a piece of a long sentence.
-ONE_OF = 8
+ONE_OF = 16
 _END = re.compile(r"[.!?]+[\x20\x09\x0B-\x0D]+|\n+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*\n*")
 _WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -88,6 +89,7 @@ def units(text: str) -> Iterator[tuple[int, int, int, bytes]]:
                     n += sizes[a]
                 if n >= LEAST_WORDS:
                     yield start, end, line, _digest([w for p in found[a : i + 1] for w in p[2]], b"<%d" % sizes[i])
+                    continue
                 b, n = i + 1, sizes[i]
                 while n < LEAST_WORDS and b < len(found):
                     n += sizes[b]
@@ -135,7 +137,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     best = best.select("key", "more", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.start").alias("keep_start"))
     rows = found.join(best, ["key", "more"])
     stays = F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("start") == F.col("keep_start"))
-    # from here on by document; a piece that both its digests remove has the first keeper of the two
+    # from here on by document
     keeper = F.struct(F.col("keep_doc_id").isNull().alias("last"), "keep_doc_id", "keep_start")
     rows = rows.where(~stays).select("doc_id", "text", "line", "start", "end", keeper.alias("keeper")).repartition("doc_id", "text")
     rows = rows.groupBy("doc_id", "text", "line", "start", "end").agg(F.min("keeper").alias("keeper"))
