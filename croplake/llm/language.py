@@ -2,11 +2,13 @@
 
 A word's features are its affixes, its character pairs and triples, and the word itself (the lexicon), hashed to a
 table of weights per language; transitions between neighbouring words' languages are learned along with them. A
-whole text is labelled as consecutive chains of ``CHAIN`` words by forward-backward. A text's language is the one
-with the largest sum of its words' marginals, and its score their mean.
+whole text is one chain, labelled by forward-backward: it is worked on in pieces of ``CHAIN`` words side by side, and
+the messages pass from piece to piece (:func:`_carried`). A text's language is the one with the largest sum of its
+words' marginals, and its score their mean; :func:`labelled` gives the spans of a text by the languages of its words.
 
-Training chains are drawn from a sample of bounded size; some are spliced from two texts of different languages, so
-that the transitions learn switches. Only text and non-null lang of documents whose crc32(doc_id as text) mod 4 isn't
+Training chains are drawn from a sample of bounded size: about ``ROWS_EACH`` texts a language, and of each at most
+``CHAINS_EACH`` chains of ``CHAIN`` words; some are spliced from two texts of different languages, so that the
+transitions learn switches. Only text and non-null lang of documents whose crc32(doc_id as text) mod 4 isn't
 2 are learned. Null texts and texts without a letter are ``und`` with score 0, as all are if there is nothing to learn
 from. Repeated rows are repeated in the result. An empty table gives no rows.
 """
@@ -42,17 +44,24 @@ def _letters(codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _lower(text: str) -> str:
+    """In lower case, letter by letter where that would change the length: places stay those of the text."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
+
+
 class Words:
     """The words (runs of letters, in lower case) of some texts, with the table rows of their features."""
 
     def __init__(self, texts: list[str]) -> None:
-        low = [t.lower() for t in texts]
+        low = [_lower(t) for t in texts]
         codes = np.frombuffer(" ".join([*low, ""]).encode("utf-32-le"), np.uint32)
         inside = np.concatenate((_letters(codes), [False])) if len(codes) else np.zeros(1, bool)
         begin = np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))
         end = np.flatnonzero(~inside[1:] & inside[:-1]) + 1  # exclusive
         starts = np.cumsum([0, *[len(t) + 1 for t in low]])
         self.row = np.searchsorted(starts, begin, "right") - 1
+        self.begin, self.end = begin - starts[self.row], end - starts[self.row]
         size = end - begin
         # the letters alone, word after word
         letters = codes[inside[:-1]].astype(np.uint64)
@@ -221,8 +230,8 @@ def model(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray] | None:
     return langs, got["weights"], got["switch"]
 
 
-def predicted(texts: list[str | None], weights: np.ndarray, switch: np.ndarray) -> Iterator[tuple[int, float]]:
-    """(number of the language, or -1, and score) of each text."""
+def _marked(texts: list[str | None], weights: np.ndarray, switch: np.ndarray) -> Iterator[tuple[int, int, Words, np.ndarray]]:
+    """(first text, number of texts, their words, marginals of the words) for runs of texts."""
     first = 0
     while first < len(texts):
         last, size = first, 0
@@ -234,26 +243,71 @@ def predicted(texts: list[str | None], weights: np.ndarray, switch: np.ndarray)
         place = np.arange(len(words.row)) - np.repeat(np.cumsum(count) - count, count)
         new = place % CHAIN == 0
         chain = np.cumsum(new) - 1
-        total = np.zeros((last - first, weights.shape[1]))
+        gamma = np.zeros((0, weights.shape[1]))
         if len(chain):
             e = np.zeros((chain[-1] + 1, CHAIN, weights.shape[1]), np.float32)
             e[chain, place % CHAIN] = words.emissions(weights)
-            gamma = _word_marginals(e, np.bincount(chain), switch.astype(np.float32))
-            np.add.at(total, words.row[new], gamma.sum(axis=1))
+            gamma = _word_marginals(e, np.bincount(chain), switch.astype(np.float32), words.row[new])[chain, place % CHAIN]
+        yield first, last - first, words, gamma
+        first = last
+
+
+def predicted(texts: list[str | None], weights: np.ndarray, switch: np.ndarray) -> Iterator[tuple[int, float]]:
+    """(number of the language, or -1, and score) of each text."""
+    for _, n, words, gamma in _marked(texts, weights, switch):
+        total = np.stack([np.bincount(words.row, gamma[:, k], n) for k in range(weights.shape[1])], axis=1)
+        count = np.bincount(words.row, minlength=n)
         best = total.argmax(axis=1)
-        for i in range(last - first):
+        for i in range(n):
             yield (int(best[i]), float(min(1.0, total[i, best[i]] / count[i]))) if count[i] else (-1, 0.0)
-        first = last
 
 
-def _word_marginals(e: np.ndarray, sizes: np.ndarray, switch: np.ndarray) -> np.ndarray:
-    """As :func:`marginals`, chains in order of size so that a place is computed for those that reach it only."""
+def _carried(x: np.ndarray, sizes: np.ndarray, step: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What reaches each piece's first word from the left and its last from the right; pieces of a text are in order.
+
+    A piece as a whole is a matrix between its first and last word's languages; messages go from piece to piece.
+    """
+    pieces, places, langs = x.shape
+    whole = x[:, 0, :, None] * np.eye(langs, dtype=x.dtype)
+    for t in range(1, places):
+        on = np.flatnonzero(sizes > t)
+        if not len(on):
+            break
+        a = (whole[on] @ step) * x[on, t][:, None, :]
+        whole[on] = a / a.sum(axis=(1, 2), keepdims=True)
+    new = np.concatenate(([True], text[1:] != text[:-1]))
+    number = np.arange(pieces) - np.maximum.accumulate(np.where(new, np.arange(pieces), 0))
+    left, right = np.ones((pieces, langs), x.dtype), np.ones((pieces, langs), x.dtype)
+    by = np.argsort(number, kind="stable")
+    cuts = np.searchsorted(number[by], np.arange(number.max() + 2))
+    for k in range(1, len(cuts) - 1):
+        at = by[cuts[k] : cuts[k + 1]]
+        a = (left[at - 1, None, :] @ whole[at - 1])[:, 0] @ step
+        left[at] = a / a.sum(axis=1, keepdims=True)
+    for k in range(len(cuts) - 2, 0, -1):
+        at = by[cuts[k] : cuts[k + 1]]
+        b = (whole[at] @ right[at, :, None])[:, :, 0] @ step.T
+        right[at - 1] = b / b.sum(axis=1, keepdims=True)
+    return left, right
+
+
+def _word_marginals(e: np.ndarray, sizes: np.ndarray, switch: np.ndarray, text: np.ndarray | None = None) -> np.ndarray:
+    """As :func:`marginals`, chains in order of size so that a place is computed for those that reach it only.
+
+    With ``text``, the text of each chain, chains of one text in a row are pieces of one chain.
+    """
+    x = np.exp(e - e.max(axis=2, keepdims=True))
+    step = np.exp(switch - switch.max())
+    left = right = np.ones((len(x), x.shape[2]), x.dtype)
+    if text is not None and len(text) and (text[1:] == text[:-1]).any():
+        left, right = _carried(x, sizes, step, text)
     order = np.argsort(-sizes, kind="stable")
-    x = np.exp(e - e.max(axis=2, keepdims=True))[order]
+    x = x[order]
     reach = (sizes[order, None] > np.arange(e.shape[1])).sum(axis=0)
-    step = np.exp(switch - switch.max())
     forward, backward = np.zeros_like(x), np.ones_like(x)
-    forward[:, 0] = x[:, 0] / x[:, 0].sum(axis=1, keepdims=True)
+    backward[np.arange(len(x)), sizes[order] - 1] = right[order]
+    forward[:, 0] = left[order] * x[:, 0]
+    forward[:, 0] /= forward[:, 0].sum(axis=1, keepdims=True)
     for t in range(1, e.shape[1]):
         a = (forward[: reach[t], t - 1] @ step) * x[: reach[t], t]
         forward[: reach[t], t] = a / a.sum(axis=1, keepdims=True)
@@ -267,6 +321,29 @@ def _word_marginals(e: np.ndarray, sizes: np.ndarray, switch: np.ndarray) -> np.
     return out
 
 
+def labelled(docs: DataFrame) -> DataFrame:
+    """(doc_id, start, end, lang): the spans of words in a row with one most likely language, in code points.
+
+    A text without a letter has none; of equally likely languages the first by name counts.
+    """
+    told = docs.sparkSession.sparkContext.broadcast(model(docs))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        langs, weights, switch = told.value or ([], np.zeros((1, 1)), None)
+        for batch in common.parts(batches if langs else iter(())):
+            for first, _, words, gamma in _marked(batch.column("text").to_pylist(), weights, switch):
+                best = gamma.argmax(axis=1)
+                new = np.flatnonzero(np.concatenate(([True], (best[1:] != best[:-1]) | (words.row[1:] != words.row[:-1]))) if len(best) else best)
+                last = np.append(new[1:], len(best)) - 1
+                if len(new):
+                    yield {
+                        "doc_id": batch.column("doc_id").take(pa.array(first + words.row[new])),
+                        "start": words.begin[new], "end": words.end[last], "lang": [langs[k] for k in best[new]],
+                    }
+
+    return common.over_batches(docs.select("doc_id", "text"), "doc_id long, start long, end long, lang string", work)
+
+
 def identified(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row of ``docs(doc_id, text, lang)``."""
     told = docs.sparkSession.sparkContext.broadcast(model(docs))
