@@ -9,7 +9,8 @@ left, which is drawn last. A source's words therefore miss its target by less th
 
 Draws are hashes of the two documents' keys and a seed, so that reruns agree. Null texts and texts without words
 have size 0 and take nothing. A null source is a source, in order after all others. Repeated rows are documents of
-their own. An empty table gives no rows.
+their own: rows of one id, source and size (or of null ids) are counted and numbered first, so that however many they
+are, they are dealt to as many chunks as they need. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from . import common
 
 #: Documents (and rests) that one fold handles, on average.
 FAN_IN = 200
+#: Equal rows that are dealt out together.
+TOGETHER = 64
 #: Weights of the sources in order of their names, repeating; share of all words to take; copies at most.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 
@@ -94,11 +97,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     sized = common.written(sizes(docs), "sizes")
     goal = common.written(targets(sized, weights, share, most), "targets")
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rows = sized.join(goal, sized["source"].eqNullSafe(goal["source"])).drop(goal["source"])
+    equal = sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n"))
+    equal = equal.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / TOGETHER))))
+    last = F.least(F.lit(TOGETHER), F.col("n") - F.col("block") * TOGETHER) - 1
+    equal = equal.withColumn("number", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    rows = equal.join(goal, equal["source"].eqNullSafe(goal["source"])).drop(goal["source"])
     whole = F.floor(due)
     # chunks of about FAN_IN documents; the hash spreads a hot source over as many chunks as it needs
-    key = F.xxhash64("doc_id", "size", F.lit(seed))
-    spread = F.xxhash64(F.col("doc_id"), F.col("size"), F.lit(seed + 1))
+    key = F.xxhash64("doc_id", "size", "block", "number", F.lit(seed))
+    spread = F.xxhash64(F.col("doc_id"), F.col("size"), F.col("block"), F.lit(seed + 1))
     rows = rows.select(
         "source", "source_size", "target", F.pmod(spread, F.ceil(F.col("documents") / FAN_IN)).alias("chunk"),
         F.struct(key.alias("key"), "doc_id", "size", whole.alias("whole"), ((due - whole) * F.col("size")).alias("mass")).alias("item"),
