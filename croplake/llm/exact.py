@@ -10,6 +10,8 @@ text has an id; without any id the text's rows stay. Empty tables give empty res
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -137,19 +139,38 @@ def same_bytes(pairs: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
     return both.where("a = b").select("sha").distinct()
 
 
-def dedup(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Snapshot:
+    """Documents that don't change any more: their digests, groups and filters, written once and read by every batch."""
+
+    docs: DataFrame
+    rows: DataFrame
+    groups: DataFrame
+    filters: DataFrame
+    buckets: int
+
+
+def snapshot_of(docs: DataFrame) -> Snapshot:
+    rows = common.written(digests(docs), "digests")
+    found = common.written(groups(rows), "groups")
+    buckets = max(1, -(-found.count() // BUCKET_KEYS))
+    return Snapshot(docs, rows, found, common.written(filters(found, buckets), "filters"), buckets)
+
+
+def dedup(snapshot: DataFrame | Snapshot, batch: DataFrame) -> DataFrame:
     """Decisions on all rows of ``snapshot`` and ``batch`` (both with doc_id and text).
 
-    Returns doc_id, keep_id (smallest doc_id of the text), group_size, kept, text_sha256.
+    Several batches may be held against one :func:`snapshot_of`, whose filters are not built again. Returns
+    doc_id, keep_id (smallest doc_id of the text), group_size, kept, text_sha256.
     """
-    parts = {False: snapshot, True: batch}
-    rows = common.written(digests(snapshot).withColumn("fresh", F.lit(False)).union(digests(batch).withColumn("fresh", F.lit(True))), "digests")
-    old, new = (common.written(groups(rows.where(F.col("fresh") == fresh)), "groups") for fresh in parts)
-    buckets = max(1, -(-max(old.count(), new.count()) // BUCKET_KEYS))
-    held = filters(old, buckets)
-    hits = screened(new, held, buckets)
+    if not isinstance(snapshot, Snapshot):
+        snapshot = snapshot_of(snapshot)
+    old, fresh = snapshot.groups, common.written(digests(batch), "digests")
+    rows = snapshot.rows.withColumn("fresh", F.lit(False)).union(fresh.withColumn("fresh", F.lit(True)))
+    new = common.written(groups(fresh), "groups")
+    hits = screened(new, snapshot.filters, snapshot.buckets)
     pairs = hits.select("sha", F.col("keep_id").alias("new_id")).join(old.select("sha", F.col("keep_id").alias("old_id")), "sha")
-    equal = same_bytes(pairs, snapshot, batch).withColumn("equal", F.lit(True))
+    equal = same_bytes(pairs, snapshot.docs, batch).withColumn("equal", F.lit(True))
     both = (
         old.select("sha", F.col("keep_id").alias("old_id"), F.col("size").alias("old_size"))
         .join(new.select("sha", F.col("keep_id").alias("new_id"), F.col("size").alias("new_size")), "sha", "full")
