@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ from . import common, tokens
 
 #: Bound of the sample that is fitted: toxic and other documents, about.
 TOXIC_ROWS, OTHER_ROWS = 4_000, 8_000
+#: Bound of the sample's text in bytes; whole texts are taken in an order by hash while they fit, larger ones are passed over.
+SAMPLE_BYTES = 64 << 20
 #: A feature of fewer sampled texts is not learned.
 LEAST_TEXTS = 4
 ALPHA, BETA, L2, EPOCHS = 3.0, 1.0, 0.001, 5
@@ -90,7 +93,15 @@ def model(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     sample = docs.select("doc_id", "text").join(F.broadcast(some), F.col("doc_id") == F.col("__id")).select("doc_id", "text", F.col("__toxic").cast("int").alias("toxic"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        held = [b for b in batches if b.num_rows]
+        held, room = [], SAMPLE_BYTES
+        for batch in common.parts(batches):
+            size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+            take = []
+            for n in size:
+                take.append(n <= room)
+                room -= n * take[-1]
+            if any(take):
+                held.append(common.passing(batch, np.array(take)))
         if not held:
             return
         got = pa.Table.from_batches(held)
@@ -99,7 +110,9 @@ def model(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         names, w = fit(common.as_text(texts), got.column("toxic").to_numpy())
         yield {"name": tokens.signed(names), "weight": w}
 
-    rows = common.over_batches(sample.repartition(1), "name long, weight double", work).toPandas()
+    # in an order that is fixed: of equal hashes the text decides
+    dealt = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", F.lit(12)), "doc_id", "text")
+    rows = common.over_batches(dealt, "name long, weight double", work).toPandas()
     names = rows["name"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(names)
     return names[order], rows["weight"].to_numpy(np.float64)[order]

@@ -79,6 +79,17 @@ def test_exact_dedup(docs, empty):
     assert sorted(r["doc_id"] for r in stage.collect() if r["doc_id"]) == [1, 3, 5, 7, 8, 9, 10, 11, 12, 13, 14, 15, 15][:0] + sorted(i for i, k, *_ in want if i is not None and i == k)
 
 
+def test_batches_share_the_filters_of_a_snapshot(docs, monkeypatch):
+    """Two batches against one snapshot decide as each would alone, and build no filter."""
+    third = F.coalesce(F.col("doc_id"), F.lit(0)) % 3
+    kept = exact.snapshot_of(docs.where(third == 0))
+    monkeypatch.setattr(exact, "filters", None)
+    plain = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    got = [plain(exact.dedup(kept, docs.where(third == k))) for k in (1, 2)]
+    monkeypatch.undo()
+    assert got == [plain(exact.dedup(docs.where(third == 0), docs.where(third == k))) for k in (1, 2)]
+
+
 def test_jaccard(docs, empty):
     got = sorted(map(repr, map(tuple, jaccard.similar(docs).collect())))
     sets = [shingles(t) for _, t in TEXTS]
@@ -196,9 +207,9 @@ def plain_units(text):
             continue
         own = words(text[at : m.end()])
         cut = at
-        if len(own) > 20:
+        if len(own) > 32:
             for w in re.finditer(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", text[at : m.end()]):
-                if zlib.crc32(words(w[0])[0].encode()) % 8 == 0 and at + w.end() < m.end():
+                if zlib.crc32(words(w[0])[0].encode()) % 16 == 0 and at + w.end() < m.end():
                     bounds.append((cut, at + w.end()))
                     cut = at + w.end()
         bounds.append((cut, m.end()))
@@ -224,6 +235,7 @@ def plain_units(text):
                     taken = more + taken if step < 0 else taken + more
                 if len(taken) >= 10:
                     yield a, b, False, (f"{mark}{len(own)}", tuple(taken))
+                    break
 
 
 def plain_repeats(rows):
@@ -327,6 +339,42 @@ def test_mixing_follows_expectation(spark):
     assert ((by.copies - by.target / by["size"]).abs() < 0.1).all()
 
 
+def test_mixing_of_many_equal_rows(spark):
+    """Rows of one id, and rows without an id, of one size: each a document of its own, in many chunks; reruns agree."""
+    rows = spark.range(9000).select(
+        F.when(F.col("id") < 4000, F.lit(5)).when(F.col("id") < 8000, F.lit(None)).otherwise(F.col("id")).cast("long").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"), F.lit("one two three").alias("text"),
+    )
+    got = mixing.mix(rows).toPandas()
+    assert len(got) == 9000 and got.doc_id.isna().sum() == 4000 and (got.doc_id == 5).sum() == 4000
+    by = got.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"))
+    assert ((by.taken - by.target).abs() <= 3).all()
+    again = mixing.mix(rows.repartition(5)).toPandas()
+    same = [sorted(zip(x.doc_id.fillna(-1), x.source, x.taken)) for x in (got, again)]
+    assert same[0] == same[1]
+
+
+@pytest.mark.parametrize("sizes", [[7], [10, 10, 10], [1, 500, 3, 4, 90], [0, 0], [0, 8, 2, 100, 100, 5, 5, 5]])
+def test_mixing_targets_equal_a_plain_reshare(spark, sizes):
+    """Shares by weight; what is over a cap goes to the others by weight, again and again."""
+    names = [*(f"s{k}" for k in range(len(sizes) - 1)), None]
+    rows = [(k, name, "w " * n) for k, (name, n) in enumerate(zip(names, sizes))]
+    got = {r["source"]: r["target"] for r in mixing.targets(mixing.sizes(spark.createDataFrame(rows, "doc_id long, source string, text string"))).collect()}
+    weight = {n: (5, 2, 1)[k % 3] for k, n in enumerate(names)}
+    size, left, full = dict(zip(names, sizes)), 1.5 * sum(sizes), {}
+    while True:
+        free = [n for n in names if n not in full]
+        total = sum(weight[n] for n in free)
+        over = [n for n in free if left * weight[n] / total > 2 * size[n]]
+        if not over:
+            want = full | {n: left * weight[n] / total for n in free}
+            break
+        for n in over:
+            full[n] = 2 * size[n]
+        left = 1.5 * sum(sizes) - sum(full.values())
+    assert got.keys() == want.keys() and all(abs(got[n] - want[n]) < 1e-6 for n in want)
+
+
 def test_toxicity(spark, empty):
     docs = common.table(spark, "/root/testdata/sf0.01", "documents")
     labels = common.table(spark, "/root/testdata/sf0.01", "labels")
@@ -342,6 +390,60 @@ def test_toxicity(spark, empty):
     assert toxicity.scored(empty, labels).count() == 0
 
 
+def test_fit_equals_a_plain_ftrl():
+    """Per-coordinate steps with L1, by dictionaries, over the same features and order of texts."""
+    import math
+    import random
+
+    import numpy as np
+
+    r = random.Random(3)
+    bad, good = ["vile", "hate", "awful"], ["tree", "house", "river", "cloud", "stone"]
+    texts = [" ".join(r.choice(good + bad * (i % 3 == 0)) for _ in range(12)) for i in range(60)] + ["", "one"]
+    labels = np.array([1 if i % 3 == 0 else 0 for i in range(62)])
+    each = [set(map(int, f)) for f in toxicity._each(pa.array(texts))]
+    count: dict[int, int] = {}
+    for found in each:
+        for f in found:
+            count[f & int(toxicity._SKETCH)] = count.get(f & int(toxicity._SKETCH), 0) + 1
+    rows = [[0, *sorted(f for f in found if count[f & int(toxicity._SKETCH)] >= toxicity.LEAST_TEXTS)] for found in each]
+    z: dict[int, float] = {}
+    n: dict[int, float] = {}
+    l1 = min(toxicity.L1_MOST, toxicity.L1_LEAST + toxicity.L1_PER_TEXT * int(labels.sum()))
+
+    def weight(f):
+        over = abs(z.get(f, 0.0)) - l1
+        return -math.copysign(over, z[f]) / ((toxicity.BETA + math.sqrt(n[f])) / toxicity.ALPHA + toxicity.L2) if over > 0 else 0.0
+
+    for epoch in range(toxicity.EPOCHS):
+        for i in np.random.default_rng(epoch).permutation(len(rows)):
+            now = {f: weight(f) for f in rows[i]}
+            g = 1 / (1 + math.exp(-sum(now.values()))) - labels[i]
+            for f in rows[i]:
+                before = n.get(f, 0.0)
+                n[f] = before + g * g
+                z[f] = z.get(f, 0.0) + g - (math.sqrt(n[f]) - math.sqrt(before)) / toxicity.ALPHA * now[f]
+    want = {f: weight(f) for f in z if weight(f)}
+    names, weights = toxicity.fit(pa.array(texts), labels)
+    got = dict(zip(map(int, names), weights))
+    assert got.keys() == want.keys() and len(want) > 5 and all(math.isclose(got[f], want[f], rel_tol=1e-9, abs_tol=1e-9) for f in want)
+
+
+def test_toxicity_of_odd_rows(spark, monkeypatch):
+    """Nulls, a null id, repeated rows and labels, a very long text, clashing columns; the sample keeps to its bytes."""
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 5000)
+    rows = [(i, ("you vile fool " if i % 4 == 0 else "a tree by the house ") * 8) for i in range(200)]
+    rows += [(None, "vile fool"), (300, None), (300, None), (301, ""), (302, "tree house " * 100_000), (3, rows[3][1])]
+    docs = spark.createDataFrame([(*x, 1.0, True, 5) for x in rows], "doc_id long, text string, score double, held_out boolean, toxic int").repartition(3)
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(200)] + [(4, 0, 0), (None, 1, 1), (302, 1, 0), (5, 1, None)], "doc_id long, quality int, toxic int")
+    got = toxicity.scored(docs, labels).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for r in got)
+    place = lambda i: -1 if i is None else i
+    assert sorted((place(r["doc_id"]), r["held_out"]) for r in got) == sorted((place(i), i is not None and zlib.crc32(str(i).encode()) % 3 == 1) for i, _ in rows)
+    held = [r for r in got if r["doc_id"] is not None and r["doc_id"] < 200]
+    assert min(r["score"] for r in held if r["doc_id"] % 4 == 0) > max(r["score"] for r in held if r["doc_id"] % 4)
+
+
 def test_language(spark, docs, empty):
     table = common.table(spark, "/root/testdata/sf0.01", "documents")
     got = language.identified(table).join(table.select("doc_id", "lang"), "doc_id").toPandas()
@@ -370,6 +472,46 @@ def test_forward_backward_is_exact():
     assert np.allclose(language._word_marginals(e, np.array([4]), switch)[0], want / total)
 
 
+def test_messages_pass_between_pieces():
+    """Texts cut to pieces of 64 words are labelled as one chain each."""
+    import numpy as np
+
+    random = np.random.default_rng(6)
+    langs, lengths = 4, [1, 64, 65, 128, 300, 7]
+    switch = random.normal(size=(langs, langs))
+    scores = [random.normal(size=(n, langs)) * 0.3 for n in lengths]
+    pieces, sizes, text = [], [], []
+    for k, s in enumerate(scores):
+        for at in range(0, len(s), 64):
+            piece = np.zeros((64, langs))
+            piece[: len(s[at : at + 64])] = s[at : at + 64]
+            pieces.append(piece)
+            sizes.append(len(s[at : at + 64]))
+            text.append(k)
+    got = language._word_marginals(np.stack(pieces), np.array(sizes), switch, np.array(text))
+    for k, s in enumerate(scores):
+        want, _ = language.marginals(s[None], np.array([len(s)]), switch)
+        mine = np.concatenate([got[i, : sizes[i]] for i in range(len(sizes)) if text[i] == k])
+        assert np.allclose(mine, want[0])
+
+
+def test_languages_of_mixed_text(spark):
+    """Spans of a text that changes its language, with places in the text as it is."""
+    table = common.table(spark, "/root/testdata/sf0.01", "documents")
+    rows = {r["lang"]: r["text"] for r in table.where("lang in ('en', 'de') and length(text) between 400 and 3000").orderBy("doc_id").collect()}
+    english, german = rows["en"][:300].strip(), rows["de"][:300].strip()
+    mixed = spark.createDataFrame([(-1, f"\u0130 {english} {german}"), (-2, " 1 2 \u2014 "), (None, None)], "doc_id long, text string")
+    all_rows = table.select("doc_id", "text", "lang").union(mixed.withColumn("lang", F.lit(None).cast("string")))
+    got = language.labelled(all_rows).where("doc_id < 0 or doc_id is null").orderBy("start").collect()
+    assert {r["doc_id"] for r in got} == {-1}
+    text = f"\u0130 {english} {german}"
+    middle = len(english) + 3
+    bounds = {"en": (0, middle), "de": (middle, len(text))}
+    part = {lang: sum(max(0, min(r["end"], z) - max(r["start"], a)) for r in got if r["lang"] == lang) for lang, (a, z) in bounds.items()}
+    assert part["en"] > 0.7 * len(english) and part["de"] > 0.7 * len(german) and max(r["end"] for r in got) <= len(text)
+    assert all(a["end"] <= b["start"] for a, b in zip(got, got[1:]))
+
+
 PAGE = """<html><head><title>T</title><script>var a="</p>";</script></head><body><header>Site <a href=x>Home</a></header>
 <nav><ul><li><a href="/a">A</a></ul></nav><div class="cookie-notice">We use cookies</div>
 <article><h1>Title &amp; more</h1><p>First&nbsp; <b>bold</b><br>line<p>Second</p><ul><li>one<li>two</ul>
