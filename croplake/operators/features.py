@@ -253,7 +253,9 @@ def field_documents(
 
     ``operations`` (field_id, name, performed) and ``plantings`` (field_id, crop, product_name,
     performed) are listed in batches of at most ``batch_size`` events, one document per batch; a
-    field with few events has one document. Fields without three group levels drop.
+    field with few events has one document. In a document every operation and every planting of a crop
+    and product comes once, with the list of its times, in the order in which they first occur.
+    Fields without three group levels drop.
     """
     places = three_levels(grouper)
     ops = operations.filter("name is not null and performed is not null").select(
@@ -272,19 +274,22 @@ def field_documents(
         places, "grouper_id"
     )
 
-    def of_kind(kind: str, record: Callable[[Column], Column]) -> Column:
-        return F.transform(F.filter("events", lambda e: e["kind"] == kind), record)
+    def of_kind(kind: str, record: Callable[[Column, Column], Column]) -> Column:
+        mine = F.filter("events", lambda e: e["kind"] == kind)
+        names = F.array_distinct(
+            F.transform(mine, lambda e: F.struct(e["what"].alias("what"), e["detail"].alias("detail")))
+        )
 
-    ops_list = of_kind(
-        "operation",
-        lambda e: F.struct(e["what"].alias("name"), e["performed"].alias("performed")),
-    )
+        def times(n: Column) -> Column:
+            own = F.filter(mine, lambda e: (e["what"] == n["what"]) & e["detail"].eqNullSafe(n["detail"]))
+            return F.transform(own, lambda e: e["performed"]).alias("performed")
+
+        return F.transform(names, lambda n: record(n, times(n)))
+
+    ops_list = of_kind("operation", lambda n, times: F.struct(n["what"].alias("name"), times))
     plant_list = of_kind(
         "planting",
-        lambda e: F.struct(
-            e["what"].alias("crop"), e["detail"].alias("product_name"),
-            e["performed"].alias("performed"),
-        ),
+        lambda n, times: F.struct(n["what"].alias("crop"), n["detail"].alias("product_name"), times),
     )
     return named.join(packed, "field_id", "left").select(
         "field_id",

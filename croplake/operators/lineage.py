@@ -104,6 +104,23 @@ def raw_summary_counts(execution: DataFrame, arguments: dict[str, DataFrame]) ->
     return out.select(*_RUN, product.alias("n_rows"))
 
 
+def raw_summary(execution: DataFrame, arguments: dict[str, DataFrame]) -> DataFrame:
+    """What the joined families hold before they are grouped: (run, family, item, times).
+
+    In the join every argument of a family meets every combination of the others'. How often it
+    does is the number of joined rows by that of its own family, so the rows are given with their
+    multiplicities and the join is never made. Executions lacking a family have no rows.
+    """
+    counted = argument_items(arguments).groupBy(*_RUN, "family", "item").agg(F.count("*").alias("_times"))
+    counted = cut_lineage(counted)  # read for the sizes and for the items
+    sizes = counted.groupBy(*_RUN, "family").agg(F.sum("_times").alias("_own"))
+    joined = raw_summary_counts(execution, arguments)
+    return (
+        counted.join(sizes, [*_RUN, "family"]).join(joined, _RUN)
+        .select(*_RUN, "family", "item", (F.col("_times") * F.col("n_rows") / F.col("_own")).cast("long").alias("times"))
+    )
+
+
 def _item_counts(items: DataFrame) -> DataFrame:
     return items.groupBy("execution_id", "family", "item").agg(F.count("*").alias("_times"))
 

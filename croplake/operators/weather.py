@@ -33,12 +33,17 @@ def daily_weather_types(weather_type: DataFrame) -> DataFrame:
 def latest_rows(daily: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """The newest request per cell, parameter and date; of ties the largest ``daily_id``.
 
-    An aggregate, not a window: every task first reduces its own share of a hot cell.
+    An aggregate, not a window: every task first reduces its own share of a hot cell. Request time
+    and id are one number of 38 digits, so that all that is kept per key has a fixed width and
+    Spark can hash, where a struct would make it sort the whole table first.
     """
     key = ["cell_id", "weather_type_id", "date"]
     rest = ["daily_id", "value", "date_requested", *extra]
-    newest = F.max_by(F.struct(*rest), F.struct("date_requested", "daily_id")).alias("_row")
-    return daily.groupBy(*key).agg(newest).select(*key, "_row.*")
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', date_requested)")
+    number = F.coalesce(micros, F.lit(-(10**17))).cast("decimal(19,0)") * F.lit(10**18).cast("decimal(19,0)")
+    newest = (number * F.lit(10).cast("decimal(2,0)")).cast("decimal(38,0)") + F.col("daily_id")
+    newest = newest.cast("decimal(38,0)")
+    return daily.groupBy(*key).agg(*[F.max_by(c, newest).alias(c) for c in rest])
 
 
 def daily_rows(
@@ -206,6 +211,20 @@ def polygon_offsets(need: DataFrame) -> DataFrame:
     )
 
 
+def rows_near(daily: DataFrame, need: DataFrame, last: Column) -> DataFrame:
+    """Rows of the needed polygons and dates, by filters that reach the scan.
+
+    The polygons (1,201 at most) and the first date of the need are scalars of the same query: where
+    the table lies in a folder per polygon, other folders are not listed for reading, and row groups
+    before the first date are skipped.
+    """
+    polygons = need.agg(F.collect_set("world_utm_id")).scalar()
+    first = need.agg(F.min("date_first")).scalar()
+    return daily.filter(
+        F.array_contains(polygons, F.col("world_utm_id")) & (F.col("date") >= first) & (F.col("date") <= last)
+    )
+
+
 def fill_inventory(
     need: DataFrame, daily: DataFrame, weather_type: DataFrame, now, skip_empty: bool = False
 ) -> DataFrame:
@@ -229,9 +248,10 @@ def fill_inventory(
         "*", "_type.weather_type_id", F.col("_type.weather_type").alias("parameter")
     ).drop("_type")
     kept = (
-        daily.select("world_utm_id", "cell_id", "weather_type_id", "date", "date_requested")
+        rows_near(daily, need, last)
+        .select("world_utm_id", "cell_id", "weather_type_id", "date", "date_requested")
         .join(polygon_offsets(need), "world_utm_id")
-        .filter(is_kept(now, F.col("_offset")) & (F.col("date") <= last))
+        .filter(is_kept(now, F.col("_offset")))
         .groupBy("cell_id", "weather_type_id")
         .agg(F.collect_set("date").alias("_kept"))
     )

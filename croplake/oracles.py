@@ -202,6 +202,9 @@ CTES: dict[str, str] = {
     "s3_out": """
         SELECT function_id, execution_id, l_suppkey AS s3_object_id
         FROM lineitem JOIN execution ON l_orderkey = execution_id WHERE l_returnflag = 'R'""",
+    "s3_out_typed": """
+        SELECT execution_id, l_suppkey % 3 AS s3_type_id, l_suppkey AS s3_object_id
+        FROM lineitem JOIN execution ON l_orderkey = execution_id WHERE l_returnflag = 'R'""",
 }
 
 
@@ -467,7 +470,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT daily_id, cell_id, date, weather_type_id, value, date_requested FROM newest"),
         "daily_rows_all": sql(
             "SELECT daily_id, cell_id, date, weather_type_id, value, date_requested FROM daily "
-            "WHERE cell_id IN (SELECT cell_id FROM need) AND weather_type_id <> 5"),
+            "WHERE cell_id IN (SELECT cell_id FROM need)"),
         "last_requested": sql("SELECT world_utm_id::int AS world_utm_id, cell_id, date_last_requested FROM last_req"),
         "first_year": sql("SELECT cell_id, year(min(date))::int AS first_year FROM daily GROUP BY cell_id"),
         "populated_cells": sql("SELECT DISTINCT world_utm_id::int AS world_utm_id, cell_id FROM daily"),
@@ -592,28 +595,25 @@ def oracle_sql() -> dict[str, str]:
             "FROM feature_kept k JOIN feature_time t ON t.observation_type_id = k.observation_type_id AND t.unit_type_id = k.unit_type_id "
             "AND t.date_observed = k.date_observed"),
         "feature_pivot": sql(
-            "SELECT field_id, " + ", ".join(
-                f"max_by(value_observed, date_observed) FILTER (unit_type_id = {k}) AS \"{n}\"" for k, n in ((10, "click_u0"), (21, "error_u1"), (52, "view_u2")))
-            + " FROM (SELECT * FROM feature_kept WHERE unit_type_id IN (10, 21, 52)) GROUP BY field_id"),
-        "feature_pivot_all": sql(
             "SELECT field_id, " + ", ".join(
                 f"max_by(value_observed, (date_observed, observation_id)) FILTER (lower(observation_type_name || '_' || unit_name) = '{n}_u{u}') AS \"{n}_u{u}\""
                 for n in ("click", "error", "purchase", "signup", "view") for u in range(3))
             + " FROM feature_kept GROUP BY field_id"),
         "field_documents": sql(
-            "WITH op AS (SELECT field_id, date_performed, act_id, lag(date_performed) OVER (PARTITION BY field_id, act_type ORDER BY date_performed) AS prev, act_type "
-            "FROM (SELECT owner_field_id AS field_id, act_type, date_performed, min(act_id) AS act_id FROM owned_act WHERE date_performed > TIMESTAMP '2000-01-01' GROUP BY ALL)) "
-            "SELECT f.field_id, f.name AS field_name, g.name AS farm_name, (SELECT count(*) FROM op WHERE op.field_id = f.field_id "
-            "AND (prev IS NULL OR date_performed - prev > INTERVAL 6 HOUR)) AS n_operations FROM field f JOIN grouper g ON g.grouper_id = f.grouper_id"),
-        "field_documents_all": sql(
             "WITH op AS (SELECT field_id, date_performed, act_id, lag(date_performed) OVER (PARTITION BY field_id, act_type ORDER BY date_performed) AS prev, act_type "
             "FROM (SELECT owner_field_id AS field_id, act_type, date_performed, min(act_id) AS act_id FROM owned_act WHERE date_performed > TIMESTAMP '2000-01-01' GROUP BY ALL)), "
             "pl AS (SELECT *, lag(date_performed) OVER (PARTITION BY field_id ORDER BY date_performed) AS prev FROM (SELECT owner_field_id AS field_id, date_performed, "
             "min_by(crop, act_id) AS crop FROM owned_act JOIN crop_type USING (crop_type_id) WHERE act_type = 'PLANT' AND date_performed > TIMESTAMP '2000-01-01' GROUP BY ALL)) "
-            "SELECT f.field_id, f.name AS field_name, g.name AS farm_name, (SELECT count(*) FROM op WHERE op.field_id = f.field_id "
-            "AND (prev IS NULL OR date_performed - prev > INTERVAL 6 HOUR)) AS n_operations, coalesce((SELECT string_agg(crop, ',' ORDER BY crop) FROM pl "
-            "WHERE pl.field_id = f.field_id AND (prev IS NULL OR date_performed - prev > INTERVAL 6 HOUR)), '') AS crops "
-            "FROM field f JOIN grouper g ON g.grouper_id = f.grouper_id"),
+            ", o1 AS (SELECT field_id, act_type AS name, string_agg('\"' || strftime(date_performed, '%Y-%m-%dT%H:%M:%S.%g') || '\"', ',' ORDER BY date_performed) AS ts, min(date_performed) AS m "
+            "FROM op WHERE prev IS NULL OR date_performed - prev > INTERVAL 6 HOUR GROUP BY ALL), "
+            "o2 AS (SELECT field_id, string_agg('{\"name\":\"' || name || '\",\"performed\":[' || ts || ']}', ',' ORDER BY m, name) AS j FROM o1 GROUP BY ALL), "
+            "p1 AS (SELECT field_id, crop, string_agg('\"' || strftime(date_performed, '%Y-%m-%dT%H:%M:%S.%g') || '\"', ',' ORDER BY date_performed) AS ts, min(date_performed) AS m "
+            "FROM pl WHERE prev IS NULL OR date_performed - prev > INTERVAL 6 HOUR GROUP BY ALL), "
+            "p2 AS (SELECT field_id, string_agg('{\"crop\":\"' || crop || '\",\"performed\":[' || ts || ']}', ',' ORDER BY m, crop) AS j FROM p1 GROUP BY ALL) "
+            "SELECT f.field_id, '{' || CASE WHEN o2.j IS NULL AND p2.j IS NULL THEN '' ELSE '\"operations\":[' || coalesce(o2.j, '') || '],\"plantings\":[' || coalesce(p2.j, '') || '],' END "
+            "|| '\"field_name\":\"' || f.name || '\",\"farm_name\":\"' || g.name || '\",\"region_name\":\"' || r.name || '\",\"country_name\":\"' || c.name || '\"}' AS field_meta "
+            "FROM field f JOIN grouper g ON g.grouper_id = f.grouper_id JOIN grouper r ON r.grouper_id = g.parent_grouper_id "
+            "JOIN grouper c ON c.grouper_id = r.parent_grouper_id LEFT JOIN o2 ON o2.field_id = f.field_id LEFT JOIN p2 ON p2.field_id = f.field_id"),
         "key_observations": sql(
             "SELECT o.observation_id, k.tk AS temporal_key_id, k.gk AS geospatial_key_id FROM observation o JOIN "
             "(SELECT c_custkey AS gk, c_custkey AS geom_id, c_custkey AS field_id, t.tk, t.a, t.b FROM customer, "
@@ -639,6 +639,11 @@ def oracle_sql() -> dict[str, str]:
         "raw_summary_counts": sql(
             "SELECT e.function_id, e.execution_id, count(*) AS n_rows FROM execution e JOIN s3_in i ON i.execution_id = e.execution_id "
             "JOIN s3_out o ON o.execution_id = e.execution_id GROUP BY ALL"),
+        "raw_summary": sql(
+            "WITH j AS (SELECT e.function_id, e.execution_id, i.s3_type_id AS it, i.s3_object_id AS io, o.s3_type_id AS ot, o.s3_object_id AS oo "
+            "FROM execution e JOIN s3_in i ON i.execution_id = e.execution_id JOIN s3_out_typed o ON o.execution_id = e.execution_id) "
+            "SELECT function_id, execution_id, 's3' AS family, '{\"s3_type_id\":' || it || ',\"s3_object_id\":' || io || '}' AS item, count(*) AS times FROM j GROUP BY ALL "
+            "UNION ALL SELECT function_id, execution_id, 's3_output', '{\"s3_output_parameter_name\":\"out\",\"s3_type_id\":' || ot || ',\"s3_object_id\":' || oo || '}', count(*) FROM j GROUP BY ALL"),
         "latest_functions": (
             "SELECT s_nationkey AS fn, max(s_suppkey) AS minor FROM supplier GROUP BY ALL"),
         # ---- geometry
@@ -667,14 +672,22 @@ def oracle_sql() -> dict[str, str]:
             "SELECT act_id, f AS owner_field_id FROM a WHERE f IS NULL OR (s <> 5 AND EXISTS (SELECT 1 FROM cells c WHERE c.shape = a.s "
             "AND NOT EXISTS (SELECT 1 FROM cells d WHERE d.shape = a.fs AND d.cx = c.cx AND d.cy = c.cy))) "
             "OR (s = 5 AND fs <> 5 AND NOT EXISTS (SELECT 1 FROM cells d WHERE d.shape = a.fs AND d.cx IN (1, 2) AND d.cy IN (1, 2)))")
+    # answers are of the local day: validdate is its last second in UTC
+    out["daily_job"] = sql(
+        "WITH n AS (SELECT 'update' AS step, cell_id, utm_zone, utc_offset_seconds, date_first, date_last FROM update_need "
+        "UNION ALL SELECT 'add', cell_id, utm_zone, utc_offset_seconds, date_first, date_last FROM add_need), "
+        "d AS (SELECT *, unnest(generate_series(date_first::timestamp, date_last::timestamp, INTERVAL 1 DAY))::date AS day FROM n), "
+        "w AS (SELECT *, unnest(['click', 'error', 'purchase', 'signup', 'view']) AS e FROM d) "
+        "SELECT step, cell_id, list_position(['click', 'error', 'purchase', 'signup', 'view'], e)::bigint AS weather_type_id, count(*) AS n_rows, "
+        "min(day) AS first_date, max(day) AS last_date, "
+        "sum(len(e) + 4 + day(day::timestamp + INTERVAL 86399 SECOND - utc_offset_seconds::bigint * INTERVAL 1 SECOND))::bigint AS total "
+        "FROM w WHERE NOT (utm_zone = 15 AND e = 'view') GROUP BY ALL")
     out["geometry_upsert"] = (
         "WITH k AS (SELECT (s_suppkey * 37) % 1500 AS a, (s_suppkey * 91) % 1500 AS b, min(s_suppkey) AS id FROM supplier "
         "GROUP BY ALL), c AS (SELECT c_custkey, (c_custkey * 37) % 1500 AS a, (c_custkey * 91) % 1500 AS b FROM customer) "
         "SELECT c_custkey AS candidate, id AS known_id, (SELECT count(DISTINCT (a, b)) FROM c WHERE (a, b) NOT IN (SELECT (a, b) FROM k)) AS n_new "
         "FROM c LEFT JOIN k ON k.a = c.a AND k.b = c.b")
     out["geometry_by_id"] = sql(
-        f"SELECT geom_id, round(lon + {s}, 7) AS x, round(lat + {s}, 7) AS y FROM points JOIN field ON geom_id = point_id WHERE organization_id = 2")
-    out["geometry_by_id_all"] = sql(
         f"SELECT geom_id, round(lon + {s}, 7) AS x, round(lat + {s}, 7) AS y FROM points JOIN field ON geom_id = point_id")
     out["points_on_land"] = _grid_sql(
         0.0, "SELECT point_id FROM out a WHERE EXISTS (SELECT 1 FROM out b JOIN supplier ON s_suppkey = b.point_id WHERE a.utm_zone = b.utm_zone "
@@ -732,7 +745,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT point_id FROM (SELECT point_id, round(lon + point_id * 0.0000013::double, 7) AS x FROM points WHERE point_id % 2 = 1) "
         "WHERE round(x, 5) <> x")
     out["weather_type_ids"] = sql(
-        "SELECT DISTINCT parameter AS weather_type, CASE WHEN weather_type_id <> 2 THEN weather_type_id END AS weather_type_id FROM daily "
+        "SELECT DISTINCT parameter AS weather_type, weather_type_id FROM daily "
         "UNION ALL SELECT DISTINCT parameter || 'x', NULL FROM daily")
     out["fill_inventory_by_request"] = sql(
         "SELECT daily_id, (((date_requested + to_seconds(utc_offset_seconds) - INTERVAL 1 DAY)::date > date) OR "
@@ -780,11 +793,6 @@ def oracle_sql() -> dict[str, str]:
         "SELECT execution_id, 'keys', 1, 1 FROM d UNION ALL "
         "SELECT execution_id, f, 0, 0 FROM d, (VALUES ('observation'), ('keyword'), ('http')) v(f)")
     out["latest_signatures"] = (
-        "WITH l AS (SELECT s_nationkey, max(s_suppkey) AS id FROM supplier GROUP BY ALL) "
-        "SELECT 'f' || s_nationkey AS function_name, id::int AS minor, 's3_inputs' AS family, "
-        "(SELECT count(DISTINCT l_returnflag) FROM lineitem WHERE l_suppkey = id)::int AS n_parameters FROM l UNION ALL "
-        "SELECT 'f' || s_nationkey, id::int, 's3_outputs', 0 FROM l")
-    out["latest_signatures_all"] = (
         "WITH l AS (SELECT s_nationkey, max(s_suppkey) AS id FROM supplier GROUP BY ALL) "
         "SELECT 'f' || s_nationkey AS function_name, id::int AS minor, 's3_inputs' AS family, "
         "(SELECT count(DISTINCT l_returnflag) FROM lineitem WHERE l_suppkey = id)::int AS n_parameters FROM l UNION ALL "
@@ -798,7 +806,7 @@ def oracle_sql() -> dict[str, str]:
         "FROM feature_kept k JOIN feature_time t ON t.observation_type_id = k.observation_type_id AND t.unit_type_id = k.unit_type_id "
         "AND t.date_observed = k.date_observed GROUP BY ALL")
     out["observation_counts"] = sql(
-        "SELECT observation_type_id, count(*) FILTER (observation_type_id <> 3) AS number_of_observations FROM observation GROUP BY ALL")
+        "SELECT observation_type_id, count(*) AS number_of_observations FROM observation GROUP BY ALL")
     out["feature_matrix"] = sql(
         "SELECT geom_id, n_orders, square_id FROM (" + _SHAPE_PAIRS.format(a="shape_cells", b="supplier_cells", pa="shape_points", pb="supplier_points", out="square_id") + ") "
         "JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY ALL) ON o_custkey = geom_id")

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croplake.catalog import CATALOG, NUTRIENTS, RASTER_SUBTYPES, TableSpec
-from croplake.fixtures import ACT_SHAPES, NOW, SEGMENTS, Tables, ntz
+from croplake.fixtures import ACT_SHAPES, EVENT_TYPES, NOW, SEGMENTS, Tables, ntz
 from croplake.functions import timeops
 from croplake.operators import checks, features, grid, hierarchy, keyed, lineage, spatial, views
 from croplake.operators import weather as w
-from croplake.plans import ingest, requests
+from croplake.plans import daily, ingest, requests
 from croplake.sources import files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -344,8 +344,7 @@ def latest_daily(t: Tables) -> DataFrame:
 
 @query
 def daily_rows_all(t: Tables) -> DataFrame:
-    types = t.weather_type.filter("weather_type_id <> 5")
-    return w.daily_rows(t.daily, t.need, types, keep="all")
+    return w.daily_rows(t.daily, t.need, t.weather_type, keep="all")
 
 
 @query
@@ -582,18 +581,7 @@ def feature_columns(t: Tables) -> DataFrame:
 
 @query
 def feature_pivot(t: Tables) -> DataFrame:
-    kept = features.deduplicated(
-        _observations(t), features.FEATURE_KEY, "acquired", "observation_id", "18 hours"
-    )
-    named = kept.withColumn(
-        "column_name", F.lower(F.concat_ws("_", "observation_type_name", "unit_name"))
-    )
-    return features.feature_pivot(named, ["click_u0", "error_u1", "view_u2"])
-
-
-@query
-def feature_pivot_all(t: Tables) -> DataFrame:
-    """As feature_pivot, with a column for every feature that the observations hold."""
+    """Fields by features, with a column for every feature that the observations hold."""
     kept = features.deduplicated(
         _observations(t), features.FEATURE_KEY, "acquired", "observation_id", "18 hours"
     )
@@ -608,29 +596,7 @@ def feature_pivot_all(t: Tables) -> DataFrame:
 
 @query
 def field_documents(t: Tables) -> DataFrame:
-    acts = views.owner_field(t.act, t.field_trial, t.plot).drop("field_id").withColumnRenamed(
-        "owner_field_id", "field_id"
-    )
-    rows = acts.select("field_id", F.col("act_type").alias("name"), "date_performed", "act_id")
-    operations = features.field_events(rows, ["name"], "date_performed", "act_id", tolerance="6 hours")
-    none = operations.select(
-        "field_id", F.lit(None).cast("string").alias("crop"),
-        F.lit(None).cast("string").alias("product_name"), "performed",
-    )
-    docs = features.field_documents(t.field, t.grouper, operations, none, batch_size=10000)
-    meta = F.from_json(
-        "field_meta", "operations array<struct<name string>>, field_name string, farm_name string"
-    )
-    return docs.select("field_id", meta.alias("m")).select(
-        "field_id", "m.field_name", "m.farm_name",
-        F.size(F.coalesce("m.operations", F.array().cast("array<struct<name:string>>")))
-        .cast("long").alias("n_operations"),
-    )
-
-
-@query
-def field_documents_all(t: Tables) -> DataFrame:
-    """As field_documents, with the plantings of known crops."""
+    """Documents per field as JSON, with operations and the plantings of known crops and their times."""
     acts = views.owner_field(t.act, t.field_trial, t.plot).drop("field_id").withColumnRenamed(
         "owner_field_id", "field_id"
     )
@@ -645,20 +611,7 @@ def field_documents_all(t: Tables) -> DataFrame:
     docs = features.field_documents(
         t.field, t.grouper, operations, plantings, batch_size=10000
     )
-    meta = F.from_json(
-        "field_meta", "operations array<struct<name string>>, "
-        "plantings array<struct<crop string>>, field_name string, farm_name string"
-    )
-    listed = docs.select("field_id", meta.alias("m"))
-    return listed.select(
-        "field_id", "m.field_name", "m.farm_name",
-        F.size(F.coalesce("m.operations", F.array().cast("array<struct<name:string>>")))
-        .cast("long").alias("n_operations"),
-        F.coalesce(
-            F.array_join(F.array_sort(F.transform("m.plantings", lambda p: p["crop"])), ","),
-            F.lit(""),
-        ).alias("crops"),
-    )
+    return docs.select("field_id", "field_meta")
 
 
 @query
@@ -722,6 +675,14 @@ def raw_summary_counts(t: Tables) -> DataFrame:
     return rows.withColumn("n_rows", F.col("n_rows").cast("long"))
 
 
+@query
+def raw_summary(t: Tables) -> DataFrame:
+    return lineage.raw_summary(
+        t.execution,
+        {"s3_input_argument": t.s3_input_argument, "s3_output_argument": t.s3_output_argument},
+    )
+
+
 @query
 def latest_functions(t: Tables) -> DataFrame:
     functions = t.raw("supplier").select(
@@ -849,15 +810,7 @@ def geometry_upsert(t: Tables) -> DataFrame:
 
 @query
 def geometry_by_id(t: Tables) -> DataFrame:
-    ids = t.field.filter("organization_id = 2").select("geom_id")
-    return spatial.geometry_by_id(t.geom, ids).select(
-        "geom_id", F.col("rings")[0][2]["x"].alias("x"), F.col("rings")[0][2]["y"].alias("y")
-    )
-
-
-@query
-def geometry_by_id_all(t: Tables) -> DataFrame:
-    """As geometry_by_id, for the fields of all organizations."""
+    """Geometries of all fields."""
     return spatial.geometry_by_id(t.geom, t.field.select("geom_id")).select(
         "geom_id", F.col("rings")[0][2]["x"].alias("x"), F.col("rings")[0][2]["y"].alias("y")
     )
@@ -1001,7 +954,7 @@ def coordinate_decimals(t: Tables) -> DataFrame:
 def weather_type_ids(t: Tables) -> DataFrame:
     asked = t.raw("events").select(F.concat("event_type", F.lit("_24h")).alias("weather_type"))
     found, missing = w.weather_type_ids(
-        t.weather_type.filter("weather_type_id <> 2"),
+        t.weather_type,
         asked.unionByName(asked.select(F.concat("weather_type", F.lit("x")).alias("weather_type"))),
     )
     return found.unionByName(missing.withColumn("weather_type_id", F.lit(None).cast("long")))
@@ -1054,6 +1007,44 @@ def daily_ingest(t: Tables) -> DataFrame:
     return ingest.daily_rows_of(rows.filter("value is not null"), t.weather_type)
 
 
+def _answered(step: str, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Landed answers to a plan: views are unknown in zone 15, more than 100 days at once time out."""
+    names = [f"{e}_24h" for e in EVENT_TYPES]
+    unknown = (F.col("zone") == 15) & F.array_contains("parameters", "view_24h")
+    late = F.datediff("enddate", "startdate") >= 100
+    requests = plan.select(
+        "*", F.when(unknown | late, "FAIL").otherwise("SUCCESS").alias("status"),
+        F.when(unknown, -404.0).when(late, -408.0).otherwise(1.0).alias("request_seconds"),
+        F.when(unknown, "NotFound: view_24h").when(late, "ReadTimeout").alias("error"),
+        ntz(NOW).alias("date_requested"),
+    )
+    days = F.explode(F.sequence("startdate", "enddate", F.expr("interval 1 day"))).alias("validdate")
+    rows = requests.filter("status = 'SUCCESS' and startdate <= enddate").select(
+        "coordinate_list", "parameters", "date_requested", days
+    ).select("*", F.inline("coordinate_list"))
+    return rows.select(
+        "lat", "lon", "validdate", "date_requested",
+        *[F.when(F.array_contains("parameters", n), F.lit(float(len(n))) + F.dayofmonth("validdate")).alias(n) for n in names],
+    ), requests
+
+
+@query
+def daily_job(t: Tables) -> DataFrame:
+    """Update and add over what has landed, failed requests sent again; per cell and type what they add."""
+    names = [f"{e}_24h" for e in EVENT_TYPES]
+    steps, _ = daily.run_daily(
+        t.daily, t.need, t.world_utm, t.cell_centroid, t.weather_type, _answered, NOW, 2500,
+        parameter_sets=(names[:3], names[3:]),
+    )
+    rows = [s.new_rows.withColumn("step", F.lit(name)) for name, s in steps.items()]
+    return rows[0].unionByName(rows[1]).filter("value is not null").groupBy(
+        "step", "cell_id", "weather_type_id"
+    ).agg(
+        F.count("*").alias("n_rows"), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+        F.sum(F.col("value").cast("long")).alias("total"),
+    )
+
+
 def _id_range(numbered: DataFrame, id_col: str) -> DataFrame:
     return numbered.agg(
         F.min(id_col).alias("first_id"), F.max(id_col).alias("last_id"),
@@ -1142,25 +1133,7 @@ def execution_arguments(t: Tables) -> DataFrame:
 
 @query
 def latest_signatures(t: Tables) -> DataFrame:
-    functions = t.raw("supplier").select(
-        F.col("s_suppkey").alias("function_id"),
-        F.concat(F.lit("f"), F.col("s_nationkey").cast("string")).alias("function_name"),
-        F.lit(1).alias("major"), F.col("s_suppkey").cast("int").alias("minor"),
-        F.lit(1).cast("long").alias("function_type_id"),
-    )
-    inputs = t.raw("lineitem").select(
-        F.col("l_suppkey").alias("function_id"), F.col("l_returnflag").alias("type_name")
-    ).distinct()
-    none = inputs.filter(F.lit(False))
-    rows = lineage.latest_signatures(functions, {"s3_inputs": inputs, "s3_outputs": none})
-    return rows.select(
-        "function_name", "minor", "family", F.size("parameters").alias("n_parameters")
-    )
-
-
-@query
-def latest_signatures_all(t: Tables) -> DataFrame:
-    """As latest_signatures, with the outputs that the tables hold."""
+    """Inputs and outputs of the latest version of every function."""
     functions = t.raw("supplier").select(
         F.col("s_suppkey").alias("function_id"),
         F.concat(F.lit("f"), F.col("s_nationkey").cast("string")).alias("function_name"),
@@ -1192,9 +1165,7 @@ def column_values(t: Tables) -> DataFrame:
 
 @query
 def observation_counts(t: Tables) -> DataFrame:
-    return features.observation_counts(
-        t.observation.filter("observation_type_id <> 3"), t.observation_type
-    )
+    return features.observation_counts(t.observation, t.observation_type)
 
 
 @query

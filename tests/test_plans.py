@@ -149,7 +149,7 @@ def landed(spark, types):
             F.lit("2024-02-20 15:00:00").cast("timestamp_ntz").alias("date_requested"),
             *[F.when(F.array_contains("parameters", n), F.lit(1.0)).alias(n) for n in names],
         )
-        done = plan.withColumn("status", F.lit("SUCCESS")).withColumn("request_seconds", F.lit(1.0)).withColumn(
+        done = plan.withColumn("status", F.lit("SUCCESS")).withColumn("error", F.lit(None).cast("string")).withColumn("request_seconds", F.lit(1.0)).withColumn(
             "date_requested", F.lit("2024-01-30 15:00:00").cast("timestamp_ntz"))
         return wide, done
     return responses
@@ -181,9 +181,19 @@ def test_daily_job_closes_its_gaps(spark, tmp_path):
     left = w.fill_inventory(whole, stored, types, NOW)
     assert left.isEmpty()
     assert report.first().n_attempted == report.first().n_success > 0
+    # sent again, nothing is added; what is new in it is, with ids that go on
+    for rows in (daily, *new.values()):
+        ingest.append_daily(rows, path)
+    assert spark.read.parquet(path).count() == stored.count()
+    later = daily.withColumn("date_requested", F.col("date_requested") + F.expr("interval 1 day")).unionByName(daily)
+    ingest.append_daily(later, path)
+    stored = spark.read.parquet(path)
     log = str(tmp_path / "log")
     ingest.append_request_log(steps["update"].requests, log)
+    ingest.append_request_log(job.requests_to_log({"add": steps["add"]}), log)
+    before = spark.read.parquet(log).count()
     ingest.append_request_log(steps["add"].requests, log)
+    assert spark.read.parquet(log).count() == before
     logged = spark.read.parquet(log)
     assert logged.columns == ["request_id", *ingest.LOG_COLUMNS]
     for table, name in ((stored, "daily_id"), (logged, "request_id")):
@@ -191,6 +201,71 @@ def test_daily_job_closes_its_gaps(spark, tmp_path):
         assert (first, last) == (1, rows) and ids == rows > 0
 
 
+def test_append_that_broke_off_is_completed(spark, tmp_path):
+    """The range of ids was noted, some rows were written: the repeat adds the others under new ids."""
+    path = str(tmp_path / "daily")
+    rows = spark.range(40).selectExpr(
+        "cast(id % 3 as int) as world_utm_id", "id as cell_id", "date'2024-01-01' as date", "1L as weather_type_id",
+        "cast(id as float) as value", "timestamp_ntz'2024-01-02 00:00:00' as date_requested",
+    )
+    spark.createDataFrame([(1, 40)], "first_id long, last_id long").write.parquet(ingest.reserved_ids(path))
+    rows.filter("cell_id < 15").withColumn("daily_id", F.col("cell_id") + 1).write.partitionBy("world_utm_id").mode("append").parquet(path)
+    ingest.append_daily(rows, path)
+    ingest.append_daily(rows, path)
+    got = spark.read.parquet(path)
+    assert got.count() == 40 and got.select("cell_id").distinct().count() == 40
+    assert sorted(r.daily_id for r in got.collect()) == [*range(1, 16), *range(41, 66)]
+
+
+def test_fill_reads_needed_polygons_and_dates_only(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    spark.range(2000).selectExpr(
+        "id as daily_id", "cast(id % 8 as int) as world_utm_id", "id % 40 as cell_id", "date_add(date'2015-01-01', cast(id as int)) as date",
+        "1L as weather_type_id", "cast(id as float) as value", "timestamp_ntz'2024-01-02 00:00:00' as date_requested",
+    ).write.partitionBy("world_utm_id").parquet(path)
+    wanted = need(spark, 3, first=date(2019, 6, 1))
+    near = w.rows_near(spark.read.parquet(path), wanted, F.lit(date(2024, 2, 6)))
+    near.collect()
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.splitlines() if "FileScan" in x)
+    filters = {k: scan.split(k + ": [", 1)[1].split("]", 1)[0] for k in ("PartitionFilters", "PushedFilters")}
+    assert "array_contains" in filters["PartitionFilters"]
+    assert "GreaterThanOrEqual(date" in filters["PushedFilters"] and "LessThanOrEqual(date" in filters["PushedFilters"]
+    assert {r.world_utm_id for r in near.select("world_utm_id").distinct().collect()} <= {r.world_utm_id for r in wanted.collect()}
+
+
+def test_failed_requests_are_sent_again(spark):
+    """Unknown parameters go, time-outs are halved, within three rounds and the budget; names are checked first."""
+    from croplake.catalog import CATALOG
+
+    types = tables.seed_weather_types(CATALOG["weather_type"].empty(spark))
+    utm = spark.createDataFrame([(1, 15, "T", -21600)], "world_utm_id int, utm_zone int, utm_row string, utc_offset_seconds int")
+    centre = spark.createDataFrame([(1, 0, -93.0, 44.0)], "world_utm_id int, cell_id long, lon double, lat double")
+    daily = spark.createDataFrame([(1, 0, date(2024, 1, 5), 1, 2.0, datetime(2024, 1, 8))],
+        "world_utm_id int, cell_id long, date date, weather_type_id long, value float, date_requested timestamp_ntz")
+    names = [x.weather_type for x in types.orderBy("weather_type_id").collect()]
+    rounds = []
+
+    def responses(step, plan):
+        rounds.append((step, plan.count()))
+        lost, late = F.array_contains("parameters", names[0]), F.datediff("enddate", "startdate") >= 9
+        wide, done = landed(spark, types)(step, plan.filter(~(lost | late)))
+        return wide, plan.select(
+            "*", F.when(lost | late, "FAIL").otherwise("SUCCESS").alias("status"), F.when(lost, -404.0).when(late, -408.0).otherwise(1.0).alias("request_seconds"),
+            F.when(lost, f"no {names[0]}").alias("error"), F.lit("2024-01-30 15:00:00").cast("timestamp_ntz").alias("date_requested"))
+
+    steps, report = job.run_daily(daily, tables.empty_need(spark), utm, centre, types, responses, NOW, 2500)
+    assert [n for s, n in rounds if s == "update"] == [2, 3, 6, 4]
+    rows = steps["update"].new_rows.filter("value is not null")
+    assert rows.select("weather_type_id").distinct().count() == len(names) - 1
+    assert rows.select("date").distinct().count() == 32 and report.first().n_attempted == 15
+    assert job.requests_to_log(steps).count() == 15 and job.rows_to_append(steps).count() >= rows.count()
+    steps, report = job.run_daily(daily, tables.empty_need(spark), utm, centre, types, responses, NOW, 4)
+    assert report.first().n_attempted <= 4
+    with pytest.raises(ValueError, match="no weather type"):
+        job.run_daily(daily, tables.empty_need(spark), utm, centre, types, responses, NOW, 4, parameter_sets=(("nothing",),))
+
+
 def test_no_budget_no_requests(spark):
     plan = r.update_plan(need(spark, 5))
     assert r.budget_cut(plan, 0).isEmpty()

@@ -166,3 +166,16 @@ def test_planting_of_a_field_act_is_its_own_field(spark):
     bounds = {r.field_id: r.date_first for r in w.field_date_bounds(first, zones, NOW).collect()}
     # 3:00 UTC on New Year's Day is still the old year there
     assert bounds == {12: date(2010, 1, 1), 13: date(2007, 1, 1)}
+
+
+def test_newest_rows_are_hashed_and_ties_go_by_id(spark):
+    rows = [(1, 7, 3, date(2024, 1, 1), 1.0, datetime(2024, 1, 2)), (2, 7, 3, date(2024, 1, 1), 2.0, datetime(2024, 1, 3)),
+            (9, 7, 3, date(2024, 1, 1), 3.0, datetime(2024, 1, 3)), (4, 7, 3, date(2024, 1, 2), 4.0, datetime(1965, 1, 3)),
+            (3, 7, 3, date(2024, 1, 2), None, datetime(1965, 1, 3, 0, 0, 1)), (5, 8, 3, date(2024, 1, 1), 5.0, datetime(2262, 1, 1))]
+    daily = spark.createDataFrame(
+        rows, "daily_id long, cell_id long, weather_type_id long, date date, value float, date_requested timestamp_ntz"
+    )
+    newest = w.latest_rows(daily)
+    assert {(r.daily_id, r.cell_id, r.value, r.date_requested) for r in newest.collect()} == {
+        (9, 7, 3.0, datetime(2024, 1, 3)), (3, 7, None, datetime(1965, 1, 3, 0, 0, 1)), (5, 8, 5.0, datetime(2262, 1, 1))}
+    assert "SortAggregate" not in newest._jdf.queryExecution().executedPlan().toString()
