@@ -159,7 +159,9 @@ def clean(docs: DataFrame, items: DataFrame, k: int = WORDS, percent: int = PERC
                 for row, _, _ in index.held(common.as_text(batch.column("text")), k, percent):
                     mask[row] = False
                 yield common.passing(batch, mask)
+            common.give_back()
 
+        common.small_batches(docs.sparkSession)
         docs = docs.mapInArrow(work, docs.schema)
     return docs
 
