@@ -124,9 +124,9 @@ def next_id(existing: DataFrame, spec: TableSpec) -> Column:
 
 def new_rows(
     existing: DataFrame, candidates: DataFrame, spec: TableSpec,
-    now: datetime | str | None = None, by: str = "lookup",
+    now: datetime | str | None = None, by: str = "lookup", start: int | None = None,
 ) -> DataFrame:
-    """Rows to append so that every candidate has a stored row; ids continue those stored.
+    """Rows to append so that every candidate has a stored row; ids continue those stored, or begin with ``start``.
 
     Candidates of one key give one row (the smallest of them, so that reruns agree).
     """
@@ -136,7 +136,7 @@ def new_rows(
     rows = with_defaults(_one_per_key(unknown, key), spec, now)
     if spec.id_col is None:
         return rows
-    numbered = allocate_ids(rows, spec.id_col, key, next_id(existing, spec))
+    numbered = allocate_ids(rows, spec.id_col, key, next_id(existing, spec) if start is None else start)
     return numbered.select(*[f.name for f in spec.schema.fields])
 
 
@@ -146,9 +146,14 @@ def insert_or_get(
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows to append, candidates with their id)``; a second run with the result adds nothing.
 
-    The new rows are cut from their lineage before they are used twice: appended and joined.
+    The new rows are cut from their lineage before they are used twice: appended and joined. Their
+    first id is fixed here, whatever is appended to the stored table meanwhile.
     """
-    fresh = cut_lineage(new_rows(existing, candidates, spec, now, by))
+    if spec.id_col:
+        top = existing.agg(F.max(spec.id_col)).first()[0]
+        fresh = new_rows(existing, candidates, spec, now, by, (top or 0) + 1)
+    else:
+        fresh = cut_lineage(new_rows(existing, candidates, spec, now, by))
     key = _key(spec, by)
     columns = key + ([spec.id_col] if spec.id_col else [])
     known = existing.select(*columns).unionByName(fresh.select(*columns))
