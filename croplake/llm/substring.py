@@ -134,7 +134,8 @@ def repeated(docs: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")
     # smallest place and largest differ: the unit occurs again
     best = found.groupBy("key", "more").agg(F.min(place).alias("first"), F.max(place).alias("other")).where("first <> other")
-    best = best.select("key", "more", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.start").alias("keep_start"))
+    # written, so that Spark can split a digest that occurs everywhere in the join
+    best = common.written(best.select("key", "more", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.start").alias("keep_start")), "repeated")
     rows = found.join(best, ["key", "more"])
     stays = F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("start") == F.col("keep_start"))
     # from here on by document
