@@ -29,7 +29,8 @@ def builder(app_name: str = "croplake") -> SparkSession.Builder:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: ``spark.checkpoint.dir``, or where that is unset a folder of the warehouse.
 
-    Both are shared by all executors, whatever the master.
+    On a cluster set ``spark.checkpoint.dir``: the warehouse is shared by all executors only where
+    ``spark.sql.warehouse.dir`` names a shared store, and by default it is a folder of the driver.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
