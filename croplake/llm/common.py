@@ -22,7 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder every executor sees, removed when the session's JVM ends.
 
-    It lies in ``spark.checkpoint.dir``; where that is unset, in the warehouse, which is shared as well.
+    It lies in ``spark.checkpoint.dir``; where that is unset, in the warehouse, which all executors share only
+    where ``spark.sql.warehouse.dir`` names a shared store (by default it is a folder of the driver).
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     base = base or spark.conf.get("spark.sql.warehouse.dir")
