@@ -807,6 +807,10 @@ def oracle_sql() -> dict[str, str]:
         "AND t.date_observed = k.date_observed GROUP BY ALL")
     out["observation_counts"] = sql(
         "SELECT observation_type_id, count(*) AS number_of_observations FROM observation GROUP BY ALL")
+    out["frame_join"] = sql(
+        "SELECT geom_id, shape_id, n_lines, n_orders FROM (" + _SHAPE_PAIRS.format(a="shape_cells", b="supplier_cells", pa="shape_points", pb="supplier_points", out="shape_id") + ") "
+        "JOIN (SELECT l_suppkey, count(*) AS n_lines FROM lineitem GROUP BY ALL) ON l_suppkey = shape_id "
+        "JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY ALL) ON o_custkey = geom_id")
     out["feature_matrix"] = sql(
         "SELECT geom_id, n_orders, square_id FROM (" + _SHAPE_PAIRS.format(a="shape_cells", b="supplier_cells", pa="shape_points", pb="supplier_points", out="square_id") + ") "
         "JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY ALL) ON o_custkey = geom_id")

@@ -1168,6 +1168,20 @@ def observation_counts(t: Tables) -> DataFrame:
     return features.observation_counts(t.observation, t.observation_type)
 
 
+@query
+def frame_join(t: Tables) -> DataFrame:
+    """Shapes of suppliers joined with their lines, and the result with the fields' shapes, by the names of the parts."""
+    frames = features.FrameSet(t.shapes)
+    frames.add("shapes", t.supplier_shapes.withColumnRenamed("geom_id", "shape_id"), geo=True)
+    frames.add("lines", t.raw("lineitem").groupBy(F.col("l_suppkey").alias("shape_id")).agg(F.count("*").alias("n_lines")))
+    frames.add("orders", t.raw("orders").groupBy(F.col("o_custkey").alias("geom_id")).agg(F.count("*").alias("n_orders")))
+    frames.join("shapes", "lines")  # on their common column
+    frames.join(features.FrameSet.GEOM, "lines")  # two geo frames: where they intersect
+    frames.join("shapes", "orders")  # found under either name, on geom_id
+    (joined,) = frames.geo_frames.values()
+    return joined.select("geom_id", "shape_id", "n_lines", "n_orders")
+
+
 @query
 def feature_matrix(t: Tables) -> DataFrame:
     """Geometry rows with orders per field, and with every shape their own meets."""
