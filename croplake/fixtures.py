@@ -367,6 +367,8 @@ class Tables:
             F.col("user_id").alias("geom_id"),
             F.when(F.col("event_id") % 4 != 0, F.col("event_id") % 4)
             .alias("observation_grouper_id"),
+            F.when(F.col("event_id") % 3 == 0, F.format_string('{"depth":%d,"by":["a","b"]}', F.col("event_id") % 7))
+            .alias("details"),
         )
 
     @cached_property

@@ -90,7 +90,12 @@ def select_observations(
     observation_group: DataFrame | None = None, type_ids: list[int] | None = None,
     fields: DataFrame | None = None,
 ) -> DataFrame:
-    """Observations since 2000 with unit, type and group names; no list means no filter."""
+    """Observations since 2000 with unit, type and group names; no list means no filter.
+
+    ``details`` is JSON text, null where the table has no such column.
+    """
+    if "details" not in observation.columns:
+        observation = observation.withColumn("details", F.lit(None).cast("string"))
     rows = _with_group(observation).filter(
         F.col("date_observed") > F.lit(EARLIEST).cast("timestamp_ntz")
     ).drop("observation_type_id")
@@ -109,7 +114,7 @@ def select_observations(
     return rows.select(
         "field_id", "observation_type_name", "category", "observation_type_id", "unit_name",
         "unit_type_id", "observation_id", F.col("date_observed").alias("acquired"),
-        F.col("value_observed").alias("quantity"), "group_name",
+        F.col("value_observed").alias("quantity"), "group_name", "details",
     )
 
 
@@ -175,6 +180,8 @@ def feature_rows(rows: DataFrame, mode: str = "runs", tolerance: str = "18 hours
 
     ``rows`` are read for the runs, the moments and the units, so they are computed once and written.
     """
+    if "details" not in rows.columns:
+        rows = rows.withColumn("details", F.lit(None).cast("string"))
     rows = cut_lineage(rows)
     kept = deduplicated(rows, FEATURE_KEY, "acquired", "observation_id", tolerance, mode)
     times, units = time_ordinals(rows), unit_ordinals(rows)
@@ -188,17 +195,20 @@ def feature_rows(rows: DataFrame, mode: str = "runs", tolerance: str = "18 hours
     )
 
 
-def feature_record() -> Column:
-    """The nested record of a feature row."""
+def feature_record(details: Column | None = None) -> Column:
+    """The nested record of a feature row; ``details`` are JSON text unless given otherwise."""
+    own = F.col("details") if details is None else details
     return F.struct(
-        "field_id", "quantity", "acquired", "observation_type_id", "observation_type_name",
+        "field_id", "quantity", own.alias("details"), "acquired", "observation_type_id", "observation_type_name",
         "unit_type_id", "unit_name",
         F.struct("time_id", "unit_id", "column_name").alias("internal_ids"),
     )
 
 
 def feature_json(features: DataFrame) -> DataFrame:
-    return features.select("observation_id", F.to_json(feature_record()).alias("column"))
+    """The records as JSON, with the details as an object; text that is no JSON is left out."""
+    record = feature_record(F.try_parse_json("details"))
+    return features.select("observation_id", F.to_json(record).alias("column"))
 
 
 def column_values(features: DataFrame) -> DataFrame:

@@ -594,6 +594,17 @@ def oracle_sql() -> dict[str, str]:
             "SELECT k.observation_id, k.observation_type_name || '.' || k.unit_name || '.' || t.time_id AS column_name, k.value_observed AS quantity "
             "FROM feature_kept k JOIN feature_time t ON t.observation_type_id = k.observation_type_id AND t.unit_type_id = k.unit_type_id "
             "AND t.date_observed = k.date_observed"),
+        "feature_records": sql(
+            "WITH u AS (SELECT observation_type_id, unit_type_id, row_number() OVER (ORDER BY observation_type_id, unit_type_id) AS unit_id "
+            "FROM (SELECT DISTINCT observation_type_id, unit_type_id FROM feature_base)) "
+            "SELECT k.observation_id, '{\"field_id\":' || k.field_id || ',\"quantity\":' || k.value_observed::double::varchar || "
+            "CASE WHEN k.observation_id % 3 = 0 THEN ',\"details\":{\"by\":[\"a\",\"b\"],\"depth\":' || (k.observation_id % 7) || '}' ELSE '' END || "
+            "',\"acquired\":\"' || strftime(k.date_observed, '%Y-%m-%dT%H:%M:%S.%g') || '\",\"observation_type_id\":' || k.observation_type_id || "
+            "',\"observation_type_name\":\"' || k.observation_type_name || '\",\"unit_type_id\":' || k.unit_type_id || ',\"unit_name\":\"' || k.unit_name || "
+            "'\",\"internal_ids\":{\"time_id\":' || t.time_id || ',\"unit_id\":' || u.unit_id || ',\"column_name\":\"' || "
+            "k.observation_type_name || '.' || k.unit_name || '.' || t.time_id || '\"}}' AS \"column\" "
+            "FROM feature_kept k JOIN feature_time t ON t.observation_type_id = k.observation_type_id AND t.unit_type_id = k.unit_type_id "
+            "AND t.date_observed = k.date_observed JOIN u ON u.observation_type_id = k.observation_type_id AND u.unit_type_id = k.unit_type_id"),
         "feature_pivot": sql(
             "SELECT field_id, " + ", ".join(
                 f"max_by(value_observed, (date_observed, observation_id)) FILTER (lower(observation_type_name || '_' || unit_name) = '{n}_u{u}') AS \"{n}_u{u}\""

@@ -579,6 +579,12 @@ def feature_columns(t: Tables) -> DataFrame:
     )
 
 
+@query
+def feature_records(t: Tables) -> DataFrame:
+    """The nested record of every feature, as JSON."""
+    return features.feature_json(features.feature_rows(_observations(t)))
+
+
 @query
 def feature_pivot(t: Tables) -> DataFrame:
     """Fields by features, with a column for every feature that the observations hold."""
