@@ -58,17 +58,17 @@ CTES: dict[str, str] = {
         SELECT c_custkey AS point_id, -96.0::double + 6.0::double * ((c_custkey * 37) % 1500) / 1500.0::double AS lon,
                40.0::double + 8.0::double * ((c_custkey * 91) % 1500) / 1500.0::double AS lat FROM customer""",
     # the shapes as sets of cells of a lattice; points as corners
-    "cells": """
+    "shape_grid": """
         SELECT shape, cx, cy FROM (SELECT unnest(range(9)) AS shape), (SELECT unnest(range(4)) AS cx), (SELECT unnest(range(4)) AS cy)
         WHERE CASE shape WHEN 0 THEN true WHEN 1 THEN cx = 0 OR cy = 0 WHEN 2 THEN cy = 0 OR cx IN (0, 3) WHEN 3 THEN cx <> 1
             WHEN 4 THEN NOT (cx IN (1, 2) AND cy IN (1, 2)) WHEN 6 THEN cx IN (1, 2) AND cy IN (1, 2) WHEN 7 THEN cx + cy = 0
             WHEN 8 THEN cx IN (1, 2) ELSE false END""",
     "shape_cells": """
         SELECT c_custkey AS geom_id, 3 * (c_custkey % 900) + cx AS x, 3 * (c_custkey // 900) + cy AS y
-        FROM customer JOIN cells ON shape = c_custkey % 6""",
+        FROM customer JOIN shape_grid ON shape = c_custkey % 6""",
     "supplier_cells": """
         SELECT s_suppkey AS geom_id, 3 * (s_suppkey % 900) + cx AS x, 3 * (s_suppkey // 900) + cy AS y
-        FROM supplier JOIN cells ON shape = (s_suppkey + 2) % 6""",
+        FROM supplier JOIN shape_grid ON shape = (s_suppkey + 2) % 6""",
     "shape_points": "SELECT c_custkey AS geom_id, 3 * (c_custkey % 900) + 2 AS x, 3 * (c_custkey // 900) + 2 AS y FROM customer WHERE c_custkey % 6 = 5",
     "supplier_points": "SELECT s_suppkey AS geom_id, 3 * (s_suppkey % 900) + 2 AS x, 3 * (s_suppkey // 900) + 2 AS y FROM supplier WHERE (s_suppkey + 2) % 6 = 5",
     "half_points": """
@@ -680,9 +680,9 @@ def oracle_sql() -> dict[str, str]:
         # cells of the act's shape that its field's lacks; a point needs one cell around it, or the same point
         out[name] = sql(
             f"WITH a AS (SELECT act_id, {owner} AS f, {owner} % 6 AS fs, list_extract([0, 6, 7, 1, 5, 8], act_id % 6 + 1) AS s FROM owned_act) "
-            "SELECT act_id, f AS owner_field_id FROM a WHERE f IS NULL OR (s <> 5 AND EXISTS (SELECT 1 FROM cells c WHERE c.shape = a.s "
-            "AND NOT EXISTS (SELECT 1 FROM cells d WHERE d.shape = a.fs AND d.cx = c.cx AND d.cy = c.cy))) "
-            "OR (s = 5 AND fs <> 5 AND NOT EXISTS (SELECT 1 FROM cells d WHERE d.shape = a.fs AND d.cx IN (1, 2) AND d.cy IN (1, 2)))")
+            "SELECT act_id, f AS owner_field_id FROM a WHERE f IS NULL OR (s <> 5 AND EXISTS (SELECT 1 FROM shape_grid c WHERE c.shape = a.s "
+            "AND NOT EXISTS (SELECT 1 FROM shape_grid d WHERE d.shape = a.fs AND d.cx = c.cx AND d.cy = c.cy))) "
+            "OR (s = 5 AND fs <> 5 AND NOT EXISTS (SELECT 1 FROM shape_grid d WHERE d.shape = a.fs AND d.cx IN (1, 2) AND d.cy IN (1, 2)))")
     # answers are of the local day: validdate is its last second in UTC
     out["daily_job"] = sql(
         "WITH n AS (SELECT 'update' AS step, cell_id, utm_zone, utc_offset_seconds, date_first, date_last FROM update_need "
