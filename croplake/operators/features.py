@@ -12,7 +12,7 @@ from croplake.operators.hierarchy import three_levels
 from croplake.operators.ranking import (
     batches, null_safe_join, numbered, with_previous_time,
 )
-from croplake.session import cut_lineage
+from croplake.session import cut_lineage, shuffled
 
 #: observations, operations and plantings up to this moment are left out
 EARLIEST = "2000-01-01 00:00:00"
@@ -440,7 +440,7 @@ class FrameSet:
         elif l_geo and r_geo:
             out = spatial_join(l, r, suffix=f"_{right}")
         else:
-            out = l.join(r, [c for c in l.columns if c in r.columns])
+            out = l.join(shuffled(r), [c for c in l.columns if c in r.columns])
         geo = "rings" in out.columns
         (self.geo_frames if geo else self.frames)["+".join(l_names + r_names)] = out
 
@@ -448,7 +448,7 @@ class FrameSet:
         """Geometry rows with every frame: inner joins on geom_id, then spatial joins."""
         from croplake.operators.spatial import spatial_join
 
-        out = reduce(lambda a, b: a.join(b, "geom_id"), self.frames.values(), self.geometry)
+        out = reduce(lambda a, b: a.join(shuffled(b), "geom_id"), self.frames.values(), self.geometry)
         for name, df in self.geo_frames.items():
             out = spatial_join(out, df, suffix=f"_{name}")
         return out

@@ -10,7 +10,7 @@ from croplake.functions import geo
 from croplake.operators import keyed
 from croplake.operators.ranking import null_safe_join
 from croplake.operators.views import owner_field
-from croplake.session import cut_lineage
+from croplake.session import cut_lineage, shuffled
 
 MAX_LEVEL = 24
 COVER_TOLERANCE = 1e-6
@@ -116,7 +116,7 @@ def spatial_join(left: DataFrame, right: DataFrame, suffix: str = "_right") -> D
         | F.arrays_overlap("_lheads", "_rheads")
     )
     return (
-        lt.join(rt, ["_lv", "_tx", "_ty"])
+        lt.join(shuffled(rt), ["_lv", "_tx", "_ty"])
         .filter(at_own_level & boxes_meet & here)
         .filter(meets)
         .select(*left.columns, *renamed.values())

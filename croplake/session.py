@@ -43,6 +43,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of an equi-join that is made by a shuffle, so that no side passes the driver.
+
+    Spark takes the size of a table that is worked out of a few stored columns (shapes, exploded rows) from
+    those columns; by that it would broadcast what is many times as large.
+    """
+    return df.hint("merge")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder once and go on from the written copy."""
     ensure_checkpoint_dir(df.sparkSession)
