@@ -1051,9 +1051,11 @@ def daily_job(t: Tables) -> DataFrame:
     )
 
 
-def _id_range(numbered: DataFrame, id_col: str) -> DataFrame:
+def _id_range(numbered: DataFrame, stored: DataFrame, id_col: str) -> DataFrame:
+    """First and last id; without rows the empty range that begins after the stored ids."""
+    top = stored.agg(F.max(id_col)).scalar()
     return numbered.agg(
-        F.min(id_col).alias("first_id"), F.max(id_col).alias("last_id"),
+        F.coalesce(F.min(id_col), top + 1).alias("first_id"), F.coalesce(F.max(id_col), top).alias("last_id"),
         F.count("*").alias("n_rows"), F.count_distinct(id_col).alias("n_ids"),
     )
 
@@ -1061,14 +1063,14 @@ def _id_range(numbered: DataFrame, id_col: str) -> DataFrame:
 @query
 def daily_append_ids(t: Tables) -> DataFrame:
     """The ids that the ingested rows get after those of the stored daily table."""
-    return _id_range(ingest.with_row_ids(daily_ingest(t), t.daily, "daily_id"), "daily_id")
+    return _id_range(ingest.with_row_ids(daily_ingest(t), t.daily, "daily_id"), t.daily, "daily_id")
 
 
 @query
 def request_log_ids(t: Tables) -> DataFrame:
     """The ids that requests get when all of them are logged once more."""
     again = t.request.select("zone", "utm_request_id", "status", "date_requested", "request_seconds")
-    return _id_range(ingest.with_row_ids(again, t.request, "request_id"), "request_id")
+    return _id_range(ingest.with_row_ids(again, t.request, "request_id"), t.request, "request_id")
 
 
 @query
