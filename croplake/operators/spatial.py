@@ -292,12 +292,17 @@ def covered(outer: str, inner: str, tol: float = COVER_TOLERANCE) -> Column:
 
 def covered_pairs(pairs: DataFrame, geom: DataFrame, tol: float = COVER_TOLERANCE) -> DataFrame:
     """The distinct (inner_id, outer_id) of ``pairs`` whose outer geometry covers the inner one."""
-    inner = outline(geom, "_in", tol).drop("_in_marks")
-    outer = outline(geom, "_out", tol).drop("_out_points", "_out_inside")
+    def of(ids: str) -> DataFrame:
+        # only shapes that are asked for, dealt out before their outlines are made: few bytes of keys, much work
+        wanted = pairs.select(F.col(ids).alias("geom_id")).distinct()
+        return geom.join(shuffled(wanted), "geom_id", "left_semi").repartition("geom_id")
+
+    inner = outline(of("inner_id"), "_in", tol).drop("_in_marks")
+    outer = outline(of("outer_id"), "_out", tol).drop("_out_points", "_out_inside")
     return (
         pairs.select("inner_id", "outer_id").distinct()
-        .join(inner, F.col("inner_id") == F.col("_in_id"))
-        .join(outer, F.col("outer_id") == F.col("_out_id"))
+        .join(shuffled(inner), F.col("inner_id") == F.col("_in_id"))
+        .join(shuffled(outer), F.col("outer_id") == F.col("_out_id"))
         .filter(covered("_out", "_in", tol)).select("inner_id", "outer_id")
     )
 
@@ -320,10 +325,10 @@ def acts_outside_field(
     else:
         shaped = shaped.withColumn("owner_field_id", F.col("field_id"))
     outer = field.select(F.col("field_id").alias("_f"), F.col("geom_id").alias("outer_id"))
-    placed = shaped.join(outer, F.col("owner_field_id") == F.col("_f"), "left")
+    placed = shaped.join(shuffled(outer), F.col("owner_field_id") == F.col("_f"), "left")
     # read for the pairs and for the acts
     other = cut_lineage(placed.filter(~F.coalesce(F.col("geom_id") == F.col("outer_id"), F.lit(False))))
     pairs = other.filter("outer_id is not null").select(F.col("geom_id").alias("inner_id"), "outer_id")
     fine = covered_pairs(pairs, geom, tol)
     same = (F.col("geom_id") == F.col("inner_id")) & (other["outer_id"] == fine["outer_id"])
-    return other.join(fine, same, "left_anti").select(*act.columns, "owner_field_id")
+    return other.join(shuffled(fine), same, "left_anti").select(*act.columns, "owner_field_id")

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 
+import duckdb
 import pytest
 
+import __spark_entry__ as entry_file
+from compare import TABLES, difference, oracle_connection
 from croplake.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -21,3 +24,31 @@ def joins(df) -> list[str]:
 def test_matrix_shuffles_its_frames(spark):
     found = joins(QUERIES["feature_matrix"](spark, SF_DIR))
     assert len(found) >= 2 and not [j for j in found if j.startswith("Broadcast")]
+
+
+@pytest.mark.parametrize("name", ["acts_outside_field", "acts_outside_field_as_written"])
+def test_cover_checks_shuffle_their_outlines(spark, name):
+    found = joins(QUERIES[name](spark, SF_DIR))
+    assert len(found) >= 3 and not [j for j in found if j.startswith("Broadcast")]
+
+
+@pytest.mark.parametrize("name", ["plot_application_summary", "plot_nutrient_totals"])
+def test_plots_and_sources_are_shuffled(spark, name):
+    broadcast = [
+        line for line in QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString().splitlines()
+        if "BroadcastHashJoin" in line and ("nutrient_source_id" in line or "_geom" in line)
+    ]
+    assert not broadcast
+
+
+@pytest.mark.parametrize("events", ["all of one day", "none"])
+def test_ids_of_nothing_to_append(spark, tmp_path, events):
+    for name in TABLES:
+        os.symlink(f"{SF_DIR}/{name}.parquet", tmp_path / f"{name}.parquet") if name != "events" else None
+    duckdb.sql(
+        f"COPY (SELECT * REPLACE (TIMESTAMP '2024-01-30 12:00:00' AS ts) FROM '{SF_DIR}/events.parquet' "
+        f"WHERE {events != 'none'}) TO '{tmp_path}/events.parquet' (FORMAT parquet)"
+    )
+    df = entry_file.queries()["daily_append_ids"](spark, str(tmp_path))
+    con = oracle_connection(str(tmp_path))
+    assert difference(df, con, entry_file.oracle_sql()["daily_append_ids"]) is None
