@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from croplake.catalog import NUTRIENTS
+from croplake.session import shuffled
 
 
 def most_specific_geom_id(field: Column, trial: Column, plot: Column) -> Column:
@@ -81,7 +82,7 @@ def with_most_specific_geometry(
     """``rows`` joined to the geometry of their most specific id; rows without one drop."""
     wanted = most_specific_geom_id(F.col(field_col), F.col(trial_col), F.col(plot_col))
     shapes = geom.select(F.col("geom_id").alias("_geom"), F.col("rings").alias("geometry"))
-    return rows.join(shapes, wanted == F.col("_geom")).drop("_geom")
+    return rows.join(shuffled(shapes), wanted == F.col("_geom")).drop("_geom")
 
 
 def _plots_with_owner(plot: DataFrame, field_trial: DataFrame, field: DataFrame) -> DataFrame:
@@ -100,7 +101,7 @@ def _plots_with_owner(plot: DataFrame, field_trial: DataFrame, field: DataFrame)
         "field_id", F.col("name").alias("field"), "organization_id",
         F.col("geom_id").alias("_f_geom"),
     )
-    return p.join(ft, "field_trial_id").join(f, "field_id")
+    return p.join(shuffled(ft), "field_trial_id").join(shuffled(f), "field_id")
 
 
 def plot_details(
@@ -171,7 +172,7 @@ def plot_application_summary(plots: DataFrame, app: DataFrame, nutrient_source:
             F.col("rate").alias("rate_product"), "rate_unit", details.alias("details_app"),
             "nutrient_source_id", *PARENT_IDS,
         )
-        .join(sources, "nutrient_source_id")
+        .join(shuffled(sources), "nutrient_source_id")
         .select(
             "app_id", "app_type", "app_method", "date_applied", "rate_product", "rate_unit",
             "details_app", "nutrient_source_id", "_source_org", "nutrient", *_rates(), *PARENT_IDS,
@@ -215,7 +216,7 @@ def plot_nutrient_totals(plots: DataFrame, app: DataFrame, nutrient_source: Data
         .agg(F.sum("_rate").alias("rate_product"), F.sum("_apps").alias("n_apps"))
     )
     return (
-        per_plot.join(sources, "nutrient_source_id")
+        per_plot.join(shuffled(sources), "nutrient_source_id")
         .filter(F.col("organization_id") == F.col("_source_org"))
         .select(
             "organization_id", "plot_id", "nutrient_source_id", "nutrient", "n_apps",
