@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croplake.catalog import NUTRIENTS
+from croplake.session import shuffled
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -125,7 +126,7 @@ class Tables:
         pairs = self.raw("lineitem").select("l_orderkey", "l_linenumber").distinct()
         owner = self.raw("orders").select("o_orderkey", "o_custkey")
         line = F.col("l_linenumber")
-        return pairs.join(owner, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        return pairs.join(shuffled(owner), F.col("l_orderkey") == F.col("o_orderkey")).select(
             (F.col("l_orderkey") * 10 + line).alias("plot_id"),
             F.concat(F.lit("P"), line.cast("string")).alias("name"),
             F.col("o_custkey").alias("field_id"),
@@ -239,7 +240,7 @@ class Tables:
         )
         # only every third order hangs on a plot, so only those look their plot up
         on_plot = orders.filter("o_orderkey % 3 = 2").join(
-            first_plots, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi"
+            shuffled(first_plots), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi"
         )
         placed = orders.filter("o_orderkey % 3 <> 2").unionByName(on_plot)
         key = F.col("o_orderkey")

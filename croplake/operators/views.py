@@ -35,7 +35,7 @@ def _parcels_below_field(field_trial: DataFrame, plot: DataFrame) -> DataFrame:
         F.col("field_id").alias("owner_field_id"),
     )
     plots = plot.select("plot_id", "field_trial_id").join(
-        field_trial.select("field_trial_id", "field_id"), "field_trial_id"
+        shuffled(field_trial.select("field_trial_id", "field_id")), "field_trial_id"
     ).select(
         F.lit(2).alias("level"), F.col("plot_id").alias("parcel_id"),
         F.col("field_id").alias("owner_field_id"),
@@ -68,7 +68,7 @@ def owner_field(activity: DataFrame, field_trial: DataFrame, plot: DataFrame) ->
     )
     direct = activity.filter(~lookup).withColumn("owner_field_id", F.col("field_id"))
     found = activity.filter(lookup).join(
-        known,
+        shuffled(known),
         (level == F.col("_level")) & (F.coalesce("field_trial_id", "plot_id") == F.col("_parcel")),
         "left",
     )

@@ -9,6 +9,8 @@ import pytest
 
 import __spark_entry__ as entry_file
 from compare import TABLES, difference, oracle_connection
+from croplake.fixtures import Tables
+from croplake.operators import views
 from croplake.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -41,6 +43,12 @@ def test_plots_and_sources_are_shuffled(spark, name):
     assert not broadcast
 
 
+def test_owners_are_shuffled(spark):
+    tables = Tables(spark, SF_DIR)
+    found = joins(views.owner_field(tables.act, tables.field_trial, tables.plot))
+    assert len(found) >= 4 and not [j for j in found if j.startswith("Broadcast")]
+
+
 @pytest.mark.parametrize("events", ["all of one day", "none"])
 def test_ids_of_nothing_to_append(spark, tmp_path, events):
     for name in TABLES:
