@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from croplake.catalog import NUTRIENTS
-from croplake.session import shuffled
+from croplake.session import shuffled, small_tasks
 
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -49,6 +49,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        small_tasks(spark)
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -486,10 +487,15 @@ class Tables:
             F.col("o_orderkey").alias("execution_id"), (F.col("o_custkey") % 7).alias("function_id")
         )
 
+    @cached_property
+    def _runs(self) -> DataFrame:
+        """Executions as the side of a join that must stay a shuffle: orders are small to Spark, not as a hash table."""
+        return shuffled(self.execution)
+
     @cached_property
     def s3_input_argument(self) -> DataFrame:
         return self.raw("lineitem").select("l_orderkey", "l_partkey").join(
-            self.execution, F.col("l_orderkey") == F.col("execution_id")
+            self._runs, F.col("l_orderkey") == F.col("execution_id")
         ).select(
             "function_id", "execution_id", (F.col("l_partkey") % 3).alias("s3_type_id"),
             (F.col("l_partkey") % 20).alias("s3_object_id"),
@@ -498,7 +504,7 @@ class Tables:
     @cached_property
     def s3_output_argument(self) -> DataFrame:
         return self.raw("lineitem").select("l_orderkey", "l_suppkey", "l_returnflag").join(
-            self.execution, F.col("l_orderkey") == F.col("execution_id")
+            self._runs, F.col("l_orderkey") == F.col("execution_id")
         ).filter("l_returnflag = 'R'").select(
             "function_id", "execution_id",
             F.lit("out").alias("s3_output_parameter_name"),

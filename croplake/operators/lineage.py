@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from croplake.catalog import ARGUMENT_FAMILIES
 from croplake.operators.ranking import batches, null_safe_join
-from croplake.session import cut_lineage
+from croplake.session import cut_lineage, shuffled
 
 #: argument families that count as inputs, and what they are called in a summary
 INPUT_FAMILIES = {"observation_argument": "observation", "keyword_argument": "keyword",
@@ -59,7 +59,7 @@ def execution_summary(
         *[F.count_if(F.col("family") == n).alias(f"n_{n}") for n in names]
     )
     return (
-        execution.join(counts, _RUN)
+        execution.join(shuffled(counts), _RUN)
         .filter((F.col("n_s3_output") > 0) & (F.col("n_keys") > 0))
         .select(*_RUN, *[f"n_{n}" for n in names])
     )
@@ -99,7 +99,7 @@ def raw_summary_counts(execution: DataFrame, arguments: dict[str, DataFrame]) ->
     product = F.lit(1).cast("decimal(38,0)")
     for i, df in enumerate(arguments.values()):
         counts = df.groupBy("execution_id").agg(F.count("*").alias(f"_n{i}"))
-        out = out.join(counts, "execution_id")
+        out = out.join(shuffled(counts), "execution_id")
         product = (product * F.col(f"_n{i}")).cast("decimal(38,0)")
     return out.select(*_RUN, product.alias("n_rows"))
 
@@ -116,7 +116,7 @@ def raw_summary(execution: DataFrame, arguments: dict[str, DataFrame]) -> DataFr
     sizes = counted.groupBy(*_RUN, "family").agg(F.sum("_times").alias("_own"))
     joined = raw_summary_counts(execution, arguments)
     return (
-        counted.join(sizes, [*_RUN, "family"]).join(joined, _RUN)
+        counted.join(shuffled(sizes), [*_RUN, "family"]).join(shuffled(joined), _RUN)
         .select(*_RUN, "family", "item", (F.col("_times") * F.col("n_rows") / F.col("_own")).cast("long").alias("times"))
     )
 
@@ -145,7 +145,7 @@ def duplicate_executions(
     )
     zero = F.lit(0).cast("decimal(30,0)")
     # executions without any input are equal to one another
-    all_prints = cut_lineage(execution.select(*_RUN).join(prints, "execution_id", "left").select(
+    all_prints = cut_lineage(execution.select(*_RUN).join(shuffled(prints), "execution_id", "left").select(
         *_RUN, F.coalesce("_n", F.lit(0)).alias("_n"),
         F.coalesce("_h1", zero).alias("_h1"), F.coalesce("_h2", zero).alias("_h2"),
     ))
@@ -154,7 +154,7 @@ def duplicate_executions(
     # many executions may share one fingerprint: the join shuffles by another expression than the
     # aggregate did, so that Spark may split it
     pairs = (
-        null_safe_join(all_prints, first, key)
+        null_safe_join(all_prints, shuffled(first), key)
         .filter(F.col("execution_id") != F.col("duplicate_of"))
         .select("execution_id", "duplicate_of", "_n")
     )
@@ -163,12 +163,12 @@ def duplicate_executions(
     )
     # equal items per pair: with the same number of distinct items, all equal means same multiset
     equal = (
-        pairs.join(counted, "execution_id")
-        .join(theirs, ["duplicate_of", "family", "item", "_times"], "left_semi")
+        pairs.join(shuffled(counted), "execution_id")
+        .join(shuffled(theirs), ["duplicate_of", "family", "item", "_times"], "left_semi")
         .groupBy("execution_id", "duplicate_of").agg(F.count("*").alias("_equal"))
     )
     return (
-        pairs.join(equal, ["execution_id", "duplicate_of"], "left")
+        pairs.join(shuffled(equal), ["execution_id", "duplicate_of"], "left")
         .filter(F.coalesce("_equal", F.lit(0)) == F.col("_n"))
         .select("execution_id", "duplicate_of")
     )

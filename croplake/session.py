@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 #: Adaptive settings. ``forceOptimizeSkewedJoin`` lets Spark split a hot join key even when the
 #: split costs one more shuffle for the aggregate that follows the join.
 SETTINGS = {
@@ -12,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # narrow rows shrink so much in a shuffle that Spark's 64 MB are well over 1 GB of a task that sorts and groups them
+    ADVISORY: "8m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # longer generated methods are not compiled by the JVM; Spark then does better without fusing
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -52,6 +55,12 @@ def shuffled(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def small_tasks(spark: SparkSession) -> None:
+    """Give ``spark`` the advisory size of :data:`SETTINGS` where its own stands at Spark's default."""
+    if spark.conf.get(ADVISORY, None) is None:
+        spark.conf.set(ADVISORY, SETTINGS[ADVISORY])
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder once and go on from the written copy."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -13,6 +13,8 @@ from croplake.fixtures import Tables
 from croplake.operators import views
 from croplake.queries import QUERIES
 
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="input tables are not here")
 
@@ -49,6 +51,22 @@ def test_owners_are_shuffled(spark):
     assert len(found) >= 4 and not [j for j in found if j.startswith("Broadcast")]
 
 
+@pytest.mark.parametrize("name", ["execution_summary", "raw_summary_counts", "raw_summary", "duplicate_executions"])
+def test_lineage_is_shuffled(spark, name):
+    found = joins(QUERIES[name](spark, SF_DIR))
+    assert found and not [j for j in found if j.startswith("Broadcast")]
+
+
+def test_tasks_stay_small_where_the_size_is_left_to_spark(spark):
+    other = spark.newSession()
+    other.conf.unset(ADVISORY)
+    Tables(other, SF_DIR)
+    assert other.conf.get(ADVISORY) == "8m"
+    other.conf.set(ADVISORY, "16m")
+    Tables(other, SF_DIR)
+    assert other.conf.get(ADVISORY) == "16m"
+
+
 @pytest.mark.parametrize("events", ["all of one day", "none"])
 def test_ids_of_nothing_to_append(spark, tmp_path, events):
     for name in TABLES:
