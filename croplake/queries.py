@@ -662,7 +662,7 @@ def execution_summary(t: Tables) -> DataFrame:
     arguments = {
         "observation_argument": t.observation_argument, "keyword_argument": t.keyword_argument,
         "s3_input_argument": t.s3_input_argument,
-        "execution_key": t.execution_key.join(t.execution, "execution_id"),
+        "execution_key": t.execution_key.join(t._runs, "execution_id"),
     }
     return lineage.execution_summary(t.execution, t.s3_output_argument, arguments)
 
@@ -1128,7 +1128,7 @@ def signature_difference(t: Tables) -> DataFrame:
 def execution_arguments(t: Tables) -> DataFrame:
     arguments = {
         "s3_input_argument": t.s3_input_argument,
-        "execution_key": t.execution_key.join(t.execution, "execution_id"),
+        "execution_key": t.execution_key.join(t._runs, "execution_id"),
     }
     rows = lineage.execution_arguments(t.execution, t.s3_output_argument, arguments)
     return rows.select(
