@@ -55,6 +55,14 @@ def shuffled(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to ``spark.sql.shuffle.partitions`` tasks: for rows of few bytes and much work.
+
+    Adaptive execution would put them together again by their bytes.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def small_tasks(spark: SparkSession) -> None:
     """Give ``spark`` the advisory size of :data:`SETTINGS` where its own stands at Spark's default."""
     if spark.conf.get(ADVISORY, None) is None:

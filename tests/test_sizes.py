@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry_file
 from compare import TABLES, difference, oracle_connection
 from croplake.fixtures import Tables
-from croplake.operators import views
+from croplake.operators import spatial, views
 from croplake.queries import QUERIES
 
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -51,12 +51,22 @@ def test_owners_are_shuffled(spark):
     assert len(found) >= 4 and not [j for j in found if j.startswith("Broadcast")]
 
 
-@pytest.mark.parametrize("name", ["execution_summary", "raw_summary_counts", "raw_summary", "duplicate_executions"])
+@pytest.mark.parametrize("name", ["execution_summary", "raw_summary_counts", "raw_summary", "duplicate_executions", "execution_arguments"])
 def test_lineage_is_shuffled(spark, name):
     found = joins(QUERIES[name](spark, SF_DIR))
     assert found and not [j for j in found if j.startswith("Broadcast")]
 
 
+def test_shapes_are_judged_after_they_are_dealt_out(spark, monkeypatch):
+    written = []
+    real = spatial.cut_lineage
+    monkeypatch.setattr(spatial, "cut_lineage", lambda df: written.append(df) or real(df))
+    found = joins(QUERIES["invalid_geometries"](spark, SF_DIR))
+    assert found and not [j for j in found if j.startswith("Broadcast")]
+    plan = written[0]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "reason" in plan and "not closed" not in plan[plan.index("REPARTITION_BY_NUM"):]
+
+
 def test_tasks_stay_small_where_the_size_is_left_to_spark(spark):
     other = spark.newSession()
     other.conf.unset(ADVISORY)
