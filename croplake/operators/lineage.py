@@ -74,16 +74,20 @@ def execution_arguments(
     One row per execution, family and batch, with {item, times} structs; a family an execution
     lacks has one empty array.
     """
-    done = execution_summary(execution, s3_output_argument, arguments).select(*_RUN)
     items = argument_items({**arguments, "s3_output_argument": s3_output_argument})
-    # equal items shrink to one with its count
-    counted = items.groupBy(*_RUN, "family", "item").agg(F.count("*").alias("times"))
+    # equal items shrink to one with its count; read for their numbers and for the lists
+    counted = cut_lineage(items.groupBy(*_RUN, "family", "item").agg(F.count("*").alias("times")))
+    sizes = cut_lineage(counted.groupBy(*_RUN, "family").agg(F.count("*").alias("n_rows")))
     packed = batches(
-        counted, [*_RUN, "family"], ["item"], ["item", "times"], batch_size, "_rows"
+        counted, [*_RUN, "family"], ["item"], ["item", "times"], batch_size, "_rows", counts=sizes
     )
+    has = sizes.groupBy(*_RUN).agg(
+        *[F.bool_or(F.col("family") == n).alias(f"_{n}") for n in ("s3_output", "keys")]
+    )
+    done = execution.join(shuffled(has), _RUN).filter("_s3_output and _keys").select(*_RUN)
     names = [*INPUT_FAMILIES.values(), "keys", "s3_output"]
     all_families = done.withColumn("family", F.explode(F.array(*[F.lit(n) for n in names])))
-    return all_families.join(packed, [*_RUN, "family"], "left").select(
+    return all_families.join(shuffled(packed), [*_RUN, "family"], "left").select(
         *_RUN, "family", F.coalesce("batch", F.lit(0).cast("long")).alias("batch"),
         F.coalesce("_rows", F.array().cast(packed.schema["_rows"].dataType)).alias("arguments"),
     )

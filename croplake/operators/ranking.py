@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from croplake.session import cut_lineage
+from croplake.session import cut_lineage, shuffled
 
 #: places (distinct values of the ordering columns) of a bucket, about, up to so many buckets
 BUCKET_ROWS, MOST_BUCKETS = 50_000, 4096
@@ -132,18 +132,45 @@ def with_previous_time(
 
 def batches(
     df: DataFrame, keys: list[str], order: list[str], values: list[str], size: int,
-    name: str = "rows", rows: int = BUCKET_ROWS,
+    name: str = "rows", rows: int = BUCKET_ROWS, counts: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of each key as arrays of at most ``size`` structs: key, ``batch`` (0, 1, …), rows.
+
+    Keys of no more than ``size`` rows are one batch and need no numbers; only rows of the others are
+    numbered. ``counts`` are the rows of each key (``n_rows``) where they are known; ``df`` is then taken for
+    a written copy.
+    """
+    work = cut_lineage(df) if counts is None else df  # read for the counts and the rows
+    if counts is None:
+        counts = work.groupBy(*keys).agg(F.count("*").alias("n_rows"))
+    large = cut_lineage(counts.filter(F.col("n_rows") > size).select(*keys))
+    if large.isEmpty():
+        return _one_batch(work, keys, order, values, name)
+    small = null_safe_join(work, shuffled(large), keys, "left_anti")
+    rest = null_safe_join(work, shuffled(large), keys, "left_semi")
+    return _one_batch(small, keys, order, values, name).unionByName(
+        _numbered_batches(rest, keys, order, values, size, name, rows)
+    )
+
+
+def _one_batch(df: DataFrame, keys: list[str], order: list[str], values: list[str], name: str) -> DataFrame:
+    """Rows of each key as one array by ``order``."""
+    item = F.struct(*order, *[v for v in values if v not in order])
+    packed = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_items"))
+    return packed.select(*keys, F.lit(0).cast("long").alias("batch"), _values("_items", values).alias(name))
+
+
+def _values(items: str, values: list[str]) -> Column:
+    return F.transform(items, lambda r: F.struct(*[r[v].alias(v) for v in values]))
+
+
+def _numbered_batches(
+    df: DataFrame, keys: list[str], order: list[str], values: list[str], size: int, name: str, rows: int
 ) -> DataFrame:
-    """Rows of each key as arrays of at most ``size`` structs: key, ``batch`` (0, 1, …), rows."""
     rn = numbered(df, keys, order, "_rn", rows=rows)
     batch = F.floor((F.col("_rn") - 1) / F.lit(size)).cast("long")
     item = F.struct(F.col("_rn"), *values)
     packed = rn.groupBy(*keys, batch.alias("batch")).agg(
         F.array_sort(F.collect_list(item)).alias("_items")
     )
-    return packed.select(
-        *keys, "batch",
-        F.transform(
-            "_items", lambda r: F.struct(*[r[v].alias(v) for v in values])
-        ).alias(name),
-    )
+    return packed.select(*keys, "batch", _values("_items", values).alias(name))

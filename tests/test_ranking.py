@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from croplake.operators import ranking
 from croplake.operators.ranking import batches, numbered, with_even_bucket, with_previous_time
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -85,3 +86,14 @@ def test_batches_keep_everything_in_order(spark):
     assert [len(r[2]) for r in rows] == [5, 5, 3, 5, 5, 2]
     assert [v for k, _, vs in rows if k == 0 for v in vs] == list(range(0, 25, 2))
 
+
+def test_only_large_keys_are_numbered(spark, monkeypatch):
+    seen = []
+    real = ranking.numbered
+    monkeypatch.setattr(ranking, "numbered", lambda df, *a, **k: seen.append(sorted(r.v for r in df.collect())) or real(df, *a, **k))
+    df = spark.createDataFrame([(1, i) for i in range(5)] + [(2, i) for i in range(11)] + [(None, 3), (None, 1)], "k int, v int")
+    got = {(r.k, r.batch): [x.v for x in r.rows] for r in batches(df, ["k"], ["v"], ["v"], 5).collect()}
+    assert got == {(1, 0): [0, 1, 2, 3, 4], (2, 0): [0, 1, 2, 3, 4], (2, 1): [5, 6, 7, 8, 9], (2, 2): [10], (None, 0): [1, 3]}
+    assert seen == [list(range(11))]
+    batches(df, ["k"], ["v"], ["v"], 11).collect()
+    assert len(seen) == 1
