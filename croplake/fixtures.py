@@ -493,23 +493,31 @@ class Tables:
         return shuffled(self.execution)
 
     @cached_property
-    def s3_input_argument(self) -> DataFrame:
-        return self.raw("lineitem").select("l_orderkey", "l_partkey").join(
-            self._runs, F.col("l_orderkey") == F.col("execution_id")
-        ).select(
-            "function_id", "execution_id", (F.col("l_partkey") % 3).alias("s3_type_id"),
+    def s3_input_line(self) -> DataFrame:
+        """S3 inputs by execution, before their executions are looked up; some may have none."""
+        return self.raw("lineitem").select(
+            F.col("l_orderkey").alias("execution_id"), (F.col("l_partkey") % 3).alias("s3_type_id"),
             (F.col("l_partkey") % 20).alias("s3_object_id"),
         )
 
+    @cached_property
+    def s3_output_line(self) -> DataFrame:
+        """S3 outputs by execution, before their executions are looked up; some may have none."""
+        return self.raw("lineitem").filter("l_returnflag = 'R'").select(
+            F.col("l_orderkey").alias("execution_id"), F.lit("out").alias("s3_output_parameter_name"),
+            (F.col("l_suppkey") % 3).alias("s3_type_id"), F.col("l_suppkey").alias("s3_object_id"),
+        )
+
+    @cached_property
+    def s3_input_argument(self) -> DataFrame:
+        return self.s3_input_line.join(self._runs, "execution_id").select(
+            "function_id", "execution_id", "s3_type_id", "s3_object_id"
+        )
+
     @cached_property
     def s3_output_argument(self) -> DataFrame:
-        return self.raw("lineitem").select("l_orderkey", "l_suppkey", "l_returnflag").join(
-            self._runs, F.col("l_orderkey") == F.col("execution_id")
-        ).filter("l_returnflag = 'R'").select(
-            "function_id", "execution_id",
-            F.lit("out").alias("s3_output_parameter_name"),
-            (F.col("l_suppkey") % 3).alias("s3_type_id"),
-            F.col("l_suppkey").alias("s3_object_id"),
+        return self.s3_output_line.join(self._runs, "execution_id").select(
+            "function_id", "execution_id", "s3_output_parameter_name", "s3_type_id", "s3_object_id"
         )
 
     @cached_property

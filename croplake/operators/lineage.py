@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from croplake.catalog import ARGUMENT_FAMILIES
 from croplake.operators.ranking import batches, null_safe_join
-from croplake.session import cut_lineage, shuffled
+from croplake.session import cut_lineage, dealt, shuffled, tasks_for
 
 #: argument families that count as inputs, and what they are called in a summary
 INPUT_FAMILIES = {"observation_argument": "observation", "keyword_argument": "keyword",
                   "s3_input_argument": "s3", "http_argument": "http"}
+_FAMILIES = {**INPUT_FAMILIES, "execution_key": "keys", "s3_output_argument": "s3_output"}
 _RUN = ["function_id", "execution_id"]
 
 
@@ -27,11 +31,10 @@ def argument_items(arguments: dict[str, DataFrame]) -> DataFrame:
             ["geospatial_key_id", "temporal_key_id"] if family == "execution_key"
             else [c[0] for c in ARGUMENT_FAMILIES[family]]
         )
-        named = {**INPUT_FAMILIES, "execution_key": "keys", "s3_output_argument": "s3_output"}
         # the same text for the same values, nulls included
         item = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
         parts.append(
-            df.select(*_RUN, F.lit(named[family]).alias("family"), item.alias("item"))
+            df.select(*_RUN, F.lit(_FAMILIES[family]).alias("family"), item.alias("item"))
         )
     out = parts[0]
     for more in parts[1:]:
@@ -98,14 +101,35 @@ def raw_summary_counts(execution: DataFrame, arguments: dict[str, DataFrame]) ->
 
     That join holds one row per combination of arguments. Its size is the product of the family
     sizes and an execution lacking a family has none, so the count is had without the join.
+    A row of a family with ``times`` stands for so many. A family without function_id is looked up
+    in the executions, so that its rows count once for every row of theirs. All families are dealt
+    out by execution and counted in one pass, in as many tasks as there are rows for.
     """
-    out = execution
-    product = F.lit(1).cast("decimal(38,0)")
-    for i, df in enumerate(arguments.values()):
-        counts = df.groupBy("execution_id").agg(F.count("*").alias(f"_n{i}"))
-        out = out.join(shuffled(counts), "execution_id")
-        product = (product * F.col(f"_n{i}")).cast("decimal(38,0)")
-    return out.select(*_RUN, product.alias("n_rows"))
+    names = [f"_n{i}" for i in range(len(arguments))]
+    n_rows = F.col("_runs").cast("decimal(38,0)")
+    if not names:
+        return execution.groupBy(*_RUN).agg(F.count("*").alias("_runs")).select(*_RUN, n_rows.alias("n_rows"))
+    rows = reduce(DataFrame.unionByName, [
+        df.select(
+            "execution_id", F.lit(n).alias("_family"),
+            (F.col("times") if "times" in df.columns else F.lit(1)).cast("long").alias("_times"),
+        )
+        for n, df in zip(names, arguments.values())
+    ])
+    tasks = tasks_for(rows, execution)
+    counts = dealt(rows, "execution_id", tasks=tasks).groupBy("execution_id").agg(
+        *[F.sum(F.when(F.col("_family") == n, F.col("_times"))).alias(n) for n in names]
+    )
+    runs = dealt(execution.select(*_RUN), "execution_id", tasks=tasks).groupBy(*_RUN).agg(
+        F.count("*").alias("_runs")
+    )
+    all_runs = F.sum("_runs").over(W.partitionBy("execution_id"))
+    joined = runs.join(shuffled(counts.dropna()), "execution_id").withColumn("_all_runs", all_runs)
+    for n, df in zip(names, arguments.values()):
+        n_rows = (n_rows * F.col(n)).cast("decimal(38,0)")
+        if "function_id" not in df.columns:
+            n_rows = (n_rows * F.col("_all_runs")).cast("decimal(38,0)")
+    return joined.select(*_RUN, n_rows.alias("n_rows"))
 
 
 def raw_summary(execution: DataFrame, arguments: dict[str, DataFrame]) -> DataFrame:
@@ -118,7 +142,10 @@ def raw_summary(execution: DataFrame, arguments: dict[str, DataFrame]) -> DataFr
     counted = argument_items(arguments).groupBy(*_RUN, "family", "item").agg(F.count("*").alias("_times"))
     counted = cut_lineage(counted)  # read for the sizes and for the items
     sizes = counted.groupBy(*_RUN, "family").agg(F.sum("_times").alias("_own"))
-    joined = raw_summary_counts(execution, arguments)
+    joined = raw_summary_counts(execution, {
+        n: counted.filter(F.col("family") == n).withColumnRenamed("_times", "times")
+        for n in (_FAMILIES[family] for family in arguments)
+    })
     return (
         counted.join(shuffled(sizes), [*_RUN, "family"]).join(shuffled(joined), _RUN)
         .select(*_RUN, "family", "item", (F.col("_times") * F.col("n_rows") / F.col("_own")).cast("long").alias("times"))

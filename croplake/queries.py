@@ -674,9 +674,9 @@ def duplicate_executions(t: Tables) -> DataFrame:
 
 @query
 def raw_summary_counts(t: Tables) -> DataFrame:
+    # executions are looked up once, for the counts: not for every argument before it is counted
     rows = lineage.raw_summary_counts(
-        t.execution,
-        {"s3_input_argument": t.s3_input_argument, "s3_output_argument": t.s3_output_argument},
+        t.execution, {"s3_input_argument": t.s3_input_line, "s3_output_argument": t.s3_output_line}
     )
     return rows.withColumn("n_rows", F.col("n_rows").cast("long"))
 

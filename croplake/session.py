@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+#: narrow rows of one task where tasks are as many as the rows ask for
+TASK_ROWS = 2_000_000
 #: Adaptive settings. ``forceOptimizeSkewedJoin`` lets Spark split a hot join key even when the
 #: split costs one more shuffle for the aggregate that follows the join.
 SETTINGS = {
@@ -55,12 +57,21 @@ def shuffled(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
-def dealt(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` dealt by ``keys`` to ``spark.sql.shuffle.partitions`` tasks: for rows of few bytes and much work.
+def dealt(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
+    """``df`` dealt by ``keys`` to ``tasks`` (``spark.sql.shuffle.partitions``): for rows of few bytes and much work.
 
     Adaptive execution would put them together again by their bytes.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return df.repartition(tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def tasks_for(*frames: DataFrame) -> int:
+    """Tasks for the rows of ``frames`` together, :data:`TASK_ROWS` each and at least one per slot.
+
+    They grow with the rows, whatever ``spark.sql.shuffle.partitions`` is; the frames are counted here.
+    """
+    rows = sum(df.count() for df in frames)
+    return max(frames[0].sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
 
 
 def small_tasks(spark: SparkSession) -> None:

@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry_file
 from compare import TABLES, difference, oracle_connection
+from croplake import session
 from croplake.fixtures import Tables
 from croplake.operators import spatial, views
 from croplake.queries import QUERIES
@@ -57,6 +58,32 @@ def test_lineage_is_shuffled(spark, name):
     assert found and not [j for j in found if j.startswith("Broadcast")]
 
 
+def test_counts_are_dealt_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    df = QUERIES["raw_summary_counts"](spark, SF_DIR)
+    assert len(joins(df)) == 1  # executions are looked up once
+    # as many tasks as the rows ask for, whatever spark.sql.shuffle.partitions is
+    assert df.rdd.getNumPartitions() >= spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count() // 100
+
+
+@pytest.mark.parametrize("name", ["raw_summary_counts", "raw_summary"])
+def test_executions_and_arguments_of_no_use(spark, tmp_path, name):
+    """Orders twice, under one function and under two, lines without an order, null keys."""
+    for table in TABLES:
+        os.symlink(f"{SF_DIR}/{table}.parquet", tmp_path / f"{table}.parquet") if table not in ("orders", "lineitem") else None
+    orders, lineitem = (f"SELECT * FROM '{SF_DIR}/{table}.parquet'" for table in ("orders", "lineitem"))
+    for table, rows in {
+        "orders": f"{orders} UNION ALL {orders} WHERE o_orderkey % 5 = 0 "
+                  f"UNION ALL SELECT * REPLACE (o_custkey + 1 AS o_custkey) FROM ({orders}) WHERE o_orderkey % 3 = 0 "
+                  f"UNION ALL SELECT * REPLACE (NULL AS o_orderkey) FROM ({orders}) WHERE o_orderkey % 7 = 0",
+        "lineitem": f"SELECT * REPLACE (CASE l_orderkey % 11 WHEN 0 THEN NULL WHEN 1 THEN -l_orderkey ELSE l_orderkey END AS l_orderkey) FROM ({lineitem})",
+    }.items():
+        duckdb.sql(f"COPY ({rows}) TO '{tmp_path}/{table}.parquet' (FORMAT parquet)")
+    df = entry_file.queries()[name](spark, str(tmp_path))
+    con = oracle_connection(str(tmp_path))
+    assert difference(df, con, entry_file.oracle_sql()[name]) is None
+
+
 def test_shapes_are_judged_after_they_are_dealt_out(spark, monkeypatch):
     written = []
     real = spatial.cut_lineage
