@@ -288,8 +288,10 @@ class Tables:
 
     @cached_property
     def app(self) -> DataFrame:
-        owner = self.raw("orders").select("o_orderkey", "o_custkey")
-        org = self._customer.select("c_custkey", "n_regionkey")
+        # orders are fewer than line items, so they go to the customers
+        owner = self.raw("orders").select("o_orderkey", "o_custkey").join(
+            self._customer.select("c_custkey", "n_regionkey"), F.col("o_custkey") == F.col("c_custkey")
+        )
         line = F.col("l_linenumber")
         digest = F.md5(
             F.concat_ws(
@@ -299,8 +301,7 @@ class Tables:
         )
         return (
             self.raw("lineitem")
-            .join(owner, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(org, F.col("o_custkey") == F.col("c_custkey"))
+            .join(shuffled(owner), F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
                 F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("app_id"),
                 F.lit("FERTILIZER").alias("app_type"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from croplake.catalog import NUTRIENTS
@@ -192,11 +192,105 @@ def plot_application_summary(plots: DataFrame, app: DataFrame, nutrient_source:
     )
 
 
+#: Plots of a field in one list, where applications meet plots list by list.
+UNIT_PLOTS = 64
+
+
+def _one_parent(plots: DataFrame) -> DataFrame:
+    """``plots`` plus ``_one``: whether all rows of a plot name the same field and trial.
+
+    Plots without an id are never ``_one``; they are dealt by their field.
+    """
+    same = Window.partitionBy("organization_id", "plot_id", "_spread")
+    return (
+        plots.select("organization_id", "plot_id", "field_id", "field_trial_id")
+        .withColumn("_spread", F.when(F.col("plot_id").isNull(), F.col("field_id")))
+        .withColumn("_one", F.coalesce(
+            (F.count("plot_id").over(same) > 0)
+            & (F.min("field_id").over(same) == F.max("field_id").over(same))
+            & (F.min("field_trial_id").over(same) == F.max("field_trial_id").over(same)),
+            F.lit(False),
+        ))
+    )
+
+
+def _units(plots: DataFrame) -> DataFrame:
+    """Plots of :func:`_one_parent` in lists: (organization_id, field_id, _unit, _plots).
+
+    A list holds at most :data:`UNIT_PLOTS` plots of one field, each once with the number of its
+    rows, in order of their trial.
+    """
+    each = plots.filter("_one").groupBy(
+        "organization_id", "plot_id", "_spread", "field_id", "field_trial_id"
+    ).agg(F.count("*").alias("_times"))
+    place = F.row_number().over(
+        Window.partitionBy("organization_id", "field_id").orderBy("field_trial_id", "plot_id")
+    )
+    return (
+        each.withColumn("_unit", F.floor((place - 1) / UNIT_PLOTS))
+        .groupBy("organization_id", "field_id", "_unit")
+        .agg(F.sort_array(F.collect_list(F.struct("field_trial_id", "plot_id", "_times"))).alias("_plots"))
+    )
+
+
+def _parcels_of_units(units: DataFrame) -> DataFrame:
+    """The field, the trials and the plots of each unit: (level, parcel_id) with the unit's key.
+
+    ``_first`` and ``_number`` say which plots of the list are theirs.
+    """
+    def run(level: int, parcel: Column, first: Column, number: Column) -> Column:
+        return F.struct(
+            F.lit(level).alias("level"), parcel.alias("parcel_id"),
+            first.cast("int").alias("_first"), number.cast("int").alias("_number"),
+        )
+
+    trials, one = F.col("_plots")["field_trial_id"], F.lit(1)
+    parcel = F.explode(F.concat(
+        F.array(run(0, F.col("field_id"), one, F.size("_plots"))),
+        F.transform(F.array_distinct(trials), lambda trial: run(
+            1, trial, F.array_position(trials, trial), F.size(F.filter(trials, lambda t: t == trial))
+        )),
+        F.transform("_plots", lambda plot, i: run(2, plot["plot_id"], i + one, one)),
+    ))
+    return units.select("organization_id", "field_id", "_unit", parcel.alias("_parcel")).select(
+        "organization_id", "field_id", "_unit", "_parcel.*"
+    )
+
+
+def _reached(rate_type: str) -> Column:
+    """Each plot of ``_plots`` that one of ``_sums`` reaches: plot_id, rate, apps."""
+    def of(plot: Column, rate: Column, apps: Column) -> Column:
+        return F.struct(
+            plot["plot_id"].alias("plot_id"), (rate * plot["_times"]).cast(rate_type).alias("rate"),
+            (apps * plot["_times"]).alias("apps"),
+        )
+
+    def added(total: Column, s: Column) -> Column:
+        rate = F.coalesce(total["rate"] + s["_rate"], total["rate"], s["_rate"])
+        return F.struct(rate.cast(rate_type).alias("rate"), (total["apps"] + s["_apps"]).alias("apps"))
+
+    def total(plot: Column, i: Column) -> Column:
+        own = F.filter("_sums", lambda s: (i + 1).between(s["_first"], s["_first"] + s["_number"] - 1))
+        none = F.struct(F.lit(None).cast(rate_type).alias("rate"), F.lit(0).cast("long").alias("apps"))
+        return F.struct(plot.alias("plot"), F.aggregate(own, none, added).alias("total"))
+
+    only = F.col("_sums")[0]
+    met = F.filter(F.transform("_plots", total), lambda x: x["total"]["apps"] > 0)
+    return F.when(F.size("_sums") == 1, F.transform(
+        F.slice("_plots", only["_first"], only["_number"]),
+        lambda plot: of(plot, only["_rate"].cast(rate_type), only["_apps"]),
+    )).otherwise(F.transform(met, lambda x: of(x["plot"], x["total"]["rate"], x["total"]["apps"])))
+
+
 def plot_nutrient_totals(plots: DataFrame, app: DataFrame, nutrient_source: DataFrame) -> DataFrame:
     """:func:`plot_application_summary` summed per plot and source, without its fan-out.
 
     Applications are summed per parent and source first, so a field-level hot spot of a billion
-    applications meets the plots as one row per source.
+    applications meets the plots as one row per source. The rows of plots and sources are made in
+    the last join and never shuffled: the plots of a field come as lists, and the sums of the field,
+    its trials and its plots meet them there, with the shares of their source. Plots that are under
+    several fields or trials, or without an id, take no place in a list; theirs are summed by a
+    shuffle.
     """
     sources = nutrient_source.select(
         "nutrient_source_id", F.col("organization_id").alias("_source_org"), "nutrient", *NUTRIENTS
@@ -209,21 +303,51 @@ def plot_nutrient_totals(plots: DataFrame, app: DataFrame, nutrient_source: Data
         .groupBy("level", "parcel_id", "nutrient_source_id")
         .agg(F.sum("rate").alias("_rate"), F.count("*").alias("_apps"))
     )
-    shown = _plots_by_parcel(plots, ["organization_id", "plot_id"])
-    per_plot = (
-        sums.join(shown, ["level", "parcel_id"])
-        .groupBy("organization_id", "plot_id", "nutrient_source_id")
-        .agg(F.sum("_rate").alias("rate_product"), F.sum("_apps").alias("n_apps"))
+    rate_type = sums.agg(F.sum("_rate")).schema[0].dataType.simpleString()
+    columns = [
+        "organization_id", "plot_id", "nutrient_source_id", "nutrient", "n_apps", "rate_product",
+        *_rates(),
+    ]
+    one_source = (F.col("organization_id") == F.col("_source_org")) & (
+        F.col("nutrient_source_id") == F.col("_source")
     )
-    return (
-        per_plot.join(shuffled(sources), "nutrient_source_id")
-        .filter(F.col("organization_id") == F.col("_source_org"))
+    known = _one_parent(plots)
+
+    # a source stored in several rows gives as many result rows
+    copy = Window.partitionBy("_source_org", "nutrient_source_id").orderBy("nutrient", *NUTRIENTS)
+    copies = sources.withColumn("_copy", F.row_number().over(copy))
+    units = _units(known)
+    unit = ["organization_id", "field_id", "_unit"]
+    listed = (
+        sums.join(shuffled(_parcels_of_units(units)), ["level", "parcel_id"])
+        .drop("level", "parcel_id")
+        .join(shuffled(copies.withColumnRenamed("nutrient_source_id", "_source")), one_source)
+        .repartition(*unit)
+        .groupBy(*unit, "nutrient_source_id", "_copy")
+        .agg(
+            F.collect_list(F.struct("_first", "_number", "_rate", "_apps")).alias("_sums"),
+            *[F.first(c).alias(c) for c in ("nutrient", *NUTRIENTS)],
+        )
+        .join(shuffled(units), unit)
+        .select(
+            "organization_id", "nutrient_source_id", "nutrient", *NUTRIENTS,
+            F.explode(_reached(rate_type)).alias("_plot"),
+        )
         .select(
-            "organization_id", "plot_id", "nutrient_source_id", "nutrient", "n_apps",
-            "rate_product", *_rates(),
+            "*", "_plot.plot_id", F.col("_plot.apps").alias("n_apps"),
+            F.col("_plot.rate").alias("rate_product"),
         )
     )
 
+    shown = _plots_by_parcel(known.filter(~F.col("_one")), ["organization_id", "plot_id"])
+    others = (
+        sums.join(shuffled(shown), ["level", "parcel_id"])
+        .groupBy("organization_id", "plot_id", "nutrient_source_id")
+        .agg(F.sum("_rate").alias("rate_product"), F.sum("_apps").alias("n_apps"))
+        .join(shuffled(sources.withColumnRenamed("nutrient_source_id", "_source")), one_source)
+    )
+    return listed.select(columns).unionByName(others.select(columns))
+
 
 def season_length(
     act: DataFrame, field: DataFrame, field_trial: DataFrame, plot: DataFrame

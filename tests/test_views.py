@@ -81,3 +81,92 @@ def test_owner_goes_by_priority(spark):
     )
     got = {r.act_id: r.owner_field_id for r in views.owner_field(rows, trial, plot).collect()}
     assert got == {1: 2, 2: 2, 3: 1, 4: None, 5: None}
+
+
+def shuffled_rows(df) -> int:
+    """Rows that all exchanges of a collected ``df`` have written."""
+    seen, found = set(), 0
+
+    def walk(node):
+        nonlocal found
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        rows = node.metrics().get("shuffleRecordsWritten")
+        if rows.isDefined() and name == "ShuffleExchangeExec" and node.id() not in seen:
+            seen.add(node.id())
+            found += rows.get().value()
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+PLOTS = "organization string, field string, field_trial string, plot string, organization_id long, field_id long, field_trial_id long, plot_id long"
+
+
+def sources_of(spark, rows):
+    shares = [f"cast(n * {i + 1} / 10 as double) as {name}" for i, name in enumerate(NUTRIENTS)]
+    return spark.createDataFrame(rows, "nutrient_source_id long, nutrient string, organization_id long, n double").selectExpr(
+        "nutrient_source_id", "nutrient", "organization_id", *shares
+    )
+
+
+def test_totals_do_not_shuffle_the_fan_out(spark):
+    plots = spark.createDataFrame([("o", "f", "t", "p", 1, 1, 10 + k % 15, 100 + k) for k in range(150)], PLOTS)
+    app = spark.createDataFrame(
+        [(float(k), k % 60, 1, None, None) for k in range(240)],
+        "rate double, nutrient_source_id long, field_id long, field_trial_id long, plot_id long",
+    )
+    totals = views.plot_nutrient_totals(plots, app, sources_of(spark, [(k, "s", 1, 1.0) for k in range(60)]))
+    assert len(totals.collect()) == 150 * 60
+    assert 0 < shuffled_rows(totals) < 150 * 60
+
+
+def test_totals_of_repeated_and_shared_plots(spark, monkeypatch):
+    monkeypatch.setattr(views, "UNIT_PLOTS", 3, raising=False)
+    plots = [(1, 1, 10 + k // 3, 100 + k) for k in range(11)]  # more plots than one list holds
+    plots += [(1, 1, 10, 100), (1, 1, 10, 100)]  # three times the same
+    plots += [(1, 2, 20, 100), (2, 2, 20, 100), (1, 1, 11, 104), (1, 1, 12, 104)]  # under other fields, organizations, trials
+    plots += [(1, 1, 10, None), (1, 2, 20, None), (1, 2, 20, None), (None, 3, 30, 300), (2, 3, 30, 301)]
+    apps = [
+        (None if k % 11 == 0 else k / 4, None if k % 13 == 0 else k % 5, *parents)
+        for k, parents in enumerate(
+            [(1, None, None), (2, None, None), (3, 30, 301), (None, 10, None), (None, 11, 104), (None, 13, None), (None, 20, None),
+             (1, 10, 100), (None, None, 100), (None, None, 104), (None, None, 109), (None, None, 300), (None, None, None), (9, 90, 900)] * 9
+        )
+    ]
+    sources = [(k % 6, "abc"[k % 3], k % 2 + 1, float(k)) for k in range(24)] + [(0, "a", 1, 0.0)] * 2 + [(None, "n", 1, 3.0), (1, None, 1, 7.0)]
+
+    sums, reached = {}, {}
+    for rate, source, *parents in apps:
+        for level, parent in enumerate(parents):
+            if source is not None and parent is not None:
+                sums.setdefault((level, parent), []).append((source, rate))
+    for organization, field, trial, plot in plots:
+        for parcel in ((0, field), (1, trial), (2, plot)):
+            for source, rate in sums.get(parcel, []):
+                reached.setdefault((organization, plot, source), []).append(rate)
+    expected = []
+    for (organization, plot, source), rates in reached.items():
+        rate = None if all(r is None for r in rates) else round(sum(r for r in rates if r is not None), 6)
+        for s, nutrient, of, n in sources:
+            if s == source and of == organization:
+                expected.append((organization, plot, source, nutrient, len(rates), rate, None if rate is None else round(rate * n / 1000, 6)))
+
+    totals = views.plot_nutrient_totals(
+        spark.createDataFrame([("o", "f", "t", "p", *row) for row in plots], PLOTS),
+        spark.createDataFrame(apps, "rate double, nutrient_source_id long, field_id long, field_trial_id long, plot_id long"),
+        sources_of(spark, sources),
+    )
+    first = f"rate_{NUTRIENTS[0]}"
+    got = [
+        (r.organization_id, r.plot_id, r.nutrient_source_id, r.nutrient, r.n_apps,
+         *(None if r[c] is None else round(r[c], 6) for c in ("rate_product", first)))
+        for r in totals.collect()
+    ]
+    assert len(expected) > 60 and sorted(got, key=repr) == sorted(expected, key=repr)
