@@ -236,12 +236,13 @@ def _units(plots: DataFrame) -> DataFrame:
 def _parcels_of_units(units: DataFrame) -> DataFrame:
     """The field, the trials and the plots of each unit: (level, parcel_id) with the unit's key.
 
-    ``_first`` and ``_number`` say which plots of the list are theirs.
+    ``_run`` says which plots of the list are theirs: the first and how many, in one number, which
+    takes less of a shuffled row than two (see :func:`_run_of`).
     """
     def run(level: int, parcel: Column, first: Column, number: Column) -> Column:
         return F.struct(
             F.lit(level).alias("level"), parcel.alias("parcel_id"),
-            first.cast("int").alias("_first"), number.cast("int").alias("_number"),
+            (first * (UNIT_PLOTS + 1) + number).cast("int").alias("_run"),
         )
 
     trials, one = F.col("_plots")["field_trial_id"], F.lit(1)
@@ -257,6 +258,11 @@ def _parcels_of_units(units: DataFrame) -> DataFrame:
     )
 
 
+def _run_of(sums: Column) -> tuple[Column, Column]:
+    """First plot, from 1, and number of plots of a sum."""
+    return F.floor(sums["_run"] / (UNIT_PLOTS + 1)).cast("int"), sums["_run"] % (UNIT_PLOTS + 1)
+
+
 def _reached(rate_type: str) -> Column:
     """Each plot of ``_plots`` that one of ``_sums`` reaches: plot_id, rate, apps."""
     def of(plot: Column, rate: Column, apps: Column) -> Column:
@@ -269,15 +275,19 @@ def _reached(rate_type: str) -> Column:
         rate = F.coalesce(total["rate"] + s["_rate"], total["rate"], s["_rate"])
         return F.struct(rate.cast(rate_type).alias("rate"), (total["apps"] + s["_apps"]).alias("apps"))
 
+    def covers(s: Column, i: Column) -> Column:
+        first, number = _run_of(s)
+        return (i + 1 >= first) & (i + 1 < first + number)
+
     def total(plot: Column, i: Column) -> Column:
-        own = F.filter("_sums", lambda s: (i + 1).between(s["_first"], s["_first"] + s["_number"] - 1))
+        own = F.filter("_sums", lambda s: covers(s, i))
         none = F.struct(F.lit(None).cast(rate_type).alias("rate"), F.lit(0).cast("long").alias("apps"))
         return F.struct(plot.alias("plot"), F.aggregate(own, none, added).alias("total"))
 
     only = F.col("_sums")[0]
     met = F.filter(F.transform("_plots", total), lambda x: x["total"]["apps"] > 0)
     return F.when(F.size("_sums") == 1, F.transform(
-        F.slice("_plots", only["_first"], only["_number"]),
+        F.slice("_plots", *_run_of(only)),
         lambda plot: of(plot, only["_rate"].cast(rate_type), only["_apps"]),
     )).otherwise(F.transform(met, lambda x: of(x["plot"], x["total"]["rate"], x["total"]["apps"])))
 
@@ -325,7 +335,7 @@ def plot_nutrient_totals(plots: DataFrame, app: DataFrame, nutrient_source: Data
         .repartition(*unit)
         .groupBy(*unit, "nutrient_source_id", "_copy")
         .agg(
-            F.collect_list(F.struct("_first", "_number", "_rate", "_apps")).alias("_sums"),
+            F.collect_list(F.struct("_run", "_rate", "_apps")).alias("_sums"),
             *[F.first(c).alias(c) for c in ("nutrient", *NUTRIENTS)],
         )
         .join(shuffled(units), unit)
